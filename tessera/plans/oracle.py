@@ -204,3 +204,23 @@ LEADERBOARD_SLICE = with_rel(REVIEWS) + """
     WHERE position BETWEEN 0 AND 10"""
 
 ANY_PRODUCTS = None  # rows-only check: an arbitrary sample has no SQL answer
+
+# -- catalogue files, sinks, upsert ------------------------------------------
+
+ROUNDTRIP_SELLS = with_rel(SELLS) + "SELECT * FROM sells"
+ROUNDTRIP_SIMILARS = with_rel(SIMILARS) + 'SELECT Id, ASIN, "similar" FROM similars'
+ROUNDTRIP_REVIEWS = with_rel(REVIEWS) + f"SELECT {_REVIEW_COLS} FROM reviews"
+ROUNDTRIP_CATEGORIES = with_rel(CATEGORIES) + "SELECT Id, ASIN, category FROM categories"
+ROUNDTRIP_STATS = with_rel(SELLS, REVIEWS) + """
+    SELECT s.Id, COALESCE(r.total, 0) AS total, COALESCE(r.total, 0) AS downloaded,
+           COALESCE(r.avg_rating, 0.0) AS avg_rating
+    FROM sells s LEFT JOIN (
+      SELECT Id, CAST(COUNT(*) AS INTEGER) AS total, round(AVG(rating), 1) AS avg_rating
+      FROM reviews GROUP BY Id) r ON s.Id = r.Id"""
+NESTED_FLATTENED = with_rel(REVIEWS) + """
+    SELECT CAST(Id AS INTEGER) AS Id, ASIN, date, customer, rating, votes AS vote, helpful FROM reviews"""
+PACKED_REVIEWS = with_rel(REVIEWS) + "SELECT Id, ASIN, date, customer, rating, votes, helpful FROM reviews"
+
+LATEST_BY_KEY = """
+    SELECT user_id, event_type, event_id, ts, value, props FROM events
+    QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) = 1"""

@@ -12,6 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.operators.upsert import latest_by_key
+from tessera.plans import catalog_files as CF
 from tessera.plans import oracle as O
 from tessera.plans import questions as Q
 from tessera.plans import sql as S
@@ -79,6 +81,22 @@ QUERIES: dict[str, Query] = {
     "top_reviewers_ties_sql": lambda s, d: S.top_reviewers_ties_sql(s, _reviews(s, d)),
     "reviewers_additive": lambda s, d: Q.reviewers_additive(_reviews(s, d)),
     "reviewers_distinct_products": lambda s, d: Q.reviewers_distinct_products(_reviews(s, d)),
+    # catalogue text / nested / packed forms
+    "catalog_roundtrip_sells": CF.roundtrip_sells,
+    "catalog_roundtrip_similars": CF.roundtrip_similars,
+    "catalog_roundtrip_reviews": CF.roundtrip_reviews,
+    "catalog_roundtrip_categories": CF.roundtrip_categories,
+    "catalog_roundtrip_stats": CF.roundtrip_stats,
+    "nested_products_flattened": CF.nested_products_flattened,
+    "packed_reviews_roundtrip": CF.packed_reviews_roundtrip,
+    # sinks
+    "csv_roundtrip": CF.csv_roundtrip,
+    "csv_single_file_top_sellers": CF.csv_single_file_top_sellers,
+    "query_table_roundtrip": lambda s, d: CF.query_table_roundtrip(s, d, O.REVIEW_ID),
+    "daily_partials_table": lambda s, d: CF.daily_partials_table(s, d, O.REVIEW_ID),
+    "latest_by_key": lambda s, d: latest_by_key(
+        C.table(s, d, "events").select("user_id", "event_type", "event_id", "ts", "value", "props"),
+        ["user_id", "event_type"], "event_id"),
     # sampling (row count only)
     "any_products": lambda s, d: Q.any_products(C.sells(s, d)),
 }
@@ -129,4 +147,16 @@ ORACLE: dict[str, str] = {
     "top_reviewers_ties_sql": O.TOP_REVIEWERS_TIES,
     "reviewers_additive": O.REVIEWERS_ADDITIVE,
     "reviewers_distinct_products": O.REVIEWERS_DISTINCT,
+    "catalog_roundtrip_sells": O.ROUNDTRIP_SELLS,
+    "catalog_roundtrip_similars": O.ROUNDTRIP_SIMILARS,
+    "catalog_roundtrip_reviews": O.ROUNDTRIP_REVIEWS,
+    "catalog_roundtrip_categories": O.ROUNDTRIP_CATEGORIES,
+    "catalog_roundtrip_stats": O.ROUNDTRIP_STATS,
+    "nested_products_flattened": O.NESTED_FLATTENED,
+    "packed_reviews_roundtrip": O.PACKED_REVIEWS,
+    "csv_roundtrip": O.ROUNDTRIP_SELLS,
+    "csv_single_file_top_sellers": O.TOP_SELLERS_RANK,
+    "query_table_roundtrip": O.REVIEWS_HIGH,
+    "daily_partials_table": O.DAILY_RATING,
+    "latest_by_key": O.LATEST_BY_KEY,
 }

@@ -53,9 +53,14 @@ def is_alpha_word(word) -> Column:
     return _col(word).rlike(ALPHA_WORD)
 
 
+# White space stripped by FN-6 (``\r`` included; Spark's plain trim only
+# removes spaces).
+WHITESPACE = " \t\n\x0b\f\r"
+
+
 def strip_ws(s) -> Column:
     """FN-6: trim every white-space character (``\\r`` included) at both ends."""
-    return F.regexp_replace(_col(s), r"^\s+|\s+$", "")
+    return F.trim(_col(s), F.lit(WHITESPACE))
 
 
 def byte_hash(s) -> Column:

@@ -2,7 +2,7 @@
 ``sources.records``).
 
 The file is produced line by line: every line is a row keyed by
-``(product key, section, sequence)``; a range shuffle on the product key puts
+``(product key, section, sequence)``; a hash shuffle on the product key puts
 all lines of a product in one task and a sort inside each task orders them.
 No record string is ever assembled in memory, so a product with a huge
 number of reviews is streamed (and spilled) like any sorted partition. Each
@@ -47,18 +47,29 @@ def catalog_lines(spark: SparkSession, sells: DataFrame, similars: DataFrame, ca
     p = per_product
     sim_line = F.when(F.col("n") > 0, F.concat(F.lit("  similar: "), F.col("n").cast("string"), F.lit("  "), F.col("l"))) \
         .otherwise(F.lit("  similar: 0"))
+    # The nine per-product lines come out of one projection + explode
+    # (one pass over the product rows instead of one union branch each).
+    product_lines = [
+        F.concat(F.lit("Id:   "), F.col("Id")),
+        F.concat(F.lit("ASIN: "), F.col("ASIN")),
+        F.concat(F.lit("  title: "), F.col("title")),
+        F.concat(F.lit("  group: "), F.col("group")),
+        F.concat(F.lit("  salesrank: "), F.col("salesrank").cast("string")),
+        sim_line,
+        F.concat(F.lit("  categories: "), F.col("ncat").cast("string")),
+        None,  # section 7: category lines
+        F.concat(F.lit("  reviews: total: "), F.col("total").cast("string"),
+                 F.lit("  downloaded: "), F.col("total").cast("string"),
+                 F.lit("  avg rating: "), F.col("avg")),
+        None,  # section 9: review lines
+        F.lit(""),  # section 10: blank line closing the record
+    ]
+    entries = F.array(*[F.struct(F.lit(i).alias("sec"), F.concat(v, F.lit(CR)).alias("value"))
+                        for i, v in enumerate(product_lines) if v is not None])
     parts = [
-        _line(p, 0, F.concat(F.lit("Id:   "), F.col("Id"))),
-        _line(p, 1, F.concat(F.lit("ASIN: "), F.col("ASIN"))),
-        _line(p, 2, F.concat(F.lit("  title: "), F.col("title"))),
-        _line(p, 3, F.concat(F.lit("  group: "), F.col("group"))),
-        _line(p, 4, F.concat(F.lit("  salesrank: "), F.col("salesrank").cast("string"))),
-        _line(p, 5, sim_line),
-        _line(p, 6, F.concat(F.lit("  categories: "), F.col("ncat").cast("string"))),
+        p.select(F.col("Id").alias("key"), F.inline(entries)).select(
+            "key", "sec", F.lit("").alias("seq"), "value"),
         _line(cats, 7, F.concat(F.lit("   |"), F.col("category")), F.col("category")),
-        _line(p, 8, F.concat(F.lit("  reviews: total: "), F.col("total").cast("string"),
-                             F.lit("  downloaded: "), F.col("total").cast("string"),
-                             F.lit("  avg rating: "), F.col("avg"))),
         _line(reviews, 9,
               F.concat(F.lit("    "), F.date_format("date", DATE_FORMAT),
                        F.lit("  cutomer: "), F.col("customer"),
@@ -69,7 +80,6 @@ def catalog_lines(spark: SparkSession, sells: DataFrame, similars: DataFrame, ca
                           F.lpad(F.col("rating").cast("string"), 3, "0"),
                           F.lpad(F.col("votes").cast("string"), 10, "0"),
                           F.lpad(F.col("helpful").cast("string"), 10, "0"))),
-        p.select(F.col("Id").alias("key"), F.lit(10).alias("sec"), F.lit("").alias("seq"), F.lit(CR).alias("value")),
     ]
     out = parts[0]
     for part in parts[1:]:
@@ -88,10 +98,13 @@ def write_catalog_text(spark: SparkSession, sells: DataFrame, similars: DataFram
     """Write the catalogue file(s) under ``path`` (replacing old output)."""
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     lines = catalog_lines(spark, sells, similars, categories, reviews)
-    # Numeric product keys sort numerically; the header (NULL key) sorts first.
+    # A record only needs its own lines to be contiguous, so a hash shuffle
+    # on the product key is enough (a range shuffle would first run the whole
+    # plan once more to sample boundaries). Inside a task, numeric keys sort
+    # numerically and the header (NULL key) comes first.
     knum = F.col("key").try_cast("long")
     (lines.withColumn("knum", knum)
-          .repartitionByRange(n, F.col("knum").asc_nulls_first(), F.col("key").asc_nulls_first())
+          .repartition(n, "key")
           .sortWithinPartitions(F.col("knum").asc_nulls_first(), F.col("key").asc_nulls_first(), "sec", "seq")
           .select("value")
           .write.mode("overwrite").text(path))

@@ -63,10 +63,11 @@ def _value(line: Column) -> Column:
     return strip_ws(F.regexp_extract(line, r"^[^:]*:(.*)$", 1))
 
 
-def _tagged(lines: Column, tag: str) -> Column:
-    """Value of the first line whose tag is ``tag`` (NULL when absent)."""
-    hit = F.filter(lines, lambda l: (F.locate(":", l) > 0) & (_tag(l) == F.lit(tag)))
-    return F.when(F.size(hit) > 0, _value(F.element_at(hit, 1)))
+def _tagged(kv: Column, tag: str) -> Column:
+    """Value of the first line whose tag is ``tag`` (NULL when absent).
+    ``kv`` is the record's ``array<struct<line, tag, value>>``."""
+    hit = F.filter(kv, lambda x: x["tag"] == F.lit(tag))
+    return F.try_element_at(hit, F.lit(1))["value"]
 
 
 def _has_all(line: Column, words) -> Column:
@@ -96,7 +97,7 @@ def _review(line: Column) -> Column:
 def _review_header(lines: Column) -> Column:
     """SRC-9: numbers of the review header line (FN-10: digits with a dot)."""
     hit = F.filter(lines, lambda l: _has_all(l, REVIEW_HEADER_WORDS))
-    line = F.element_at(hit, 1)
+    line = F.try_element_at(hit, F.lit(1))
     nums = F.filter(_tokens(F.coalesce(line, F.lit(""))),
                     lambda t: t.rlike(r"^[0-9.]+$") & t.rlike("[0-9]"))
     return F.when(F.size(hit) > 0, F.struct(
@@ -116,14 +117,21 @@ def parse_records(records: DataFrame, text_col: str = "value") -> DataFrame:
     review_stats STRUCT<total, downloaded, avg_rating>,
     reviews ARRAY<STRUCT<date, customer, rating, votes, helpful>>.
     """
-    lines = F.filter(F.transform(F.split(strip_ws(F.col(text_col)), "\n"), strip_ws), lambda l: l != "")
-    parsed = records.select(lines.alias("lines"))
-    first, last = F.element_at("lines", 1), F.element_at("lines", -1)
-    keep = (F.size("lines") > 0) & (F.locate(":", first) > 0) & (_tag(first) == F.lit("Id")) \
-        & (last != F.lit(DISCONTINUED))
-    ls = F.col("lines")
+    lines = F.filter(F.transform(F.split(F.col(text_col), "\n"), strip_ws), lambda l: l != "")
+    # Each line is split once into (tag, value) at its first colon; lines
+    # without a colon get a NULL tag.
+    kv = F.transform(lines, lambda l: F.struct(
+        l.alias("line"),
+        F.when(F.locate(":", l) > 0, strip_ws(F.substring_index(l, ":", 1))).alias("tag"),
+        strip_ws(F.substr(l, F.locate(":", l) + 1)).alias("value"),
+    ))
+    parsed = records.select(kv.alias("kv"))
+    ls = F.col("kv")
+    first, last = F.try_element_at(ls, F.lit(1)), F.try_element_at(ls, F.lit(-1))
+    keep = (F.size(ls) > 0) & (first["tag"] == F.lit("Id")) & (last["line"] != F.lit(DISCONTINUED))
+    lines_only = F.transform(ls, lambda x: x["line"])
     sim = _tagged(ls, "similar")
-    review_lines = F.filter(ls, lambda l: _has_all(l, REVIEW_WORDS) & ~_has_all(l, REVIEW_HEADER_WORDS))
+    review_lines = F.filter(lines_only, lambda l: _has_all(l, REVIEW_WORDS) & ~_has_all(l, REVIEW_HEADER_WORDS))
     return parsed.filter(keep).select(
         _tagged(ls, "Id").alias("Id"),
         _tagged(ls, "ASIN").alias("ASIN"),
@@ -133,9 +141,9 @@ def parse_records(records: DataFrame, text_col: str = "value") -> DataFrame:
         _tagged(ls, "categories").try_cast("int").alias("categories"),
         F.coalesce(F.slice(_tokens(F.coalesce(sim, F.lit(""))), 2, 1 << 30),
                    F.array().cast("array<string>")).alias("similar"),
-        F.transform(F.filter(ls, lambda l: l.startswith("|")), lambda l: F.substring(l, 2, 1 << 30))
+        F.transform(F.filter(lines_only, lambda l: l.startswith("|")), lambda l: F.substr(l, F.lit(2)))
          .alias("category_paths"),
-        _review_header(ls).alias("review_stats"),
+        _review_header(lines_only).alias("review_stats"),
         F.transform(review_lines, _review).alias("reviews"),
     )
 

@@ -208,6 +208,8 @@ def pack_reviews(reviews: DataFrame, avg_rating: str | None = None) -> DataFrame
              F.col("votes").cast("string"), F.col("helpful").cast("string")]
     if avg_rating:
         parts.append(F.col(avg_rating).cast("string"))
+    # concat_ws skips NULLs, which would shift later fields: pack NULL as ''.
+    parts = [F.coalesce(p, F.lit("")) for p in parts]
     return reviews.select("Id", "ASIN", F.concat_ws(PACK_SEPARATOR, *parts).alias("packed"))
 
 
@@ -217,7 +219,7 @@ def unpack_reviews(packed: DataFrame) -> DataFrame:
     return packed.select(
         "Id", "ASIN",
         F.try_to_date(F.get(p, 0), "yyyy-MM-dd").alias("date"),
-        F.get(p, 1).alias("customer"),
+        F.nullif(F.get(p, 1), F.lit("")).alias("customer"),
         F.get(p, 2).try_cast("int").alias("rating"),
         F.get(p, 3).try_cast("int").alias("votes"),
         F.get(p, 4).try_cast("int").alias("helpful"),

@@ -12,8 +12,9 @@ Scale notes
   Catalyst plans as WindowGroupLimit (partial, before the shuffle) +
   WindowGroupLimit (final). A group holding a third of all rows therefore
   ships at most n rows (plus ties) per map task to its window task.
-* ``arg_min`` / ``latest_by_key`` -> ``min``/``max_by`` over a struct, a
-  plain hash aggregate with a map-side partial step, no window at all.
+* ``arg_min`` / ``latest_by_key`` -> ``min``/``max_by`` over a struct: an
+  aggregate with a map-side partial step (sort-based when the carried row
+  holds strings), no window at all, so a hot key is reduced per map task.
 """
 
 from __future__ import annotations
@@ -83,10 +84,11 @@ def kth_smallest(df: DataFrame, group: Sequence, value: str, k: int, tie: Sequen
 def threshold_join(df: DataFrame, thresholds: DataFrame, group: Sequence[str], value: str,
                    low: int = 1) -> DataFrame:
     """JN-8 + FLT-6: rows whose ``value`` lies in ``[low, threshold]`` of
-    their group. ``thresholds`` has one row per group (size bounded by the
-    number of groups), so it is broadcast.
+    their group. ``thresholds`` has one row per group; no broadcast hint:
+    the number of groups is not bounded in general, so AQE decides from the
+    measured size of the threshold stage (broadcast when it is small).
     """
-    t = F.broadcast(thresholds.select(*group, "threshold"))
+    t = thresholds.select(*group, "threshold")
     return (df.join(t, list(group), "inner")
               .filter(F.col(value).between(F.lit(low), F.col("threshold")))
               .drop("threshold"))

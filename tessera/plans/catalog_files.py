@@ -15,9 +15,12 @@ from tessera.plans import questions as Q
 from tessera.session import scratch_dir
 from tessera.sinks.catalog_text import write_catalog_text
 from tessera.sinks.files import read_csv, write_csv
-from tessera.sinks.query_tables import read_query_table, write_query_table
+from tessera.operators.topk import top_n_per_group
+from tessera.operators.wordcount import word_count
+from tessera.sinks.query_tables import read_query_table, write_query_table, write_question_table
 from tessera.sources import catalog as C
 from tessera.sources import records as R
+from tessera.sources.text import read_lines, write_corpus
 
 
 def write_fixture_catalog(spark: SparkSession, sf_dir: str) -> str:
@@ -127,3 +130,41 @@ def daily_partials_table(spark, sf_dir, product_id: str = "6"):
     write_query_table(partials, path, cluster_by=["Id"], order=[F.col("date").asc()])
     t = read_query_table(spark, path).filter(F.col("Id") == F.lit(product_id))
     return Q.daily_rating_from_partials(t).select("date", "avgrating")
+
+
+def _question_table(spark, sf_dir, name: str, with_reviews: bool = True) -> DataFrame:
+    path = scratch_dir(spark, f"qt-{name}")
+    reviews = C.reviews(spark, sf_dir) if with_reviews else None
+    write_question_table(name, path, C.sells(spark, sf_dir), C.similars(spark, sf_dir), reviews)
+    return read_query_table(spark, path)
+
+
+def top_sellers_from_query_table(spark, sf_dir, n: int = 10):
+    """Q-D-EXACT from the ``groups`` table (partitioned by group, clustered by
+    rank): exactly n products per group, ties by Id."""
+    t = _question_table(spark, sf_dir, "groups", with_reviews=False)
+    return top_n_per_group(t, ["group"], [F.col("salesrank").asc(), F.col("Id").asc()], n) \
+        .select("group", "Id", "ASIN", "salesrank")
+
+
+def top_reviewers_from_query_table(spark, sf_dir, n: int = 10):
+    """Q-G from the ``customer_reviews`` table (partitioned by group)."""
+    t = _question_table(spark, sf_dir, "customer_reviews")
+    return top_n_per_group(t, ["group"], [F.col("comments").desc(), F.col("customer").asc()], n) \
+        .select("group", "customer", "comments")
+
+
+def better_similars_from_query_table(spark, sf_dir):
+    """Q-B for every product from the ``similars`` table, whose rows already
+    carry both ranks (-1 for a similar product outside the catalogue)."""
+    t = _question_table(spark, sf_dir, "similars", with_reviews=False)
+    return (t.filter((F.col("similarsales") > 0) & (F.col("similarsales") < F.col("salesrank")))
+             .select("Id", "similar", F.col("salesrank").alias("salesrank_original"),
+                     F.col("similarsales").alias("salesrank")))
+
+
+def wordcount_text_files(spark, sf_dir):
+    """Q-WC as the reference job runs it: over plain text files (SRC-1)."""
+    path = scratch_dir(spark, "corpus")
+    write_corpus(spark, sf_dir, path)
+    return word_count(read_lines(spark, path), "value")

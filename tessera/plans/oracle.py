@@ -224,3 +224,7 @@ PACKED_REVIEWS = with_rel(REVIEWS) + "SELECT Id, ASIN, date, customer, rating, v
 LATEST_BY_KEY = """
     SELECT user_id, event_type, event_id, ts, value, props FROM events
     QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) = 1"""
+
+TOP_SELLERS_FROM_TABLE = with_rel(SELLS) + """
+    SELECT "group", Id, ASIN, salesrank FROM sells WHERE salesrank > 0
+    QUALIFY ROW_NUMBER() OVER (PARTITION BY "group" ORDER BY salesrank, Id) <= 10"""

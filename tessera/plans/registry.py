@@ -97,6 +97,10 @@ QUERIES: dict[str, Query] = {
     "latest_by_key": lambda s, d: latest_by_key(
         C.table(s, d, "events").select("user_id", "event_type", "event_id", "ts", "value", "props"),
         ["user_id", "event_type"], "event_id"),
+    "top_sellers_from_query_table": CF.top_sellers_from_query_table,
+    "top_reviewers_from_query_table": CF.top_reviewers_from_query_table,
+    "better_similars_from_query_table": CF.better_similars_from_query_table,
+    "wordcount_text_files": CF.wordcount_text_files,
     # sampling (row count only)
     "any_products": lambda s, d: Q.any_products(C.sells(s, d)),
 }
@@ -159,4 +163,8 @@ ORACLE: dict[str, str] = {
     "query_table_roundtrip": O.REVIEWS_HIGH,
     "daily_partials_table": O.DAILY_RATING,
     "latest_by_key": O.LATEST_BY_KEY,
+    "top_sellers_from_query_table": O.TOP_SELLERS_FROM_TABLE,
+    "top_reviewers_from_query_table": O.TOP_REVIEWERS,
+    "better_similars_from_query_table": O.BETTER_SIMILARS_ALL,
+    "wordcount_text_files": O.WORDCOUNT,
 }

@@ -33,3 +33,72 @@ def write_query_table(df: DataFrame, path: str, cluster_by: Sequence[str],
 
 def read_query_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+# -- the per-question tables ------------------------------------------------------
+# name -> (builder, cluster_by, order, partition_by). Builders take the
+# relations (sells, similars, reviews) and return the table's rows.
+
+def _products(sells, similars, reviews):
+    return sells.select("Id", "ASIN", "title", "group", "salesrank")
+
+
+def _similars(sells, similars, reviews):
+    ranks = sells.select(F.col("ASIN").alias("similar"), F.col("salesrank").alias("similarsales"))
+    return (similars.join(sells.select("Id", "salesrank"), "Id")
+            .join(ranks, "similar", "left")
+            .select("Id", "ASIN", "similar", "salesrank",
+                    F.coalesce("similarsales", F.lit(-1)).alias("similarsales")))
+
+
+def _reviews_v1(sells, similars, reviews):
+    return reviews.select("Id", "ASIN", "date", "customer", "rating", F.col("votes").alias("vote"), "helpful")
+
+
+def _reviews_v2(sells, similars, reviews):
+    return reviews.groupBy("Id", "ASIN", "date").agg(
+        F.sum("rating").cast("long").alias("total_rating"), F.count(F.lit(1)).alias("count_rating"))
+
+
+def _groups(sells, similars, reviews):
+    return sells.filter(F.col("salesrank") > 0).select("group", "Id", "ASIN", "salesrank")
+
+
+def _customer_reviews(sells, similars, reviews):
+    return reviews.groupBy("group", "customer").agg(F.count(F.lit(1)).alias("comments"))
+
+
+QUESTION_TABLES = {
+    "products": (_products, ["Id"], ["salesrank"], []),
+    "similars": (_similars, ["Id"], ["salesrank", "similarsales"], []),
+    "reviews_v1": (_reviews_v1, ["Id"], [("helpful", "desc"), ("rating", "desc")], []),
+    "reviews_v2": (_reviews_v2, ["Id"], ["date"], []),
+    "groups": (_groups, ["salesrank"], ["salesrank", "Id"], ["group"]),
+    "customer_reviews": (_customer_reviews, ["customer"], [("comments", "desc"), "customer"], ["group"]),
+}
+
+
+def _order(spec) -> list[Column]:
+    out = []
+    for o in spec:
+        if isinstance(o, tuple):
+            out.append(F.col(o[0]).desc() if o[1] == "desc" else F.col(o[0]).asc())
+        else:
+            out.append(F.col(o).asc())
+    return out
+
+
+def write_question_table(name: str, path: str, sells: DataFrame, similars: DataFrame,
+                         reviews: DataFrame) -> None:
+    build, cluster_by, order, partition_by = QUESTION_TABLES[name]
+    write_query_table(build(sells, similars, reviews), path, cluster_by=cluster_by,
+                      order=_order(order), partition_by=partition_by)
+
+
+def write_question_tables(root: str, sells: DataFrame, similars: DataFrame, reviews: DataFrame) -> dict:
+    """Write all six question tables under ``root``; returns name -> path."""
+    paths = {}
+    for name in QUESTION_TABLES:
+        paths[name] = f"{root.rstrip('/')}/{name}"
+        write_question_table(name, paths[name], sells, similars, reviews)
+    return paths

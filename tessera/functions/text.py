@@ -66,20 +66,22 @@ def strip_ws(s) -> Column:
 def byte_hash(s) -> Column:
     """31-polynomial hash over the signed UTF-8 bytes of ``s``, start 1, as int32.
 
-    Returned as a non-negative BIGINT in [0, 2^32). Byte ``i`` is read from the
-    hex form, so the whole expression stays in Spark SQL.
+    Returned as a non-negative BIGINT in [0, 2^32). The UTF-8 bytes are
+    re-read as ISO-8859-1 text, one character per byte whose code point is
+    the unsigned byte value, so ``ascii`` of each character yields a byte and
+    the whole expression stays in Spark SQL.
     """
-    hx = F.hex(F.encode(_col(s), "UTF-8"))
-    n = F.length(hx) / 2
+    latin = F.decode(F.encode(_col(s), "UTF-8"), "ISO-8859-1")
+    n = F.length(latin)
 
     def step(h, i):
-        byte = F.conv(F.substring(hx, i * 2 - 1, 2), 16, 10).cast("long")
+        byte = F.ascii(F.substring(latin, i, 1)).cast("long")
         signed = F.when(byte >= 128, byte - 256).otherwise(byte)
         return (h * 31 + signed).bitwiseAND(F.lit(0xFFFFFFFF))
 
     return F.when(
         n > 0,
-        F.aggregate(F.sequence(F.lit(1), n.cast("int")), F.lit(1).cast("long"), step),
+        F.aggregate(F.sequence(F.lit(1), n), F.lit(1).cast("long"), step),
     ).otherwise(F.lit(1).cast("long"))
 
 

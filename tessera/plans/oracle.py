@@ -177,7 +177,7 @@ TOP_CATEGORIES = with_rel(REVIEWS, CATEGORIES) + """
     FROM reviews r JOIN (SELECT DISTINCT Id, category FROM categories) c ON r.Id = c.Id
     GROUP BY c.category ORDER BY avghelpful DESC, c.category LIMIT 5"""
 TOP_CATEGORIES_BY_PRODUCT = with_rel(REVIEWS, CATEGORIES) + """
-    SELECT c.category, AVG(m.avghelpful) AS avghelpful
+    SELECT c.category, round(AVG(m.avghelpful), 10) AS avghelpful
     FROM (SELECT Id, AVG(helpful) AS avghelpful FROM reviews GROUP BY Id) m
     JOIN (SELECT DISTINCT Id, category FROM categories) c ON m.Id = c.Id
     GROUP BY c.category ORDER BY avghelpful DESC, c.category LIMIT 5"""

@@ -96,7 +96,6 @@ def catalog_lines(spark: SparkSession, sells: DataFrame, similars: DataFrame, ca
 def write_catalog_text(spark: SparkSession, sells: DataFrame, similars: DataFrame, categories: DataFrame,
                        reviews: DataFrame, path: str, partitions: int | None = None) -> None:
     """Write the catalogue file(s) under ``path`` (replacing old output)."""
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     lines = catalog_lines(spark, sells, similars, categories, reviews)
     # A record only needs its own lines to be contiguous, so a hash shuffle
     # on the product key is enough (a range shuffle would first run the whole
@@ -104,7 +103,7 @@ def write_catalog_text(spark: SparkSession, sells: DataFrame, similars: DataFram
     # numerically and the header (NULL key) comes first.
     knum = F.col("key").try_cast("long")
     (lines.withColumn("knum", knum)
-          .repartition(n, "key")
+          .repartition(*([partitions] if partitions else []), "key")
           .sortWithinPartitions(F.col("knum").asc_nulls_first(), F.col("key").asc_nulls_first(), "sec", "seq")
           .select("value")
           .write.mode("overwrite").text(path))

@@ -20,11 +20,12 @@ from pyspark.sql import functions as F
 def write_query_table(df: DataFrame, path: str, cluster_by: Sequence[str],
                       order: Sequence[Column] = (), partition_by: Sequence[str] = (),
                       partitions: int | None = None, mode: str = "overwrite") -> None:
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = list(partition_by) + [c for c in cluster_by if c not in partition_by]
-    out = (df.repartitionByRange(n, *[F.col(c) for c in keys])
-             .sortWithinPartitions(*[F.col(c) for c in keys], *order))
+    cols = [F.col(c) for c in keys]
+    # Without an explicit count AQE sizes the range shuffle from the data
+    # (files of ~advisoryPartitionSizeInBytes instead of a fixed number).
+    ranged = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
+    out = ranged.sortWithinPartitions(*cols, *order)
     w = out.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -115,3 +115,16 @@ def slice_by_rank(df: DataFrame, score: str, member: str, start: int, stop: int,
 def any_rows(df: DataFrame, n: int) -> DataFrame:
     """SRT-9: an arbitrary sample of n rows (limit without order)."""
     return df.limit(n)
+
+
+def top_n_lists(df: DataFrame, group: Sequence[str], order: Sequence, n: int,
+                fields: Sequence[str]) -> DataFrame:
+    """AGG-9: per group an array of the first ``n`` rows (as structs of
+    ``fields``, in ``order``). The per-group limit runs first (partial limit
+    before the shuffle), so ``collect_list`` never sees more than ``n`` rows
+    of a group, however large the group is."""
+    group = list(group)
+    kept = top_n_per_group(df, group, order, n, rank_col="__pos")
+    items = F.sort_array(F.collect_list(F.struct(F.col("__pos"), *[F.col(f) for f in fields])))
+    return kept.groupBy(*group).agg(
+        F.transform(items, lambda x: F.struct(*[x[f].alias(f) for f in fields])).alias("items"))

@@ -158,3 +158,12 @@ def test_product_filter_reaches_the_scan(spark):
     r = C.reviews(spark, SF_SMALL, product_id="6")
     plan = r._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(l_partkey), EqualTo(l_partkey,6)" in plan
+
+
+def test_top_n_lists_are_bounded_and_ordered(spark):
+    from tessera.operators.topk import top_n_lists
+    got = top_n_lists(_scores(spark), ["grp"], [F.col("score").desc(), F.col("member").asc()], 2,
+                      ["member", "score"])
+    lists = {r.grp: [(i.member, i.score) for i in r.items] for r in got.collect()}
+    assert lists == {"g1": [("d", 3), ("b", 2)], "g2": [("e", 5), ("f", 5)]}
+    assert "WindowGroupLimit" in _plan(got)

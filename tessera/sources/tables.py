@@ -38,8 +38,12 @@ def spread_narrow_scan(df: DataFrame, key: str | None = None) -> DataFrame:
     Measured at sf0.1 on local[8] (8 catalogue/word-count queries): 20.4 s
     unspread, 16.8 s round-robin, 14.4 s hash on the key.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave the scan as is
+        return df
+    if splits < cores:
         # Hashing on the table's key is deterministic without the local sort a
         # round-robin exchange needs, and a later join on that key can reuse it.
         return df.repartition(cores, key) if key else df.repartition(cores)

@@ -37,10 +37,22 @@ def review_counters(reviews: DataFrame) -> DataFrame:
     return reviews.groupBy("group", "customer").agg(F.count(F.lit(1)).alias("comments"))
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def start_review_counters(spark: SparkSession, src_dir: str, changelog_dir: str,
-                          checkpoint_dir: str | None = None, available_now: bool = True) -> StreamingQuery:
+                          checkpoint_dir: str | None = None, available_now: bool = True,
+                          rocksdb_state: bool = True) -> StreamingQuery:
     """Start the ingest; with ``available_now`` it processes every file present
-    and stops (a scheduled incremental job), otherwise it keeps running."""
+    and stops (a scheduled incremental job), otherwise it keeps running.
+
+    The counter state grows with the number of (group, customer) keys; with
+    ``rocksdb_state`` it lives in RocksDB on executor disk (checkpointed to
+    the checkpoint folder) instead of executor heap. The provider is fixed by
+    the query's checkpoint, so keep the same setting across restarts.
+    """
+    if rocksdb_state:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     counters = review_counters(review_records_stream(spark, src_dir))
 
     def publish(batch: DataFrame, batch_id: int) -> None:

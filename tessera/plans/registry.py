@@ -28,7 +28,7 @@ def _reviews(spark, d, **kw):
 
 
 QUERIES: dict[str, Query] = {
-    # word count (pi1p1)
+    # word count
     "wordcount": lambda s, d: W.wordcount(s, d),
     "wordcount_alpha": lambda s, d: W.wordcount(s, d, alpha_only=True),
     "unique_terms": lambda s, d: W.unique_terms(s, d),

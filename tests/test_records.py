@@ -26,7 +26,7 @@ RECORDS = [
 
 @pytest.fixture(scope="module")
 def products(spark, tmp_path_factory):
-    path = tmp_path_factory.mktemp("catalog") / "amazon-meta.txt"
+    path = tmp_path_factory.mktemp("catalog") / "catalogue.txt"
     text = "\n\r\n".join("\r\n".join(lines) for lines in RECORDS) + "\r\n"
     path.write_bytes(text.encode("utf-8"))
     return R.parse_records(R.read_records(spark, str(path))).cache()

@@ -106,7 +106,8 @@ def csv_roundtrip(spark, sf_dir):
 def csv_single_file_top_sellers(spark, sf_dir):
     """SNK-4: the (bounded) Q-D answer as one CSV file, read back."""
     path = scratch_dir(spark, "csv1")
-    write_csv(Q.top_sellers_rank(C.sells(spark, sf_dir)), path, single_file=True)
+    write_csv(Q.top_sellers_rank(C.sells(spark, sf_dir)), path, single_file=True,
+              order=["group", "salesrank", "Id"])
     schema = T.StructType([T.StructField("group", T.StringType()), T.StructField("Id", T.StringType()),
                            T.StructField("title", T.StringType()), T.StructField("salesrank", T.IntegerType())])
     return read_csv(spark, path, schema)

@@ -39,15 +39,19 @@ def read_term_counts(spark: SparkSession, path: str, key: str = "term", value: s
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "errorifexists",
-              header: bool = False) -> None:
+              header: bool = False, order=()) -> None:
     """SNK-3 (directory of part files, fails if it exists by default) and
-    SNK-4 (``single_file``: one part file, for bounded results only)."""
+    SNK-4 (``single_file``: one part file, for bounded results only, in
+    report ``order``, SRT-10: sorted inside the single partition, no global
+    sort)."""
     out = df
     if single_file:
         n = df.limit(SINGLE_FILE_MAX_ROWS + 1).count()
         if n > SINGLE_FILE_MAX_ROWS:
             raise ValueError(f"single-file CSV is for small results; got more than {SINGLE_FILE_MAX_ROWS} rows")
         out = df.coalesce(1)
+        if order:
+            out = out.sortWithinPartitions(*order)
     out.write.mode(mode).option("header", header).csv(path)
 
 

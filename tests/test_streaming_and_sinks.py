@@ -86,3 +86,13 @@ def test_parse_of_rendered_catalogue(spark, tmp_path):
     products = R.parse_records(R.read_records(spark, str(tmp_path / "cat")))
     ids = F.col("Id").isin([str(i) for i in range(50)])
     assert spark_rows(R.sells_of(products)) == spark_rows(C.sells(spark, SF_SMALL).filter(ids))
+
+
+def test_single_file_csv_is_in_report_order(spark, tmp_path):
+    sells = C.sells(spark, SF_SMALL)
+    write_csv(Q.top_sellers_rank(sells), str(tmp_path / "d"), single_file=True, order=["group", "salesrank", "Id"])
+    files = [f for f in os.listdir(tmp_path / "d") if f.startswith("part-")]
+    assert len(files) == 1
+    rows = [line.split(",") for line in open(tmp_path / "d" / files[0]).read().splitlines()]
+    keys = [(r[0], int(r[3]), r[1]) for r in rows]
+    assert keys == sorted(keys)

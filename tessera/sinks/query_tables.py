@@ -103,3 +103,17 @@ def write_question_tables(root: str, sells: DataFrame, similars: DataFrame, revi
         paths[name] = f"{root.rstrip('/')}/{name}"
         write_question_table(name, paths[name], sells, similars, reviews)
     return paths
+
+
+def write_bucketed(df: DataFrame, name: str, key: Sequence[str], buckets: int, path: str) -> DataFrame:
+    """Store ``df`` as a table bucketed and sorted on ``key`` (files under
+    ``path``) and return it read back.
+
+    Tables bucketed on the same key into the same number of buckets join
+    and aggregate on that key without any shuffle: the relation that every
+    question joins (reviews by product, orders by order key) is bucketed
+    once and each later query reads it co-located.
+    """
+    (df.write.mode("overwrite").bucketBy(buckets, *key).sortBy(*key)
+       .option("path", path).saveAsTable(name))
+    return df.sparkSession.table(name)

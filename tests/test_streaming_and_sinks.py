@@ -96,3 +96,21 @@ def test_single_file_csv_is_in_report_order(spark, tmp_path):
     rows = [line.split(",") for line in open(tmp_path / "d" / files[0]).read().splitlines()]
     keys = [(r[0], int(r[3]), r[1]) for r in rows]
     assert keys == sorted(keys)
+
+
+def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
+    from tessera.sinks.query_tables import write_bucketed
+    from tessera.sources.tables import table
+    li = table(spark, SF_SMALL, "lineitem", spread=False).select("l_orderkey", "l_partkey", "l_quantity")
+    od = table(spark, SF_SMALL, "orders", spread=False).select("o_orderkey", "o_custkey")
+    a = write_bucketed(li, "t_lineitem_b", ["l_orderkey"], 8, str(tmp_path / "li"))
+    b = write_bucketed(od, "t_orders_b", ["o_orderkey"], 8, str(tmp_path / "od"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = a.join(b, a["l_orderkey"] == b["o_orderkey"]).groupBy("l_orderkey").agg(F.sum("l_quantity"))
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan, plan
+        assert j.count() == li.select("l_orderkey").distinct().count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

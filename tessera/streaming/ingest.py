@@ -69,3 +69,13 @@ def current_counters(spark: SparkSession, changelog_dir: str) -> DataFrame:
     """Latest counter per (group, customer) from the changelog."""
     log = spark.read.parquet(changelog_dir)
     return latest_by_key(log, ["group", "customer"], "batch_id").select("group", "customer", "comments")
+
+
+def compact_changelog(spark: SparkSession, changelog_dir: str, snapshot_dir: str) -> str:
+    """Fold the changelog into a snapshot (one row per key, its last batch
+    id kept), so readers stop paying for the whole history. Point the next
+    ``current_counters`` at the snapshot plus the batches written after it:
+    the snapshot rows carry their batch ids, so last-write-wins still holds."""
+    log = spark.read.parquet(changelog_dir)
+    latest_by_key(log, ["group", "customer"], "batch_id").write.mode("overwrite").parquet(snapshot_dir)
+    return snapshot_dir

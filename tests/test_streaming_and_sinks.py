@@ -11,7 +11,7 @@ from tessera.sinks.catalog_text import write_catalog_text
 from tessera.sinks.files import read_term_counts, write_csv, write_term_counts
 from tessera.sources import catalog as C
 from tessera.sources import records as R
-from tessera.streaming.ingest import current_counters, start_review_counters
+from tessera.streaming.ingest import compact_changelog, current_counters, start_review_counters
 from tests.conftest import SF_SMALL
 from tests.oracle_compare import spark_rows
 
@@ -37,6 +37,9 @@ def test_stream_counters_fold_new_files(spark, tmp_path):
     got = current_counters(spark, log)
     want = Q.reviews_per_customer(C.reviews(spark, SF_SMALL))
     assert spark_rows(got) == spark_rows(want)
+    snap = compact_changelog(spark, log, str(tmp_path / "snapshot"))
+    assert spark.read.parquet(snap).count() == got.count()
+    assert spark_rows(current_counters(spark, snap)) == spark_rows(want)
 
 
 def test_term_count_part_files(spark, tmp_path):

@@ -68,20 +68,20 @@ def byte_hash(s) -> Column:
 
     Returned as a non-negative BIGINT in [0, 2^32). The UTF-8 bytes are
     re-read as ISO-8859-1 text, one character per byte whose code point is
-    the unsigned byte value, so ``ascii`` of each character yields a byte and
-    the whole expression stays in Spark SQL.
+    the unsigned byte value; splitting that text into characters gives the
+    byte sequence, folded by one ``aggregate`` (the array is built once,
+    outside the lambda), so the whole expression stays in Spark SQL.
     """
     latin = F.decode(F.encode(_col(s), "UTF-8"), "ISO-8859-1")
-    n = F.length(latin)
 
-    def step(h, i):
-        byte = F.ascii(F.substring(latin, i, 1)).cast("long")
+    def step(h, ch):
+        byte = F.ascii(ch).cast("long")
         signed = F.when(byte >= 128, byte - 256).otherwise(byte)
         return (h * 31 + signed).bitwiseAND(F.lit(0xFFFFFFFF))
 
     return F.when(
-        n > 0,
-        F.aggregate(F.sequence(F.lit(1), n), F.lit(1).cast("long"), step),
+        F.length(latin) > 0,
+        F.aggregate(F.split(latin, ""), F.lit(1).cast("long"), step),
     ).otherwise(F.lit(1).cast("long"))
 
 

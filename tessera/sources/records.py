@@ -82,9 +82,9 @@ def _tokens(s: Column) -> Column:
     return F.filter(F.split(s, r"\s+"), lambda t: t != "")
 
 
-def _review(line: Column) -> Column:
-    """A review line -> struct; tokens with a colon are labels and dropped."""
-    toks = F.filter(_tokens(line), lambda t: ~t.contains(":"))
+def _review(toks: Column) -> Column:
+    """A review line's label-free tokens -> struct (date, customer, rating,
+    votes, helpful); non-numeric values become NULL."""
     return F.struct(
         F.try_to_date(F.get(toks, 0), DATE_FORMAT).alias("date"),
         F.get(toks, 1).alias("customer"),
@@ -94,17 +94,29 @@ def _review(line: Column) -> Column:
     )
 
 
+def _label_free_tokens(line: Column) -> Column:
+    """Tokens of a line without the ones holding a colon (the labels)."""
+    return F.filter(_tokens(line), lambda t: ~t.contains(":"))
+
+
+def _numbers(line: Column) -> Column:
+    """Tokens of a line that are digits with an optional dot (FN-10)."""
+    return F.filter(_tokens(line), lambda t: t.rlike(r"^[0-9.]+$") & t.rlike("[0-9]"))
+
+
 def _review_header(lines: Column) -> Column:
-    """SRC-9: numbers of the review header line (FN-10: digits with a dot)."""
-    hit = F.filter(lines, lambda l: _has_all(l, REVIEW_HEADER_WORDS))
-    line = F.try_element_at(hit, F.lit(1))
-    nums = F.filter(_tokens(F.coalesce(line, F.lit(""))),
-                    lambda t: t.rlike(r"^[0-9.]+$") & t.rlike("[0-9]"))
-    return F.when(F.size(hit) > 0, F.struct(
+    """SRC-9: numbers of the review header line.
+
+    The token array is bound once through a lambda (``transform`` over the
+    zero-or-one header lines) instead of being re-evaluated per field.
+    """
+    hit = F.slice(F.filter(lines, lambda l: _has_all(l, REVIEW_HEADER_WORDS)), 1, 1)
+    stats = F.transform(F.transform(hit, _numbers), lambda nums: F.struct(
         F.get(nums, 0).try_cast("int").alias("total"),
         F.get(nums, 1).try_cast("int").alias("downloaded"),
         F.get(nums, 2).try_cast("double").alias("avg_rating"),
     ))
+    return F.try_element_at(stats, F.lit(1))
 
 
 def parse_records(records: DataFrame, text_col: str = "value") -> DataFrame:
@@ -144,7 +156,8 @@ def parse_records(records: DataFrame, text_col: str = "value") -> DataFrame:
         F.transform(F.filter(lines_only, lambda l: l.startswith("|")), lambda l: F.substr(l, F.lit(2)))
          .alias("category_paths"),
         _review_header(lines_only).alias("review_stats"),
-        F.transform(review_lines, _review).alias("reviews"),
+        # tokens are split once per line, then read positionally
+        F.transform(F.transform(review_lines, _label_free_tokens), _review).alias("reviews"),
     )
 
 

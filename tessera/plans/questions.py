@@ -97,8 +97,12 @@ def key_value_table(sells: DataFrame) -> DataFrame:
 def id_lookup(similars: DataFrame, kv: DataFrame) -> DataFrame:
     """JN-7 / FLT-9: translate ``Id -> ASIN`` and ``similar -> rank`` through
     the key/value relation; a missing key drops the row (exists guard)."""
-    asin = kv.select(F.col("key").alias("Id"), F.col("value").alias("own_asin"))
-    rank = kv.select(F.col("key").alias("rank_key"), F.col("value").try_cast("int").alias("similar_salesrank"))
+    # Each lookup only matches one kind of key; filtering first halves the
+    # rows each join shuffles.
+    is_rank_key = F.col("key").endswith("|salesrank")
+    asin = kv.filter(~is_rank_key).select(F.col("key").alias("Id"), F.col("value").alias("own_asin"))
+    rank = kv.filter(is_rank_key).select(F.col("key").alias("rank_key"),
+                                         F.col("value").try_cast("int").alias("similar_salesrank"))
     return (similars.select("Id", "similar")
                     .join(asin, "Id")
                     .withColumn("rank_key", F.concat(F.col("similar"), F.lit("|salesrank")))

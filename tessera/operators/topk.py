@@ -8,10 +8,15 @@ Scale notes
 -----------
 * ``top_k`` -> ``TakeOrderedAndProject``: each task keeps k rows, the driver
   merges k x tasks rows. k is the report size, never data dependent.
-* ``top_n_per_group`` / ``group_max_ties`` -> a rank/row_number filter, which
-  Catalyst plans as WindowGroupLimit (partial, before the shuffle) +
-  WindowGroupLimit (final). A group holding a third of all rows therefore
-  ships at most n rows (plus ties) per map task to its window task.
+* ``top_n_per_group`` -> a rank/row_number filter, which Catalyst plans as
+  WindowGroupLimit (partial, before the shuffle) + WindowGroupLimit (final).
+  A group holding a third of all rows therefore ships at most n rows (plus
+  ties) per map task to its window task.
+* ``top_n_with_ties`` / ``group_max_ties`` -> rank <= n with ties as a
+  threshold join: per group the n-th value (bounded limit, or min/max) and
+  a join of every row to its group's threshold. No task holds more than n
+  rows of a group however many rows tie, and the one-row-per-group side is
+  small enough for AQE to broadcast.
 * ``arg_min`` / ``latest_by_key`` -> ``min``/``max_by`` over a struct: an
   aggregate with a map-side partial step (sort-based when the carried row
   holds strings), no window at all, so a hot key is reduced per map task.
@@ -56,11 +61,11 @@ def top_n_per_group(df: DataFrame, group: Sequence, order: Sequence, n: int,
 def group_max_ties(df: DataFrame, group: Sequence, value: str) -> DataFrame:
     """WIN-2 + FLT-10: every row equal to its group's maximum ``value``.
 
-    Written as ``rank() over (partition by group order by value desc) = 1``
-    rather than ``value = max(value) over (partition by group)``: same rows,
-    but the rank filter gets a partial group limit before the shuffle.
+    Same rows as ``value = max(value) over (partition by group)``, computed
+    as a max aggregate (partial before the shuffle) joined back on the group
+    key, so no task ever holds a whole group (see ``top_n_with_ties``).
     """
-    return top_n_per_group(df, group, [F.col(value).desc()], 1, ties=True)
+    return top_n_with_ties(df, list(group), value, 1, descending=True)
 
 
 def arg_min(df: DataFrame, group: Sequence, order: Sequence[str], carry: Sequence[str]) -> DataFrame:
@@ -94,6 +99,47 @@ def threshold_join(df: DataFrame, thresholds: DataFrame, group: Sequence[str], v
               .drop("threshold"))
 
 
+def nth_value(df: DataFrame, group: Sequence[str], value: str, n: int, descending: bool = False) -> DataFrame:
+    """Per group the n-th smallest (largest when ``descending``) non-NULL
+    ``value``, duplicates counted, or the last one when the group has fewer
+    than n values. Output ``(group..., threshold)``.
+
+    n = 1 is a plain min / max aggregate; otherwise a row_number <= n filter
+    (partial group limit before the shuffle) and a max / min over at most n
+    rows per group.
+    """
+    group = list(group)
+    vals = df.select(*group, value).filter(F.col(value).isNotNull())
+    if n == 1:
+        agg = F.max(value) if descending else F.min(value)
+        return vals.groupBy(*group).agg(agg.alias("threshold"))
+    order = [F.col(value).desc()] if descending else [F.col(value).asc()]
+    firsts = top_n_per_group(vals, group, order, n)
+    agg = F.min(value) if descending else F.max(value)
+    return firsts.groupBy(*group).agg(agg.alias("threshold"))
+
+
+def top_n_with_ties(df: DataFrame, group: Sequence[str], value: str, n: int,
+                    descending: bool = False, strict: bool = False) -> DataFrame:
+    """Rows whose ``rank()`` by ``value`` inside their group is <= n (< n with
+    ``strict``), ties included; rows with a NULL ``value`` never qualify.
+
+    rank(x) <= n exactly when fewer than n values are better than x, i.e.
+    when x is at least as good as the group's n-th value (duplicates
+    counted). So the rows are found by joining each row to its group's
+    threshold (one row per group) and comparing, instead of ranking whole
+    groups in one window task. However many rows tie, no task holds more
+    than n rows of a group, and AQE can broadcast the small threshold side
+    so the big side is never shuffled for the join.
+    """
+    k = n - 1 if strict else n
+    if k < 1:
+        return df.limit(0)
+    thr = nth_value(df, group, value, k, descending)
+    keep = F.col(value) >= F.col("threshold") if descending else F.col(value) <= F.col("threshold")
+    return df.join(thr, list(group), "inner").filter(keep).drop("threshold")
+
+
 def slice_by_rank(df: DataFrame, score: str, member: str, start: int, stop: int,
                   descending: bool = True) -> DataFrame:
     """SRT-6: sorted-set range ``[start, stop]`` (0-based, both ends

@@ -19,6 +19,7 @@ from tessera.operators.topk import (
     threshold_join,
     top_k,
     top_n_per_group,
+    top_n_with_ties,
 )
 
 REVIEW_COLS = ["Id", "ASIN", "group", "date", "customer", "rating", "votes", "helpful"]
@@ -146,7 +147,7 @@ def top_sellers_rank(sells: DataFrame, n: int = 10) -> DataFrame:
     """Q-D: per group the products ranked <= n by salesrank (ties share a
     rank and are all kept), unranked products (0/-1) excluded."""
     ranked = sells.filter(F.col("salesrank") > 0).select(*_PRODUCT_COLS)
-    return top_n_per_group(ranked, ["group"], [F.col("salesrank").asc()], n, ties=True)
+    return top_n_with_ties(ranked, ["group"], "salesrank", n)
 
 
 def top_sellers_sql_form(sells: DataFrame, n: int = 10) -> DataFrame:

@@ -167,3 +167,16 @@ def test_top_n_lists_are_bounded_and_ordered(spark):
     lists = {r.grp: [(i.member, i.score) for i in r.items] for r in got.collect()}
     assert lists == {"g1": [("d", 3), ("b", 2)], "g2": [("e", 5), ("f", 5)]}
     assert "WindowGroupLimit" in _plan(got)
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["g1", "g2", "g3"]), st.integers(0, 4)), min_size=1, max_size=40),
+       st.integers(1, 5), st.booleans(), st.booleans())
+def test_threshold_form_equals_rank_filter(spark, rows, n, descending, strict):
+    from tessera.operators.topk import top_n_with_ties
+    df = spark.createDataFrame([(g, f"m{i}", v) for i, (g, v) in enumerate(rows)],
+                               "grp string, member string, score int")
+    order = [F.col("score").desc()] if descending else [F.col("score").asc()]
+    a = top_n_with_ties(df, ["grp"], "score", n, descending=descending, strict=strict)
+    b = top_n_per_group(df, ["grp"], order, n, ties=True, strict=strict)
+    assert spark_rows(a) == spark_rows(b)

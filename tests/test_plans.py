@@ -43,7 +43,7 @@ def test_partial_aggregate_below_first_aggregate_exchange(spark, key):
 
 
 @pytest.mark.parametrize("key", ["top_sellers_rank", "top_sellers_exact", "top_sellers_sql", "top_reviewers",
-                                 "top_reviewers_ties", "top_reviewers_ties_sql", "reviews_most_helpful_high_all",
+                                 "top_reviewers_ties_sql", "reviews_most_helpful_high_all",
                                  "reviewers_distinct_products", "bucket_first_and_third_last",
                                  "group_rank_threshold"])
 def test_group_limit_before_the_window_shuffle(spark, key):
@@ -51,7 +51,7 @@ def test_group_limit_before_the_window_shuffle(spark, key):
     assert "WindowGroupLimit" in plan and "Partial" in plan, plan
 
 
-@pytest.mark.parametrize("key", ["latest_by_key", "top_sellers_best"])
+@pytest.mark.parametrize("key", ["latest_by_key", "top_sellers_best", "top_reviewers_ties"])
 def test_no_window_for_per_key_winner(spark, key):
     assert "Window" not in _plan(spark, key)
 

@@ -42,6 +42,7 @@ QUERIES: dict[str, Query] = {
         _reviews(s, d, product_id=O.REVIEW_ID), O.REVIEW_ID, rating_desc=True),
     "reviews_most_helpful_low": lambda s, d: Q.most_helpful_reviews(
         _reviews(s, d, product_id=O.REVIEW_ID), O.REVIEW_ID, rating_desc=False),
+    "reviews_most_helpful_high_sql": lambda s, d: S.most_helpful_reviews_sql(s, _reviews(s, d), O.REVIEW_ID),
     "reviews_most_helpful_high_all": lambda s, d: Q.most_helpful_reviews_all(_reviews(s, d), rating_desc=True),
     "reviews_most_helpful_low_all": lambda s, d: Q.most_helpful_reviews_all(_reviews(s, d), rating_desc=False),
     # (b)
@@ -55,6 +56,8 @@ QUERIES: dict[str, Query] = {
     # (c)
     "daily_rating": lambda s, d: Q.daily_rating(
         _reviews(s, d, with_group=False, with_customer=False, product_id=O.REVIEW_ID), O.REVIEW_ID),
+    "daily_rating_sql": lambda s, d: S.daily_rating_sql(
+        s, _reviews(s, d, with_group=False, with_customer=False), O.REVIEW_ID),
     "daily_rating_all": lambda s, d: Q.daily_rating_all(_reviews(s, d, with_group=False, with_customer=False)),
     "daily_rating_from_partials": lambda s, d: Q.daily_rating_from_partials(
         Q.daily_partials(_reviews(s, d, with_group=False, with_customer=False))),
@@ -69,6 +72,8 @@ QUERIES: dict[str, Query] = {
     # (e)
     "top_helpful_products": lambda s, d: Q.top_helpful_products(
         _reviews(s, d, with_group=False, with_customer=False), C.sells(s, d)),
+    "top_helpful_products_sql": lambda s, d: S.top_helpful_products_sql(
+        s, _reviews(s, d, with_group=False, with_customer=False), C.sells(s, d)),
     "leaderboard_slice": lambda s, d: _leaderboard(s, d),
     # (f)
     "top_categories": lambda s, d: Q.top_categories(
@@ -164,6 +169,9 @@ ORACLE: dict[str, str] = {
     "daily_partials_table": O.DAILY_RATING,
     "latest_by_key": O.LATEST_BY_KEY,
     "top_sellers_from_query_table": O.TOP_SELLERS_FROM_TABLE,
+    "reviews_most_helpful_high_sql": O.REVIEWS_HIGH,
+    "daily_rating_sql": O.DAILY_RATING,
+    "top_helpful_products_sql": O.TOP_HELPFUL,
     "top_reviewers_from_query_table": O.TOP_REVIEWERS,
     "better_similars_from_query_table": O.BETTER_SIMILARS_ALL,
     "wordcount_text_files": O.WORDCOUNT,

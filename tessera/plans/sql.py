@@ -44,6 +44,35 @@ SELECT `group`, customer, comments FROM positioned WHERE pos = 1
 """
 
 
+# (a): the k most helpful reviews of one product, best rated first.
+MOST_HELPFUL_REVIEWS = """
+SELECT r.Id, r.ASIN, r.`group`, r.date, r.customer, r.rating, r.votes, r.helpful
+FROM reviews AS r
+WHERE r.Id = :id
+ORDER BY r.helpful DESC, r.rating DESC, r.date, r.customer, r.votes
+LIMIT :k
+"""
+
+# (c): daily mean rating of one product.
+DAILY_RATING = """
+SELECT r.date, avg(r.rating) AS avgrating
+FROM reviews AS r
+WHERE r.Id = :id
+GROUP BY r.date
+ORDER BY r.date
+"""
+
+# (e): products with the highest mean helpful votes, with ASIN and title.
+TOP_HELPFUL_PRODUCTS = """
+WITH means AS (
+  SELECT Id, avg(helpful) AS avghelpful FROM reviews GROUP BY Id)
+SELECT m.Id, p.ASIN, p.title, m.avghelpful
+FROM means m JOIN sells p ON p.Id = m.Id
+ORDER BY m.avghelpful DESC, m.Id
+LIMIT :k
+"""
+
+
 def register(sells: DataFrame | None = None, similars: DataFrame | None = None,
              reviews: DataFrame | None = None) -> None:
     """Expose the relations as temp views ``sells``, ``similars``, ``reviews``."""
@@ -70,3 +99,21 @@ def top_reviewers_ties_sql(spark: SparkSession, reviews: DataFrame) -> DataFrame
     """Q-G-MAX through SQL text."""
     register(reviews=reviews)
     return spark.sql(TOP_REVIEWERS_TIES)
+
+
+def most_helpful_reviews_sql(spark: SparkSession, reviews: DataFrame, product_id: str, k: int = 5) -> DataFrame:
+    """Q-A1 through SQL text."""
+    register(reviews=reviews)
+    return spark.sql(MOST_HELPFUL_REVIEWS, args={"id": product_id, "k": k})
+
+
+def daily_rating_sql(spark: SparkSession, reviews: DataFrame, product_id: str) -> DataFrame:
+    """Q-C through SQL text."""
+    register(reviews=reviews)
+    return spark.sql(DAILY_RATING, args={"id": product_id})
+
+
+def top_helpful_products_sql(spark: SparkSession, reviews: DataFrame, sells: DataFrame, k: int = 10) -> DataFrame:
+    """Q-E through SQL text."""
+    register(sells=sells, reviews=reviews)
+    return spark.sql(TOP_HELPFUL_PRODUCTS, args={"k": k})

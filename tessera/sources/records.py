@@ -95,8 +95,13 @@ def _review(toks: Column) -> Column:
 
 
 def _label_free_tokens(line: Column) -> Column:
-    """Tokens of a line without the ones holding a colon (the labels)."""
-    return F.filter(_tokens(line), lambda t: ~t.contains(":"))
+    """Tokens of a line without the ones holding a colon (the labels).
+
+    Written without a lambda: blank out every white-space-free run that holds
+    a colon, then split the rest on white space, so the expression stays in
+    whole-stage codegen when applied to exploded lines.
+    """
+    return F.split(strip_ws(F.regexp_replace(line, r"\S*:\S*", " ")), r"\s+")
 
 
 def _numbers(line: Column) -> Column:
@@ -127,7 +132,7 @@ def parse_records(records: DataFrame, text_col: str = "value") -> DataFrame:
     Output columns: Id, ASIN, title, group, salesrank INT, categories INT,
     similar ARRAY<STRING>, category_paths ARRAY<STRING>,
     review_stats STRUCT<total, downloaded, avg_rating>,
-    reviews ARRAY<STRUCT<date, customer, rating, votes, helpful>>.
+    review_lines ARRAY<STRING> (typed by ``reviews_of`` / ``nested_products``).
     """
     lines = F.filter(F.transform(F.split(F.col(text_col), "\n"), strip_ws), lambda l: l != "")
     # Each line is split once into (tag, value) at its first colon; lines
@@ -156,8 +161,9 @@ def parse_records(records: DataFrame, text_col: str = "value") -> DataFrame:
         F.transform(F.filter(lines_only, lambda l: l.startswith("|")), lambda l: F.substr(l, F.lit(2)))
          .alias("category_paths"),
         _review_header(lines_only).alias("review_stats"),
-        # tokens are split once per line, then read positionally
-        F.transform(F.transform(review_lines, _label_free_tokens), _review).alias("reviews"),
+        # raw review lines; they are typed row by row after an explode
+        # (reviews_of), where the parsing expressions are code-generated
+        review_lines.alias("review_lines"),
     )
 
 
@@ -179,8 +185,10 @@ def categories_of(products: DataFrame) -> DataFrame:
 
 
 def reviews_of(products: DataFrame) -> DataFrame:
-    """SRC-7 (PRJ-4: one row per review)."""
-    r = products.select("Id", "ASIN", "group", F.explode("reviews").alias("r"))
+    """SRC-7 (PRJ-4: one row per review): explode the raw review lines, then
+    type each line with plain column expressions."""
+    lines = products.select("Id", "ASIN", "group", F.explode("review_lines").alias("line"))
+    r = lines.select("Id", "ASIN", "group", _review(_label_free_tokens(F.col("line"))).alias("r"))
     return r.select("Id", "ASIN", "group", "r.date", "r.customer", "r.rating", "r.votes", "r.helpful")
 
 
@@ -197,9 +205,12 @@ def nested_products(products: DataFrame) -> DataFrame:
     return products.select(
         F.col("Id").try_cast("int").alias("Id"), "ASIN", "title", "group", "salesrank",
         F.col("similar").alias("similars"),
-        F.transform("reviews", lambda r: F.struct(
-            r["date"].alias("date"), r["customer"].alias("customer"), r["rating"].alias("rating"),
-            r["votes"].alias("vote"), r["helpful"].alias("helpful"))).alias("reviews"),
+        F.transform(F.transform("review_lines", _label_free_tokens), lambda toks: F.struct(
+            F.try_to_date(F.get(toks, 0), DATE_FORMAT).alias("date"),
+            F.get(toks, 1).alias("customer"),
+            F.get(toks, 2).try_cast("int").alias("rating"),
+            F.get(toks, 3).try_cast("int").alias("vote"),
+            F.get(toks, 4).try_cast("int").alias("helpful"))).alias("reviews"),
     )
 
 

@@ -129,8 +129,12 @@ def top_n_with_ties(df: DataFrame, group: Sequence[str], value: str, n: int,
     counted). So the rows are found by joining each row to its group's
     threshold (one row per group) and comparing, instead of ranking whole
     groups in one window task. However many rows tie, no task holds more
-    than n rows of a group, and AQE can broadcast the small threshold side
-    so the big side is never shuffled for the join.
+    than n rows of a group. The input is computed once (the two branches
+    share one exchange, ``ReusedExchange`` in the final plan), and once the
+    threshold stage has run AQE turns the join into a broadcast hash join
+    when that side is small (a runtime size check, sort-merge otherwise);
+    the big side's shuffle is then read locally, so a hot group does not
+    land in one reduce task.
     """
     k = n - 1 if strict else n
     if k < 1:

@@ -53,16 +53,6 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
 # -- line helpers ----------------------------------------------------------------
 
-def _tag(line: Column) -> Column:
-    """Text before the first colon, stripped (whole line when no colon)."""
-    return strip_ws(F.substring_index(line, ":", 1))
-
-
-def _value(line: Column) -> Column:
-    """Text after the first colon, stripped (FN-7: split at first colon)."""
-    return strip_ws(F.regexp_extract(line, r"^[^:]*:(.*)$", 1))
-
-
 def _tagged(kv: Column, tag: str) -> Column:
     """Value of the first line whose tag is ``tag`` (NULL when absent).
     ``kv`` is the record's ``array<struct<line, tag, value>>``."""

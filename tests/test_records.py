@@ -106,3 +106,8 @@ def test_many_splits_give_same_records(spark, tmp_path):
         assert got.agg({"salesrank": "sum"}).first()[0] == sum(range(3000))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_review_schema_is_declared(products):
+    got = R.reviews_of(products).select("date", "customer", "rating", "votes", "helpful").schema
+    assert [(f.name, f.dataType) for f in got.fields] == [(f.name, f.dataType) for f in R.REVIEW_STRUCT.fields]

@@ -107,6 +107,12 @@ def reviews(spark: SparkSession, sf_dir: str, with_group: bool = True,
             with_customer: bool = True, product_id: str | None = None) -> DataFrame:
     """SRC-7: one row per review (a lineitem).
 
+    ``with_group`` / ``with_customer`` add the join to ``part`` / ``orders``
+    only when the column is needed. Leaving a join out is exact because every
+    lineitem has its order and its part (foreign keys of the TPC-H-style
+    tables; checked by the oracles, which always join): it is the join
+    elimination Catalyst would do itself if the keys were declared.
+
     ``product_id`` filters on the numeric key before any join, so the
     predicate reaches the lineitem scan (PushedFilters) instead of running on
     the string ``Id`` after the joins.

@@ -51,10 +51,13 @@ def cluster_settings(input_bytes: int, total_cores: int, target_partition_bytes:
     Shuffle partitions start at about input / target size (never below two
     waves of the cluster's cores) so that no reduce task holds more than a
     couple of hundred MB before AQE coalesces the small ones; file splits
-    stay at 128 MB. Example: 100 TB on 1000 executors x 8 cores gives about
-    546k shuffle partitions, which AQE then merges per stage.
+    stay at 128 MB. The count is capped at 100k: beyond that the driver's
+    map-output bookkeeping (map tasks x reduce partitions) grows faster
+    than it helps, and reduce tasks grow (and spill) instead. Example:
+    100 TB on 1000 executors x 8 cores -> 100k partitions, which AQE merges
+    per stage down to the advisory size.
     """
-    partitions = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    partitions = min(100_000, max(2 * total_cores, -(-input_bytes // target_partition_bytes)))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(128 << 20),

@@ -136,6 +136,8 @@ def top_n_with_ties(df: DataFrame, group: Sequence[str], value: str, n: int,
     the big side's shuffle is then read locally, so a hot group does not
     land in one reduce task.
     """
+    if not group:
+        raise ValueError("top_n_with_ties needs group columns (a global top-n is top_k)")
     k = n - 1 if strict else n
     if k < 1:
         return df.limit(0)

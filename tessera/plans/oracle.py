@@ -228,3 +228,12 @@ LATEST_BY_KEY = """
 TOP_SELLERS_FROM_TABLE = with_rel(SELLS) + """
     SELECT "group", Id, ASIN, salesrank FROM sells WHERE salesrank > 0
     QUALIFY ROW_NUMBER() OVER (PARTITION BY "group" ORDER BY salesrank, Id) <= 10"""
+
+TOP_REVIEWERS_LISTS = with_rel(REVIEWS) + f"""
+    , kept AS (
+      SELECT "group", customer, comments FROM ({_PER_CUSTOMER})
+      QUALIFY ROW_NUMBER() OVER (PARTITION BY "group" ORDER BY comments DESC, customer) <= 10)
+    SELECT "group",
+           string_agg(customer || ':' || CAST(comments AS VARCHAR), ',' ORDER BY comments DESC, customer)
+             AS top_customers
+    FROM kept GROUP BY "group" """

@@ -18,6 +18,7 @@ from tessera.operators.topk import (
     kth_smallest,
     threshold_join,
     top_k,
+    top_n_lists,
     top_n_per_group,
     top_n_with_ties,
 )
@@ -269,3 +270,13 @@ def reviewers_distinct_products(reviews: DataFrame, n: int = 10) -> DataFrame:
     """AGG-16: per group the n customers who reviewed most distinct products."""
     counts = reviews.groupBy("group", "customer").agg(F.countDistinct("Id").alias("products"))
     return top_n_per_group(counts, ["group"], [F.col("products").desc(), F.col("customer").asc()], n)
+
+
+def top_reviewers_lists(reviews: DataFrame, n: int = 10) -> DataFrame:
+    """AGG-9: per group one ordered list of its n most active customers,
+    rendered as ``customer:count`` items joined by commas. The list is
+    built from the rows kept by the per-group limit only (at most n)."""
+    lists = top_n_lists(reviews_per_customer(reviews), ["group"],
+                        [F.col("comments").desc(), F.col("customer").asc()], n, ["customer", "comments"])
+    items = F.transform("items", lambda x: F.concat_ws(":", x["customer"], x["comments"].cast("string")))
+    return lists.select("group", F.concat_ws(",", items).alias("top_customers"))

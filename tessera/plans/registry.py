@@ -84,6 +84,7 @@ QUERIES: dict[str, Query] = {
     "top_reviewers": lambda s, d: Q.top_reviewers(_reviews(s, d)),
     "top_reviewers_ties": lambda s, d: Q.top_reviewers_ties(_reviews(s, d)),
     "top_reviewers_ties_sql": lambda s, d: S.top_reviewers_ties_sql(s, _reviews(s, d)),
+    "top_reviewers_lists": lambda s, d: Q.top_reviewers_lists(_reviews(s, d)),
     "reviewers_additive": lambda s, d: Q.reviewers_additive(_reviews(s, d)),
     "reviewers_distinct_products": lambda s, d: Q.reviewers_distinct_products(_reviews(s, d)),
     # catalogue text / nested / packed forms
@@ -154,6 +155,7 @@ ORACLE: dict[str, str] = {
     "top_reviewers": O.TOP_REVIEWERS,
     "top_reviewers_ties": O.TOP_REVIEWERS_TIES,
     "top_reviewers_ties_sql": O.TOP_REVIEWERS_TIES,
+    "top_reviewers_lists": O.TOP_REVIEWERS_LISTS,
     "reviewers_additive": O.REVIEWERS_ADDITIVE,
     "reviewers_distinct_products": O.REVIEWERS_DISTINCT,
     "catalog_roundtrip_sells": O.ROUNDTRIP_SELLS,

@@ -22,9 +22,13 @@ def write_query_table(df: DataFrame, path: str, cluster_by: Sequence[str],
                       partitions: int | None = None, mode: str = "overwrite") -> None:
     keys = list(partition_by) + [c for c in cluster_by if c not in partition_by]
     cols = [F.col(c) for c in keys]
-    # Without an explicit count AQE sizes the range shuffle from the data
-    # (files of ~advisoryPartitionSizeInBytes instead of a fixed number).
-    ranged = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
+    # The range key continues with the in-file order, so one clustering key
+    # holding a third of all rows is cut into several ranges (files) by its
+    # order values instead of going to a single writer task; min/max stats
+    # still prune by key. Without an explicit count AQE sizes the range
+    # shuffle from the data.
+    range_key = [*cols, *order]
+    ranged = df.repartitionByRange(partitions, *range_key) if partitions else df.repartitionByRange(*range_key)
     out = ranged.sortWithinPartitions(*cols, *order)
     w = out.write.mode(mode)
     if partition_by:

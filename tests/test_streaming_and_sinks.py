@@ -117,3 +117,15 @@ def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
         assert j.count() == li.select("l_orderkey").distinct().count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_query_table_splits_a_hot_key(spark, tmp_path):
+    """A clustering key holding every row is still written by several tasks."""
+    from tessera.sinks.query_tables import read_query_table, write_query_table
+    r = C.reviews(spark, SF_SMALL).withColumn("Id", F.lit("6"))
+    path = str(tmp_path / "hot")
+    write_query_table(r, path, cluster_by=["Id"], order=[F.col("helpful").desc(), F.col("rating").desc()],
+                      partitions=8)
+    files = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert len(files) > 1
+    assert read_query_table(spark, path).count() == r.count()

@@ -1,7 +1,10 @@
-"""SQL form of the questions over named views (SRC-12, JN-3).
+"""SQL form of the questions (SRC-12, JN-3).
 
-Parameters are bound with ``spark.sql(..., args=...)``; nothing is pasted
-into the SQL text.
+Values are bound as named parameters (``args``); relations are bound as
+DataFrames (``{sells}`` placeholders), which Spark registers under unique
+names for the one statement, so concurrent queries never see each other's
+relations. ``register`` exposes the relations under fixed view names for
+interactive SQL (SRC-12).
 """
 
 from __future__ import annotations
@@ -13,9 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 # pairs of one product that rank better than the product itself.
 BETTER_SELLING_SIMILARS = """
 SELECT p.Id, p.ASIN, p.salesrank AS sells_sales, cand.similar_sales
-FROM sells p,
+FROM {sells} p,
      (SELECT e.Id, t.salesrank AS similar_sales
-        FROM similars e, sells t
+        FROM {similars} e, {sells} t
        WHERE e.similar = t.ASIN AND t.salesrank > 0) cand
 WHERE p.Id = :id
   AND cand.Id = p.Id
@@ -27,7 +30,7 @@ TOP_SELLERS = """
 WITH positioned AS (
   SELECT `group`, Id, title, salesrank,
          RANK() OVER (PARTITION BY `group` ORDER BY salesrank) AS pos
-  FROM sells)
+  FROM {sells})
 SELECT `group`, Id, title, salesrank FROM positioned WHERE pos < :n
 """
 
@@ -35,7 +38,7 @@ SELECT `group`, Id, title, salesrank FROM positioned WHERE pos < :n
 TOP_REVIEWERS_TIES = """
 WITH per_customer AS (
   SELECT `group`, customer, COUNT(*) AS comments
-  FROM reviews GROUP BY `group`, customer),
+  FROM {reviews} GROUP BY `group`, customer),
 positioned AS (
   SELECT `group`, customer, comments,
          RANK() OVER (PARTITION BY `group` ORDER BY comments DESC) AS pos
@@ -47,7 +50,7 @@ SELECT `group`, customer, comments FROM positioned WHERE pos = 1
 # (a): the k most helpful reviews of one product, best rated first.
 MOST_HELPFUL_REVIEWS = """
 SELECT r.Id, r.ASIN, r.`group`, r.date, r.customer, r.rating, r.votes, r.helpful
-FROM reviews AS r
+FROM {reviews} AS r
 WHERE r.Id = :id
 ORDER BY r.helpful DESC, r.rating DESC, r.date, r.customer, r.votes
 LIMIT :k
@@ -56,7 +59,7 @@ LIMIT :k
 # (c): daily mean rating of one product.
 DAILY_RATING = """
 SELECT r.date, avg(r.rating) AS avgrating
-FROM reviews AS r
+FROM {reviews} AS r
 WHERE r.Id = :id
 GROUP BY r.date
 ORDER BY r.date
@@ -65,9 +68,9 @@ ORDER BY r.date
 # (e): products with the highest mean helpful votes, with ASIN and title.
 TOP_HELPFUL_PRODUCTS = """
 WITH means AS (
-  SELECT Id, avg(helpful) AS avghelpful FROM reviews GROUP BY Id)
+  SELECT Id, avg(helpful) AS avghelpful FROM {reviews} GROUP BY Id)
 SELECT m.Id, p.ASIN, p.title, m.avghelpful
-FROM means m JOIN sells p ON p.Id = m.Id
+FROM means m JOIN {sells} p ON p.Id = m.Id
 ORDER BY m.avghelpful DESC, m.Id
 LIMIT :k
 """
@@ -85,35 +88,29 @@ def better_selling_similars_sql(spark: SparkSession, sells: DataFrame, similars:
                                 product_id: str) -> DataFrame:
     """JN-3: comma joins with a FROM-subquery; Catalyst turns them into
     equi-joins with the rank inequality as a residual filter."""
-    register(sells=sells, similars=similars)
-    return spark.sql(BETTER_SELLING_SIMILARS, args={"id": product_id})
+    return spark.sql(BETTER_SELLING_SIMILARS, args={"id": product_id}, sells=sells, similars=similars)
 
 
 def top_sellers_sql(spark: SparkSession, sells: DataFrame, n: int = 10) -> DataFrame:
     """Q-D-SQL through SQL text (rank < n, sentinels kept)."""
-    register(sells=sells)
-    return spark.sql(TOP_SELLERS, args={"n": n})
+    return spark.sql(TOP_SELLERS, args={"n": n}, sells=sells)
 
 
 def top_reviewers_ties_sql(spark: SparkSession, reviews: DataFrame) -> DataFrame:
     """Q-G-MAX through SQL text."""
-    register(reviews=reviews)
-    return spark.sql(TOP_REVIEWERS_TIES)
+    return spark.sql(TOP_REVIEWERS_TIES, reviews=reviews)
 
 
 def most_helpful_reviews_sql(spark: SparkSession, reviews: DataFrame, product_id: str, k: int = 5) -> DataFrame:
     """Q-A1 through SQL text."""
-    register(reviews=reviews)
-    return spark.sql(MOST_HELPFUL_REVIEWS, args={"id": product_id, "k": k})
+    return spark.sql(MOST_HELPFUL_REVIEWS, args={"id": product_id, "k": k}, reviews=reviews)
 
 
 def daily_rating_sql(spark: SparkSession, reviews: DataFrame, product_id: str) -> DataFrame:
     """Q-C through SQL text."""
-    register(reviews=reviews)
-    return spark.sql(DAILY_RATING, args={"id": product_id})
+    return spark.sql(DAILY_RATING, args={"id": product_id}, reviews=reviews)
 
 
 def top_helpful_products_sql(spark: SparkSession, reviews: DataFrame, sells: DataFrame, k: int = 10) -> DataFrame:
     """Q-E through SQL text."""
-    register(sells=sells, reviews=reviews)
-    return spark.sql(TOP_HELPFUL_PRODUCTS, args={"k": k})
+    return spark.sql(TOP_HELPFUL_PRODUCTS, args={"k": k}, sells=sells, reviews=reviews)

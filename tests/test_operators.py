@@ -180,3 +180,11 @@ def test_threshold_form_equals_rank_filter(spark, rows, n, descending, strict):
     a = top_n_with_ties(df, ["grp"], "score", n, descending=descending, strict=strict)
     b = top_n_per_group(df, ["grp"], order, n, ties=True, strict=strict)
     assert spark_rows(a) == spark_rows(b)
+
+
+def test_named_views(spark):
+    """SRC-12: relations exposed under fixed view names for SQL."""
+    sells, sims = C.sells(spark, SF_SMALL), C.similars(spark, SF_SMALL)
+    S.register(sells=sells, similars=sims)
+    got = spark.sql("SELECT count(*) AS n FROM sells s JOIN similars m ON s.Id = m.Id").first().n
+    assert got == sells.join(sims, "Id").count()

@@ -36,3 +36,10 @@ def test_many_split_scan_is_left_alone(spark, tmp_path):
     df = spark.read.parquet(path)
     assert df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
     assert "Exchange" not in _plan(spread_narrow_scan(df, "id"))
+
+
+def test_register_views_over_tables(spark):
+    from tessera.sources.tables import register_views
+    register_views(spark, SF_SMALL, names=("part", "lineitem"))
+    n = spark.sql("SELECT count(*) AS n FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey").first().n
+    assert n == table(spark, SF_SMALL, "lineitem").count()

@@ -169,3 +169,14 @@ def wordcount_text_files(spark, sf_dir):
     path = scratch_dir(spark, "corpus")
     write_corpus(spark, sf_dir, path)
     return word_count(read_lines(spark, path), "value")
+
+
+def reviews_upserted(spark, sf_dir):
+    """SNK-7 on parsed text: the review table keyed by (Id, helpful, rating)
+    where a later review line of a product overwrites an earlier one with
+    the same key (last write wins, by position in the record)."""
+    from tessera.operators.upsert import latest_by_key
+    r = R.reviews_in_file_order(parsed_products(spark, sf_dir))
+    latest = latest_by_key(r.select("Id", "helpful", "rating", "pos", "ASIN", "date", "customer", "votes"),
+                           ["Id", "helpful", "rating"], "pos")
+    return latest.select("Id", "ASIN", "date", "customer", "rating", F.col("votes").alias("vote"), "helpful")

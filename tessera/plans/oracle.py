@@ -237,3 +237,11 @@ TOP_REVIEWERS_LISTS = with_rel(REVIEWS) + f"""
            string_agg(customer || ':' || CAST(comments AS VARCHAR), ',' ORDER BY comments DESC, customer)
              AS top_customers
     FROM kept GROUP BY "group" """
+
+# Review lines of a record are written in this order by the catalogue
+# renderer (see sinks/catalog_text.py); the last one per key wins.
+_LINE_ORDER = ("concat_ws('|', strftime(date, '%Y-%m-%d'), customer, lpad(CAST(rating AS VARCHAR), 3, '0'), "
+               "lpad(CAST(votes AS VARCHAR), 10, '0'), lpad(CAST(helpful AS VARCHAR), 10, '0'))")
+REVIEWS_UPSERTED = with_rel(REVIEWS) + f"""
+    SELECT Id, ASIN, date, customer, rating, votes AS vote, helpful FROM reviews
+    QUALIFY ROW_NUMBER() OVER (PARTITION BY Id, helpful, rating ORDER BY {_LINE_ORDER} DESC) = 1"""

@@ -95,6 +95,7 @@ QUERIES: dict[str, Query] = {
     "catalog_roundtrip_stats": CF.roundtrip_stats,
     "nested_products_flattened": CF.nested_products_flattened,
     "packed_reviews_roundtrip": CF.packed_reviews_roundtrip,
+    "reviews_upserted": CF.reviews_upserted,
     # sinks
     "csv_roundtrip": CF.csv_roundtrip,
     "csv_single_file_top_sellers": CF.csv_single_file_top_sellers,
@@ -165,6 +166,7 @@ ORACLE: dict[str, str] = {
     "catalog_roundtrip_stats": O.ROUNDTRIP_STATS,
     "nested_products_flattened": O.NESTED_FLATTENED,
     "packed_reviews_roundtrip": O.PACKED_REVIEWS,
+    "reviews_upserted": O.REVIEWS_UPSERTED,
     "csv_roundtrip": O.ROUNDTRIP_SELLS,
     "csv_single_file_top_sellers": O.TOP_SELLERS_RANK,
     "query_table_roundtrip": O.REVIEWS_HIGH,

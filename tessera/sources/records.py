@@ -182,6 +182,15 @@ def reviews_of(products: DataFrame) -> DataFrame:
     return r.select("Id", "ASIN", "group", "r.date", "r.customer", "r.rating", "r.votes", "r.helpful")
 
 
+def reviews_in_file_order(products: DataFrame) -> DataFrame:
+    """SRC-7 with each review's position inside its record (``pos``, from
+    ``posexplode``): the write order of the reviews of a product, for
+    order-dependent operators such as last-write-wins upserts."""
+    lines = products.select("Id", "ASIN", "group", F.posexplode("review_lines").alias("pos", "line"))
+    r = lines.select("Id", "ASIN", "group", "pos", _review(_label_free_tokens(F.col("line"))).alias("r"))
+    return r.select("Id", "ASIN", "group", "pos", "r.date", "r.customer", "r.rating", "r.votes", "r.helpful")
+
+
 def review_stats_of(products: DataFrame) -> DataFrame:
     """SRC-9."""
     return products.filter(F.col("review_stats").isNotNull()).select(

@@ -129,3 +129,13 @@ def test_query_table_splits_a_hot_key(spark, tmp_path):
     files = [f for f in os.listdir(path) if f.startswith("part-")]
     assert len(files) > 1
     assert read_query_table(spark, path).count() == r.count()
+
+
+def test_csv_round_trip_with_commas_and_quotes(spark, tmp_path):
+    from tessera.plans.catalog_files import SELLS_SCHEMA
+    from tessera.sinks.files import read_csv
+    rows = [("1", "A001", 'Part one, "the beginning"', "Book", 10, 2),
+            ("2", "A002", "Back\\slash; semi", "DVD", -1, 0)]
+    df = spark.createDataFrame(rows, SELLS_SCHEMA)
+    write_csv(df, str(tmp_path / "c"))
+    assert spark_rows(read_csv(spark, str(tmp_path / "c"), SELLS_SCHEMA)) == spark_rows(df)

@@ -1,0 +1,57 @@
+"""Hot-key handling for fact-to-dimension joins.
+
+A product holding a third of all reviews puts a third of ``lineitem`` into
+one task of a ``lineitem ⋈ part`` sort-merge join. AQE's skew-join split
+covers a bare join, but not a join fused with the aggregate that follows it
+in the same stage (checked on Spark 4.1), which is how the questions use
+the join. So the hot keys are salted explicitly:
+
+1. ``frequent_keys``: the k most frequent keys of a sample of the fact side
+   (a bounded TakeOrderedAndProject: at most k rows, so broadcasting them
+   is safe whatever the data size).
+2. ``salted_join``: fact rows of those keys get a salt in [0, buckets) from
+   a hash of their own columns (deterministic, so a retried task lands its
+   rows in the same place); the dimension rows of those keys are
+   replicated once per salt value; the join runs on (key, salt). Every
+   other key has salt 0 and joins exactly as before.
+
+The result is the same inner join; only the placement of rows changes.
+Cost measured at sf0.1 on local[8] (six review questions, best of 3):
+5.2-5.4 s plain, 6.8-8.3 s salted: one sampled pass over the key column
+and two small broadcast lookups buy a join whose largest task is bounded.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+SAMPLE_FRACTION = 0.01
+FREQUENT_KEYS = 1000
+SALT_BUCKETS = 32
+
+
+def frequent_keys(df: DataFrame, key: str, k: int = FREQUENT_KEYS,
+                  fraction: float = SAMPLE_FRACTION, seed: int = 17) -> DataFrame:
+    """The (at most) k most frequent values of ``key`` in a sample of ``df``."""
+    sample = df.select(F.col(key).alias("__key")).sample(False, fraction, seed)
+    counts = sample.filter(F.col("__key").isNotNull()).groupBy("__key").agg(F.count(F.lit(1)).alias("__n"))
+    return counts.orderBy(F.col("__n").desc(), F.col("__key")).limit(k).select("__key")
+
+
+def salted_join(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
+                hot: DataFrame, salt_from: Sequence[str], buckets: int = SALT_BUCKETS) -> DataFrame:
+    """Inner join of ``facts`` to ``dim`` (unique on ``dim_key``) with the
+    keys in ``hot`` spread over ``buckets`` tasks. ``salt_from`` names fact
+    columns whose hash spreads the rows of one key."""
+    hk = F.broadcast(hot.select(F.col("__key").alias("__hk")).withColumn("__hot", F.lit(True)))
+    f = facts.join(hk, facts[fact_key] == hk["__hk"], "left").drop("__hk")
+    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*[F.col(c) for c in salt_from]), F.lit(buckets)))
+    f = f.withColumn("__salt", F.coalesce(salt, F.lit(0)).cast("int")).drop("__hot")
+    d = dim.join(hk, dim[dim_key] == hk["__hk"], "left").drop("__hk")
+    salts = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
+    d = d.withColumn("__salt", F.explode(salts)).drop("__hot")
+    return (f.join(d, (f[fact_key] == d[dim_key]) & (f["__salt"] == d["__salt"]), "inner")
+             .drop("__salt"))

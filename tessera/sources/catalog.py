@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.operators.skew import frequent_keys, salted_join
 from tessera.sources.tables import table
 
 # Fixed values of the mapping from driver tables to catalogue fields.
@@ -126,7 +127,12 @@ def reviews(spark: SparkSession, sf_dir: str, with_group: bool = True,
         p = _part(spark, sf_dir).select("p_partkey", F.col("p_type").alias("group"))
         if product_id is not None:
             p = p.filter(F.col("p_partkey") == F.lit(product_id).try_cast("long"))
-        li = li.join(p, li["l_partkey"] == p["p_partkey"], "inner")
+            li = li.join(p, li["l_partkey"] == p["p_partkey"], "inner")
+        else:
+            # A product may hold a third of all reviews: its rows are salted
+            # over several join tasks (operators/skew.py).
+            li = salted_join(li, p, "l_partkey", "p_partkey", frequent_keys(li, "l_partkey"),
+                             salt_from=["l_orderkey", "l_linenumber"])
         cols.append(F.col("group"))
     if with_customer:
         o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("customer"))

@@ -121,6 +121,7 @@ def reviews(spark: SparkSession, sf_dir: str, with_group: bool = True,
     li = table(spark, sf_dir, "lineitem")
     if product_id is not None:
         li = li.filter(F.col("l_partkey") == F.lit(product_id).try_cast("long"))
+    base = li  # hot keys are sampled from the scan itself, never from a join output
     pid = F.col("l_partkey").cast("string")
     cols = [pid.alias("Id"), asin_of(pid).alias("ASIN")]
     if with_group:
@@ -131,12 +132,17 @@ def reviews(spark: SparkSession, sf_dir: str, with_group: bool = True,
         else:
             # A product may hold a third of all reviews: its rows are salted
             # over several join tasks (operators/skew.py).
-            li = salted_join(li, p, "l_partkey", "p_partkey", frequent_keys(li, "l_partkey"),
+            li = salted_join(li, p, "l_partkey", "p_partkey", frequent_keys(base, "l_partkey"),
                              salt_from=["l_orderkey", "l_linenumber"])
         cols.append(F.col("group"))
     if with_customer:
         o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("customer"))
-        li = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
+        if product_id is not None:
+            li = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
+        else:
+            # the same guard for an order holding a third of all lines
+            li = salted_join(li, o, "l_orderkey", "o_orderkey", frequent_keys(base, "l_orderkey"),
+                             salt_from=["l_partkey", "l_linenumber"])
     fields = _review_fields()
     out = cols + [fields[0]]
     if with_customer:

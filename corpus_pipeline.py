@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import exact_dedup, packing, pii, quality_rules
+from tessera.llm import exact_dedup, near_dedup, packing, pii, quality_rules
 from tessera.llm.common import read, staged
 
 
@@ -22,6 +22,10 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.keep_one(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dedup.keep_one(docs)
+
+
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pii.redact(docs)
 
@@ -30,7 +34,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES = [("quality_rules", quality), ("exact_dedup", exact), ("pii", private), ("packing", packed)]
+STAGES = [("quality_rules", quality), ("exact_dedup", exact), ("near_dedup", near), ("pii", private), ("packing", packed)]
 
 #: Near-duplicate links and the trained PII model are not expressible in SQL.
 ORACLE_SQL = None

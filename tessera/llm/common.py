@@ -60,3 +60,33 @@ def per_process(key: str, make):
     if key not in kept:
         kept[key] = make()
     return kept[key]
+
+
+#: Slots of the broadcast that narrows rows down before an exact join: it has
+#: at most this many rows, whatever the input.
+SLOTS = 1 << 20
+
+
+def near_ids(docs: DataFrame, ids: DataFrame, key: str = "doc_id", hit: bool = True) -> DataFrame:
+    """Rows of ``docs`` whose id's slot is (``hit``), or isn't, among the slots
+    of ``ids``. A cheap first cut that keeps other rows' texts out of the
+    shuffle; an exact join follows."""
+    def slot(c):
+        return F.pmod(F.xxhash64(c.cast("long")), F.lit(SLOTS))
+
+    name = free_name(docs, "slot")
+    slots = F.broadcast(ids.select(slot(F.col(ids.columns[0])).alias(name)).distinct())
+    return docs.join(slots, slot(docs[key]) == slots[name], "left_semi" if hit else "left_anti")
+
+
+def with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose doc_id is in the one column of ``ids``."""
+    near = near_ids(docs, ids)
+    return near.join(ids, near["doc_id"].cast("long") == ids[ids.columns[0]], "left_semi")
+
+
+def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose doc_id is not in the one column of ``ids``."""
+    near = near_ids(docs, ids)
+    far = near_ids(docs, ids, hit=False)
+    return far.unionByName(near.join(ids, near["doc_id"].cast("long") == ids[ids.columns[0]], "left_anti"))

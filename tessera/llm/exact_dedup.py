@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import staged, write_stage
+from tessera.llm.common import near_ids, staged, write_stage
 from tessera.session import scratch_dir
 
 #: Micro-batches that one run is dealt into.
@@ -119,6 +119,7 @@ def dedup(docs: DataFrame, digest=sha256, batches: int = BATCHES) -> DataFrame:
 
 def keep_one(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     """The rows of ``docs`` that stay, own columns only."""
-    gone = dedup(docs, batches=batches).filter("NOT kept").select("doc_id", "digest").distinct()
-    same = (docs["doc_id"].cast("long").eqNullSafe(gone["doc_id"])) & (sha256(docs["text"]) == gone["digest"])
-    return docs.join(gone, same, "left_anti")
+    gone = staged(dedup(docs, batches=batches).filter("NOT kept").select("doc_id", "digest").distinct(), "dedup-dropped")
+    near = near_ids(docs, gone)
+    same = (near["doc_id"].cast("long").eqNullSafe(gone["doc_id"])) & (sha256(near["text"]) == gone["digest"])
+    return near_ids(docs, gone, hit=False).unionByName(near.join(gone, same, "left_anti"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import byte_bpe, chat_format, exact_dedup, packing, pii, quality_rules, url_filter
+from tessera.llm import byte_bpe, chat_format, exact_dedup, near_dedup, packing, pii, quality_rules, url_filter
 from tessera.llm.common import read
 from tessera.llm.sql import ORACLE  # noqa: F401 - registered with the queries
 
@@ -17,6 +17,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(read(spark, sf_dir, "pages"))
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(read(spark, sf_dir, "documents"))
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "<|im_end|><|im_start|>assistant ok"
     own = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)],
@@ -48,6 +52,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op3_chat_format, op6_exact_dedup, op7_quality_rules, op8_byte_bpe,
+    f.__name__: f for f in (op1_url_filter, op2_near_dedup, op3_chat_format, op6_exact_dedup, op7_quality_rules, op8_byte_bpe,
                             op9_pii, op10_packing)
 }

@@ -36,6 +36,9 @@ BATCHES = 3
 #: Distinct values of the digest prefix that picks the texts to compare: the
 #: broadcast set has at most 2**PREFIX_BITS rows, whatever the input.
 PREFIX_BITS = 20
+#: Rows per state partition. A RocksDB instance takes some MB of disk before it
+#: holds anything, so their number follows the rows, not the shuffle setting.
+STATE_ROWS = 2_000_000
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
@@ -55,16 +58,18 @@ def key_state(rows: DataFrame) -> DataFrame:
 
 def run_stream(spark: SparkSession, path: str, schema, batches: int = BATCHES) -> DataFrame:
     """All files of ``path`` through the stateful aggregation; the final state."""
-    files = len(spark.read.schema(schema).parquet(path).inputFiles())
-    per_batch = max(1, -(-files // batches))
+    stored = spark.read.schema(schema).parquet(path)
+    per_batch = max(1, -(-len(stored.inputFiles()) // batches))
+    stores = max(spark.sparkContext.defaultParallelism, -(-stored.count() // STATE_ROWS))
+    settings = STATE_CONF | {"spark.sql.streaming.internal.stateStore.partitions": str(stores)}
     work = scratch_dir(spark, "dedup-stream")
 
     def publish(changed: DataFrame, batch_id: int) -> None:
         changed.write.mode("overwrite").parquet(f"{work}/changes/batch={batch_id}")
 
-    before = {k: spark.conf.get(k, None) for k in STATE_CONF}
+    before = {k: spark.conf.get(k, None) for k in settings}
     try:
-        for k, v in STATE_CONF.items():
+        for k, v in settings.items():
             spark.conf.set(k, v)
         rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch).parquet(path)
         query = (key_state(rows).writeStream.outputMode("update").foreachBatch(publish)

@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import byte_bpe, chat_format, exact_dedup, near_dedup, packing, pii, quality_rules, url_filter
+from tessera.llm import (
+    byte_bpe, chat_format, exact_dedup, lm_score, near_dedup, packing, pii, quality_rules, suffix_dedup, url_filter,
+)
 from tessera.llm.common import read
 from tessera.llm.sql import ORACLE  # noqa: F401 - registered with the queries
 
@@ -29,6 +31,17 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.rendered(rows.unionByName(own)))
 
 
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return lm_score.score(docs, lm_score.train(docs))
+
+
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.dedup(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup.dedup(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -52,6 +65,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op2_near_dedup, op3_chat_format, op6_exact_dedup, op7_quality_rules, op8_byte_bpe,
-                            op9_pii, op10_packing)
+    f.__name__: f for f in (op1_url_filter, op2_near_dedup, op3_chat_format, op4_lm_score, op5_suffix_dedup,
+                            op6_exact_dedup, op7_quality_rules, op8_byte_bpe, op9_pii, op10_packing)
 }

@@ -41,6 +41,9 @@ class Words(dict):
     """Ids (little-endian 32-bit bytes) of stretches of text, kept up to ``KEPT``."""
 
     def __init__(self, path: str):
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         super().__init__()

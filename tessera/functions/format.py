@@ -1,4 +1,4 @@
-"""Small scalar helpers used by the parser and by reports (FN-7 .. FN-18)."""
+"""Report formats (FN-14)."""
 
 from __future__ import annotations
 
@@ -6,39 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def after_first_colon(s) -> Column:
-    """FN-7: text after the first colon (whole title kept, D3)."""
-    return F.regexp_extract(_col(s), r"^[^:]*:(.*)$", 1)
-
-
-def drop_first_token(s) -> Column:
-    """FN-8: white-space tokens without the first one."""
-    toks = F.filter(F.split(_col(s), r"\s+"), lambda t: t != "")
-    return F.slice(toks, 2, 1 << 30)
-
-
-def int_if_digits(s) -> Column:
-    """FN-9: INT when the text is all digits, NULL otherwise (ANSI safe)."""
-    return F.when(_col(s).rlike("^[0-9]+$"), _col(s).try_cast("int"))
-
-
-def number(s) -> Column:
-    """FN-10: DOUBLE when the text is digits with an optional dot."""
-    return F.when(_col(s).rlike(r"^[0-9.]*[0-9][0-9.]*$"), _col(s).try_cast("double"))
-
-
-def contains_all(s, words) -> Column:
-    """FN-13: the text contains every word."""
-    cond = F.lit(True)
-    for w in words:
-        cond = cond & _col(s).contains(w)
-    return cond
-
-
 def two_decimals(x) -> Column:
     """FN-14: a number printed with two decimals."""
-    return F.format_string("%.2f", _col(x))
+    return F.format_string("%.2f", F.col(x) if isinstance(x, str) else x)

@@ -1,4 +1,4 @@
-"""Generic aggregates (AGG-3 .. AGG-5)."""
+"""Generic aggregates (AGG-5)."""
 
 from __future__ import annotations
 
@@ -15,9 +15,3 @@ def numeric_means(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     keys = list(keys)
     cols = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name not in keys]
     return df.groupBy(*keys).agg(*[F.avg(c).alias(f"avg_{c}") for c in cols])
-
-
-def mean_from_sum_count(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
-    """AGG-3: mean as a (sum, count) pair merged per key, then divided."""
-    return (df.groupBy(*keys).agg(F.sum(value).alias("__s"), F.count(value).alias("__n"))
-              .select(*keys, (F.col("__s") / F.col("__n")).alias(name)))

@@ -5,16 +5,15 @@ files. The files live in a fresh folder under the session's checkpoint dir.
 
 from __future__ import annotations
 
-import os
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.plans import questions as Q
+from tessera.plans.wordcount import wordcount
 from tessera.session import scratch_dir
 from tessera.sinks.catalog_text import write_catalog_text
-from tessera.sinks.files import read_csv, write_csv
+from tessera.sinks.files import read_csv, read_term_counts, write_csv, write_term_counts
 from tessera.operators.topk import top_n_per_group
 from tessera.operators.wordcount import word_count
 from tessera.sinks.query_tables import read_query_table, write_query_table, write_question_table
@@ -25,37 +24,42 @@ from tessera.sources.text import read_lines, write_corpus
 
 def write_fixture_catalog(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_dir(spark, "catalog")
-    write_catalog_text(spark, C.sells(spark, sf_dir), C.similars(spark, sf_dir),
-                       C.categories(spark, sf_dir), C.reviews(spark, sf_dir), path)
+    write_catalog_text(spark, C.sells(spark, sf_dir), C.similars(spark, sf_dir), C.categories(spark, sf_dir),
+                       C.reviews(spark, sf_dir, with_group=False), path, discontinued=discontinued_products(spark, sf_dir))
     return path
 
 
-# (application id, tables folder) -> parsed catalogue base table
-_BASES: dict[tuple[str, str], str] = {}
+def discontinued_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(Id, ASIN) of records that a catalogue lists as discontinued: one for
+    every twentieth product, under an Id that no product has."""
+    own = C.sells(spark, sf_dir).filter(F.col("Id").cast("long") % 20 == 0)
+    return own.select(F.concat(F.lit("9"), F.lpad("Id", 12, "0")).alias("Id"), F.concat(F.lit("D"), "ASIN").alias("ASIN"))
 
 
-def parsed_catalog_base(spark: SparkSession, sf_dir: str) -> str:
-    """SRC-13: render the catalogue file, parse it (SRC-2, SRC-3, SRC-4) and
-    write the parsed products once as a parquet base table; later questions
-    in the same application read the base table instead of re-parsing."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    path = _BASES.get(key)
-    if path is not None:
-        try:
-            spark.read.parquet(path).schema
-            return path
-        except Exception:  # noqa: BLE001 - folder gone: build it again
-            pass
-    text = write_fixture_catalog(spark, sf_dir)
+def write_base(spark: SparkSession, text: str) -> str:
+    """SRC-13: parse a catalogue file (SRC-2, SRC-3, SRC-4) once into a new
+    parquet base table, for a caller with several questions."""
     path = scratch_dir(spark, "catalog-base")
     R.parse_records(R.read_records(spark, text)).write.parquet(path)
-    _BASES[key] = path
     return path
 
 
-def parsed_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The parsed catalogue (one row per product record)."""
-    return spark.read.parquet(parsed_catalog_base(spark, sf_dir))
+def parsed_products(spark: SparkSession, sf_dir: str, base: str | None = None) -> DataFrame:
+    """The parsed catalogue (one row per product record): of the base table
+    where the caller has one, else rendered from the tables and parsed anew."""
+    return spark.read.parquet(base or write_base(spark, write_fixture_catalog(spark, sf_dir)))
+
+
+def parsed_once(spark, sf_dir):
+    """SRC-13: two questions from one base table: per product the numbers of
+    reviews and of similar products."""
+    base = write_base(spark, write_fixture_catalog(spark, sf_dir))
+    products = parsed_products(spark, sf_dir, base)
+    reviews = R.reviews_of(products).groupBy("Id").agg(F.count(F.lit(1)).alias("n_reviews"))
+    similars = R.similars_of(parsed_products(spark, sf_dir, base)).groupBy("Id").agg(F.count(F.lit(1)).alias("n_similars"))
+    zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
+    return (R.sells_of(products).select("Id").join(reviews, "Id", "left").join(similars, "Id", "left")
+            .select("Id", zero("n_reviews"), zero("n_similars")))
 
 
 def roundtrip_sells(spark, sf_dir):
@@ -149,10 +153,57 @@ def top_sellers_from_query_table(spark, sf_dir, n: int = 10):
 
 
 def top_reviewers_from_query_table(spark, sf_dir, n: int = 10):
-    """Q-G from the ``customer_reviews`` table (partitioned by group)."""
+    """Q-G from the ``customer_reviews`` table (partitioned by group; total
+    descending, customer ascending inside)."""
     t = _question_table(spark, sf_dir, "customer_reviews")
-    return top_n_per_group(t, ["group"], [F.col("comments").desc(), F.col("customer").asc()], n) \
-        .select("group", "customer", "comments")
+    return top_n_per_group(t, ["group"], [F.col("total").desc(), F.col("customer").asc()], n) \
+        .select("group", "customer", F.col("total").alias("comments"))
+
+
+def question_table(name: str):
+    """SNK-5: one of the six question tables, written and read back whole."""
+    return lambda spark, sf_dir: _question_table(spark, sf_dir, name)
+
+
+def output_replaced(spark, sf_dir):
+    """SNK-2: the counts of all terms, then of alphabetic terms, written to
+    one folder; what is read is the second."""
+    path = scratch_dir(spark, "replaced")
+    for alpha in (False, True):
+        write_term_counts(wordcount(spark, sf_dir, alpha_only=alpha), path)
+    return read_term_counts(spark, path)
+
+
+def terms_sorted_in_files(spark, sf_dir):
+    """SRT-7: neighbours in a part file that are out of byte order: none."""
+    path = scratch_dir(spark, "sorted")
+    write_term_counts(wordcount(spark, sf_dir), path)
+    lines = spark.read.text(path).select(F.substring_index("value", "\t", 1).alias("term"), F.input_file_name().alias("file"),
+                                         F.monotonically_increasing_id().alias("line"))
+    before = F.lag("term").over(Window.partitionBy("file").orderBy("line"))
+    return lines.select(F.col("term"), (before > F.col("term")).alias("late")).agg(
+        F.count(F.lit(1)).alias("terms"), F.coalesce(F.sum(F.col("late").cast("long")), F.lit(0).cast("long")).alias("out_of_order"))
+
+
+def best_sellers_report(spark, sf_dir):
+    """SRT-10: Q-D as a report, in (group, salesrank, Id) order, with each
+    row's position in the file."""
+    path = scratch_dir(spark, "report")
+    write_csv(Q.top_sellers_rank(C.sells(spark, sf_dir)), path, single_file=True, order=["group", "salesrank", "Id"])
+    schema = T.StructType([T.StructField("group", T.StringType()), T.StructField("Id", T.StringType()),
+                           T.StructField("title", T.StringType()), T.StructField("salesrank", T.IntegerType())])
+    rows = read_csv(spark, path, schema).withColumn("at", F.monotonically_increasing_id())
+    return rows.select("group", "Id", "salesrank", F.row_number().over(Window.partitionBy("group").orderBy("at")).alias("position"))
+
+
+def daily_rating_report(spark, sf_dir):
+    """SRT-5: the daily means over all products as a report in date order,
+    with the date of the line before."""
+    path = scratch_dir(spark, "daily")
+    daily = Q.daily_rating_all(C.reviews(spark, sf_dir, with_group=False, with_customer=False))
+    write_csv(daily.select("date"), path, single_file=True, order=["date"])
+    rows = read_csv(spark, path, "date date").select("date", F.monotonically_increasing_id().alias("at"), F.year("date").alias("year"))
+    return rows.select("date", F.lag("date").over(Window.partitionBy("year").orderBy("at")).alias("before"))
 
 
 def better_similars_from_query_table(spark, sf_dir):

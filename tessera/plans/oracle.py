@@ -126,10 +126,7 @@ def _better(where: str) -> str:
 
 BETTER_SIMILARS = _better(f"AND s.Id = '{SIMILAR_ID}'")
 BETTER_SIMILARS_ALL = _better("")
-BETTER_SIMILARS_SQL = with_rel(SELLS, SIMILARS) + f"""
-    SELECT s.Id, s.ASIN, s.salesrank AS sells_sales, t.salesrank AS similar_sales
-    FROM sells s JOIN similars sim ON s.Id = sim.Id JOIN sells t ON sim."similar" = t.ASIN
-    WHERE s.Id = '{SIMILAR_ID}' AND t.salesrank > 0 AND t.salesrank < s.salesrank"""
+BETTER_SIMILARS_SQL = BETTER_SIMILARS
 
 SIMILARS_IN_CATALOG = with_rel(SELLS, SIMILARS) + """
     SELECT Id, ASIN, "similar" FROM similars WHERE "similar" IN (SELECT ASIN FROM sells)"""
@@ -140,10 +137,10 @@ ID_LOOKUP = with_rel(SELLS, SIMILARS) + """
     SELECT sim.Id, own.ASIN, sim."similar", t.salesrank AS similar_salesrank
     FROM similars sim JOIN sells own ON sim.Id = own.Id JOIN sells t ON sim."similar" = t.ASIN"""
 
+_DAY = "sum(rating)::DOUBLE / count(rating)"  # per product and DATE, and over all products by DATE
 DAILY_RATING = with_rel(REVIEWS) + f"""
-    SELECT r.date, avg(r.rating) AS avgrating FROM reviews r WHERE r.Id = '{REVIEW_ID}' GROUP BY r.date"""
-DAILY_RATING_ALL = with_rel(REVIEWS) + """
-    SELECT r.date, avg(r.rating) AS avgrating FROM reviews r GROUP BY r.date"""
+    SELECT date, {_DAY} AS avgrating FROM (FROM reviews WHERE Id = '{REVIEW_ID}') GROUP BY ALL"""
+DAILY_RATING_ALL = with_rel(REVIEWS) + f"SELECT date, {_DAY} AS avgrating FROM reviews GROUP BY ALL"
 DAILY_RATING_PARTIALS = with_rel(REVIEWS) + """
     SELECT Id, date, AVG(rating) AS avgrating FROM reviews GROUP BY Id, date"""
 
@@ -203,7 +200,34 @@ LEADERBOARD_SLICE = with_rel(REVIEWS) + """
       FROM reviews GROUP BY Id)
     WHERE position BETWEEN 0 AND 10"""
 
-ANY_PRODUCTS = None  # rows-only check: an arbitrary sample has no SQL answer
+ANY_PRODUCTS = with_rel(SELLS) + "SELECT least(count(*), 10) AS n, least(count(*), 10) AS found FROM sells"
+
+DAILY_NUMERIC_MEANS = with_rel(REVIEWS) + """
+    SELECT date, avg(rating) AS avg_rating, avg(votes) AS avg_votes, avg(helpful) AS avg_helpful
+    FROM reviews GROUP BY ALL"""
+DAILY_RATING_PRINTED = with_rel(REVIEWS) + f"""
+    SELECT date, printf('%.2f', {_DAY}) AS avgrating FROM reviews GROUP BY ALL"""
+BEST_SELLERS_REPORT = with_rel(SELLS) + """
+    SELECT "group", Id, salesrank, row_number() OVER (PARTITION BY "group" ORDER BY salesrank, Id)::INTEGER AS position
+    FROM sells WHERE salesrank > 0 QUALIFY RANK() OVER (PARTITION BY "group" ORDER BY salesrank) <= 10"""
+DAILY_RATING_REPORT = with_rel(REVIEWS) + """
+    SELECT date, lag(date) OVER (PARTITION BY year(date) ORDER BY date) AS "before" FROM (SELECT DISTINCT date FROM reviews)"""
+TERMS_SORTED = f"SELECT count(*) AS terms, 0::BIGINT AS out_of_order FROM ({WORDCOUNT})"
+PARSED_ONCE = with_rel(SELLS, SIMILARS, REVIEWS) + """
+    SELECT s.Id, (SELECT count(*) FROM reviews r WHERE r.Id = s.Id) AS n_reviews,
+           (SELECT count(*) FROM similars m WHERE m.Id = s.Id) AS n_similars FROM sells s"""
+
+QUESTION_TABLES = {
+    "query_table_products": with_rel(SELLS) + 'SELECT Id, ASIN, title, "group", salesrank FROM sells',
+    "query_table_similars": with_rel(SELLS, SIMILARS) + """
+    SELECT m.Id, m.ASIN, m."similar", s.salesrank, coalesce(t.salesrank, -1) AS similarsales
+    FROM similars m JOIN sells s ON s.Id = m.Id LEFT JOIN sells t ON t.ASIN = m."similar" """,
+    "query_table_reviews_v1": with_rel(REVIEWS) + "SELECT Id, ASIN, date, customer, rating, votes AS vote, helpful FROM reviews",
+    "query_table_reviews_v2": with_rel(REVIEWS) + """
+    SELECT Id, ASIN, date, sum(rating)::BIGINT AS total_rating, count(*) AS count_rating FROM reviews GROUP BY ALL""",
+    "query_table_groups": with_rel(SELLS) + 'SELECT "group", Id, ASIN, salesrank FROM sells WHERE salesrank > 0',
+    "query_table_customer_reviews": with_rel(REVIEWS) + 'SELECT "group", customer, count(*) AS total FROM reviews GROUP BY ALL',
+}
 
 # -- catalogue files, sinks, upsert ------------------------------------------
 

@@ -52,14 +52,16 @@ def most_helpful_reviews_all(reviews: DataFrame, rating_desc: bool = True, k: in
 # (b) ------------------------------------------------------------------------
 
 def better_selling_similars(sells: DataFrame, similars: DataFrame,
-                            product_id: str | None = None) -> DataFrame:
+                            product_id: str | None = None, own: DataFrame | None = None) -> DataFrame:
     """Q-B / JN-4: similar products that sell better (0 < rank < own rank).
 
     product -> (Id) similars -> (similar = ASIN) product, residual inequality
     on the two ranks. ``product_id=None`` answers it for every product.
+    ``own`` binds the products asked about when the caller has filtered them
+    (and ``similars``) by the numeric key at the scan.
     Output ``(Id, similar, salesrank_original, salesrank)``.
     """
-    own = sells.select("Id", F.col("salesrank").alias("salesrank_original"))
+    own = (sells if own is None else own).select("Id", F.col("salesrank").alias("salesrank_original"))
     sim = similars.select("Id", "similar")
     if product_id is not None:
         own = own.filter(F.col("Id") == F.lit(product_id))
@@ -89,9 +91,10 @@ def similars_with_default_rank(similars: DataFrame, sells: DataFrame) -> DataFra
 
 def key_value_table(sells: DataFrame) -> DataFrame:
     """The key/value layout of the catalogue: ``<Id> -> ASIN`` and
-    ``<ASIN>|salesrank -> rank`` as one ``(key, value)`` relation."""
-    by_id = sells.select(F.col("Id").alias("key"), F.col("ASIN").alias("value"))
-    by_asin = sells.select(F.concat(F.col("ASIN"), F.lit("|salesrank")).alias("key"),
+    ``<ASIN>|salesrank -> rank`` as one ``(kind, key, value)`` relation; the
+    ``kind`` lets a lookup drop the other branch."""
+    by_id = sells.select(F.lit("asin").alias("kind"), F.col("Id").alias("key"), F.col("ASIN").alias("value"))
+    by_asin = sells.select(F.lit("salesrank").alias("kind"), F.concat(F.col("ASIN"), F.lit("|salesrank")).alias("key"),
                            F.col("salesrank").cast("string").alias("value"))
     return by_id.unionByName(by_asin)
 
@@ -99,11 +102,8 @@ def key_value_table(sells: DataFrame) -> DataFrame:
 def id_lookup(similars: DataFrame, kv: DataFrame) -> DataFrame:
     """JN-7 / FLT-9: translate ``Id -> ASIN`` and ``similar -> rank`` through
     the key/value relation; a missing key drops the row (exists guard)."""
-    # Each lookup only matches one kind of key; filtering first halves the
-    # rows each join shuffles.
-    is_rank_key = F.col("key").endswith("|salesrank")
-    asin = kv.filter(~is_rank_key).select(F.col("key").alias("Id"), F.col("value").alias("own_asin"))
-    rank = kv.filter(is_rank_key).select(F.col("key").alias("rank_key"),
+    asin = kv.filter("kind = 'asin'").select(F.col("key").alias("Id"), F.col("value").alias("own_asin"))
+    rank = kv.filter("kind = 'salesrank'").select(F.col("key").alias("rank_key"),
                                          F.col("value").try_cast("int").alias("similar_salesrank"))
     return (similars.select("Id", "similar")
                     .join(asin, "Id")
@@ -151,12 +151,6 @@ def top_sellers_rank(sells: DataFrame, n: int = 10) -> DataFrame:
     return top_n_with_ties(ranked, ["group"], "salesrank", n)
 
 
-def top_sellers_sql_form(sells: DataFrame, n: int = 10) -> DataFrame:
-    """Q-D-SQL: ``rank() < n`` without the sentinel filter (kept variant)."""
-    return top_n_per_group(sells.select(*_PRODUCT_COLS), ["group"], [F.col("salesrank").asc()], n,
-                           ties=True, strict=True)
-
-
 def top_sellers_exact(sells: DataFrame, n: int = 10) -> DataFrame:
     """Q-D-EXACT / WIN-3: exactly n ranked products per group, tie by Id."""
     ranked = sells.filter(F.col("salesrank") > 0).select(*_PRODUCT_COLS)
@@ -181,11 +175,18 @@ def top_sellers_threshold(sells: DataFrame, n: int = 10) -> DataFrame:
 
 
 def any_products(sells: DataFrame, n: int = 10) -> DataFrame:
-    """SRT-9: n arbitrary products (limit without order; only the row count
-    is defined)."""
+    """SRT-9: n arbitrary products (limit without order)."""
     return any_rows(sells.select(*_PRODUCT_COLS), n)
 
 
+def any_products_counted(sells: DataFrame, n: int = 10) -> DataFrame:
+    """What is defined about SRT-9: how many rows come, and how many of them
+    are products."""
+    some = any_products(sells, n).select("Id")
+    known = sells.select("Id", F.lit(1).alias("known"))
+    return some.join(known, "Id", "left").agg(F.count(F.lit(1)).alias("n"), F.count("known").alias("found"))
+
+
 def product_groups(sells: DataFrame) -> DataFrame:
     """AGG-10: the distinct groups."""
     return sells.select("group").distinct()
@@ -201,9 +202,10 @@ def helpful_means(reviews: DataFrame) -> DataFrame:
 def top_helpful_products(reviews: DataFrame, sells: DataFrame, k: int = 10) -> DataFrame:
     """Q-E: the k products with the highest mean helpful votes, with ASIN and
     title; ties by Id."""
-    joined = helpful_means(reviews).join(sells.select("Id", "ASIN", "title"), "Id")
-    return top_k(joined.select("Id", "ASIN", "title", "avghelpful"),
-                 [F.col("avghelpful").desc(), F.col("Id").asc()], k)
+    order = [F.col("avghelpful").desc(), F.col("Id").asc()]
+    best = top_k(helpful_means(reviews).join(sells.select("Id"), "Id", "left_semi"), order, k)
+    joined = best.join(sells.select("Id", "ASIN", "title"), "Id")
+    return joined.select("Id", "ASIN", "title", "avghelpful").orderBy(*order)
 
 
 # (f) ------------------------------------------------------------------------

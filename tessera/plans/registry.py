@@ -12,12 +12,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.format import two_decimals
+from tessera.operators.aggregates import numeric_means
 from tessera.operators.upsert import latest_by_key
 from tessera.plans import catalog_files as CF
 from tessera.plans import oracle as O
 from tessera.plans import questions as Q
 from tessera.plans import sql as S
 from tessera.plans import wordcount as W
+from tessera.sinks.query_tables import QUESTION_TABLES
 from tessera.sources import catalog as C
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,14 +45,16 @@ QUERIES: dict[str, Query] = {
         _reviews(s, d, product_id=O.REVIEW_ID), O.REVIEW_ID, rating_desc=True),
     "reviews_most_helpful_low": lambda s, d: Q.most_helpful_reviews(
         _reviews(s, d, product_id=O.REVIEW_ID), O.REVIEW_ID, rating_desc=False),
-    "reviews_most_helpful_high_sql": lambda s, d: S.most_helpful_reviews_sql(s, _reviews(s, d), O.REVIEW_ID),
+    "reviews_most_helpful_high_sql": lambda s, d: S.most_helpful_reviews_sql(
+        s, _reviews(s, d, product_id=O.REVIEW_ID)),
     "reviews_most_helpful_high_all": lambda s, d: Q.most_helpful_reviews_all(_reviews(s, d), rating_desc=True),
     "reviews_most_helpful_low_all": lambda s, d: Q.most_helpful_reviews_all(_reviews(s, d), rating_desc=False),
     # (b)
-    "better_selling_similars": lambda s, d: Q.better_selling_similars(C.sells(s, d), C.similars(s, d), O.SIMILAR_ID),
+    "better_selling_similars": lambda s, d: Q.better_selling_similars(
+        C.sells(s, d), C.similars(s, d, O.SIMILAR_ID), own=C.sells(s, d, O.SIMILAR_ID)),
     "better_selling_similars_all": lambda s, d: Q.better_selling_similars(C.sells(s, d), C.similars(s, d)),
     "better_selling_similars_sql": lambda s, d: S.better_selling_similars_sql(
-        s, C.sells(s, d), C.similars(s, d), O.SIMILAR_ID),
+        s, C.sells(s, d, O.SIMILAR_ID), C.similars(s, d, O.SIMILAR_ID), C.sells(s, d)),
     "similars_in_catalog": lambda s, d: Q.similars_in_catalog(C.similars(s, d), C.sells(s, d)),
     "similars_with_default_rank": lambda s, d: Q.similars_with_default_rank(C.similars(s, d), C.sells(s, d)),
     "id_lookup": lambda s, d: Q.id_lookup(C.similars(s, d), Q.key_value_table(C.sells(s, d))),
@@ -57,7 +62,7 @@ QUERIES: dict[str, Query] = {
     "daily_rating": lambda s, d: Q.daily_rating(
         _reviews(s, d, with_group=False, with_customer=False, product_id=O.REVIEW_ID), O.REVIEW_ID),
     "daily_rating_sql": lambda s, d: S.daily_rating_sql(
-        s, _reviews(s, d, with_group=False, with_customer=False), O.REVIEW_ID),
+        s, _reviews(s, d, with_group=False, with_customer=False, product_id=O.REVIEW_ID)),
     "daily_rating_all": lambda s, d: Q.daily_rating_all(_reviews(s, d, with_group=False, with_customer=False)),
     "daily_rating_from_partials": lambda s, d: Q.daily_rating_from_partials(
         Q.daily_partials(_reviews(s, d, with_group=False, with_customer=False))),
@@ -108,8 +113,21 @@ QUERIES: dict[str, Query] = {
     "top_reviewers_from_query_table": CF.top_reviewers_from_query_table,
     "better_similars_from_query_table": CF.better_similars_from_query_table,
     "wordcount_text_files": CF.wordcount_text_files,
-    # sampling (row count only)
-    "any_products": lambda s, d: Q.any_products(C.sells(s, d)),
+    **{f"query_table_{n}": CF.question_table(n) for n in QUESTION_TABLES},
+    "catalog_parsed_once": CF.parsed_once,
+    "output_replaced": CF.output_replaced,
+    # order, made visible as columns
+    "terms_sorted_in_files": CF.terms_sorted_in_files,
+    "best_sellers_report": CF.best_sellers_report,
+    "daily_rating_report": CF.daily_rating_report,
+    # generic aggregates and formats, a named view
+    "daily_numeric_means": lambda s, d: numeric_means(
+        _reviews(s, d, with_group=False, with_customer=False).select("date", "rating", "votes", "helpful"), ["date"]),
+    "daily_rating_printed": lambda s, d: Q.daily_rating_all(_reviews(s, d, with_group=False, with_customer=False)).select(
+        "date", two_decimals("avgrating").alias("avgrating")),
+    "select_all": lambda s, d: S.select_all(s, C.sells(s, d)),
+    # sampling
+    "any_products": lambda s, d: Q.any_products_counted(C.sells(s, d)),
 }
 
 
@@ -179,4 +197,14 @@ ORACLE: dict[str, str] = {
     "top_reviewers_from_query_table": O.TOP_REVIEWERS,
     "better_similars_from_query_table": O.BETTER_SIMILARS_ALL,
     "wordcount_text_files": O.WORDCOUNT,
+    **O.QUESTION_TABLES,
+    "catalog_parsed_once": O.PARSED_ONCE,
+    "output_replaced": O.WORDCOUNT_ALPHA,
+    "terms_sorted_in_files": O.TERMS_SORTED,
+    "best_sellers_report": O.BEST_SELLERS_REPORT,
+    "daily_rating_report": O.DAILY_RATING_REPORT,
+    "daily_numeric_means": O.DAILY_NUMERIC_MEANS,
+    "daily_rating_printed": O.DAILY_RATING_PRINTED,
+    "select_all": O.ROUNDTRIP_SELLS,
+    "any_products": O.ANY_PRODUCTS,
 }

@@ -3,76 +3,73 @@
 Values are bound as named parameters (``args``); relations are bound as
 DataFrames (``{sells}`` placeholders), which Spark registers under unique
 names for the one statement, so concurrent queries never see each other's
-relations. ``register`` exposes the relations under fixed view names for
-interactive SQL (SRC-12).
+relations. A relation that a question only needs for one product is bound
+already filtered by its numeric key, so the filter reaches the scan.
+``register`` exposes the relations under fixed view names for interactive SQL
+(SRC-12).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Comma join with a FROM-subquery (JN-3): the subquery pairs every similar
-# entry with the similar product's positive rank; the outer query keeps the
-# pairs of one product that rank better than the product itself.
-BETTER_SELLING_SIMILARS = """
-SELECT p.Id, p.ASIN, p.salesrank AS sells_sales, cand.similar_sales
-FROM {sells} p,
-     (SELECT e.Id, t.salesrank AS similar_sales
-        FROM {similars} e, {sells} t
-       WHERE e.similar = t.ASIN AND t.salesrank > 0) cand
-WHERE p.Id = :id
-  AND cand.Id = p.Id
-  AND cand.similar_sales < p.salesrank
-"""
-
-# Q-D-SQL: rank inside each group, strict bound, sentinel ranks kept.
-TOP_SELLERS = """
-WITH positioned AS (
-  SELECT `group`, Id, title, salesrank,
-         RANK() OVER (PARTITION BY `group` ORDER BY salesrank) AS pos
-  FROM {sells})
-SELECT `group`, Id, title, salesrank FROM positioned WHERE pos < :n
+# (a): the k most helpful reviews of the bound product, best rated first.
+MOST_HELPFUL_REVIEWS = """
+SELECT Id, ASIN, `group`, date, customer, rating, votes, helpful
+FROM {reviews}
+ORDER BY helpful DESC, rating DESC, date, customer, votes
+LIMIT :k
 """
 
-# Q-G-MAX: customers at the top review count of their group (ties kept).
-TOP_REVIEWERS_TIES = """
-WITH per_customer AS (
-  SELECT `group`, customer, COUNT(*) AS comments
-  FROM {reviews} GROUP BY `group`, customer),
-positioned AS (
-  SELECT `group`, customer, comments,
-         RANK() OVER (PARTITION BY `group` ORDER BY comments DESC) AS pos
-  FROM per_customer)
-SELECT `group`, customer, comments FROM positioned WHERE pos = 1
+# (b), comma join (JN-3): listed similar products of the bound product with a
+# positive rank below its own.
+BETTER_SELLING_SIMILARS = """
+SELECT own.Id, listed.similar, own.salesrank AS salesrank_original, other.salesrank
+FROM {own} AS own, {listed} AS listed, {sells} AS other
+WHERE listed.Id = own.Id AND other.ASIN = listed.similar
+  AND other.salesrank BETWEEN 1 AND own.salesrank - 1
 """
 
-
-# (a): the k most helpful reviews of one product, best rated first.
-MOST_HELPFUL_REVIEWS = """
-SELECT r.Id, r.ASIN, r.`group`, r.date, r.customer, r.rating, r.votes, r.helpful
-FROM {reviews} AS r
-WHERE r.Id = :id
-ORDER BY r.helpful DESC, r.rating DESC, r.date, r.customer, r.votes
-LIMIT :k
+# (c): mean rating per day of the bound product.
+DAILY_RATING = """
+SELECT date, sum(rating) / count(rating) AS avgrating
+FROM {reviews}
+GROUP BY ALL
+ORDER BY ALL
 """
 
-# (c): daily mean rating of one product.
-DAILY_RATING = """
-SELECT r.date, avg(r.rating) AS avgrating
-FROM {reviews} AS r
-WHERE r.Id = :id
-GROUP BY r.date
-ORDER BY r.date
+# (d), variant: fewer than n - 1 products of the group rank strictly better,
+# that is, the rank is at most the (n - 1)-th smallest of the group. Only the
+# limit's n - 1 rows of a group meet in a task, however many tie.
+TOP_SELLERS = """
+WITH lowest AS (
+  SELECT `group`, salesrank, row_number() OVER (PARTITION BY `group` ORDER BY salesrank) AS place
+  FROM {sells}),
+bound AS (
+  SELECT `group`, max(salesrank) AS worst FROM lowest WHERE place < :n GROUP BY `group`)
+SELECT s.`group`, s.Id, s.title, s.salesrank
+FROM {sells} AS s JOIN bound ON bound.`group` = s.`group` AND s.salesrank <= bound.worst
 """
 
-# (e): products with the highest mean helpful votes, with ASIN and title.
+# (e): the k products with the highest mean helpful votes among those in the
+# catalogue; ASIN and title are looked up for the k rows only.
 TOP_HELPFUL_PRODUCTS = """
 WITH means AS (
-  SELECT Id, avg(helpful) AS avghelpful FROM {reviews} GROUP BY Id)
-SELECT m.Id, p.ASIN, p.title, m.avghelpful
-FROM means m JOIN {sells} p ON p.Id = m.Id
-ORDER BY m.avghelpful DESC, m.Id
-LIMIT :k
+  SELECT Id, avg(helpful) AS avghelpful FROM {reviews} GROUP BY Id),
+best AS (
+  SELECT * FROM means LEFT SEMI JOIN {sells} AS known ON known.Id = means.Id
+  ORDER BY avghelpful DESC, Id LIMIT :k)
+SELECT best.Id, p.ASIN, p.title, best.avghelpful
+FROM best JOIN {sells} AS p ON p.Id = best.Id
+ORDER BY best.avghelpful DESC, best.Id
+"""
+
+# (g), variant: the (group, number of comments) pairs that are a group's peak.
+TOP_REVIEWERS_TIES = """
+WITH active AS (
+  SELECT `group`, customer, count(1) AS comments FROM {reviews} GROUP BY ALL)
+SELECT `group`, customer, comments FROM active
+WHERE (`group`, comments) IN (SELECT `group`, max(comments) FROM active GROUP BY `group`)
 """
 
 
@@ -84,11 +81,16 @@ def register(sells: DataFrame | None = None, similars: DataFrame | None = None,
             df.createOrReplaceTempView(name)
 
 
-def better_selling_similars_sql(spark: SparkSession, sells: DataFrame, similars: DataFrame,
-                                product_id: str) -> DataFrame:
-    """JN-3: comma joins with a FROM-subquery; Catalyst turns them into
-    equi-joins with the rank inequality as a residual filter."""
-    return spark.sql(BETTER_SELLING_SIMILARS, args={"id": product_id}, sells=sells, similars=similars)
+def select_all(spark: SparkSession, sells: DataFrame) -> DataFrame:
+    """PRJ-3 + SRC-12: all columns of a named view."""
+    register(sells=sells)
+    return spark.sql("SELECT * FROM sells")
+
+
+def better_selling_similars_sql(spark: SparkSession, own: DataFrame, listed: DataFrame, sells: DataFrame) -> DataFrame:
+    """Q-B for the product(s) in ``own`` and ``listed``, through SQL text;
+    Catalyst makes equi-joins of the comma join."""
+    return spark.sql(BETTER_SELLING_SIMILARS, own=own, listed=listed, sells=sells)
 
 
 def top_sellers_sql(spark: SparkSession, sells: DataFrame, n: int = 10) -> DataFrame:
@@ -101,14 +103,14 @@ def top_reviewers_ties_sql(spark: SparkSession, reviews: DataFrame) -> DataFrame
     return spark.sql(TOP_REVIEWERS_TIES, reviews=reviews)
 
 
-def most_helpful_reviews_sql(spark: SparkSession, reviews: DataFrame, product_id: str, k: int = 5) -> DataFrame:
-    """Q-A1 through SQL text."""
-    return spark.sql(MOST_HELPFUL_REVIEWS, args={"id": product_id, "k": k}, reviews=reviews)
+def most_helpful_reviews_sql(spark: SparkSession, reviews: DataFrame, k: int = 5) -> DataFrame:
+    """Q-A1 through SQL text, for reviews of one product."""
+    return spark.sql(MOST_HELPFUL_REVIEWS, args={"k": k}, reviews=reviews)
 
 
-def daily_rating_sql(spark: SparkSession, reviews: DataFrame, product_id: str) -> DataFrame:
-    """Q-C through SQL text."""
-    return spark.sql(DAILY_RATING, args={"id": product_id}, reviews=reviews)
+def daily_rating_sql(spark: SparkSession, reviews: DataFrame) -> DataFrame:
+    """Q-C through SQL text, for reviews of one product."""
+    return spark.sql(DAILY_RATING, reviews=reviews)
 
 
 def top_helpful_products_sql(spark: SparkSession, reviews: DataFrame, sells: DataFrame, k: int = 10) -> DataFrame:

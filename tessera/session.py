@@ -1,63 +1,65 @@
 """Session construction and the shared scratch folder.
 
-The scratch folder is where jobs cut lineage (``checkpoint``) or stage
-intermediate files. On a cluster it is the shared folder named by
-``spark.checkpoint.dir``; we only invent one (under the system temp folder)
-when the session has none, which is the case in local tests.
+The launcher (``spark-submit``, its properties file) decides where and how
+large a job runs: nothing it has set is overridden here. The scratch folder
+is where jobs cut lineage (``checkpoint``) or stage intermediate files: the
+shared folder named by ``spark.checkpoint.dir``. Only a local master may go
+without one; on a cluster a machine-local folder would lose rows, so that
+raises.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
-# Sizing for local runs. On a cluster these come from the job submission:
-# shuffle partitions ~ (shuffle bytes / 128 MB), AQE coalesces the rest.
+# What the library relies on where the launcher says nothing. A join fused
+# with an aggregate on the same key is only split by adaptive execution when
+# it may add a shuffle, hence the forced skew optimisation.
 _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
-    "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
 }
 
 
 def get_session(master: str | None = None, cpus: int | None = None,
                 app_name: str = "tessera", extra: dict | None = None) -> SparkSession:
-    """Build (or reuse) a session with the settings the library relies on."""
-    builder = SparkSession.builder.appName(app_name)
-    if master is None:
-        master = f"local[{cpus or os.cpu_count() or 8}]"
-    builder = builder.master(master)
-    n = cpus or os.cpu_count() or 8
-    conf = dict(_DEFAULTS)
-    conf["spark.sql.shuffle.partitions"] = str(max(n, 8))
-    conf["spark.driver.memory"] = os.environ.get("TESSERA_DRIVER_MEMORY", "16g")
-    conf.update(extra or {})
-    for k, v in conf.items():
-        builder = builder.config(k, v)
-    spark = builder.getOrCreate()
+    """Build (or reuse) a session. ``master`` or ``cpus`` (a local master with
+    so many threads) and ``extra`` are the caller's explicit wishes; all else
+    is only filled in where the launcher has not set it."""
+    SparkContext._ensure_initialized()  # else SparkConf() doesn't see what the launcher set
+    launched = SparkConf()
+    builder = SparkSession.builder
+    if not launched.contains("spark.app.name"):
+        builder = builder.appName(app_name)
+    conf = {k: v for k, v in _DEFAULTS.items() if not launched.contains(k)}
+    if cpus and not master:
+        master = f"local[{cpus}]"
+    if cpus and not launched.contains("spark.sql.shuffle.partitions"):
+        conf["spark.sql.shuffle.partitions"] = str(max(cpus, 8))
+    if master or not launched.contains("spark.master"):
+        builder = builder.master(master or "local[*]")
+    spark = builder.config(map=conf | (extra or {})).getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
     return spark
 
 
 def cluster_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 192 << 20) -> dict:
-    """Settings for a cluster run sized from the input.
-
-    Shuffle partitions start at about input / target size (never below two
-    waves of the cluster's cores) so that no reduce task holds more than a
-    couple of hundred MB before AQE coalesces the small ones; file splits
-    stay at 128 MB. The count is capped at 100k: beyond that the driver's
-    map-output bookkeeping (map tasks x reduce partitions) grows faster
-    than it helps, and reduce tasks grow (and spill) instead. Example:
-    100 TB on 1000 executors x 8 cores -> 100k partitions, which AQE merges
-    per stage down to the advisory size.
+    """Settings for a cluster run sized from the input, to pass to the launcher.
+
+    Shuffle partitions start at input / target size (never below two waves of
+    the cluster's cores) so that no reduce task holds more than a couple of
+    hundred MB before AQE coalesces the small ones; file splits stay at
+    128 MB.
     """
-    partitions = min(100_000, max(2 * total_cores, -(-input_bytes // target_partition_bytes)))
+    partitions = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(128 << 20),
@@ -65,6 +67,7 @@ def cluster_settings(input_bytes: int, total_cores: int, target_partition_bytes:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     }
 
 
@@ -74,11 +77,17 @@ def ensure_query_settings(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def is_local(master: str) -> bool:
+    """One JVM: driver and executors share every folder."""
+    return master == "local" or master.startswith("local[")
+
+
 def _checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        # Unset: local runs and tests only. A cluster always names a shared folder.
+        if not is_local(sc.master):
+            raise RuntimeError(f"spark.checkpoint.dir is not set: master {sc.master} needs a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tessera-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.sources.records import DATE_FORMAT
+from tessera.sources.records import DATE_FORMAT, DISCONTINUED
 
 CR = "\r"  # every line ends in \r\n; records are followed by a blank line
 
@@ -29,8 +29,14 @@ def _line(df: DataFrame, sec: int, value: Column, seq: Column | None = None) ->
 
 
 def catalog_lines(spark: SparkSession, sells: DataFrame, similars: DataFrame, categories: DataFrame,
-                  reviews: DataFrame, header: bool = True) -> DataFrame:
-    """All lines of the catalogue file as ``(key, sec, seq, value)``."""
+                  reviews: DataFrame, header: bool = True, discontinued: DataFrame | None = None) -> DataFrame:
+    """All lines of the catalogue file as ``(key, sec, seq, value)``.
+
+    A product's ``similar:`` line is one list: the format's own limit, which
+    holds for catalogues whose products list a few similar ones each.
+    ``discontinued`` (Id, ASIN) adds records without data that end in the
+    words of the format.
+    """
     s = sells
     sims = (similars.groupBy("Id")
             .agg(F.count(F.lit(1)).alias("n"), F.concat_ws("  ", F.sort_array(F.collect_list("similar"))).alias("l")))
@@ -81,6 +87,10 @@ def catalog_lines(spark: SparkSession, sells: DataFrame, similars: DataFrame, ca
                           F.lpad(F.col("votes").cast("string"), 10, "0"),
                           F.lpad(F.col("helpful").cast("string"), 10, "0"))),
     ]
+    if discontinued is not None:
+        gone = F.array(*[F.struct(F.lit(i).alias("sec"), F.concat(v, F.lit(CR)).alias("value")) for i, v in enumerate([
+            F.concat(F.lit("Id:   "), F.col("Id")), F.concat(F.lit("ASIN: "), F.col("ASIN")), F.lit("  " + DISCONTINUED), F.lit("")])])
+        parts.append(discontinued.select(F.col("Id").alias("key"), F.inline(gone)).select("key", "sec", F.lit("").alias("seq"), "value"))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -94,9 +104,11 @@ def catalog_lines(spark: SparkSession, sells: DataFrame, similars: DataFrame, ca
 
 
 def write_catalog_text(spark: SparkSession, sells: DataFrame, similars: DataFrame, categories: DataFrame,
-                       reviews: DataFrame, path: str, partitions: int | None = None) -> None:
-    """Write the catalogue file(s) under ``path`` (replacing old output)."""
-    lines = catalog_lines(spark, sells, similars, categories, reviews)
+                       reviews: DataFrame, path: str, partitions: int | None = None,
+                       discontinued: DataFrame | None = None) -> None:
+    """Write the catalogue file(s) under ``path`` (replacing old output). A
+    record is written by one task, as the format needs its lines together."""
+    lines = catalog_lines(spark, sells, similars, categories, reviews, discontinued=discontinued)
     # A record only needs its own lines to be contiguous, so a hash shuffle
     # on the product key is enough (a range shuffle would first run the whole
     # plan once more to sample boundaries). Inside a task, numeric keys sort

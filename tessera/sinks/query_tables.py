@@ -70,7 +70,7 @@ def _groups(sells, similars, reviews):
 
 
 def _customer_reviews(sells, similars, reviews):
-    return reviews.groupBy("group", "customer").agg(F.count(F.lit(1)).alias("comments"))
+    return reviews.groupBy("group", "customer").agg(F.count(F.lit(1)).alias("total"))
 
 
 QUESTION_TABLES = {
@@ -79,7 +79,7 @@ QUESTION_TABLES = {
     "reviews_v1": (_reviews_v1, ["Id"], [("helpful", "desc"), ("rating", "desc")], []),
     "reviews_v2": (_reviews_v2, ["Id"], ["date"], []),
     "groups": (_groups, ["salesrank"], ["salesrank", "Id"], ["group"]),
-    "customer_reviews": (_customer_reviews, ["customer"], [("comments", "desc"), "customer"], ["group"]),
+    "customer_reviews": (_customer_reviews, [], [("total", "desc"), "customer"], ["group"]),
 }
 
 
@@ -100,15 +100,6 @@ def write_question_table(name: str, path: str, sells: DataFrame, similars: DataF
                       order=_order(order), partition_by=partition_by)
 
 
-def write_question_tables(root: str, sells: DataFrame, similars: DataFrame, reviews: DataFrame) -> dict:
-    """Write all six question tables under ``root``; returns name -> path."""
-    paths = {}
-    for name in QUESTION_TABLES:
-        paths[name] = f"{root.rstrip('/')}/{name}"
-        write_question_table(name, paths[name], sells, similars, reviews)
-    return paths
-
-
 def write_bucketed(df: DataFrame, name: str, key: Sequence[str], buckets: int, path: str) -> DataFrame:
     """Store ``df`` as a table bucketed and sorted on ``key`` (files under
     ``path``) and return it read back.

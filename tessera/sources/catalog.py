@@ -20,7 +20,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.skew import frequent_keys, salted_join
 from tessera.sources.tables import table
 
 # Fixed values of the mapping from driver tables to catalogue fields.
@@ -40,13 +39,16 @@ def asin_of(id_col: Column) -> Column:
     return F.concat(F.lit(ASIN_PREFIX), F.lpad(id_col, ASIN_DIGITS, "0"))
 
 
-def _part(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part")
+def _part(spark: SparkSession, sf_dir: str, product_id: str | None = None) -> DataFrame:
+    """``part``; with ``product_id`` only that product, by its numeric key, so
+    that the filter reaches the scan."""
+    p = table(spark, sf_dir, "part")
+    return p if product_id is None else p.filter(F.col("p_partkey") == F.lit(product_id).try_cast("long"))
 
 
-def sells(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sells(spark: SparkSession, sf_dir: str, product_id: str | None = None) -> DataFrame:
     """SRC-5: one row per product. ``salesrank`` keeps the sentinels 0/-1."""
-    p = _part(spark, sf_dir)
+    p = _part(spark, sf_dir, product_id)
     pid = F.col("p_partkey").cast("string")
     return p.select(
         pid.alias("Id"),
@@ -69,9 +71,9 @@ def similar_list(p: DataFrame) -> Column:
     return F.concat(near, dangling)
 
 
-def similars(spark: SparkSession, sf_dir: str) -> DataFrame:
+def similars(spark: SparkSession, sf_dir: str, product_id: str | None = None) -> DataFrame:
     """SRC-6: ``(Id, ASIN, similar)``, one row per listed similar product."""
-    p = _part(spark, sf_dir)
+    p = _part(spark, sf_dir, product_id)
     pid = F.col("p_partkey").cast("string")
     return p.select(pid.alias("Id"), asin_of(pid).alias("ASIN"),
                     F.explode(similar_list(p)).alias("similar"))
@@ -121,28 +123,16 @@ def reviews(spark: SparkSession, sf_dir: str, with_group: bool = True,
     li = table(spark, sf_dir, "lineitem")
     if product_id is not None:
         li = li.filter(F.col("l_partkey") == F.lit(product_id).try_cast("long"))
-    base = li  # hot keys are sampled from the scan itself, never from a join output
     pid = F.col("l_partkey").cast("string")
     cols = [pid.alias("Id"), asin_of(pid).alias("ASIN")]
     if with_group:
-        p = _part(spark, sf_dir).select("p_partkey", F.col("p_type").alias("group"))
-        if product_id is not None:
-            p = p.filter(F.col("p_partkey") == F.lit(product_id).try_cast("long"))
-            li = li.join(p, li["l_partkey"] == p["p_partkey"], "inner")
-        else:
-            # A product may hold a third of all reviews: its rows are salted
-            # over several join tasks (operators/skew.py).
-            li = salted_join(li, p, "l_partkey", "p_partkey", frequent_keys(base, "l_partkey"),
-                             salt_from=["l_orderkey", "l_linenumber"])
+        p = _part(spark, sf_dir, product_id).select("p_partkey", F.col("p_type").alias("group"))
+        # a product with a third of all reviews is split by adaptive execution
+        li = li.join(p, li["l_partkey"] == p["p_partkey"], "inner")
         cols.append(F.col("group"))
     if with_customer:
         o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("customer"))
-        if product_id is not None:
-            li = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
-        else:
-            # the same guard for an order holding a third of all lines
-            li = salted_join(li, o, "l_orderkey", "o_orderkey", frequent_keys(base, "l_orderkey"),
-                             salt_from=["l_partkey", "l_linenumber"])
+        li = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
     fields = _review_fields()
     out = cols + [fields[0]]
     if with_customer:

@@ -3,10 +3,10 @@
 New catalogue files dropped into a folder are split into records (the same
 ``lineSep`` text source as the batch reader), parsed with the same
 expressions, and folded into additive per ``(group, customer)`` review
-counters (AGG-15) kept in Spark's state store. Each micro-batch appends the
-counters it changed, tagged with the batch id, to a changelog folder;
+counters (AGG-15) kept in Spark's state store. Each micro-batch writes the
+counters it changed to its own ``batch_id=N`` folder of a changelog;
 ``current_counters`` reads the changelog back with last-write-wins per key
-(SNK-7). A replayed batch rewrites identical rows, so a retried batch after
+(SNK-7). A replayed batch overwrites its own folder, so a retried batch after
 an executor loss cannot change the result.
 
 Everything (source checkpoint, state, changelog) lives in folders the
@@ -51,18 +51,22 @@ def start_review_counters(spark: SparkSession, src_dir: str, changelog_dir: str,
     the checkpoint folder) instead of executor heap. The provider is fixed by
     the query's checkpoint, so keep the same setting across restarts.
     """
-    if rocksdb_state:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     counters = review_counters(review_records_stream(spark, src_dir))
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id).cast("long")) \
-             .write.mode("append").parquet(changelog_dir)
+        batch.write.mode("overwrite").parquet(f"{changelog_dir.rstrip('/')}/batch_id={batch_id}")
 
     writer = (counters.writeStream.outputMode("update").foreachBatch(publish)
               .option("checkpointLocation", checkpoint_dir or scratch_dir(spark, "stream-ckpt")))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
-    return writer.start()
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    if rocksdb_state:
+        spark.conf.set(key, ROCKSDB_PROVIDER)  # read when the query starts
+    try:
+        return writer.start()
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def current_counters(spark: SparkSession, changelog_dir: str) -> DataFrame:

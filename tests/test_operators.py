@@ -2,6 +2,7 @@
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions.text import hash_bucket, tokenize, tokenize_stepwise
@@ -134,16 +135,17 @@ def test_latest_by_key_and_upsert(spark):
 def test_question_forms_agree(spark):
     sells, sims = C.sells(spark, SF_SMALL), C.similars(spark, SF_SMALL)
     reviews = C.reviews(spark, SF_SMALL)
-    assert spark_rows(Q.top_sellers_sql_form(sells)) == spark_rows(S.top_sellers_sql(spark, sells))
+    ranked = top_n_per_group(sells.select("group", "Id", "title", "salesrank"), ["group"], [F.col("salesrank").asc()], 10, ties=True, strict=True)
+    assert spark_rows(ranked) == spark_rows(S.top_sellers_sql(spark, sells))
     assert spark_rows(Q.top_sellers_rank(sells)) == spark_rows(Q.top_sellers_threshold(sells))
     assert spark_rows(Q.top_reviewers_ties(reviews)) == spark_rows(S.top_reviewers_ties_sql(spark, reviews))
     assert spark_rows(Q.reviewers_additive(reviews)) == spark_rows(Q.reviews_per_customer(reviews))
     bs = Q.better_selling_similars(sells, sims).select("Id", "salesrank_original", "salesrank")
     for pid in [r.Id for r in bs.select("Id").distinct().limit(3).collect()]:
-        dfq = Q.better_selling_similars(sells, sims, pid).select(
-            "Id", F.col("salesrank_original").alias("sells_sales"), F.col("salesrank").alias("similar_sales"))
-        sq = S.better_selling_similars_sql(spark, sells, sims, pid).select("Id", "sells_sales", "similar_sales")
-        assert spark_rows(dfq) == spark_rows(sq)
+        own, listed = C.sells(spark, SF_SMALL, pid), C.similars(spark, SF_SMALL, pid)
+        sq = S.better_selling_similars_sql(spark, own, listed, sells)
+        assert spark_rows(Q.better_selling_similars(sells, sims, pid)) == spark_rows(sq)
+        assert spark_rows(Q.better_selling_similars(sells, listed, own=own)) == spark_rows(sq)
 
 
 def test_daily_partials_finalise_to_daily_means(spark):
@@ -160,6 +162,37 @@ def test_product_filter_reaches_the_scan(spark):
     assert "PushedFilters: [IsNotNull(l_partkey), EqualTo(l_partkey,6)" in plan
 
 
+@pytest.mark.parametrize("key,column", [("better_selling_similars", "p_partkey"), ("better_selling_similars_sql", "p_partkey"),
+                                        ("reviews_most_helpful_high_sql", "l_partkey"), ("daily_rating_sql", "l_partkey")])
+def test_product_questions_push_the_key(spark, key, column):
+    from tessera.plans.registry import QUERIES
+    plan = _plan(QUERIES[key](spark, SF_SMALL))
+    assert f"EqualTo({column}," in plan
+    assert "RANK" not in plan.upper().replace("SALESRANK", "")
+
+
+def test_an_orphan_review_counts_only_without_its_joins(spark, tmp_path):
+    """Joins that no column needs are left out: exact while foreign keys hold."""
+    for t in ("part", "orders"):
+        spark.read.parquet(f"{SF_SMALL}/{t}.parquet").write.parquet(str(tmp_path / f"{t}.parquet"))
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    orphan = li.limit(1).withColumn("l_partkey", F.lit(10**9).cast(li.schema["l_partkey"].dataType))
+    li.union(orphan).write.parquet(str(tmp_path / "lineitem.parquet"))
+    d, n = str(tmp_path), li.count()
+    assert C.reviews(spark, d).count() == n
+    assert C.reviews(spark, d, with_group=False, with_customer=False).count() == n + 1
+
+
+def test_a_changed_catalogue_gives_a_changed_answer(spark, tmp_path):
+    from tessera.plans import catalog_files as CF
+    for t in ("part", "orders", "lineitem"):
+        spark.read.parquet(f"{SF_SMALL}/{t}.parquet").write.parquet(str(tmp_path / f"{t}.parquet"))
+    d = str(tmp_path)
+    n = CF.roundtrip_sells(spark, d).count()
+    spark.read.parquet(f"{SF_SMALL}/part.parquet").limit(20).write.mode("overwrite").parquet(str(tmp_path / "part.parquet"))
+    assert n > 20 and CF.roundtrip_sells(spark, d).count() == 20
+
+
 def test_top_n_lists_are_bounded_and_ordered(spark):
     from tessera.operators.topk import top_n_lists
     got = top_n_lists(_scores(spark), ["grp"], [F.col("score").desc(), F.col("member").asc()], 2,

@@ -5,12 +5,12 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from tessera.plans.registry import QUERIES
 from tests.conftest import SF_SMALL
 
 
 def _plan(spark, key) -> str:
-    df = E.queries()[key](spark, SF_SMALL)
+    df = QUERIES[key](spark, SF_SMALL)
     return df._jdf.queryExecution().executedPlan().toString()
 
 
@@ -29,7 +29,7 @@ def _ops_in_order(plan: str) -> list[str]:
                       r"CartesianProduct|BroadcastNestedLoopJoin)", plan)
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_no_cross_products(spark, key):
     plan = _plan(spark, key)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
@@ -43,7 +43,7 @@ def test_partial_aggregate_below_first_aggregate_exchange(spark, key):
 
 
 @pytest.mark.parametrize("key", ["top_sellers_rank", "top_sellers_exact", "top_sellers_sql", "top_reviewers",
-                                 "top_reviewers_ties_sql", "reviews_most_helpful_high_all",
+                                 "reviews_most_helpful_high_all",
                                  "reviewers_distinct_products", "bucket_first_and_third_last",
                                  "group_rank_threshold"])
 def test_group_limit_before_the_window_shuffle(spark, key):
@@ -51,7 +51,7 @@ def test_group_limit_before_the_window_shuffle(spark, key):
     assert "WindowGroupLimit" in plan and "Partial" in plan, plan
 
 
-@pytest.mark.parametrize("key", ["latest_by_key", "top_sellers_best", "top_reviewers_ties"])
+@pytest.mark.parametrize("key", ["latest_by_key", "top_sellers_best", "top_reviewers_ties", "top_reviewers_ties_sql"])
 def test_no_window_for_per_key_winner(spark, key):
     assert "Window" not in _plan(spark, key)
 

@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from tessera.functions.format import after_first_colon, drop_first_token, int_if_digits, number, two_decimals
+from tessera.functions.format import two_decimals
 from tessera.operators.aggregates import numeric_means
 from tessera.plans import questions as Q
 from tessera.sinks.catalog_text import write_catalog_text
@@ -47,8 +47,8 @@ def test_term_count_part_files(spark, tmp_path):
                                    "term string, count long")
     write_term_counts(counts, str(tmp_path / "out"), 5)
     assert sorted(f for f in os.listdir(tmp_path / "out") if not f.startswith(".")) == ["_SUCCESS", "bucket=0", "bucket=4"]
-    part4 = [f for f in os.listdir(tmp_path / "out" / "bucket=4") if f.startswith("part-")]
-    lines = open(tmp_path / "out" / "bucket=4" / part4[0]).read().splitlines()
+    part4 = sorted(f for f in os.listdir(tmp_path / "out" / "bucket=4") if f.startswith("part-"))
+    lines = [line for f in part4 for line in open(tmp_path / "out" / "bucket=4" / f).read().splitlines()]
     assert lines == ["zed\t1", "zodiac\t1"]  # tab separated, byte-sorted
     back = read_term_counts(spark, str(tmp_path / "out"))
     assert spark_rows(back) == spark_rows(counts)
@@ -67,14 +67,50 @@ def test_csv_default_mode_refuses_existing_output(spark, tmp_path):
         assert "already exists" in str(e).lower() or "PATH_ALREADY_EXISTS" in str(e)
 
 
-def test_scalar_helpers(spark):
-    df = spark.createDataFrame([("  title: Part one: the beginning", "2  A002  A999", "12", "4.5", 3.14159)],
-                               "a string, b string, c string, d string, x double")
-    r = df.select(after_first_colon("a").alias("a"), drop_first_token("b").alias("b"),
-                  int_if_digits("c").alias("c"), int_if_digits("d").alias("c2"), number("d").alias("d"),
-                  two_decimals("x").alias("x")).first()
-    assert r.a == " Part one: the beginning" and list(r.b) == ["A002", "A999"]
-    assert r.c == 12 and r.c2 is None and r.d == 4.5 and r.x == "3.14"
+def test_two_decimals(spark):
+    df = spark.createDataFrame([(3.14159,), (2.0,), (None,)], "x double")
+    assert [r.x for r in df.select(two_decimals("x").alias("x")).collect()][:2] == ["3.14", "2.00"]
+
+
+def test_single_file_csv_of_many_rows_is_whole(spark, tmp_path):
+    write_csv(spark.range(150_000), str(tmp_path / "big"), single_file=True)
+    files = [f for f in os.listdir(tmp_path / "big") if f.startswith("part-")]
+    assert len(files) == 1 and spark.read.csv(str(tmp_path / "big")).count() == 150_000
+
+
+def test_term_count_tasks_share_the_buckets(spark, tmp_path):
+    from tessera.operators.wordcount import with_bucket
+    counts = spark.range(5000).select(F.concat(F.lit("t"), "id").alias("term"), F.lit(1).cast("long").alias("count"))
+    write_term_counts(counts, str(tmp_path / "out"), 5)
+    want = with_bucket(counts, 5).groupBy("bucket").count().collect()
+    assert len(want) == 5
+    tasks = set()
+    for r in want:
+        folder = tmp_path / "out" / f"bucket={r.bucket}"
+        lines = 0
+        for f in sorted(os.listdir(folder)):
+            if f.startswith("part-"):
+                tasks.add(f.split("-")[1])
+                part = open(folder / f).read().splitlines()
+                assert part == sorted(part)
+                lines += len(part)
+        assert lines == r["count"]
+    assert len(tasks) == 5  # no task idles
+
+
+def test_question_tables_are_in_answer_order(spark, tmp_path):
+    from tessera.sinks.query_tables import QUESTION_TABLES, write_question_table
+    sells, similars, reviews = C.sells(spark, SF_SMALL), C.similars(spark, SF_SMALL), C.reviews(spark, SF_SMALL)
+    for name, (_, cluster, order, parts) in QUESTION_TABLES.items():
+        path = str(tmp_path / name)
+        write_question_table(name, path, sells, similars, reviews)
+        for folder, _, files in os.walk(path):
+            for f in files:
+                if f.startswith("part-"):
+                    rows = spark.read.parquet(os.path.join(folder, f)).coalesce(1).collect()
+                    key = lambda r: tuple([r[c] for c in cluster if c not in parts] + [
+                        -r[o[0]] if isinstance(o, tuple) else r[o] for o in order])
+                    assert [key(r) for r in rows] == sorted(key(r) for r in rows), name
 
 
 def test_numeric_means(spark):
@@ -104,8 +140,8 @@ def test_single_file_csv_is_in_report_order(spark, tmp_path):
 def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
     from tessera.sinks.query_tables import write_bucketed
     from tessera.sources.tables import table
-    li = table(spark, SF_SMALL, "lineitem", spread=False).select("l_orderkey", "l_partkey", "l_quantity")
-    od = table(spark, SF_SMALL, "orders", spread=False).select("o_orderkey", "o_custkey")
+    li = table(spark, SF_SMALL, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    od = table(spark, SF_SMALL, "orders").select("o_orderkey", "o_custkey")
     a = write_bucketed(li, "t_lineitem_b", ["l_orderkey"], 8, str(tmp_path / "li"))
     b = write_bucketed(od, "t_orders_b", ["o_orderkey"], 8, str(tmp_path / "od"))
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")

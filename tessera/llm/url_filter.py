@@ -67,7 +67,8 @@ def build(rules):
 
 
 def sweeper(intervals):
-    """A function (key, path) -> best rule for keys in ascending order."""
+    """A function (key, path) -> (verdict, rule, length of its host) of the
+    best rule, for keys in ascending order."""
     keys = [k for k, _ in intervals]
     stack: list[int] = []
     at = [None]
@@ -101,7 +102,7 @@ def sweeper(intervals):
             for prefix, verdict, rule in intervals[i][1]:
                 if path.startswith(prefix):
                     if top is None or len(rule) > len(top[1]):
-                        top = (verdict, rule)
+                        top = (verdict, rule, len(rule) - len(prefix))
                     break
         found[0] = top
         return top
@@ -120,7 +121,7 @@ def _sweep(blocks, default):
                 top = None
                 for best in sweeps:
                     hit = best(k, p)
-                    if hit and (top is None or len(hit[1]) > len(top[1])):
+                    if hit and (top is None or (len(hit[1]), hit[2]) > (len(top[1]), top[2])):
                         top = hit
                 verdicts.append(top[0] if top else default)
                 rules.append(top[1] if top else None)

@@ -53,7 +53,7 @@ def test_table_queries_on_whole_table(spark):
 
 
 def test_filter_keeps_clashing_columns_and_empty_tables(spark):
-    df = spark.createDataFrame([(1, "the cat and the dog " * 3 + " ".join(f"w{i}" for i in range(60)), "x", 5),
+    df = spark.createDataFrame([(1, "the cat and the dog " * 3 + " ".join(f"w{i}" for i in "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"), "x", 5),
                                 (2, "short", "y", 6)], "doc_id long, text string, quality string, n_words int")
     out = Q.filter_docs(df)
     assert out.columns == df.columns

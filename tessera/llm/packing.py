@@ -1,16 +1,16 @@
 """Packing by minimum bin slack.
 
 Documents are tokenised where they are read and cut: every full window of
-``capacity`` ids is a sequence of its own, the rest of a document is one
-piece shorter than the window. Only piece rows (lengths and checksums) are
+``capacity`` ids is a sequence of its own; the rest of a document is one piece
+of up to half a window, or half a window and a piece, as short pieces leave
+little slack. Only piece rows (lengths and checksums) are
 shuffled, never ids. A task packs its pieces in blocks of at most ``BLOCK``:
 a subset-sum dynamic program over the bitset of reachable fill levels (one
 Python integer, bit f set when some multiset of the remaining lengths fills
 f) picks the multiset closest to the capacity, backtracking gives how often
 each length is used, and the pattern is applied as often as the counts allow
-before the program runs again. A document's pieces may be cut freely, so what
-a block can't fill exactly is at most one open sequence: the last pieces of a
-block are cut at powers of two where that saves padding.
+before the program runs again. What is left of a block goes to sequences
+that end at a power of two, which need no padding, and at last to an open one.
 
 Sequence ids are ``block * 2**32 + number`` with pieces sorted by document
 inside a task, so a retried task makes the same sequences.
@@ -35,6 +35,8 @@ END_ID = 1
 #: Rows of remaining pieces that are packed together at most.
 BLOCK = 100_000
 KEPT = 600_000
+#: The shortest sequence that is made to end at a power of two.
+LEAST_POWER = 64
 
 
 class Words(dict):
@@ -83,9 +85,13 @@ def encode(text: str, words: Words) -> bytes:
 
 
 def cut_pieces(ids: bytes, capacity: int):
-    """(start, length, crc32) of each piece, full windows first."""
+    """(start, length, crc32) of each piece: full windows, then half a window
+    if the rest holds one, then the rest."""
     n = len(ids) // 4
-    return [(i, min(capacity, n - i), zlib.crc32(ids[4 * i:4 * (i + capacity)])) for i in range(0, n, capacity)]
+    cuts = list(range(0, n, capacity))
+    if n - cuts[-1] > capacity // 2 and n - cuts[-1] < capacity:
+        cuts.append(cuts[-1] + capacity // 2)
+    return [(a, b - a, zlib.crc32(ids[4 * a:4 * b])) for a, b in zip(cuts, [*cuts[1:], n])]
 
 
 def _tokenise(path: str, capacity: int):
@@ -115,7 +121,8 @@ def best_fill(counts: dict[int, int], capacity: int) -> dict[int, int]:
     """The multiset of the counted lengths whose sum is closest to, and not
     over, the capacity, as length -> times. Lengths go in descending order;
     ``levels[k]`` is the bitset of sums reachable with the first k of the
-    binary-split items."""
+    binary-split items. Where the capacity itself is out of reach, a fill of a
+    power of two from ``LEAST_POWER`` on comes first, as it needs no padding."""
     items, levels, mask = [], [1], (1 << capacity + 1) - 1
     for length in sorted(counts, reverse=True):
         left, times = min(counts[length], capacity // length), 1
@@ -128,6 +135,9 @@ def best_fill(counts: dict[int, int], capacity: int) -> dict[int, int]:
         if levels[-1] >> capacity & 1:
             break
     at, used = levels[-1].bit_length() - 1, {}
+    if at < capacity:
+        powers = [1 << k for k in range(capacity.bit_length()) if 1 << k >= LEAST_POWER and levels[-1] >> (1 << k) & 1]
+        at = max(powers, default=at)
     for (length, times), before in zip(reversed(items), reversed(levels[:-1])):
         if not before >> at & 1:
             used[length] = used.get(length, 0) + times

@@ -3,20 +3,21 @@
 1. Where a text is read it becomes its set of distinct five-word shingles
    (64-bit hashes), of which only a digest and minhash signatures go on.
    Texts with the same set are one class, represented by its least doc_id.
-2. A coarse index (``COARSE`` chunks of ``COARSE_ROWS`` positions, no error)
-   drops classes that agree with no other class anywhere.
-3. The signature proper has ``CHUNKS`` chunks of ``ROWS`` positions of
-   b = 16 bits. Each chunk is indexed once per allowed error: one position
-   is left out, so two chunks with at most one differing position share a
-   key. By the pigeonhole principle all pairs whose signatures differ in at
-   most ``2 * CHUNKS - 1`` positions meet in a key. Beyond that distance
-   errors fall at random: a pair of similarity 0.75 fails to meet with
-   probability (1 - 0.367)^32 = 4e-7 here and 7e-7 in the coarse index.
+2. A signature has chunks of positions. Each chunk is indexed once per
+   allowed error: one position is left out, so two chunks with at most one
+   differing position share a key. By the pigeonhole principle all pairs whose
+   signatures differ in at most ``2 * chunks - 1`` positions meet in a key.
+   Beyond that distance errors fall at random: with 11 chunks of 4 positions a
+   pair of similarity 0.75 fails to meet with probability 0.262^11 = 4e-7.
+3. Classes in a key of more than ``LARGE`` (they share a passage, or are a
+   large group of copies) are indexed again by an independent signature of 32
+   chunks of 8 positions, which texts that only share a passage hardly ever
+   agree in; 0.75 fails to meet with probability (1 - 0.367)^32 = 4e-7.
 4. Pairs that meet are compared by 256-bit sketches (one bit a position) and
    those within ``SKETCH_DISTANCE`` (over five deviations above the mean of
-   similarity 0.75) connect their classes to candidate clusters. A key with
-   more than ``LARGE`` classes links them to its least one instead, without
-   comparison, so a hot key costs its size.
+   similarity 0.75) connect their classes to candidate clusters. A key of the
+   second index with more than ``LARGE`` classes links them to its least one
+   instead, without comparison, so a hot key costs its size.
 5. Links are confirmed on full shingle sets, inside clusters. Clusters are
    hashed into blocks of about ``BLOCK`` classes; a task compares the pairs of
    a block and returns a spanning forest of the links. Large clusters are
@@ -45,9 +46,9 @@ from tessera.llm.components import components
 
 WORDS = 5
 PERCENT = 75
-COARSE, COARSE_ROWS = 26, 3
-CHUNKS, ROWS = 32, 8
-POSITIONS = CHUNKS * ROWS
+#: (chunks, positions of a chunk) of the first and of the second signature.
+FIRST, SECOND = (11, 4), (32, 8)
+SKETCH_BITS = 256
 SKETCH_DISTANCE = 60
 LARGE = 1024
 BLOCK = 128
@@ -62,8 +63,9 @@ def constants():
     rng = np.random.default_rng(SEED)
     odd = lambda n: rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     table, base = odd(256), int(odd(1)[0])
-    n = COARSE * COARSE_ROWS + POSITIONS
-    return {"table": table, "base": base, "inverse": pow(base, -1, 1 << 64), "mul": odd(n), "add": odd(n),
+    n = {"first": FIRST[0] * FIRST[1], "second": SECOND[0] * SECOND[1], "sketch": SKETCH_BITS}
+    functions = {k: (odd(m), odd(m)) for k, m in n.items()}
+    return {"table": table, "base": base, "inverse": pow(base, -1, 1 << 64), **functions,
             "up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
@@ -107,40 +109,30 @@ def mixed(h):
     return h ^ (h >> np.uint64(31))
 
 
-def minhashes(h, c):
+def minhashes(h, functions):
     """The least value of each hash function over the set, 32 bits."""
     import numpy as np
 
-    out = np.full(len(c["mul"]), 0xFFFFFFFF, np.uint64)
+    mul, add = functions
+    out = np.full(len(mul), 0xFFFFFFFF, np.uint64)
     for i in range(0, len(h), 1024):
         part = h[i:i + 1024]
         for k in range(0, len(out), 64):
-            v = c["mul"][k:k + 64, None] * part
-            v += c["add"][k:k + 64, None]
+            v = mul[k:k + 64, None] * part
+            v += add[k:k + 64, None]
             out[k:k + 64] = np.minimum(out[k:k + 64], v.min(axis=1) >> np.uint64(32))
     return out
 
 
-def coarse_keys(mins):
-    """One key per coarse chunk."""
+def chunk_keys(signature, chunks: int, rows: int):
+    """One key per chunk and left-out position of a signature."""
     import numpy as np
 
-    part = mins[:COARSE * COARSE_ROWS].reshape(COARSE, COARSE_ROWS)
-    h = np.arange(COARSE, dtype=np.uint64)
-    for j in range(COARSE_ROWS):
-        h = mixed(h * np.uint64(0x9E3779B97F4A7C15) + part[:, j])
-    return h.view(np.int64)
-
-
-def fine_keys(signature):
-    """One key per chunk and left-out position of a 16-bit signature."""
-    import numpy as np
-
-    part = signature.astype(np.uint64).reshape(CHUNKS, ROWS)
-    each = mixed((part << np.uint64(16)) + np.arange(ROWS, dtype=np.uint64)
-                 + (np.arange(CHUNKS, dtype=np.uint64)[:, None] << np.uint64(40)))
+    part = signature.astype(np.uint64).reshape(chunks, rows)
+    each = mixed((part << np.uint64(16)) + np.arange(rows, dtype=np.uint64)
+                 + (np.arange(chunks, dtype=np.uint64)[:, None] << np.uint64(50)))
     whole = each.sum(axis=1, dtype=np.uint64)[:, None] - each
-    place = np.arange(CHUNKS * ROWS, dtype=np.uint64).reshape(CHUNKS, ROWS)
+    place = np.arange(chunks * rows, dtype=np.uint64).reshape(chunks, rows)
     return mixed(whole + place * np.uint64(0x9E3779B97F4A7C15)).ravel().view(np.int64)
 
 
@@ -151,38 +143,48 @@ def _signatures(batches):
     import pyarrow as pa
 
     c = per_process("near-dedup", constants)
-    first = COARSE * COARSE_ROWS
     for b in batches:
-        n, digest, coarse, sig = [], [], [], []
+        n, digest, sig, sketch = [], [], [], []
         for t in b.column("text"):
             h = shingles(t.as_py(), c)
             n.append(len(h))
             if not len(h):
                 digest.append(None)
-                coarse.append(None)
                 sig.append(None)
+                sketch.append(None)
                 continue
-            m = minhashes(h, c)
             digest.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest())
-            coarse.append(coarse_keys(m))
-            sig.append((m[first:] & np.uint64(0xFFFF)).astype("<u2").tobytes())
+            sig.append(minhashes(h, c["first"]).astype("<u4").tobytes())
+            sketch.append(np.packbits((minhashes(h, c["sketch"]) & np.uint64(1)).astype(np.uint8)).tobytes())
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
-                                          pa.array(coarse, pa.list_(pa.int64())), pa.array(sig, pa.binary())],
-                                         names=["doc_id", "n_shingles", "digest", "coarse", "sig"])
+                                          pa.array(sig, pa.binary()), pa.array(sketch, pa.binary())],
+                                         names=["doc_id", "n_shingles", "digest", "sig", "sketch"])
 
 
-def _fine(batches):
+def _first_keys(batches):
     import numpy as np
     import pyarrow as pa
 
     for b in batches:
-        for i in range(0, b.num_rows, 64):
-            part = b.slice(i, 64)
-            keys = [fine_keys(np.frombuffer(s.as_py(), "<u2")) for s in part.column("sig")]
-            ids = np.repeat(part.column("id").to_numpy(), POSITIONS)
+        if b.num_rows:
+            keys = [chunk_keys(np.frombuffer(s.as_py(), "<u4"), *FIRST) for s in b.column("sig")]
+            ids = np.repeat(b.column("id").to_numpy(), FIRST[0] * FIRST[1])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(ids)], names=["key", "id"])
 
 
+def _second_keys(batches):
+    import numpy as np
+    import pyarrow as pa
+
+    c = per_process("near-dedup", constants)
+    for b in batches:
+        for i, t in zip(b.column("id").to_pylist(), b.column("text")):
+            h = shingles(t.as_py(), c)
+            if len(h):
+                keys = chunk_keys(minhashes(h, c["second"]) & np.uint64(0xFFFF), *SECOND)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), i))], names=["key", "id"])
+
+
 def _sets(batches):
     import pyarrow as pa
 
@@ -252,11 +254,11 @@ def _edge_batches(edges):
         yield made()
 
 
-def sketch_forest(ids, sigs):
+def sketch_forest(ids, sketches):
     """Edges that connect ids whose sketches are within ``SKETCH_DISTANCE``."""
     import numpy as np
 
-    bits = np.stack([np.packbits(np.frombuffer(s, "<u2") & 1) for s in sigs]).view(np.uint64)
+    bits = np.frombuffer(b"".join(sketches), np.uint64).reshape(len(ids), -1)
     tree = Forest(len(ids))
     for i in range(len(ids) - 1):
         near = np.bitwise_count(bits[i + 1:] ^ bits[i]).sum(axis=1) <= SKETCH_DISTANCE
@@ -266,7 +268,7 @@ def sketch_forest(ids, sigs):
 
 
 def _meet(batches):
-    return _edge_batches(e for _, r in runs(batches, ["key"]) if len(r["id"]) > 1 for e in sketch_forest(r["id"], r["sig"]))
+    return _edge_batches(e for _, r in runs(batches, ["key"]) if len(r["id"]) > 1 for e in sketch_forest(r["id"], r["sketch"]))
 
 
 def link_forest(ids, sets, left=None):
@@ -333,30 +335,36 @@ def _confirm_left(batches):
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, digest of the set, coarse keys and signature."""
+    """doc_id, n_shingles, digest of the set, first signature and sketch."""
     rows = docs.selectExpr("cast(doc_id AS long) AS doc_id", "text")
-    return rows.mapInArrow(_signatures, "doc_id long, n_shingles long, digest binary, coarse array<long>, sig binary")
+    return rows.mapInArrow(_signatures, "doc_id long, n_shingles long, digest binary, sig binary, sketch binary")
 
 
-def meeting(keys: DataFrame) -> DataFrame:
-    """(key, hub, n) of the keys that two ids or more share."""
-    return keys.groupBy("key").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+def meetings(keys: DataFrame, name: str) -> DataFrame:
+    """(key, id, hub, n) of the keys that n > 1 ids share; hub is the least."""
+    shared = keys.groupBy("key").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return staged(keys.join(staged(shared, f"{name}-shared"), "key"), name)
 
 
-def candidate_links(classes: DataFrame) -> DataFrame:
+def near_pairs(rows: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect the near sketches of each key."""
+    few = rows.join(sketches, "id").select("key", "id", "sketch")
+    return few.repartition("key").sortWithinPartitions("key", "id").mapInArrow(_meet, "a long, b long")
+
+
+def candidate_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """Edges (a, b) that connect classes into candidate clusters."""
-    coarse = classes.select("id", F.explode("coarse").alias("key"))
-    shared = staged(meeting(coarse).select("key"), "near-coarse")
-    suspects = coarse.join(shared, "key", "left_semi").select("id").distinct()
-    suspects = staged(classes.select("id", "sig").join(suspects, "id", "left_semi"), "near-suspects")
-    fine = staged(suspects.mapInArrow(_fine, "key long, id long"), "near-fine")
-    shared = staged(meeting(fine), "near-meeting")
-    rows = fine.join(shared, "key").filter("id != hub OR n <= %d" % LARGE)
-    rows = staged(rows, "near-keys")
-    hot = rows.filter(f"n > {LARGE}").select(F.col("hub").alias("a"), F.col("id").alias("b"))
-    few = rows.filter(f"n <= {LARGE}").select("key", "id").join(suspects, "id").select("key", "id", "sig")
-    few = few.repartition("key").sortWithinPartitions("key", "id").mapInArrow(_meet, "a long, b long")
-    return hot.union(few)
+    sketches = classes.select("id", "sketch")
+    met = meetings(classes.select("id", "sig").mapInArrow(_first_keys, "key long, id long"), "near-first")
+    links = near_pairs(met.filter(f"n <= {LARGE}"), sketches)
+    again = staged(met.filter(f"n > {LARGE}").select("id").distinct(), "near-again")
+    if again.isEmpty():
+        return links
+    texts = with_ids(docs.selectExpr("cast(doc_id AS long) AS doc_id", "text"), again)
+    keys = texts.selectExpr("doc_id AS id", "text").mapInArrow(_second_keys, "key long, id long")
+    met = meetings(staged(keys, "near-second-keys"), "near-second")
+    hot = met.filter(f"n > {LARGE} AND id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b"))
+    return links.union(near_pairs(met.filter(f"n <= {LARGE}"), sketches)).union(hot)
 
 
 def confirmed_links(docs: DataFrame, clusters: DataFrame) -> DataFrame:
@@ -405,9 +413,9 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     bounded_batches(docs.sparkSession, 256)
     rows = staged(signatures(docs), "near-signatures")
     linked = rows.filter("digest IS NOT NULL AND doc_id IS NOT NULL")
-    classes = staged(linked.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("coarse").alias("coarse"),
-                                                  F.first("sig").alias("sig")), "near-classes")
-    clusters = components(staged(candidate_links(classes), "near-candidates"))
+    classes = staged(linked.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig"),
+                                                  F.first("sketch").alias("sketch")), "near-classes")
+    clusters = components(staged(candidate_links(docs, classes), "near-candidates"))
     found = components(confirmed_links(docs, clusters))
     ids = classes.select("digest", "id").join(found, "id", "left").select("digest", F.coalesce("component", "id").alias("component_id"))
     ids = staged(ids, "near-components")

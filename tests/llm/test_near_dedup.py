@@ -88,16 +88,29 @@ def test_keep_one_keeps_columns(spark):
     assert sorted(str(r.doc_id) for r in out.collect()) == ["0", "None"]
 
 
-def test_fine_keys_find_every_single_error(spark):
+@pytest.mark.parametrize("chunks,rows", [N.FIRST, N.SECOND])
+def test_chunk_keys_find_every_single_error(chunks, rows):
     import numpy as np
 
     rng = np.random.default_rng(0)
-    a = rng.integers(0, 1 << 16, N.POSITIONS).astype("<u2")
+    a = rng.integers(0, 1 << 16, chunks * rows).astype("<u4")
     b = a.copy()
-    b[::N.ROWS] ^= 1  # one error in every chunk: 32 errors
-    b[1] ^= 1  # and a second one in the first
-    same = np.intersect1d(N.fine_keys(a), N.fine_keys(b))
-    assert len(same) == N.CHUNKS - 1
+    b[::rows] ^= 1  # one error in every chunk
+    assert len(np.intersect1d(N.chunk_keys(a, chunks, rows), N.chunk_keys(b, chunks, rows))) == chunks
+    b[1::rows] ^= 1  # two errors everywhere but in the first chunk: still found
+    b[1] ^= 1
+    assert len(np.intersect1d(N.chunk_keys(a, chunks, rows), N.chunk_keys(b, chunks, rows))) == 1
+
+
+def test_sketches_of_similar_sets_are_near():
+    import numpy as np
+
+    c, rng, far = N.constants(), np.random.default_rng(1), 0
+    for _ in range(200):
+        h = rng.integers(0, 1 << 63, 500, dtype=np.uint64)
+        bits = [np.packbits((N.minhashes(x, c["sketch"]) & np.uint64(1)).astype(np.uint8)).tobytes() for x in (h[:438], h[62:])]  # J = 0.752
+        far += not N.sketch_forest([1, 2], bits)
+    assert far == 0
 
 
 def test_components_of_chains_and_stars(spark):

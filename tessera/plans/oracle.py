@@ -206,7 +206,7 @@ DAILY_NUMERIC_MEANS = with_rel(REVIEWS) + """
     SELECT date, avg(rating) AS avg_rating, avg(votes) AS avg_votes, avg(helpful) AS avg_helpful
     FROM reviews GROUP BY ALL"""
 DAILY_RATING_PRINTED = with_rel(REVIEWS) + f"""
-    SELECT date, printf('%.2f', {_DAY}) AS avgrating FROM reviews GROUP BY ALL"""
+    SELECT date, printf('%.2f', round({_DAY}, 2)) AS avgrating FROM reviews GROUP BY ALL"""
 BEST_SELLERS_REPORT = with_rel(SELLS) + """
     SELECT "group", Id, salesrank, row_number() OVER (PARTITION BY "group" ORDER BY salesrank, Id)::INTEGER AS position
     FROM sells WHERE salesrank > 0 QUALIFY RANK() OVER (PARTITION BY "group" ORDER BY salesrank) <= 10"""

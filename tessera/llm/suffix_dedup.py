@@ -19,8 +19,11 @@ n / 70 anchors. The bytes of all windows that share an anchor are a *piece*
    and equal-sized levels merge, so a suffix is merged a logarithmic number
    of times. Only batches and levels of one chunk of grams are in memory.
 3. A gram with more than ``LARGE`` distinct pieces (a passage shared by very
-   many texts, where it begins and ends) is dealt out by window instead: its
-   windows are counted by hash with map-side combining.
+   many texts, where it begins and ends) is dealt out by content instead. A
+   window begins some bytes before its anchor; for each doubling of that
+   distance the bytes that all its windows share are hashed, and pieces alone
+   with that hash drop out. The windows of the others are counted by hash.
+   Both counts combine before they are shuffled.
 4. The repeated stretches of a text are merged and cut out in one pass.
 
 Work is by text: copies of a text carry the same 128-bit digest, count as
@@ -83,7 +86,8 @@ def _sums(data, c):
 
 
 def anchors(text: bytes, c):
-    """(start of the first window, windows, gram hash, piece hash) per anchor."""
+    """(start of the first window, windows, gram hash, piece hash, bytes from
+    the first window's start to the anchor) per anchor."""
     import numpy as np
 
     width = LENGTH - GRAM + 1
@@ -101,9 +105,9 @@ def anchors(text: bytes, c):
         cut = np.flatnonzero(np.diff(place)) + 1
         first, last = np.concatenate([[0], cut]), np.concatenate([cut, [n]]) - 1
         piece = mixed((s[last + LENGTH] - s[first]) * c["down"][first] + (last - first).astype(np.uint64))
-        out.append((first + at, last - first + 1, h[place[first]], piece))
+        out.append((first + at, last - first + 1, h[place[first]], piece, place[first] - first))
     if not out:
-        return (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64))
+        return tuple(np.empty(0, t) for t in (np.int64, np.int64, np.uint64, np.uint64, np.int64))
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
@@ -127,7 +131,8 @@ def _grams(batches):
 
 
 def _pieces(batches):
-    """Anchors with (tid, place): place packs the first window and their number."""
+    """Anchors with (tid, place): place packs the first window, the anchor's
+    distance from it and the number of windows."""
     import numpy as np
     import pyarrow as pa
 
@@ -135,10 +140,10 @@ def _pieces(batches):
     for b in batches:
         for t in b.column("text"):
             data = encoded(t.as_py())
-            first, n, gram, piece = anchors(data, c)
+            first, n, gram, piece, ahead = anchors(data, c)
             if len(first):
                 tid = pa.array([text_id(data)], pa.binary()).take(pa.array(np.zeros(len(first), np.int64)))
-                yield pa.RecordBatch.from_arrays([tid, pa.array(first << 8 | n), pa.array(gram.view("int64")), pa.array(piece.view("int64"))],
+                yield pa.RecordBatch.from_arrays([tid, pa.array(first << 16 | ahead << 8 | n), pa.array(gram.view("int64")), pa.array(piece.view("int64"))],
                                                  names=["tid", "place", "gram", "piece"])
 
 
@@ -147,17 +152,18 @@ def _cut_pieces(batches):
     import pyarrow as pa
 
     for b in batches:
-        gram, piece, n, data = [], [], [], []
+        gram, piece, n, ahead, data = [], [], [], [], []
         for t, wanted in zip(b.column("text"), b.column("wanted").to_pylist()):
             text = encoded(t.as_py())
             for w in wanted:
-                first, windows = w["place"] >> 8, w["place"] & 255
+                first, windows = w["place"] >> 16, w["place"] & 255
+                ahead.append(w["place"] >> 8 & 255)
                 gram.append(w["gram"])
                 piece.append(w["piece"])
                 n.append(w["n"])
                 data.append(text[first:first + windows + LENGTH - 1])
-        yield pa.RecordBatch.from_arrays([pa.array(gram, pa.int64()), pa.array(piece, pa.int64()), pa.array(n, pa.int64()), pa.array(data, pa.binary())],
-                                         names=["gram", "piece", "n", "data"])
+        yield pa.RecordBatch.from_arrays([pa.array(gram, pa.int64()), pa.array(piece, pa.int64()), pa.array(n, pa.int64()),
+                                          pa.array(ahead, pa.int64()), pa.array(data, pa.binary())], names=["gram", "piece", "n", "ahead", "data"])
 
 
 class Family:
@@ -249,17 +255,51 @@ def _scan(batches):
         yield done(held)
 
 
+def distances():
+    """Ranges (nearest, farthest) of the distance from a window's start to its
+    anchor, each twice as wide as the one before."""
+    out, low = [(0, 0)], 1
+    while low <= LENGTH - GRAM:
+        out.append((low, min(2 * low - 1, LENGTH - GRAM)))
+        low *= 2
+    return out
+
+
+def _hash16(data: bytes) -> bytes:
+    return hashlib.blake2b(data, digest_size=16).digest()
+
+
+def _cores(batches):
+    """Per piece of a large gram and range of distances the hash of the bytes
+    that the windows of that range share: rows (gram, piece, n, ahead, data)."""
+    import pyarrow as pa
+
+    for b in batches:
+        out = []
+        for gram, piece, n, ahead, data in zip(*[c.to_pylist() for c in b.columns]):
+            for k, (near, far) in enumerate(distances()):
+                if near <= ahead and far >= ahead - (len(data) - LENGTH):
+                    out.append((_hash16(bytes([k]) + data[ahead - near:ahead + LENGTH - far]), gram, piece, n, k))
+        kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)],
+                                         names=["core", "gram", "piece", "n", "range"])
+
+
 def _windows(batches):
-    """Every window of the pieces of a large gram, by its 128-bit hash."""
+    """The windows in one range of distances, by hash: rows (gram, piece, n,
+    ahead, data, range)."""
     import pyarrow as pa
 
+    spans = distances()
     for b in batches:
-        for gram, piece, n, data in zip(*[c.to_pylist() for c in b.columns]):
-            size = len(data) - LENGTH + 1
-            yield pa.RecordBatch.from_arrays([
-                pa.array([hashlib.blake2b(data[i:i + LENGTH], digest_size=16).digest() for i in range(size)], pa.binary()),
-                pa.array([gram] * size, pa.int64()), pa.array([piece] * size, pa.int64()), pa.array([n] * size, pa.int64()),
-                pa.array(range(size), pa.int64())], names=["window", "gram", "piece", "n", "at"])
+        out = []
+        for gram, piece, n, ahead, data, k in zip(*[c.to_pylist() for c in b.columns]):
+            near, far = spans[k]
+            for at in range(max(0, ahead - far), min(len(data) - LENGTH, ahead - near) + 1):
+                out.append((_hash16(data[at:at + LENGTH]), gram, piece, n, at))
+        kinds = [pa.binary(), *[pa.int64()] * 4]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)],
+                                         names=["window", "gram", "piece", "n", "at"])
 
 
 def repeats(docs: DataFrame) -> DataFrame:
@@ -279,21 +319,25 @@ def repeats(docs: DataFrame) -> DataFrame:
     open_ = pieces.join(several, "gram").select("at.tid", F.struct("gram", "piece", "n", F.col("at.place").alias("place")).alias("w"), "d")
     wanted = staged(open_.groupBy("tid").agg(F.collect_list("w").alias("wanted")), "suffix-wanted")
     data = with_texts(docs, wanted).select("tid", "text", "wanted").dropDuplicates(["tid"]).select("text", "wanted")
-    data = staged(data.mapInArrow(_cut_pieces, "gram long, piece long, n long, data binary").join(several, "gram"), "suffix-data")
+    data = staged(data.mapInArrow(_cut_pieces, "gram long, piece long, n long, ahead long, data binary").join(several, "gram"), "suffix-data")
     few = data.filter(f"d <= {LARGE}").select("gram", "piece", "n", "data")
     few = few.repartition("gram").sortWithinPartitions("gram", "piece")
     few = few.mapInArrow(_scan, "gram long, piece long, low long, high long")
     marks = [whole, staged(few.join(pieces.filter("n = 1").select("gram", "piece"), ["gram", "piece"], "left_semi"), "suffix-marks")]
-    many = data.filter(f"d > {LARGE}").select("gram", "piece", "n", "data")
+    many = data.filter(f"d > {LARGE}").select("gram", "piece", "n", "ahead", "data")
     if not many.isEmpty():
-        windows = staged(many.mapInArrow(_windows, "window binary, gram long, piece long, n long, at long"), "suffix-windows")
+        cores = staged(many.mapInArrow(_cores, "core binary, gram long, piece long, n long, range int"), "suffix-cores")
+        shared = staged(cores.groupBy("core").agg(F.sum("n").alias("times")).filter("times > 1").select("core"), "suffix-shared")
+        ranges = cores.join(shared, "core", "left_semi").select("gram", "piece", "range")
+        windows = many.join(ranges, ["gram", "piece"]).select("gram", "piece", "n", "ahead", "data", "range")
+        windows = staged(windows.mapInArrow(_windows, "window binary, gram long, piece long, n long, at long"), "suffix-windows")
         twice = staged(windows.groupBy("window").agg(F.sum("n").alias("times")).filter("times > 1").select("window"), "suffix-twice")
         hit = windows.filter("n = 1").join(twice, "window", "left_semi")
         marks.append(staged(hit.groupBy("gram", "piece").agg(F.min("at").alias("low"), F.max("at").alias("high")), "suffix-marks"))
     marked = marks[0]
     for m in marks[1:]:
         marked = marked.union(m)
-    first = F.shiftright("place", 8)
+    first = F.shiftright("place", 16)
     spans = found.join(marked, ["gram", "piece"]).select(
         "tid", F.struct((first + F.col("low")).alias("start"), (first + F.col("high") + LENGTH).alias("end")).alias("span"))
     return staged(spans.groupBy("tid").agg(F.collect_set("span").alias("spans")), "suffix-spans")

@@ -112,7 +112,7 @@ def dedup(docs: DataFrame, digest=sha256, batches: int = BATCHES) -> DataFrame:
     keys = spark.read.schema(keys.schema).parquet(path)
     state = staged(run_stream(spark, path, keys.schema, batches), "dedup-state")
     out = keys.join(state, "digest")
-    bad = mismatches(docs, state, digest).checkpoint()
+    bad = staged(mismatches(docs, state, digest), "dedup-mismatches")
     if not bad.isEmpty():
         rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
                            digest(F.col("text")).alias("digest")).join(bad, "digest", "left_semi")

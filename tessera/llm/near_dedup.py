@@ -50,7 +50,7 @@ PERCENT = 75
 FIRST, SECOND = (11, 4), (32, 8)
 SKETCH_BITS = 256
 SKETCH_DISTANCE = 60
-LARGE = 1024
+LARGE = 4096
 BLOCK = 128
 SEED = 11
 
@@ -237,6 +237,25 @@ def runs(batches, keys):
         yield now, dict(zip(b.schema.names, held))
 
 
+def fresh(edges, most: int = 200_000):
+    """Edges between ids that earlier edges of the task don't connect yet; the
+    memory of them is emptied at ``most`` ids, which only repeats edges."""
+    up: dict[int, int] = {}
+
+    def root(i):
+        while (j := up.setdefault(i, i)) != i:
+            up[i] = i = up[j]
+        return i
+
+    for a, b in edges:
+        x, y = root(a), root(b)
+        if x != y:
+            up[max(x, y)] = min(x, y)
+            yield a, b
+            if len(up) > most:
+                up.clear()
+
+
 def _edge_batches(edges):
     import pyarrow as pa
 
@@ -245,7 +264,7 @@ def _edge_batches(edges):
     def made():
         return pa.RecordBatch.from_arrays([pa.array([e[k] for e in held], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    for e in edges:
+    for e in fresh(edges):
         held.append(e)
         if len(held) >= 4096:
             yield made()
@@ -370,9 +389,9 @@ def candidate_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
 def confirmed_links(docs: DataFrame, clusters: DataFrame) -> DataFrame:
     """Spanning links (a, b), confirmed on full sets, of candidate clusters
     (id, component)."""
-    size = clusters.groupBy("component").agg(F.count(F.lit(1)).alias("g")).checkpoint()
-    member = clusters.join(size, "component").select(
-        "id", F.col("component").alias("cluster"), F.ceil(F.col("g") / BLOCK).alias("nb")).checkpoint()
+    size = staged(clusters.groupBy("component").agg(F.count(F.lit(1)).alias("g")), "near-sizes")
+    member = staged(clusters.join(size, "component").select(
+        "id", F.col("component").alias("cluster"), F.ceil(F.col("g") / BLOCK).alias("nb")), "near-members")
     texts = with_ids(docs.selectExpr("cast(doc_id AS long) AS doc_id", "text"), member.select("id"))
     sets = texts.select(F.col("doc_id").alias("id"), "text").mapInArrow(_sets, "id long, shingles binary")
     sets = staged(sets.join(member, "id"), "near-sets")
@@ -391,12 +410,12 @@ def confirmed_links(docs: DataFrame, clusters: DataFrame) -> DataFrame:
         return links
     member = member.filter("nb > 1")
     found = components(links)
-    member = member.join(found, "id", "left").withColumn("component", F.coalesce("component", "id")).checkpoint()
+    member = staged(member.join(found, "id", "left").withColumn("component", F.coalesce("component", "id")), "near-members")
     count = member.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("n"))
     main = count.groupBy("cluster").agg(F.max(F.struct("n", "component"))["component"].alias("main"), F.sum("n").alias("g"),
                                         F.max("n").alias("most"))
-    main = main.select("cluster", "main", F.ceil((F.col("g") - F.col("most")) / BLOCK).alias("nl")).filter("nl > 0").checkpoint()
-    member = member.join(main, "cluster").select("id", "nl", (F.col("component") != F.col("main")).alias("left")).checkpoint()
+    main = staged(main.select("cluster", "main", F.ceil((F.col("g") - F.col("most")) / BLOCK).alias("nl")).filter("nl > 0"), "near-main")
+    member = staged(member.join(main, "cluster").select("id", "nl", (F.col("component") != F.col("main")).alias("left")), "near-left")
     rows = large.join(member, "id")
     every = rows.select("cluster", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nl") - 1)).alias("lblock"),
                         block(3).alias("cblock"), "id", "shingles", F.lit(False).alias("left"))

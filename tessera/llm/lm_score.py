@@ -250,18 +250,43 @@ def train(docs: DataFrame, rounds: int = ROUNDS):
     return flat
 
 
+def scores(p, texts) -> list[tuple[int, float]]:
+    """(positions, summed log-probabilities) of each text; the positions of
+    many texts are evaluated together."""
+    import numpy as np
+
+    size, total, held, n = [], [], [], 0
+
+    def flush():
+        cuts = np.cumsum([0] + [len(t) for _, t, _ in held])
+        values = log_probabilities(p, np.concatenate([t for _, t, _ in held]), np.concatenate([c for _, _, c in held], axis=1))
+        for (k, _, _), a, b in zip(held, cuts, cuts[1:]):
+            total[k] += float(values[a:b].sum())
+
+    for text in texts:
+        seq = buckets(text)
+        context = windows(seq)
+        size.append(len(seq))
+        total.append(0.0)
+        for i in range(0, len(seq), STEP):
+            held.append((len(size) - 1, seq[i:i + STEP], context[:, i:i + STEP]))
+            n += len(held[-1][1])
+            if n >= STEP:
+                flush()
+                held, n = [], 0
+    if held:
+        flush()
+    return list(zip(size, total))
+
+
 def _score(flat):
     def run(batches):
         import pyarrow as pa
 
         p = unpack(flat)
         for b in batches:
-            n, score = [], []
-            for t in b.column("text"):
-                seq = buckets(t.as_py())
-                context = windows(seq)
-                n.append(len(seq))
-                score.append(sum(float(log_probabilities(p, seq[i:i + STEP], context[:, i:i + STEP]).sum()) for i in range(0, len(seq), STEP)))
+            made = scores(p, (t.as_py() for t in b.column("text")))
+            n, score = [x[0] for x in made], [x[1] for x in made]
             mean = [s / k if k else None for s, k in zip(score, n)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(score, pa.float64()), pa.array(mean, pa.float64())],
                                              names=["doc_id", "n_tokens", "score", "mean_score"])

@@ -34,13 +34,16 @@ CAPACITY = 2048
 END_ID = 1
 #: Rows of remaining pieces that are packed together at most.
 BLOCK = 100_000
-KEPT = 600_000
+KEPT = 1_500_000
+#: Texts that are encoded together.
+GROUP = 64
 #: The shortest sequence that is made to end at a power of two.
 LEAST_POWER = 64
 
 
-class Words(dict):
-    """Ids (little-endian 32-bit bytes) of stretches of text, kept up to ``KEPT``."""
+class Words:
+    """Ids (little-endian 32-bit bytes) of words with a space before them, kept
+    up to ``KEPT``."""
 
     def __init__(self, path: str):
         import os
@@ -48,40 +51,43 @@ class Words(dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
-        super().__init__()
+        self.kept: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
 
-    def fill(self, stretches) -> None:
-        """Encode what is not kept yet, in one call."""
+    def ids(self, texts: list[str]) -> list[bytes]:
         from array import array
 
-        new = [s for s in dict.fromkeys(stretches) if s not in self]
-        if new and len(self) + len(new) > KEPT:
-            self.clear()
-            new = list(dict.fromkeys(stretches))
-        for i in range(0, len(new), 4096):
-            part = new[i:i + 4096]
-            for s, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self[s] = array("I", e.ids).tobytes()
+        out: list[bytes] = []
+        for i in range(0, len(texts), 4096):
+            made = self.tokenizer.encode_batch_fast(texts[i:i + 4096], add_special_tokens=False)
+            out += [array("I", e.ids).tobytes() for e in made]
+        return out
 
+    def fill(self, words: set[str]) -> None:
+        """Encode what is not kept yet, in one call."""
+        new = words.difference(self.kept)
+        if len(self.kept) + len(new) > KEPT:
+            self.kept.clear()
+            new = words
+        new = list(new)
+        self.kept.update(zip(new, self.ids([" " + w for w in new])))
 
-def stretches(text: str) -> list[str]:
-    """The text cut before single spaces after a character that is not white
-    space: the byte-level pre-tokenizer always begins a token there. Texts
-    with longer runs of white space around a space are not cut."""
-    import re
 
-    words = text.split(" ")
-    if len(words) < 3 or re.search(r"\s (?:\s|\Z)", text):
-        return [text] if text else []
-    return [w for w in [words[0], *[" " + w for w in words[1:]]] if w]
+def encode(texts: list[str], words: Words) -> list[bytes]:
+    """Ids of each text as 32-bit little-endian bytes.
 
+    A text is cut before single spaces after a character that is not white
+    space: the byte-level pre-tokenizer always begins a token there. Texts
+    with longer runs of white space around a space are encoded whole.
+    """
+    import re
 
-def encode(text: str, words: Words) -> bytes:
-    """Ids of the text as 32-bit little-endian bytes."""
-    cut = stretches(text)
-    words.fill(cut)
-    return b"".join(map(words.__getitem__, cut))
+    cut = [t.split(" ") for t in texts]
+    whole = [len(c) < 3 or re.search(r"\s (?:\s|\Z)", t) is not None for t, c in zip(texts, cut)]
+    rest = [[] if w else c[1:] for c, w in zip(cut, whole)]
+    first = words.ids([t if w else c[0] for t, c, w in zip(texts, cut, whole)])
+    words.fill(set().union(*rest))
+    return [b"".join([f, *map(words.kept.__getitem__, r)]) for f, r in zip(first, rest)]
 
 
 def cut_pieces(ids: bytes, capacity: int):
@@ -101,10 +107,12 @@ def _tokenise(path: str, capacity: int):
         words = per_process(f"hf:{path}", lambda: Words(path))
         end = END_ID.to_bytes(4, "little")
         for b in batches:
-            rows = []
-            for doc, t in zip(b.column("doc_id").to_pylist(), b.column("text")):
-                ids = encode(t.as_py() or "", words) + end
-                rows += [(doc, s, n, c, len(ids) // 4) for s, n, c in cut_pieces(ids, capacity)]
+            rows, docs = [], b.column("doc_id").to_pylist()
+            for i in range(0, b.num_rows, GROUP):
+                texts = [t or "" for t in b.column("text").slice(i, GROUP).to_pylist()]
+                for doc, ids in zip(docs[i:i + GROUP], encode(texts, words)):
+                    ids += end
+                    rows += [(doc, s, n, c, len(ids) // 4) for s, n, c in cut_pieces(ids, capacity)]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)] if rows else [pa.array([], pa.int64())] * 5,
                                              names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
     return run

@@ -21,7 +21,7 @@ TOKENIZER = Tokenizer.from_file(PATH)
 def test_ids_are_the_library_s(text):
     words = getattr(K, "_w", None) or K.Words(PATH)
     K._w = words
-    assert K.encode(text, words) == np.array(TOKENIZER.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert K.encode([text], words)[0] == np.array(TOKENIZER.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 @settings(max_examples=200, deadline=None)

@@ -1,17 +1,25 @@
 """Masked pseudo-likelihood with a bidirectional window network.
 
 Words are hashed to ``VOCAB`` buckets. For each position a small network sees
-the two words on either side, never the word itself, and predicts its bucket
-in two steps (class, then member of the class). The sum of the conditional
-log-probabilities over all positions scores a document.
+the buckets of the two words on either side, never the word itself, and
+predicts its bucket in two steps (class, then member of the class). The third
+step is the word within its bucket, from the counts of all words of the
+corpus: of a bucket with ``t`` positions, a word counted ``c`` times has
+``c / (t + 1)`` and a word never counted ``1 / (t + 1)``. The sum of the
+conditional log-probabilities over all positions scores a document.
 
 Training is numpy inside Spark tasks and covers the whole corpus once: the
 rows are dealt into ``ROUNDS`` parts by a hash; in a round every task takes
 Adagrad steps over its rows of that part from the shared parameters, and the
 results are averaged, weighted by positions, in a shuffle by parameter block
 (sorted, so sums have a fixed order). The driver sees only the averaged
-parameters, whose size doesn't depend on the data. Scoring reads each text
-once.
+parameters of the network, whose size doesn't depend on the data.
+
+The word counts do grow with the corpus: Spark adds them up and keeps them as
+Parquet. Scoring evaluates the network, the bucket totals and the counts of
+the most frequent words (``HELD`` at most) where a text is read; the counts of
+all other words are joined to each text's words in a shuffle. Log counts are
+whole multiples of ``1 / UNIT``, so their sums don't depend on the order.
 
 Defined results: a null or blank text has 0 tokens, score 0 and a null mean.
 Repeated rows score alike, a null id is passed through, an empty table gives
@@ -20,12 +28,15 @@ an empty result; columns but ``doc_id`` and ``text`` are ignored.
 
 from __future__ import annotations
 
+import hashlib
+import math
 import zlib
+from collections import Counter
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import bounded_batches
+from tessera.llm.common import bounded_batches, staged
 
 CLASSES, MEMBERS = 32, 32
 VOCAB = CLASSES * MEMBERS
@@ -37,6 +48,11 @@ RATE = 0.1
 SEED = 5
 #: Parameters per shuffled block.
 BLOCK = 1024
+#: Word counts that a scoring task holds at most.
+HELD = 1 << 16
+UNIT = 1 << 24
+#: Words and bytes of text after which a task passes its counts on.
+FLUSH_WORDS, FLUSH_BYTES = 1 << 17, 1 << 26
 
 
 def shapes() -> dict[str, tuple[int, ...]]:
@@ -45,14 +61,10 @@ def shapes() -> dict[str, tuple[int, ...]]:
 
 
 def flat_size() -> int:
-    import math
-
     return sum(math.prod(s) for s in shapes().values())
 
 
 def unpack(flat) -> dict:
-    import math
-
     out, at = {}, 0
     for k, s in shapes().items():
         out[k] = flat[at:at + math.prod(s)].reshape(s)
@@ -71,11 +83,21 @@ def initial():
     return flat
 
 
+def words(text: str | None) -> list[bytes]:
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+
+
+def word_key(word: bytes) -> bytes:
+    """What a word is counted and joined by: long words have a digest, whose
+    20 bytes no short word has."""
+    return word if len(word) <= 16 else hashlib.blake2b(word, digest_size=20).digest()
+
+
 def buckets(text: str | None):
     import numpy as np
 
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    return np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % VOCAB
+    found = words(text)
+    return np.fromiter(map(zlib.crc32, found), np.int64, len(found)) % VOCAB
 
 
 def windows(seq):
@@ -250,9 +272,38 @@ def train(docs: DataFrame, rounds: int = ROUNDS):
     return flat
 
 
-def scores(p, texts) -> list[tuple[int, float]]:
+def _count(batches):
+    import pyarrow as pa
+
+    held, size = Counter(), 0
+
+    def counted():
+        return pa.RecordBatch.from_arrays([pa.array([word_key(w) for w in held], pa.binary()), pa.array([zlib.crc32(w) % VOCAB for w in held], pa.int32()),
+                                           pa.array(list(held.values()), pa.int64())], names=["word", "bucket", "n"])
+
+    for b in batches:
+        for t in b.column("text"):
+            found = words(t.as_py())
+            held.update(found)
+            size += sum(map(len, found))
+            if len(held) >= FLUSH_WORDS or size >= FLUSH_BYTES:
+                yield counted()
+                held, size = Counter(), 0
+    if held:
+        yield counted()
+
+
+def count_words(docs: DataFrame) -> DataFrame:
+    """word (its key), bucket and n of every word of the corpus."""
+    bounded_batches(docs.sparkSession)
+    found = docs.select("text").mapInArrow(_count, "word binary, bucket int, n long")
+    return staged(found.groupBy("word", "bucket").agg(F.sum("n").alias("n")), "lm-words")
+
+
+def scores(p, texts, spread=None) -> list[tuple[int, float]]:
     """(positions, summed log-probabilities) of each text; the positions of
-    many texts are evaluated together."""
+    many texts are evaluated together. ``spread`` has a value per bucket that
+    is added for each of its positions."""
     import numpy as np
 
     size, total, held, n = [], [], [], 0
@@ -260,6 +311,8 @@ def scores(p, texts) -> list[tuple[int, float]]:
     def flush():
         cuts = np.cumsum([0] + [len(t) for _, t, _ in held])
         values = log_probabilities(p, np.concatenate([t for _, t, _ in held]), np.concatenate([c for _, _, c in held], axis=1))
+        if spread is not None:
+            values += spread[np.concatenate([t for _, t, _ in held])]
         for (k, _, _), a, b in zip(held, cuts, cuts[1:]):
             total[k] += float(values[a:b].sum())
 
@@ -293,8 +346,75 @@ def _score(flat):
     return run
 
 
-def score(docs: DataFrame, flat) -> DataFrame:
-    """doc_id, n_tokens, score (summed log-probabilities) and its mean."""
+def units(n: int) -> int:
+    """The log of a count in units."""
+    return round(math.log(n) * UNIT)
+
+
+def _score_words(flat, spread, held, joined):
+    """Rows with the part of the score that a task knows, and the words whose
+    counts are to be joined (``joined``: there are any)."""
+    def run(batches):
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        p, task, row = unpack(flat), TaskContext.get().partitionId(), 0
+        for b in batches:
+            texts = [t.as_py() for t in b.column("text")]
+            made, known, rest, times = scores(p, texts, spread), [], [], []
+            for t in texts:
+                total, other = 0, {}
+                for w, n in Counter(words(t)).items():
+                    k = word_key(w)
+                    value = held.get(k)
+                    if value is not None:
+                        total += n * value
+                    elif joined:
+                        other[k] = n
+                known.append(total)
+                rest.append(list(other))
+                times.append(list(other.values()))
+            k = len(texts)
+            yield pa.RecordBatch.from_arrays([pa.array([task] * k, pa.int32()), pa.array(range(row, row + k), pa.int64()), b.column("doc_id"),
+                                              pa.array([x[0] for x in made], pa.int64()), pa.array([x[1] for x in made], pa.float64()), pa.array(known, pa.int64()),
+                                              pa.array(rest, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int64()))],
+                                             names=["task", "row", "doc_id", "n_tokens", "network", "known", "words", "times"])
+            row += k
+    return run
+
+
+def score(docs: DataFrame, flat, counts: DataFrame | None = None, most: int = HELD) -> DataFrame:
+    """doc_id, n_tokens, score (summed log-probabilities) and its mean.
+    ``counts`` are those of ``count_words``, of which a task holds ``most``;
+    without them the score is that of the buckets alone."""
+    import numpy as np
+
     bounded_batches(docs.sparkSession)
-    return docs.selectExpr("cast(doc_id AS long) AS doc_id", "text").mapInArrow(
-        _score(flat), "doc_id long, n_tokens long, score double, mean_score double")
+    texts = docs.selectExpr("cast(doc_id AS long) AS doc_id", "text")
+    if counts is None:
+        return texts.mapInArrow(_score(flat), "doc_id long, n_tokens long, score double, mean_score double")
+    spread = np.zeros(VOCAB)
+    for r in counts.groupBy("bucket").agg(F.sum("n").alias("n")).collect():  # a row per bucket
+        spread[r.bucket] = -math.log(r.n + 1)
+    level = F.floor(F.log("n") * 8)  # 0 for words counted once, whose log is 0
+    size = {r.level: r.n for r in counts.groupBy(level.alias("level")).agg(F.count("*").alias("n")).collect()}
+    least, n = max(size, default=0) + 1, 0
+    for x in sorted(size, reverse=True):
+        n += size[x]
+        if x == 0 or n > most:
+            break
+        least = x
+    held = {bytes(r.word): units(r.n) for r in counts.filter(level >= least).select("word", "n").collect()}  # ``most`` rows at most
+    joined = any(0 < x < least for x in size)
+    made = staged(texts.mapInArrow(_score_words(flat, spread, held, joined), "task int, row long, doc_id long, n_tokens long, network double, "
+                                   "known long, words array<binary>, times array<long>"), "lm-scored")
+    total = F.col("known")
+    rows = made.select("task", "row", "doc_id", "n_tokens", "network", "known")
+    if joined:
+        rare = counts.filter((level > 0) & (level < least)).select("word", F.round(F.log("n") * UNIT).cast("long").alias("value"))
+        pairs = made.select("task", "row", F.explode(F.arrays_zip("words", "times")).alias("x")).select("task", "row", "x.words", "x.times")
+        more = pairs.join(rare, pairs["words"] == rare["word"]).groupBy("task", "row").agg(F.sum(F.col("times") * F.col("value")).alias("more"))
+        rows = rows.join(more, ["task", "row"], "left")
+        total = total + F.coalesce("more", F.lit(0))
+    out = rows.select("doc_id", "n_tokens", (F.col("network") + total / F.lit(float(UNIT))).alias("score"))
+    return out.withColumn("mean_score", F.when(F.col("n_tokens") > 0, F.col("score") / F.col("n_tokens")))

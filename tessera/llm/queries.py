@@ -33,7 +33,7 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    return lm_score.score(docs, lm_score.train(docs))
+    return lm_score.score(docs, lm_score.train(docs), lm_score.count_words(docs))
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

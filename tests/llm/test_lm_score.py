@@ -2,6 +2,7 @@
 
 import math
 import random
+from collections import Counter
 
 import numpy as np
 
@@ -76,3 +77,40 @@ def test_edges(spark):
     assert len(L.train(frame(spark, [None, " ", "x"]))) == L.flat_size()
     long = " ".join("abcdefgh"[i % 8] for i in range(30000))
     assert L.score(frame(spark, [long]), L.initial()).first().n_tokens == 30000
+
+
+def test_words_of_a_bucket_have_their_own_probability(spark):
+    """Words are drawn so that two of them share each of a few buckets."""
+    by: dict[int, list[str]] = {}
+    for i in range(6000):
+        by.setdefault(int(L.buckets(f"v{i}")[0]), []).append(f"v{i}")
+    (often, seldom, unseen), *more = [v[:3] for v in by.values() if len(v) >= 3][:30]
+    long = "x" * 40
+    texts = [f"{often} " * 50 + f"{seldom} {seldom} {long} {long}", *(" ".join([a] * 7 + [b] * 3) for a, b, _ in more), seldom, often, unseen, f"{often} {unseen} {long}", "", None, seldom]
+    corpus = texts[:len(more) + 1] + [seldom, often]
+    counted = Counter(w for t in corpus for w in t.split())
+    in_bucket = Counter()
+    for w, n in counted.items():
+        in_bucket[int(L.buckets(w)[0])] += n
+    counts = L.count_words(frame(spark, corpus).repartition(3))
+    assert sorted(r.n for r in counts.collect()) == sorted(counted.values())
+    flat = L.initial() * 3
+    plain_rows = {r.doc_id: r.score for r in L.score(frame(spark, texts), flat).collect()}
+    for most in (L.HELD, 10, 0):  # all held, some joined, all joined
+        rows = {r.doc_id: r for r in L.score(frame(spark, texts), flat, counts, most).collect()}
+        assert len(rows) == len(texts)
+        for i, t in enumerate(texts):
+            want = plain_rows[i] + sum(math.log(max(1, counted[w]) / (in_bucket[int(L.buckets(w)[0])] + 1)) for w in (t or "").split())
+            assert abs(rows[i].score - want) < 1e-4 and (rows[i].mean_score is None) == (not t)
+        one = {t: rows[i].score for i, t in enumerate(texts)}
+        assert one[often] > one[seldom] > one[unseen]
+
+
+def test_query_scores_words(spark):
+    from tessera.llm import queries
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    got = {r.doc_id: r for r in queries.op4_lm_score(spark, "/root/testdata/sf0.001").collect()}
+    alone = {r.doc_id: r for r in L.score(docs, L.train(docs)).collect()}
+    assert got.keys() == alone.keys() and all(got[i].n_tokens == alone[i].n_tokens for i in got)
+    assert all(got[i].score < alone[i].score for i in got if got[i].n_tokens)

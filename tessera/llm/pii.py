@@ -46,8 +46,15 @@ GENERATE = {
     "ip": re.compile(r"(?<![0-9.])(?=([0-9]{1,3}(?:\.[0-9]{1,3}){3})(?![0-9]))"),
     "card": re.compile(r"(?<![0-9])(?=([0-9]{4}(?:[\x20.-]?[0-9]{4}){2}[\x20.-]?[0-9]{1,7})(?![0-9]))"),
     "phone": re.compile(r"(?<![0-9A-Za-z+])(?=((?:\+|00)?\(?[0-9]{1,4}\)?(?:[\x20./-]{1,2}\(?[0-9]{2,4}\)?){2,4})(?![0-9A-Za-z]))"),
-    "secret": re.compile(r"(?<![A-Za-z0-9])(?=((?:AKIA[A-Z0-9]{16}|(?:password|passwd|token|secret|api_key|apikey)[\x20]?[=:][\x20]?\"?[^\s\"]{8,128}\"?))(?![A-Za-z0-9]))"),
+    "secret": re.compile(r"(?<![A-Za-z0-9])(?=(AKIA[A-Z0-9]{16})(?![A-Za-z0-9]))"),
 }
+#: Phone numbers of two groups or with longer ones, of seven digits at least.
+LONG_PHONE = re.compile(r"(?<![0-9A-Za-z+])(?=(?:[^0-9A-Za-z]{0,4}[0-9]){7})(?=((?:\+|00)?\(?[0-9]{1,5}(?:\)[\x20./-]{0,2}|[\x20./-]{1,2})(?:\(0\)[\x20./-]?)?\(?[0-9]{2,10}\)?(?:[\x20./-]{1,2}\(?[0-9]{2,10}\)?){0,3})(?![0-9A-Za-z]))")
+#: A keyword's value runs to the next white space or quote, however long it is.
+SECRET_HEAD = re.compile(r"(?<![A-Za-z0-9])(?i:password|passwd|token|secret|api_key|apikey)[\x20]?[=:][\x20]?\"?")
+VALUE_END = re.compile(r"[\s\"]")
+#: Characters of a span that its features look at (its length is always the whole one).
+SEEN = 512
 ALL_KINDS = KINDS + ("secret",)
 #: A text without any of these characters or words has no candidate of the kind.
 NEEDS = {"email": ("@", "(at)", "[at]", " at "), "secret": ("AKIA", "=", ":")}
@@ -59,6 +66,7 @@ CUES = {
 }
 LOOKALIKE_CUES = ("version", "release", "section", "isbn", "order", "page", "chapter", "rfc", "build", "id")
 
+ALNUM = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
 TRAIN_ROWS = 6000
 SEED = 7
 TREES, RATE, PRECISION = 40, 0.3, 0.98
@@ -102,6 +110,20 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 # candidates -----------------------------------------------------------------
 
+def keyword_secrets(text: str):
+    """Spans from a keyword to the end of its value; keywords within a value
+    share its end, which is looked up once."""
+    end = -1
+    for m in SECRET_HEAD.finditer(text):
+        if end < m.end():
+            stop = VALUE_END.search(text, m.end())
+            end = stop.start() if stop else len(text)
+        if end - m.end() >= 8:
+            after = text[end + 1:end + 2]
+            closed = text[end:end + 1] == '"' and not (after.isascii() and after.isalnum())
+            yield m.start(), end + closed, "secret"
+
+
 def candidates(text: str) -> list[tuple[int, int, str]]:
     out = []
     has_digit = DIGIT.search(text) is not None
@@ -110,11 +132,24 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
         if (need and not any(x in text for x in need)) or (not need and not has_digit):
             continue
         out += [(m.start(1), m.end(1), kind) for m in GENERATE[kind].finditer(text)]
-    return out
+        if kind == "secret":
+            out += keyword_secrets(text)
+        if kind == "phone":
+            out += [(m.start(1), m.end(1), kind) for m in LONG_PHONE.finditer(text)]
+    return list(dict.fromkeys(out))
+
+
+def shape(s: str, d: str, parts: list[str]) -> list[float]:
+    """How the groups of a phone candidate are laid out."""
+    n = [len(p) for p in parts]
+    return [
+        float(d[:1] == "0"), float(s[:2] == "00"), float(any(len(p) == 4 and p[:2] in ("19", "20") for p in parts)),
+        n[0], n[1] if len(n) > 1 else 0.0, float("." in s), float("-" in s), float(n == [3, 3, 4]), float(7 <= len(d) <= 15),
+    ]
 
 
 def features(text: str, start: int, end: int, kind: str) -> list[float]:
-    s = text[start:end]
+    s = text[start:min(end, start + SEEN)]
     before, after = text[max(0, start - 24):start].lower(), text[end:end + 12].lower()
     d = digits_of(s)
     others = [c for c in s if c not in "0123456789"]
@@ -122,13 +157,14 @@ def features(text: str, start: int, end: int, kind: str) -> list[float]:
     value = s.split("=")[-1].split(":")[-1].strip('" ') if kind == "secret" else s
     freq = [value.count(c) / len(value) for c in set(value)] if value else [1.0]
     return [
-        float(ALL_KINDS.index(kind)), len(s), len(d), len(others), len(parts),
+        float(ALL_KINDS.index(kind)), end - start, len(d), len(others), len(parts),
         max([len(p) for p in parts], default=0), float(luhn(d)) if 12 <= len(d) <= 19 else -1.0,
         float(kind == "ip" and octets(s)), float(s[:1] == "+"), float("(" in s), float("@" in s),
         sum(c.isalpha() for c in s) / len(s), -sum(f * math.log2(f) for f in freq),
         float(any(c in before for c in CUES[kind])), float(any(c in before for c in LOOKALIKE_CUES)),
         float(before[-1:].isalnum()), float(after[:1].isalnum()), float(before[-1:] in "$€£#"),
         float(after.lstrip()[:1] in "%$€£"), len(set(d)) / (len(d) or 1),
+        float(s[:4] == "AKIA"), *(shape(s, d, parts) if kind == "phone" else [0.0] * 9),
     ]
 
 
@@ -142,6 +178,9 @@ def _examples(rows: int, seed: int):
     word = lambda a=2, b=9: "".join(rnd.choice("abcdefghijklmnoprstuvwz") for _ in range(rnd.randint(a, b)))
     num = lambda n: "".join(rnd.choice("0123456789") for _ in range(n))
     octet = lambda: str(rnd.randint(0, 255))
+    first = lambda: rnd.choice("123456789")
+    cased = lambda s: rnd.choice([s, s, s.upper(), s.capitalize()])
+    mixed = lambda letters, n: "".join(rnd.choice(letters) for _ in range(n))
 
     def card(ok):
         while True:
@@ -154,17 +193,25 @@ def _examples(rows: int, seed: int):
         "email": lambda: f"{word()}{rnd.choice(['', '.' + num(2)])}{rnd.choice([' at ', '(at)', '[at]', ' (at) '])}{word(3)}{rnd.choice(['.', ' dot ', '[dot]'])}com",
         "ip": lambda: ".".join(octet() for _ in range(4)),
         "card": lambda: card(True),
-        "phone": lambda: rnd.choice([f"({num(3)}) {num(3)}-{num(4)}", f"{num(3)}-{num(3)}-{num(4)}", f"00{num(2)} {num(3)} {num(4)}", f"+{num(2)} {num(3)} {num(4)}"]),
-        "secret": lambda: rnd.choice(["AKIA" + "".join(rnd.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(16)),
-                                      f"password={''.join(rnd.choice('0123456789abcdef') for _ in range(18))}",
-                                      f'token = "{"".join(rnd.choice("0123456789abcdef") for _ in range(40))}"']),
+        "phone": lambda: rnd.choice([f"({num(3)}) {num(3)}-{num(4)}", f"{num(3)}-{num(3)}-{num(4)}", f"00{num(2)} {num(3)} {num(4)}", f"+{num(2)} {num(3)} {num(4)}",
+                                     f"0{num(rnd.randint(2, 4))}{rnd.choice(' /-')}{first()}{num(rnd.randint(5, 7))}", f"(0{num(rnd.randint(2, 4))}) {first()}{num(rnd.randint(5, 7))}",
+                                     f"+{num(2)} (0){num(rnd.randint(2, 3))} {first()}{num(rnd.randint(5, 7))}", f"00{num(2)} {num(rnd.randint(2, 3))} {first()}{num(rnd.randint(5, 7))}"]),
+        "secret": lambda: rnd.choice(["AKIA" + mixed("ABCDEFGHIJKLMNOPQRSTUVWXYZ" + rnd.choice(["", "234567"]), 16),
+                                      f"{cased('password')}={mixed('0123456789abcdef', 18)}", f'{cased("token")} = "{mixed("0123456789abcdef", 40)}"',
+                                      f'{cased(rnd.choice(["token", "secret", "api_key", "apikey", "passwd"]))}{rnd.choice(["=", ": ", " = "])}{mixed(ALNUM, rnd.choice([16, 24, 40, 128, 200, 400]))}',
+                                      f'{cased(rnd.choice(["token", "secret"]))}{rnd.choice(["=", ": ", " = "])}{".".join(mixed(ALNUM + "-_", rnd.randint(20, 120)) for _ in range(3))}']),
     }
     negative = {
         "email": lambda: f"{word()} at {word()}.{word().capitalize()}",
         "ip": lambda: rnd.choice([".".join([octet(), num(1), num(1), "999"]), ".".join(str(rnd.randint(256, 999)) for _ in range(4))]),
         "card": lambda: card(False),
-        "phone": lambda: rnd.choice([f"{rnd.randint(1900, 2030)}-{num(2)}-{num(2)}", f"{num(2)}/{num(2)}/{num(4)}", f"{num(1)} {num(3)} {num(3)}", f"{num(4)} {num(4)} {num(4)} {num(4)}", f"{num(3)}.{num(3)}.{num(2)}"]),
-        "secret": lambda: rnd.choice([f"password: {word(8, 12)}", f"token = {word(8, 12)}", f"secret: {word(8, 10)}"]),
+        "phone": lambda: rnd.choice([f"{rnd.randint(1900, 2030)}-{num(2)}-{num(2)}", f"{num(2)}/{num(2)}/{num(4)}", f"{num(1)} {num(3)} {num(3)}", f"{num(4)} {num(4)} {num(4)} {num(4)}", f"{num(3)}.{num(3)}.{num(2)}",
+                                     f"{rnd.randint(1900, 2030)}-{rnd.randint(1900, 2030)}", f"{first()}{num(3)}-{first()}{num(3)}", f"{first()}{num(4)}-{num(4)}",
+                                     f"{num(1)}.{num(rnd.randint(6, 9))}", f"{rnd.randint(1900, 2030)}{rnd.choice('-/ ')}{num(rnd.randint(3, 8))}", f"97{rnd.choice('89')}-{num(10)}",
+                                     f"{first()}{num(rnd.randint(0, 2))} {first()}{num(rnd.randint(5, 8))}"]),
+        "secret": lambda: rnd.choice([f"password: {word(8, 12)}", f"token = {word(8, 12)}", f"secret: {word(8, 10)}",
+                                      f"{cased(rnd.choice(['password', 'token', 'secret', 'api_key']))}{rnd.choice(['=', ': ', ' = '])}{word(8, 12)}",
+                                      f"{cased(rnd.choice(['token', 'secret']))}: {rnd.choice('._-/').join(word(4, 9) for _ in range(rnd.randint(3, 30)))}"]),
     }
     made = 0
     while made < rows:

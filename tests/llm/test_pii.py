@@ -70,3 +70,35 @@ def test_redact(spark):
     out = {r.doc_id: (r.text, r.n_chars) for r in P.redact(df).collect()}
     assert out == {1: ("me <EMAIL> and <IP>!", 20), 2: (None, None), 3: ("plain", 5)}
     assert P.redact(df).columns == df.columns
+
+
+HEX = "9233A8EC04DBEBAB91AB85687D33EEAAF9AC699E"
+RUN = "aZ3kQ9xW7b" * 20
+JWT = "eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9." + "eyJzdWIiOiIxMjM0NTY3ODkwIiwibmFtZSI6IkpvaG4gRG9lIn0" * 2 + ".SflKxwRJSMeKKF2QT4fwpMeJf36POk6yJV_adQssw5c"
+
+
+@pytest.mark.parametrize("s", [f'TOKEN = "{HEX}"', f"Password: {HEX}", f"API_KEY={HEX}", f"token = {RUN}", f"token = {JWT}", f"Secret={JWT}"])
+def test_cased_long_and_dotted_secrets_are_taken_whole(s):
+    text = f"we set {s} and go"
+    at = (7, 7 + len(s), "secret")
+    assert at in P.candidates(text)
+    assert at in P.all_spans(text, P.train())[1]
+
+
+@pytest.mark.parametrize("s", ["030 12345678", "0171/2345678", "(030) 12345678", "(030)12345678", "+49 (0)30 12345678", "0049 171 2345678", "0171-23456789"])
+def test_phones_of_two_or_long_groups(s):
+    text = f"call {s} now"
+    assert (5, 5 + len(s), "phone") in P.candidates(text)
+    every = P.all_spans(text, P.train())[1]
+    assert [x for x in every if x[:2] == (5, 5 + len(s))], every
+
+
+def test_look_alikes_of_the_new_shapes_stay():
+    for text in ("in the years 1939-1945 it was", "see pages 1234-1240 of it", "isbn 978-3161484100 is out", "about 3.14159265 or so", "a secret: everything about.it.all here", "the Token: something-else here"):
+        assert P.all_spans(text, P.train()) == ([], []), text
+
+
+def test_many_keywords_in_one_run_share_its_end():
+    text = "x " + "token=" * 3000 + "y"
+    found = [c for c in P.candidates(text) if c[2] == "secret"]
+    assert len(found) == 2998 and {e for _, e, _ in found} == {len(text)}

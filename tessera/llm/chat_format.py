@@ -2,9 +2,10 @@
 
 A turn is rendered as ``<|im_start|>role\\ntext<|im_end|>\\n``. The rendered
 turn is reparsed at once by a deterministic parser; when the turns it finds
-are not the one that was written, the turn is rendered again with role and
-text escaped, one escape level at a time, until the reparse is identical
-(level 1 always is: an escaped string holds no control string). Escaping is
+are not the one that was written, or role or text hold a control string
+(``<|im_start|>``, ``<|im_end|>`` or ``<|esc|>``), the turn is rendered with
+role and text escaped, so that no control string stands in the output but the
+template's own (an escaped string holds none). Escaping is
 reversible: after ``<|im_start|><|esc|>`` every ``\\`` is ``\\\\``, ``<|`` is
 ``<\\|``, and in the role a line end is ``\\n``. A turn is closed by its own
 end mark, so turns that round-trip alone do so when joined.
@@ -52,8 +53,11 @@ def unescape(s: str) -> str:
 
 
 def render(role: str, text: str) -> str:
-    """The first form, plain then escaped, that the parser reads back."""
-    for form in (f"{START}{role}\n{text}{END}\n", f"{START}{ESC}{escape_role(role)}\n{escape(text)}{END}\n"):
+    """The first form, plain (without control strings in role and text) then
+    escaped, that the parser reads back."""
+    held = any(c in s for s in (role, text) for c in (START, END, ESC))
+    forms = (f"{START}{role}\n{text}{END}\n", f"{START}{ESC}{escape_role(role)}\n{escape(text)}{END}\n")
+    for form in forms[held:]:
         try:
             if parse(form) == [(role, text)]:
                 return form

@@ -16,6 +16,7 @@ from tessera.sinks.catalog_text import write_catalog_text
 from tessera.sinks.files import read_csv, read_term_counts, write_csv, write_term_counts
 from tessera.operators.topk import top_n_per_group
 from tessera.operators.wordcount import word_count
+from tessera.sinks.reports import read_report, write_report
 from tessera.sinks.query_tables import read_query_table, write_query_table, write_question_table
 from tessera.sources import catalog as C
 from tessera.sources import records as R
@@ -108,9 +109,10 @@ def csv_roundtrip(spark, sf_dir):
 
 
 def csv_single_file_top_sellers(spark, sf_dir):
-    """SNK-4: the (bounded) Q-D answer as one CSV file, read back."""
+    """SNK-4: the Q-D-EXACT answer (n rows per group, however many tie) as
+    one CSV file, read back."""
     path = scratch_dir(spark, "csv1")
-    write_csv(Q.top_sellers_rank(C.sells(spark, sf_dir)), path, single_file=True,
+    write_csv(Q.top_sellers_exact(C.sells(spark, sf_dir)), path, single_file=True,
               order=["group", "salesrank", "Id"])
     schema = T.StructType([T.StructField("group", T.StringType()), T.StructField("Id", T.StringType()),
                            T.StructField("title", T.StringType()), T.StructField("salesrank", T.IntegerType())])
@@ -187,23 +189,19 @@ def terms_sorted_in_files(spark, sf_dir):
 
 def best_sellers_report(spark, sf_dir):
     """SRT-10: Q-D as a report, in (group, salesrank, Id) order, with each
-    row's position in the file."""
+    line's position over the whole report as its files hold it."""
     path = scratch_dir(spark, "report")
-    write_csv(Q.top_sellers_rank(C.sells(spark, sf_dir)), path, single_file=True, order=["group", "salesrank", "Id"])
-    schema = T.StructType([T.StructField("group", T.StringType()), T.StructField("Id", T.StringType()),
-                           T.StructField("title", T.StringType()), T.StructField("salesrank", T.IntegerType())])
-    rows = read_csv(spark, path, schema).withColumn("at", F.monotonically_increasing_id())
-    return rows.select("group", "Id", "salesrank", F.row_number().over(Window.partitionBy("group").orderBy("at")).alias("position"))
+    write_report(Q.top_sellers_rank(C.sells(spark, sf_dir)), path, ["group", "salesrank", "Id"])
+    return (read_report(spark, path, "`group` string, Id string, title string, salesrank int")
+            .select("group", "Id", "salesrank", "position"))
 
 
 def daily_rating_report(spark, sf_dir):
     """SRT-5: the daily means over all products as a report in date order,
-    with the date of the line before."""
+    with each line's position over the whole report."""
     path = scratch_dir(spark, "daily")
-    daily = Q.daily_rating_all(C.reviews(spark, sf_dir, with_group=False, with_customer=False))
-    write_csv(daily.select("date"), path, single_file=True, order=["date"])
-    rows = read_csv(spark, path, "date date").select("date", F.monotonically_increasing_id().alias("at"), F.year("date").alias("year"))
-    return rows.select("date", F.lag("date").over(Window.partitionBy("year").orderBy("at")).alias("before"))
+    write_report(Q.daily_rating_all(C.reviews(spark, sf_dir, with_group=False, with_customer=False)), path, ["date"])
+    return read_report(spark, path, "date date, avgrating double")
 
 
 def better_similars_from_query_table(spark, sf_dir):

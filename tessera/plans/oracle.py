@@ -200,6 +200,16 @@ LEADERBOARD_SLICE = with_rel(REVIEWS) + """
       FROM reviews GROUP BY Id)
     WHERE position BETWEEN 0 AND 10"""
 
+
+
+def middle_customers(direction: str) -> str:
+    return with_rel(REVIEWS) + f"""
+    , c AS (SELECT customer, count(*) AS comments FROM reviews GROUP BY customer),
+    placed AS (SELECT *, row_number() OVER (ORDER BY comments {direction}, customer {direction}) - 1 AS position FROM c)
+    SELECT customer, comments, position FROM placed
+    WHERE position BETWEEN (SELECT count(*) // 2 - 5 FROM c) AND (SELECT count(*) // 2 + 5 FROM c)"""
+
+
 ANY_PRODUCTS = with_rel(SELLS) + "SELECT least(count(*), 10) AS n, least(count(*), 10) AS found FROM sells"
 
 DAILY_NUMERIC_MEANS = with_rel(REVIEWS) + """
@@ -208,10 +218,13 @@ DAILY_NUMERIC_MEANS = with_rel(REVIEWS) + """
 DAILY_RATING_PRINTED = with_rel(REVIEWS) + f"""
     SELECT date, printf('%.2f', round({_DAY}, 2)) AS avgrating FROM reviews GROUP BY ALL"""
 BEST_SELLERS_REPORT = with_rel(SELLS) + """
-    SELECT "group", Id, salesrank, row_number() OVER (PARTITION BY "group" ORDER BY salesrank, Id)::INTEGER AS position
-    FROM sells WHERE salesrank > 0 QUALIFY RANK() OVER (PARTITION BY "group" ORDER BY salesrank) <= 10"""
+    , best AS (SELECT * FROM sells WHERE salesrank > 0 QUALIFY RANK() OVER (PARTITION BY "group" ORDER BY salesrank) <= 10)
+    SELECT "group", Id, salesrank, row_number() OVER (ORDER BY "group", salesrank, Id) AS position FROM best"""
 DAILY_RATING_REPORT = with_rel(REVIEWS) + """
-    SELECT date, lag(date) OVER (PARTITION BY year(date) ORDER BY date) AS "before" FROM (SELECT DISTINCT date FROM reviews)"""
+    SELECT date, avg(rating) AS avgrating, row_number() OVER (ORDER BY date) AS position FROM reviews GROUP BY date"""
+CUSTOMER_POSITIONS = with_rel(REVIEWS) + """
+    SELECT customer, count(*) AS comments, row_number() OVER (ORDER BY count(*) DESC, customer) AS position
+    FROM reviews GROUP BY customer"""
 TERMS_SORTED = f"SELECT count(*) AS terms, 0::BIGINT AS out_of_order FROM ({WORDCOUNT})"
 PARSED_ONCE = with_rel(SELLS, SIMILARS, REVIEWS) + """
     SELECT s.Id, (SELECT count(*) FROM reviews r WHERE r.Id = s.Id) AS n_reviews,

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.ordering import rank_slice, with_position
 from tessera.operators.topk import (
     any_rows,
     arg_min,
@@ -251,6 +252,25 @@ def reviews_per_customer(reviews: DataFrame) -> DataFrame:
     return reviews.groupBy("group", "customer").agg(F.count(F.lit(1)).alias("comments"))
 
 
+def reviews_by_customer(reviews: DataFrame) -> DataFrame:
+    """SRT-4: review count per customer, over all groups."""
+    return reviews.groupBy("customer").agg(F.count(F.lit(1)).alias("comments"))
+
+
+def customer_positions(reviews: DataFrame) -> DataFrame:
+    """SRT-10: every customer's place among all customers, most reviews
+    first, customer ascending on ties."""
+    return with_position(reviews_by_customer(reviews), [F.col("comments").desc(), "customer"])
+
+
+def middle_customers(reviews: DataFrame, descending: bool, around: int = 5) -> DataFrame:
+    """SRT-6 deep in a ranking: the customers at and next to the middle of
+    all customers by review count, with counts and positions (from 0)."""
+    counts = reviews_by_customer(reviews)
+    middle = counts.count() // 2
+    return rank_slice(counts, "comments", "customer", max(0, middle - around), middle + around, descending)
+
+
 def top_reviewers(reviews: DataFrame, n: int = 10) -> DataFrame:
     """Q-G: per group the n customers with most reviews (customer asc on ties)."""
     return top_n_per_group(reviews_per_customer(reviews), ["group"],

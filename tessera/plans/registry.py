@@ -80,6 +80,9 @@ QUERIES: dict[str, Query] = {
     "top_helpful_products_sql": lambda s, d: S.top_helpful_products_sql(
         s, _reviews(s, d, with_group=False, with_customer=False), C.sells(s, d)),
     "leaderboard_slice": lambda s, d: _leaderboard(s, d),
+    "customer_positions": lambda s, d: Q.customer_positions(_reviews(s, d, with_group=False)),
+    "customers_middle_desc": lambda s, d: Q.middle_customers(_reviews(s, d, with_group=False), descending=True),
+    "customers_middle_asc": lambda s, d: Q.middle_customers(_reviews(s, d, with_group=False), descending=False),
     # (f)
     "top_categories": lambda s, d: Q.top_categories(
         _reviews(s, d, with_group=False, with_customer=False), C.categories(s, d)),
@@ -169,6 +172,9 @@ ORACLE: dict[str, str] = {
     "product_groups": O.PRODUCT_GROUPS,
     "top_helpful_products": O.TOP_HELPFUL,
     "leaderboard_slice": O.LEADERBOARD_SLICE,
+    "customer_positions": O.CUSTOMER_POSITIONS,
+    "customers_middle_desc": O.middle_customers("DESC"),
+    "customers_middle_asc": O.middle_customers("ASC"),
     "top_categories": O.TOP_CATEGORIES,
     "top_categories_by_product": O.TOP_CATEGORIES_BY_PRODUCT,
     "top_reviewers": O.TOP_REVIEWERS,
@@ -186,7 +192,7 @@ ORACLE: dict[str, str] = {
     "packed_reviews_roundtrip": O.PACKED_REVIEWS,
     "reviews_upserted": O.REVIEWS_UPSERTED,
     "csv_roundtrip": O.ROUNDTRIP_SELLS,
-    "csv_single_file_top_sellers": O.TOP_SELLERS_RANK,
+    "csv_single_file_top_sellers": O.TOP_SELLERS_EXACT,
     "query_table_roundtrip": O.REVIEWS_HIGH,
     "daily_partials_table": O.DAILY_RATING,
     "latest_by_key": O.LATEST_BY_KEY,

@@ -137,10 +137,8 @@ ID_LOOKUP = with_rel(SELLS, SIMILARS) + """
     SELECT sim.Id, own.ASIN, sim."similar", t.salesrank AS similar_salesrank
     FROM similars sim JOIN sells own ON sim.Id = own.Id JOIN sells t ON sim."similar" = t.ASIN"""
 
-_DAY = "sum(rating)::DOUBLE / count(rating)"  # per product and DATE, and over all products by DATE
-DAILY_RATING = with_rel(REVIEWS) + f"""
-    SELECT date, {_DAY} AS avgrating FROM (FROM reviews WHERE Id = '{REVIEW_ID}') GROUP BY ALL"""
-DAILY_RATING_ALL = with_rel(REVIEWS) + f"SELECT date, {_DAY} AS avgrating FROM reviews GROUP BY ALL"
+DAILY_RATING = with_rel(REVIEWS) + f"SELECT date, avg(rating) AS avgrating FROM reviews WHERE Id = '{REVIEW_ID}' GROUP BY date"
+DAILY_RATING_ALL = with_rel(REVIEWS) + "SELECT date, avg(rating) AS avgrating FROM reviews GROUP BY date"
 DAILY_RATING_PARTIALS = with_rel(REVIEWS) + """
     SELECT Id, date, AVG(rating) AS avgrating FROM reviews GROUP BY Id, date"""
 
@@ -215,8 +213,8 @@ ANY_PRODUCTS = with_rel(SELLS) + "SELECT least(count(*), 10) AS n, least(count(*
 DAILY_NUMERIC_MEANS = with_rel(REVIEWS) + """
     SELECT date, avg(rating) AS avg_rating, avg(votes) AS avg_votes, avg(helpful) AS avg_helpful
     FROM reviews GROUP BY ALL"""
-DAILY_RATING_PRINTED = with_rel(REVIEWS) + f"""
-    SELECT date, printf('%.2f', round({_DAY}, 2)) AS avgrating FROM reviews GROUP BY ALL"""
+DAILY_RATING_PRINTED = with_rel(REVIEWS) + """
+    SELECT date, printf('%.2f', round(avg(rating), 2)) AS avgrating FROM reviews GROUP BY date"""
 BEST_SELLERS_REPORT = with_rel(SELLS) + """
     , best AS (SELECT * FROM sells WHERE salesrank > 0 QUALIFY RANK() OVER (PARTITION BY "group" ORDER BY salesrank) <= 10)
     SELECT "group", Id, salesrank, row_number() OVER (ORDER BY "group", salesrank, Id) AS position FROM best"""

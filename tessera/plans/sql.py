@@ -21,21 +21,22 @@ ORDER BY helpful DESC, rating DESC, date, customer, votes
 LIMIT :k
 """
 
-# (b), comma join (JN-3): listed similar products of the bound product with a
-# positive rank below its own.
+# (b), comma join over a FROM-subquery (JN-3). The subquery reduces the
+# catalogue to what the bound product lists and what has a rank at all, before
+# any rank is compared: the semi join carries two columns of few products.
 BETTER_SELLING_SIMILARS = """
-SELECT own.Id, listed.similar, own.salesrank AS salesrank_original, other.salesrank
-FROM {own} AS own, {listed} AS listed, {sells} AS other
-WHERE listed.Id = own.Id AND other.ASIN = listed.similar
-  AND other.salesrank BETWEEN 1 AND own.salesrank - 1
+SELECT own.Id, better.ASIN AS similar, own.salesrank AS salesrank_original, better.salesrank
+FROM {own} AS own,
+     (SELECT candidate.ASIN, candidate.salesrank
+      FROM {sells} AS candidate LEFT SEMI JOIN {listed} AS entry ON entry.similar = candidate.ASIN
+      WHERE candidate.salesrank > 0) AS better,
+     {listed} AS listed
+WHERE listed.Id = own.Id AND listed.similar = better.ASIN AND better.salesrank < own.salesrank
 """
 
-# (c): mean rating per day of the bound product.
+# (c): mean rating per day of the bound product, oldest day first.
 DAILY_RATING = """
-SELECT date, sum(rating) / count(rating) AS avgrating
-FROM {reviews}
-GROUP BY ALL
-ORDER BY ALL
+SELECT date, avg(rating) AS avgrating FROM {reviews} GROUP BY date ORDER BY date
 """
 
 # (d), variant: fewer than n - 1 products of the group rank strictly better,

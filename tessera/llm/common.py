@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,3 +91,37 @@ def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     near = near_ids(docs, ids)
     far = near_ids(docs, ids, hit=False)
     return far.unionByName(near.join(ids, near["doc_id"].cast("long") == ids[ids.columns[0]], "left_anti"))
+
+
+def text_bytes(texts) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of an Arrow string array without nulls, as they lie in
+    its buffer, and the texts' offsets (one more than texts)."""
+    size = np.int64 if str(texts.type).startswith("large") else np.int32
+    ends = np.frombuffer(texts.buffers()[1], size)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64) if len(texts) else np.zeros(1, np.int64)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+    return data[ends[0]:ends[-1]], ends - ends[0]
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends (exclusive) of the words, and the number of the text
+    each lies in; a word is a run of bytes for which ``member`` holds and ends
+    with its text."""
+    inside = member[data]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[offsets] = True
+    after_gap, before_gap = edge[:-1].copy(), edge[1:].copy()
+    after_gap[1:] |= ~inside[:-1]
+    before_gap[:-1] |= ~inside[1:]
+    starts = np.flatnonzero(inside & after_gap)
+    ends = np.flatnonzero(inside & before_gap) + 1
+    return starts, ends, np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(starts, offsets)))
+
+
+def slices(offsets: np.ndarray, size: int):
+    """(first, last) ranges of consecutive texts that hold about ``size``
+    bytes each; a longer text is a range of its own."""
+    first, n = 0, len(offsets) - 1
+    while first < n:
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + size, side="right")) - 1)
+        yield first, min(last, n)
+        first = min(last, n)

@@ -8,9 +8,10 @@ need no copy of the package.
 from pyspark import cloudpickle
 
 from tessera.llm import (
-    byte_bpe, chat_format, common, exact_dedup, importance, lm_score, near_dedup, packing, pii, quality_rules, suffix_dedup, url_filter,
+    byte_bpe, chat_format, common, exact_dedup, importance, lm_score, near_dedup, nearest, packing, pii, quality_rules,
+    source_audit, suffix_dedup, url_filter,
 )
 
-for _module in (byte_bpe, chat_format, common, exact_dedup, importance, lm_score, near_dedup, packing, pii, quality_rules,
-                suffix_dedup, url_filter):
+for _module in (byte_bpe, chat_format, common, exact_dedup, importance, lm_score, near_dedup, nearest, packing, pii,
+                quality_rules, source_audit, suffix_dedup, url_filter):
     cloudpickle.register_pickle_by_value(_module)

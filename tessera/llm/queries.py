@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import (
-    byte_bpe, chat_format, exact_dedup, importance, lm_score, near_dedup, packing, pii, quality_rules, suffix_dedup, url_filter,
+    byte_bpe, chat_format, exact_dedup, importance, lm_score, near_dedup, nearest, packing, pii, quality_rules, source_audit,
+    suffix_dedup, url_filter,
 )
 from tessera.llm.common import read
 from tessera.llm.sql import ORACLE  # noqa: F401 - registered with the queries
@@ -64,11 +65,20 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(read(spark, sf_dir, "documents"))
+
+
+def op12_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(read(spark, sf_dir, "embeddings"))
+
+
 def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_url_filter, op2_near_dedup, op3_chat_format, op4_lm_score, op5_suffix_dedup,
-                            op6_exact_dedup, op7_quality_rules, op8_byte_bpe, op9_pii, op10_packing, op13_importance)
+                            op6_exact_dedup, op7_quality_rules, op8_byte_bpe, op9_pii, op10_packing, op11_source_audit,
+                            op12_nearest, op13_importance)
 }

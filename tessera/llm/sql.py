@@ -81,9 +81,35 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
   NOT base_failed AND {' AND '.join(_rule(*r) for r in Q.RULES)} AS kept
 FROM b"""
 
+SOURCE_AUDIT = rf"""
+WITH d AS (SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+             translate(coalesce(text, ''), '{U.UPPER}', '{U.LOWER}') AS t FROM documents),
+occ AS (SELECT i, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+keep AS (SELECT lang, term, count(*) AS n FROM occ GROUP BY ALL HAVING count(DISTINCT i) >= 3),
+own AS (SELECT lang, source, term, count(*) AS n FROM occ SEMI JOIN keep USING (lang, term) GROUP BY ALL),
+langs AS (SELECT lang, count(*) AS v, sum(n) AS total FROM keep GROUP BY lang),
+groups AS (SELECT lang, source, coalesce(sum(n), 0) AS total
+           FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN own USING (lang, source) GROUP BY ALL),
+p AS (SELECT g.lang, g.source, k.term, coalesce(o.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(o.n, 0) + 1)) // (g.total + l.v) AS p
+      FROM groups g JOIN langs l USING (lang) JOIN keep k USING (lang)
+      LEFT JOIN own o ON o.lang = g.lang AND o.source = g.source AND o.term = k.term),
+q AS (SELECT k.lang, k.term, 1 + (1000000000::HUGEINT * (k.n + 1)) // (l.total + l.v) AS q FROM keep k JOIN langs l USING (lang)),
+pair AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+         FROM p a JOIN p b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL),
+every AS (SELECT a.lang, a.source, b.source AS item, coalesce(pair.value, 0) AS value
+          FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source),
+term AS (SELECT lang, source, term AS item, ((p - q) * (p - q)) // q AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value::BIGINT AS value,
+  row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INTEGER AS rank FROM every
+UNION ALL
+SELECT lang, source, 'term', item, value::BIGINT, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INTEGER AS r
+FROM term QUALIFY r <= 200"""
+
 ORACLE = {
     "op1_url_filter": URL_FILTER,
     "op3_chat_format": CHAT_FORMAT,
     "op6_exact_dedup": EXACT_DEDUP,
     "op7_quality_rules": QUALITY_RULES,
+    "op11_source_audit": SOURCE_AUDIT,
 }

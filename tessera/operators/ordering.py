@@ -7,6 +7,9 @@ up and joined back, so a row's position is its range's offset plus its place
 in the range. Rows that tie on the whole order are dealt out by a hash of
 their columns, so only rows equal in every column share a range.
 
+``kth_by_counts`` finds the k-th smallest value of every group by narrowing
+value ranges on counts, so what is shuffled doesn't depend on k.
+
 ``rank_slice`` selects order statistics: splitters from a bounded sample cut
 the candidates into ranges, one count per range tells which ranges hold the
 wanted positions, and only those are kept for the next round. The rows before
@@ -18,7 +21,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
@@ -142,3 +145,41 @@ def rank_slice(df: DataFrame, score: str, member: str, start: int, stop: int, de
         rows = _stored(rows.filter(kept), "ranked")
     order = [s.desc(), m.desc()] if descending else [s.asc(), m.asc()]
     return with_position(rows, order, start=before).filter(F.col("position").between(start, stop))
+
+
+def kth_by_counts(df: DataFrame, group: Sequence[str], value: str, k: int, ranges: int = 256) -> DataFrame:
+    """AGG-13 for any k: per group the k-th smallest value of the integer
+    column ``value`` (duplicates counted, nulls not), or the largest when the
+    group has fewer than k. Output ``(group..., threshold)``; groups are
+    compared as by GROUP BY, so null is a group.
+
+    Every round counts each group's values in ``ranges`` equal parts of the
+    interval that holds its k-th (at most so many rows a group and task reach
+    the shuffle) and narrows the interval to one part, until it is one value:
+    8 bits of the value range a round, whatever k is. Values must span less
+    than 2^63.
+    """
+    if k < 1:
+        raise ValueError("need k >= 1")
+    group = list(group)
+    keys = [f"key{i}" for i in range(len(group))]
+    vals = _stored(df.select(*[F.col(g).alias(n) for g, n in zip(group, keys)], F.col(value).cast("long").alias("v"))
+                   .filter("v IS NOT NULL"), "kth")
+    # want: the place of the k-th value among those in [lo, hi]
+    held = _stored(vals.groupBy(*keys).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.least(F.count(F.lit(1)), F.lit(k)).alias("want")), "kth-held")
+    while not held.filter("lo < hi").isEmpty():
+        open_ = held.filter("lo < hi").select(*[F.col(n).alias(f"of_{n}") for n in keys], "lo", "hi", "want")
+        same = F.lit(True)
+        for n in keys:
+            same = same & vals[n].eqNullSafe(open_[f"of_{n}"])
+        width = F.call_function("div", F.col("hi") - F.col("lo"), F.lit(ranges).cast("long")) + 1
+        inside = vals.join(open_, same & (vals["v"] >= open_["lo"]) & (vals["v"] <= open_["hi"]))
+        counts = (inside.groupBy(*keys, "lo", "hi", "want", F.call_function("div", F.col("v") - F.col("lo"), width).alias("part"))
+                  .agg(F.count(F.lit(1)).alias("n")))
+        upto = F.sum("n").over(Window.partitionBy(*keys).orderBy("part"))  # at most `ranges` rows a group
+        found = counts.withColumn("upto", upto).filter((F.col("upto") >= F.col("want")) & (F.col("upto") - F.col("n") < F.col("want")))
+        lo = F.col("lo") + F.col("part") * width
+        narrowed = found.select(*keys, lo.alias("lo"), F.least(F.col("hi"), lo + width - 1).alias("hi"),
+                                (F.col("want") - F.col("upto") + F.col("n")).alias("want"))
+        held = _stored(held.filter("lo = hi").unionByName(narrowed), "kth-held")
+    return held.select(*[F.col(n).alias(g) for n, g in zip(keys, group)], F.col("lo").cast(df.schema[value].dataType).alias("threshold"))

@@ -154,11 +154,17 @@ TOP_SELLERS_EXACT = with_rel(SELLS) + f"""
 TOP_SELLERS_BEST = with_rel(SELLS) + f"""
     {_RANKED} WHERE salesrank > 0
     QUALIFY ROW_NUMBER() OVER (PARTITION BY "group" ORDER BY salesrank, Id) = 1"""
-GROUP_RANK_THRESHOLD = with_rel(SELLS) + """
+
+
+def group_rank_threshold(k: int) -> str:
+    return with_rel(SELLS) + f"""
     SELECT "group", MAX(salesrank) AS threshold FROM (
       SELECT "group", salesrank FROM sells WHERE salesrank > 0
-      QUALIFY ROW_NUMBER() OVER (PARTITION BY "group" ORDER BY salesrank, Id) <= 10)
+      QUALIFY ROW_NUMBER() OVER (PARTITION BY "group" ORDER BY salesrank, Id) <= {k})
     GROUP BY "group" """
+
+
+GROUP_RANK_THRESHOLD = group_rank_threshold(10)
 TOP_SELLERS_THRESHOLD = TOP_SELLERS_RANK
 PRODUCT_GROUPS = with_rel(SELLS) + 'SELECT DISTINCT "group" FROM sells'
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.ordering import rank_slice, with_position
+from tessera.operators.ordering import kth_by_counts, rank_slice, with_position
 from tessera.operators.topk import (
     any_rows,
     arg_min,
@@ -170,6 +170,11 @@ def group_rank_threshold(sells: DataFrame, n: int = 10) -> DataFrame:
     return kth_smallest(ranked, ["group"], "salesrank", n, tie=["Id"])
 
 
+def group_rank_threshold_deep(sells: DataFrame, n: int) -> DataFrame:
+    """AGG-13 for any n: by counts per range of ranks, see ``kth_by_counts``."""
+    return kth_by_counts(sells.filter(F.col("salesrank") > 0), ["group"], "salesrank", n)
+
+
 def top_sellers_threshold(sells: DataFrame, n: int = 10) -> DataFrame:
     """JN-8 / FLT-6: Q-D answered through per-group thresholds."""
     return threshold_join(sells.select(*_PRODUCT_COLS), group_rank_threshold(sells, n), ["group"], "salesrank")

@@ -19,6 +19,7 @@ from tessera.plans import catalog_files as CF
 from tessera.plans import oracle as O
 from tessera.plans import questions as Q
 from tessera.plans import sql as S
+from tessera.plans import stored as ST
 from tessera.plans import wordcount as W
 from tessera.sinks.query_tables import QUESTION_TABLES
 from tessera.sources import catalog as C
@@ -40,6 +41,8 @@ QUERIES: dict[str, Query] = {
     "bucket_first_and_third_last": lambda s, d: W.bucket_first_and_third_last(s, d),
     "bucket_first_and_third_last_alpha": lambda s, d: W.bucket_first_and_third_last(s, d, alpha_only=True),
     "wordcount_tsv_roundtrip": lambda s, d: W.wordcount_tsv_roundtrip(s, d),
+    "part_edges_from_files": lambda s, d: W.part_edges_from_files(s, d),
+    "part_edges_from_files_alpha": lambda s, d: W.part_edges_from_files(s, d, alpha_only=True),
     # (a)
     "reviews_most_helpful_high": lambda s, d: Q.most_helpful_reviews(
         _reviews(s, d, product_id=O.REVIEW_ID), O.REVIEW_ID, rating_desc=True),
@@ -72,6 +75,8 @@ QUERIES: dict[str, Query] = {
     "top_sellers_exact": lambda s, d: Q.top_sellers_exact(C.sells(s, d)),
     "top_sellers_best": lambda s, d: Q.top_sellers_best(C.sells(s, d)),
     "group_rank_threshold": lambda s, d: Q.group_rank_threshold(C.sells(s, d)),
+    "group_rank_threshold_100": lambda s, d: Q.group_rank_threshold_deep(C.sells(s, d), 100),
+    "group_rank_threshold_1000": lambda s, d: Q.group_rank_threshold_deep(C.sells(s, d), 1000),
     "top_sellers_threshold": lambda s, d: Q.top_sellers_threshold(C.sells(s, d)),
     "product_groups": lambda s, d: Q.product_groups(C.sells(s, d)),
     # (e)
@@ -117,6 +122,12 @@ QUERIES: dict[str, Query] = {
     "better_similars_from_query_table": CF.better_similars_from_query_table,
     "wordcount_text_files": CF.wordcount_text_files,
     **{f"query_table_{n}": CF.question_table(n) for n in QUESTION_TABLES},
+    # stored tables kept up to date by batches
+    "daily_table_refreshed": ST.daily_table_refreshed,
+    "customer_table_refreshed": ST.customer_table_refreshed,
+    "reviews_table_upserted": ST.reviews_table_upserted,
+    "review_counters_corrected": ST.review_counters_corrected,
+    "top_reviewers_corrected": ST.top_reviewers_corrected,
     "catalog_parsed_once": CF.parsed_once,
     "output_replaced": CF.output_replaced,
     # order, made visible as columns
@@ -150,6 +161,8 @@ ORACLE: dict[str, str] = {
     "bucket_first_and_third_last": O._edges(False),
     "bucket_first_and_third_last_alpha": O._edges(True),
     "wordcount_tsv_roundtrip": O.WORDCOUNT,
+    "part_edges_from_files": O._edges(False),
+    "part_edges_from_files_alpha": O._edges(True),
     "reviews_most_helpful_high": O.REVIEWS_HIGH,
     "reviews_most_helpful_low": O.REVIEWS_LOW,
     "reviews_most_helpful_high_all": O.REVIEWS_HIGH_ALL,
@@ -168,6 +181,8 @@ ORACLE: dict[str, str] = {
     "top_sellers_exact": O.TOP_SELLERS_EXACT,
     "top_sellers_best": O.TOP_SELLERS_BEST,
     "group_rank_threshold": O.GROUP_RANK_THRESHOLD,
+    "group_rank_threshold_100": O.group_rank_threshold(100),
+    "group_rank_threshold_1000": O.group_rank_threshold(1000),
     "top_sellers_threshold": O.TOP_SELLERS_THRESHOLD,
     "product_groups": O.PRODUCT_GROUPS,
     "top_helpful_products": O.TOP_HELPFUL,
@@ -204,6 +219,11 @@ ORACLE: dict[str, str] = {
     "better_similars_from_query_table": O.BETTER_SIMILARS_ALL,
     "wordcount_text_files": O.WORDCOUNT,
     **O.QUESTION_TABLES,
+    "daily_table_refreshed": O.QUESTION_TABLES["query_table_reviews_v2"],
+    "customer_table_refreshed": O.QUESTION_TABLES["query_table_customer_reviews"],
+    "reviews_table_upserted": O.REVIEWS_UPSERTED,
+    "review_counters_corrected": O.REVIEWERS_ADDITIVE,
+    "top_reviewers_corrected": O.TOP_REVIEWERS,
     "catalog_parsed_once": O.PARSED_ONCE,
     "output_replaced": O.WORDCOUNT_ALPHA,
     "terms_sorted_in_files": O.TERMS_SORTED,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import DEFAULT_REDUCERS
 from tessera.operators.wordcount import with_bucket
+from tessera.sinks import store
 
 
 def write_term_counts(counts: DataFrame, path: str, n: int = DEFAULT_REDUCERS,
@@ -28,6 +29,26 @@ def write_term_counts(counts: DataFrame, path: str, n: int = DEFAULT_REDUCERS,
     lines.write.mode("overwrite").partitionBy("bucket").text(path)
 
 
+def write_part_files(counts: DataFrame, path: str, n: int = DEFAULT_REDUCERS,
+                     key: str = "term", value: str = "count") -> None:
+    """SNK-1 with SNK-6: ``key<TAB>value`` lines in exactly ``n`` files,
+    ``part-00000`` onwards; part i holds the keys of hash bucket i, byte-sorted,
+    as a job with n reducers writes them. Replaces old output (SNK-2).
+
+    The bucket is the partition id of the shuffle itself, so a part is one
+    task's output, however large the others are; a bucket without keys gets
+    an empty file. For parts that need not be single files,
+    :func:`write_term_counts` splits a bucket over tasks.
+    """
+    lines = (with_bucket(counts, n, key).repartitionById(n, F.col("bucket")).sortWithinPartitions(key)
+             .select(F.concat_ws("\t", F.col(key), F.col(value).cast("string")).alias("value")))
+    lines.write.mode("overwrite").text(path)
+    written = store.children(counts.sparkSession, path)
+    for part in (f"part-{i:05d}" for i in range(n)):
+        if not any(name.startswith(part) for name in written):
+            store.touch(counts.sparkSession, f"{path}/{part}")
+
+
 def read_term_counts(spark: SparkSession, path: str, key: str = "term", value: str = "count") -> DataFrame:
     """Read part files written by :func:`write_term_counts` (or any
     ``key<TAB>value`` text files) back as ``(key STRING, value BIGINT)``."""

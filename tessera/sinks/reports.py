@@ -27,21 +27,41 @@ def write_report(df: DataFrame, path: str, order: Sequence, mode: str = "errorif
     df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode(mode).csv(path)
 
 
-def read_report(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The rows of a CSV folder with ``position``, the line's number (from 1)
-    over all files, taken by part number. Lines may not hold line breaks in
-    quoted values. An empty folder gives no rows."""
-    rows = spark.read.schema(schema).csv(path)
+def _split_lines(rows: DataFrame) -> tuple[DataFrame, list]:
+    """``rows`` of a file scan with each row's split (``report_file``,
+    ``report_block``) and place (``report_at``), and the splits in the order
+    of their part numbers, names and blocks, with rows and first place."""
     names = rows.columns
     rows = rows.select(*names, F.col("_metadata.file_name").alias("report_file"),
                        F.col("_metadata.file_block_start").alias("report_block"),
                        F.monotonically_increasing_id().alias("report_at"))
-    split = ["report_file", "report_block"]
     number = F.regexp_extract("report_file", PART_NUMBER, 1)
-    counts = (rows.groupBy(*split).agg(F.count(F.lit(1)).alias("n"), F.min("report_at").alias("first"))
+    splits = (rows.groupBy("report_file", "report_block").agg(F.count(F.lit(1)).alias("n"), F.min("report_at").alias("first"))
               .withColumn("number", F.when(number != "", number).cast("long")).collect())
-    counts.sort(key=lambda r: (r.number is None, r.number or 0, r.report_file, r.report_block))
-    before = offsets([r.n for r in counts])
-    starts = spark.createDataFrame([(r.report_file, r.report_block, b - r.first + 1) for r, b in zip(counts, before)],
+    return rows, sorted(splits, key=lambda r: (r.number is None, r.number or 0, r.report_file, r.report_block))
+
+
+def read_report(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The rows of a CSV folder with ``position``, the line's number (from 1)
+    over all files, taken by part number. Lines may not hold line breaks in
+    quoted values. An empty folder gives no rows."""
+    rows, splits = _split_lines(spark.read.schema(schema).csv(path))
+    starts = spark.createDataFrame([(r.report_file, r.report_block, before - r.first + 1)
+                                    for r, before in zip(splits, offsets([r.n for r in splits]))],
                                    "report_file string, report_block long, shift long")
-    return rows.join(starts, split).select(*names, (F.col("report_at") + F.col("shift")).alias("position"))
+    names = [c for c in rows.columns if not c.startswith("report_")]
+    return rows.join(starts, ["report_file", "report_block"]).select(*names, (F.col("report_at") + F.col("shift")).alias("position"))
+
+
+def read_part_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Text lines of a folder of part files: ``value``, the ``part`` number,
+    the ``line`` of that part (from 1) and how many ``lines`` the part has."""
+    rows, splits = _split_lines(spark.read.text(path))
+    of_part: dict[int, list] = {}
+    for r in splits:
+        of_part.setdefault(r.number, []).append(r)
+    starts = [(r.report_file, r.report_block, part, before - r.first + 1, sum(x.n for x in own))
+              for part, own in of_part.items() for r, before in zip(own, offsets([x.n for x in own]))]
+    starts = spark.createDataFrame(starts, "report_file string, report_block long, part int, shift long, lines long")
+    return (rows.join(starts, ["report_file", "report_block"])
+            .select("value", "part", (F.col("report_at") + F.col("shift")).alias("line"), "lines"))

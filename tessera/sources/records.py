@@ -24,6 +24,8 @@ transformation that scales with the number of input splits.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -114,10 +116,13 @@ def _review_header(lines: Column) -> Column:
     return F.try_element_at(stats, F.lit(1))
 
 
-def parse_records(records: DataFrame, text_col: str = "value") -> DataFrame:
+def parse_records(records: DataFrame, text_col: str = "value", carry: Sequence[str] = (),
+                  keep_discontinued: bool = False) -> DataFrame:
     """SRC-3 + SRC-4: typed product records, header and discontinued
     records dropped (D1: the last line must not be exactly
-    ``discontinued product``).
+    ``discontinued product``). ``carry`` names columns of ``records`` to pass
+    on; with ``keep_discontinued`` those records stay, with what they hold
+    (no reviews), for callers who must hear that a product is gone.
 
     Output columns: Id, ASIN, title, group, salesrank INT, categories INT,
     similar ARRAY<STRING>, category_paths ARRAY<STRING>,
@@ -132,10 +137,12 @@ def parse_records(records: DataFrame, text_col: str = "value") -> DataFrame:
         F.when(F.locate(":", l) > 0, strip_ws(F.substring_index(l, ":", 1))).alias("tag"),
         strip_ws(F.substr(l, F.locate(":", l) + 1)).alias("value"),
     ))
-    parsed = records.select(kv.alias("kv"))
+    parsed = records.select(kv.alias("kv"), *carry)
     ls = F.col("kv")
     first, last = F.try_element_at(ls, F.lit(1)), F.try_element_at(ls, F.lit(-1))
-    keep = (F.size(ls) > 0) & (first["tag"] == F.lit("Id")) & (last["line"] != F.lit(DISCONTINUED))
+    keep = (F.size(ls) > 0) & (first["tag"] == F.lit("Id"))
+    if not keep_discontinued:
+        keep = keep & (last["line"] != F.lit(DISCONTINUED))
     lines_only = F.transform(ls, lambda x: x["line"])
     sim = _tagged(ls, "similar")
     review_lines = F.filter(lines_only, lambda l: _has_all(l, REVIEW_WORDS) & ~_has_all(l, REVIEW_HEADER_WORDS))
@@ -154,6 +161,7 @@ def parse_records(records: DataFrame, text_col: str = "value") -> DataFrame:
         # raw review lines; they are typed row by row after an explode
         # (reviews_of), where the parsing expressions are code-generated
         review_lines.alias("review_lines"),
+        *carry,
     )
 
 
@@ -191,6 +199,11 @@ def reviews_in_file_order(products: DataFrame) -> DataFrame:
     return r.select("Id", "ASIN", "group", "pos", "r.date", "r.customer", "r.rating", "r.votes", "r.helpful")
 
 
+def review_customers(review_lines: Column) -> Column:
+    """The customer of each raw review line."""
+    return F.transform(review_lines, lambda line: F.get(_label_free_tokens(line), 1))
+
+
 def review_stats_of(products: DataFrame) -> DataFrame:
     """SRC-9."""
     return products.filter(F.col("review_stats").isNotNull()).select(

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators.ordering import _range_of, rank_slice, with_position
+from tessera.operators.ordering import _range_of, kth_by_counts, rank_slice, with_position
 from tessera.sinks.reports import read_report, write_report
 
 
@@ -110,3 +110,35 @@ def test_empty_report(spark, tmp_path):
     path = str(tmp_path / "empty")
     write_report(spark.range(0), path, ["id"])
     assert read_report(spark, path, "v long").collect() == []
+
+
+@pytest.mark.parametrize("k", [1, 7, 100, 10_000])
+@pytest.mark.parametrize("ranges", [2, 256])
+def test_kth_by_counts_equals_sorted_values(spark, k, ranges):
+    rng = random.Random(k)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([rng.randrange(-5, 5), rng.randrange(10**12), 3, None])) for _ in range(900)]
+    rows += [("one", 2**61)] + [("same", 5)] * 300 + [("none", None)]
+    df = spark.createDataFrame(rows, "g string, v long").repartition(4)
+    got = {r.g: r.threshold for r in kth_by_counts(df, ["g"], "v", k, ranges=ranges if k == 7 else 256).collect()}
+    want = {}
+    for g in {g for g, _ in rows}:
+        vals = sorted(v for h, v in rows if h == g and v is not None)
+        if vals:
+            want[g] = vals[min(k, len(vals)) - 1]
+    assert got == want
+
+
+def test_kth_by_counts_of_several_keys_and_nothing(spark):
+    df = spark.createDataFrame([(1, "x", 5), (1, "x", 4), (1, "y", 9)], "key0 int, h string, v int")
+    out = kth_by_counts(df, ["key0", "h"], "v", 2)
+    assert sorted(tuple(r) for r in out.collect()) == [(1, "x", 5), (1, "y", 9)]
+    assert dict(out.dtypes) == {"key0": "int", "h": "string", "threshold": "int"}
+    assert kth_by_counts(df.limit(0), ["h"], "v", 2).collect() == []
+    with pytest.raises(ValueError):
+        kth_by_counts(df, ["h"], "v", 0)
+
+
+def test_kth_by_counts_shuffles_as_many_rows_for_any_k(spark):
+    df = spark.range(20_000).select((F.col("id") % 3).alias("g"), (F.col("id") * 7 % 19_997).alias("v"))
+    plan = kth_by_counts(df, ["g"], "v", 5000)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan  # what is left is one row a group, already written

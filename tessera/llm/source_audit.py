@@ -7,8 +7,11 @@ a multikey quicksort: three-way partitions on one character at a time, the
 equal part going on with the next; a character is eight bytes of the word read
 at once, and groups under ``LEAF`` pointers are sorted together. Equal runs of
 pointers are the terms of the slice. Each run yields, per (language, source),
-its occurrences and the documents it occurs in. A task combines the slices it
-has had before anything is shuffled, and Spark adds up the rest.
+its occurrences and the documents it occurs in. A task adds its slices up
+before anything is shuffled and sends each term's sums to the term's shard, as
+one Arrow stream per shard; a shard's task adds the streams up as they come, so
+it holds the shard's distinct (language, source, term) and no more. A term that
+holds a third of all words is one row per task and group.
 
 Shares are integers: ``p = 1 + floor(10^9 (count + 1) / (N + V))``, computed by
 long division in three steps, so no product leaves 64 bits. The divergence of
@@ -38,9 +41,10 @@ from tessera.operators.topk import top_n_per_group
 
 MIN_DOCS = 3
 TOP_TERMS = 200
-#: Bytes of text whose pointers are sorted together, rows a task combines
-#: before it passes them on, pointers sorted without partitioning.
-SLICE, COMBINE, LEAF = 16 << 20, 1 << 20, 4096
+#: Bytes of text whose pointers are sorted together, rows a task adds up
+#: before it passes them on, pointers sorted without partitioning, and the
+#: most shards that terms are dealt into.
+SLICE, COMBINE, LEAF, MAX_SHARDS = 8 << 20, 1 << 20, 4096, 4096
 #: Pairs of rows looked at together; sources of a language up to which a task
 #: sums pairs in a square table (beyond, by sorting).
 PAIRS, SQUARE = 1 << 20, 1024
@@ -123,15 +127,28 @@ def _strings(data: np.ndarray, start: np.ndarray, end: np.ndarray):
     return pa.StringArray.from_buffers(len(size), pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(own))
 
 
+def _codes_of(column):
+    """Distinct strings of a column, and each row's place among them."""
+    import pyarrow as pa
+
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    coded = column.dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+
+
+def _table(names, codes, n: np.ndarray, docs: np.ndarray):
+    import pyarrow as pa
+
+    columns = [x.take(pa.array(c)) for x, c in zip(names, codes)]
+    return pa.table([*columns, pa.array(n, pa.int64()), pa.array(docs, pa.int64())], ["lang", "source", "term", "n", "docs"])
+
+
 def slice_counts(table):
     """(lang, source, term, n, docs) of the texts of an Arrow table: one
     pointer sort, one row per equal run and group of documents."""
-    import pyarrow as pa
-    import pyarrow.compute as pc
-
-    lang, source = (table.column(c).combine_chunks().dictionary_encode() for c in ("lang", "source"))
-    wide = np.int64(max(1, len(source.dictionary)))
-    kind = lang.indices.to_numpy().astype(np.int64) * wide + source.indices.to_numpy()
+    (langs, lang), (sources, source) = _codes_of(table.column("lang")), _codes_of(table.column("source"))
+    wide, docs = max(1, len(sources)), np.int64(max(1, len(lang)))
+    kind = lang * wide + source
     by_kind = np.argsort(kind, kind="stable")  # documents of one group get neighbouring numbers
     number = np.empty(len(kind), np.int64)
     number[by_kind] = np.arange(len(kind))
@@ -141,69 +158,131 @@ def slice_counts(table):
     offsets = np.concatenate([o[:-1] + s for (_, o), s in zip(texts, sizes)] + [sizes[-1:]])
     start, end, text = word_spans(data[:-8], offsets, LETTER)
     order, first = sort_pointers(Pointers(data, start, end))
-    run = np.cumsum(first) - 1
-    seen = np.sort(run * np.int64(len(kind)) + number[text[order]])  # (run, document)
-    run, doc = np.divmod(seen, np.int64(max(1, len(kind))))
-    group = kind[by_kind][doc]
-    new_doc, new_row = np.ones(len(seen), bool), np.ones(len(seen), bool)
+    seen = np.sort((np.cumsum(first) - 1) * docs + number[text[order]])  # (run, document)
+    new_doc = np.ones(len(seen), bool)
     new_doc[1:] = seen[1:] != seen[:-1]
-    new_row[1:] = (run[1:] != run[:-1]) | (group[1:] != group[:-1])
-    rows = np.flatnonzero(new_row)
+    at = np.flatnonzero(new_doc)  # one row per run and document from here on
+    run, doc = np.divmod(seen[at], docs)
+    group = kind[by_kind][doc]
+    new = np.ones(len(at), bool)
+    new[1:] = (run[1:] != run[:-1]) | (group[1:] != group[:-1])
+    rows = np.flatnonzero(new)
     heads = order[first]
     terms = _strings(data, start[heads], end[heads])
-    n = np.diff(np.append(rows, len(seen)))
-    docs = np.add.reduceat(new_doc.astype(np.int64), rows) if len(rows) else rows
-    of = lambda column, codes: column.dictionary.take(pa.array(codes))
-    return pa.table({"lang": of(lang, group[rows] // wide), "source": of(source, group[rows] % wide),
-                     "term": pc.take(terms, pa.array(run[rows])), "n": pa.array(n, pa.int64()), "docs": pa.array(docs, pa.int64())})
-
-
-def _combined(tables):
+    return _table((langs, sources, terms), (group[rows] // wide, group[rows] % wide, run[rows]),
+                  np.diff(np.append(at[rows], len(seen))), np.diff(np.append(rows, len(at))))
+
+
+class Sums:
+    """Rows of equal (lang, source, term) of some tables added up, in the
+    order of (lang, term) as numbered by their dictionaries."""
+
+    def __init__(self, tables):
+        import pyarrow as pa
+
+        table = pa.concat_tables(tables)
+        (self.langs, lang), (self.sources, source), (self.terms, term) = (_codes_of(table.column(c)) for c in ("lang", "source", "term"))
+        wide, many = max(1, len(self.sources)), max(1, len(self.terms))
+        key = (lang * many + term) * wide + source
+        order = np.argsort(key)
+        key = key[order]
+        rows = np.flatnonzero(np.diff(key, prepend=-1))
+        add = lambda c: np.add.reduceat(table.column(c).to_numpy()[order], rows) if len(rows) else rows
+        self.n, self.docs = add("n"), add("docs")
+        key = key[rows]
+        self.pair, self.source = key // wide, key % wide  # pair: lang and term
+        self.lang, self.term = self.pair // many, self.pair % many
+
+    def table(self):
+        return _table((self.langs, self.sources, self.terms), (self.lang, self.source, self.term), self.n, self.docs)
+
+    def shards(self, shards: int) -> np.ndarray:
+        """The shard of each row, by a hash of the bytes of its term."""
+        data, offsets = text_bytes(self.terms)
+        words = Pointers(np.concatenate([data, np.zeros(8, np.uint8)]), offsets[:-1], offsets[1:])
+        spot, live, depth = np.zeros(len(self.terms), np.uint64), np.arange(len(self.terms)), 0
+        while len(live):
+            mixed = (spot[live] ^ words.character(live, depth)) * np.uint64(0x9E3779B97F4A7C15)
+            spot[live] = mixed ^ (mixed >> np.uint64(29))
+            depth += 8
+            live = live[offsets[live + 1] - offsets[live] > depth]
+        return (spot % np.uint64(shards)).astype(np.int64)[self.term]
+
+
+def _packed(tables, shards: int):
+    """(shard, rows): the sums of some tables cut up by shard, each part as
+    one Arrow stream."""
     import pyarrow as pa
 
-    both = pa.concat_tables(tables)
-    out = both.group_by(["lang", "source", "term"], use_threads=False).aggregate([("n", "sum"), ("docs", "sum")])
-    return out.select(["lang", "source", "term", "n_sum", "docs_sum"]).rename_columns(["lang", "source", "term", "n", "docs"])
-
-
-def _count(batches):
-    """Sort slice after slice; pass combined rows on when they grow large."""
+    sums = Sums(tables)
+    shard = sums.shards(shards)
+    order = np.argsort(shard, kind="stable")
+    table, shard = sums.table().take(pa.array(order)), shard[order]
+    cuts = np.append(np.flatnonzero(np.diff(shard, prepend=-1)), len(shard))
+    parts = []
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as out:
+            out.write_table(table.slice(a, b - a).combine_chunks())
+        parts.append(sink.getvalue().to_pybytes())
+    yield pa.RecordBatch.from_arrays([pa.array(shard[cuts[:-1]], pa.int32()), pa.array(parts, pa.binary())], ["shard", "rows"])
+
+
+def _count(batches, shards: int):
+    """Sort slice after slice; pass the sums on when they grow large."""
     import pyarrow as pa
 
     held, size, done = [], 0, []
-
-    def counted():
-        nonlocal held, size, done
-        done.append(slice_counts(pa.Table.from_batches(held)))
-        held, size = [], 0
-        if len(done) > 1:
-            done = [_combined(done)]
-
     for batch in batches:
         held.append(batch)
         size += batch.nbytes
         if size >= SLICE:
-            counted()
-            if done[0].num_rows >= COMBINE:
-                yield from done.pop().to_batches(65536)
+            done.append(slice_counts(pa.Table.from_batches(held)))
+            held, size = [], 0
+            if sum(t.num_rows for t in done) >= COMBINE:
+                yield from _packed(done, shards)
+                done = []
     if held:
-        counted()
-    for table in done:
-        yield from table.to_batches(65536)
+        done.append(slice_counts(pa.Table.from_batches(held)))
+    if done:
+        yield from _packed(done, shards)
+
+
+def _merge(batches, min_docs: int):
+    """All sums of one shard: added up as they come, so that a task holds the
+    shard's distinct rows and one batch; then terms in too few documents go."""
+    import pyarrow as pa
+
+    held, limit = [], COMBINE
+    for batch in batches:
+        held += [pa.ipc.open_stream(x.as_buffer()).read_all() for x in batch.column("rows")]
+        if sum(t.num_rows for t in held) >= limit:
+            held = [Sums(held).table()]
+            limit = COMBINE + 2 * held[0].num_rows
+    if not held:
+        return
+    sums = Sums(held)
+    edges = np.flatnonzero(np.diff(sums.pair, prepend=-1))
+    size = np.diff(np.append(edges, len(sums.pair)))
+    in_all = lambda x: np.repeat(np.add.reduceat(x, edges), size) if len(edges) else x
+    head = np.zeros(len(sums.pair), bool)
+    head[edges] = True
+    keep = np.flatnonzero(in_all(sums.docs) >= min_docs)
+    table = _table((sums.langs, sums.sources, sums.terms), (sums.lang[keep], sums.source[keep], sums.term[keep]), sums.n[keep], in_all(sums.n)[keep])
+    yield from table.rename_columns(["lang", "source", "term", "n", "lang_n"]).append_column("head", pa.array(head[keep])).to_batches(65536)
 
 
 def term_counts(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """(lang, source, term, n, lang_n, head): the occurrences of every kept
     term in every group that has it, and in the language; ``head`` marks one
-    row of each (lang, term)."""
-    bounded_batches(docs.sparkSession)
+    row of each (lang, term). All rows of a term come from one task."""
+    spark = docs.sparkSession
+    bounded_batches(spark)
     texts = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    rows = texts.mapInArrow(_count, "lang string, source string, term string, n long, docs long")
-    rows = rows.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    own = Window.partitionBy("lang", "term")
-    rows = rows.select("lang", "source", "term", "n", F.sum("n").over(own).alias("lang_n"), F.sum("docs").over(own).alias("lang_docs"),
-                       (F.row_number().over(own.orderBy("source")) == 1).alias("head"))
-    return rows.filter(F.col("lang_docs") >= min_docs).drop("lang_docs")
+    shards = min(MAX_SHARDS, max(int(spark.conf.get("spark.sql.shuffle.partitions")), texts.rdd.getNumPartitions()))
+    sums = texts.mapInArrow(lambda batches: _count(batches, shards), "shard int, rows binary")
+    return (sums.repartitionById(shards, F.col("shard"))
+            .mapInArrow(lambda batches: _merge(batches, min_docs), "lang string, source string, term string, n long, lang_n long, head boolean"))
 
 
 def group_sizes(docs: DataFrame, counts: DataFrame) -> DataFrame:

@@ -29,13 +29,11 @@ def _wordcount(args) -> None:
 
 def _questions(args) -> None:
     from tessera.plans import questions as Q
-    from tessera.session import scratch_dir
     from tessera.sinks.files import write_csv
     from tessera.sources import records as R
+    from tessera.sources.base import parsed_base
     spark = _session()
-    base = scratch_dir(spark, "catalog-base")
-    R.parse_records(R.read_records(spark, args.catalog)).write.parquet(base)  # parse once (SRC-13)
-    products = spark.read.parquet(base)
+    products = parsed_base(spark, args.catalog)  # parsed once per state of the file (SRC-13)
     sells, similars = R.sells_of(products), R.similars_of(products)
     reviews, categories = R.reviews_of(products), R.categories_of(products)
     answers = {

@@ -12,22 +12,31 @@ from pyspark.sql import types as T
 from tessera.plans import questions as Q
 from tessera.plans.wordcount import wordcount
 from tessera.session import scratch_dir
+from tessera.sinks import catalog_text, versions
 from tessera.sinks.catalog_text import write_catalog_text
-from tessera.sinks.files import read_csv, read_term_counts, write_csv, write_term_counts
+from tessera.sinks.files import read_csv, read_term_counts, write_csv, write_part_files, write_term_counts
+from tessera.operators.lookup import lookup, lookup_join
 from tessera.operators.topk import top_n_per_group
 from tessera.operators.wordcount import word_count
 from tessera.sinks.reports import read_report, write_report
 from tessera.sinks.query_tables import read_query_table, write_query_table, write_question_table
 from tessera.sources import catalog as C
 from tessera.sources import records as R
+from tessera.sources.base import derived, parsed_base
 from tessera.sources.text import read_lines, write_corpus
 
 
-def write_fixture_catalog(spark: SparkSession, sf_dir: str) -> str:
-    path = scratch_dir(spark, "catalog")
+def write_fixture_catalog(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The tables rendered as catalogue text."""
     write_catalog_text(spark, C.sells(spark, sf_dir), C.similars(spark, sf_dir), C.categories(spark, sf_dir),
                        C.reviews(spark, sf_dir, with_group=False), path, discontinued=discontinued_products(spark, sf_dir))
-    return path
+
+
+def fixture_catalog(spark: SparkSession, sf_dir: str) -> str:
+    """The catalogue text of the tables as they are now, rendered once."""
+    tables = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("part", "lineitem", "orders")]
+    return derived(spark, "catalogue", tables, [C, catalog_text, write_fixture_catalog, discontinued_products],
+                   lambda folder: write_fixture_catalog(spark, sf_dir, folder))
 
 
 def discontinued_products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,27 +46,20 @@ def discontinued_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own.select(F.concat(F.lit("9"), F.lpad("Id", 12, "0")).alias("Id"), F.concat(F.lit("D"), "ASIN").alias("ASIN"))
 
 
-def write_base(spark: SparkSession, text: str) -> str:
-    """SRC-13: parse a catalogue file (SRC-2, SRC-3, SRC-4) once into a new
-    parquet base table, for a caller with several questions."""
-    path = scratch_dir(spark, "catalog-base")
-    R.parse_records(R.read_records(spark, text)).write.parquet(path)
-    return path
-
-
-def parsed_products(spark: SparkSession, sf_dir: str, base: str | None = None) -> DataFrame:
-    """The parsed catalogue (one row per product record): of the base table
-    where the caller has one, else rendered from the tables and parsed anew."""
-    return spark.read.parquet(base or write_base(spark, write_fixture_catalog(spark, sf_dir)))
+def parsed_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parsed catalogue (one row per product record). The text and the
+    parsed base table are shared files named by what they are made from
+    (SRC-13): the first query after a change renders and parses, the others
+    read."""
+    return parsed_base(spark, fixture_catalog(spark, sf_dir))
 
 
 def parsed_once(spark, sf_dir):
     """SRC-13: two questions from one base table: per product the numbers of
     reviews and of similar products."""
-    base = write_base(spark, write_fixture_catalog(spark, sf_dir))
-    products = parsed_products(spark, sf_dir, base)
+    products = parsed_products(spark, sf_dir)
     reviews = R.reviews_of(products).groupBy("Id").agg(F.count(F.lit(1)).alias("n_reviews"))
-    similars = R.similars_of(parsed_products(spark, sf_dir, base)).groupBy("Id").agg(F.count(F.lit(1)).alias("n_similars"))
+    similars = R.similars_of(parsed_products(spark, sf_dir)).groupBy("Id").agg(F.count(F.lit(1)).alias("n_similars"))
     zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
     return (R.sells_of(products).select("Id").join(reviews, "Id", "left").join(similars, "Id", "left")
             .select("Id", zero("n_reviews"), zero("n_similars")))
@@ -176,6 +178,31 @@ def output_replaced(spark, sf_dir):
     return read_term_counts(spark, path)
 
 
+def output_published(spark, sf_dir):
+    """SNK-2 as one step for readers: the counts of all terms are published,
+    then those of alphabetic terms; what is current is the second."""
+    path = scratch_dir(spark, "published")
+    for alpha in (False, True):
+        versions.replace(spark, path, lambda folder, alpha=alpha: write_part_files(wordcount(spark, sf_dir, alpha_only=alpha), folder))
+    return read_term_counts(spark, versions.current(spark, path))
+
+
+def similars_looked_up(spark, sf_dir):
+    """JN-7 / FLT-9: every similar product's rank, looked up by ASIN in the
+    ``products`` table, which is clustered by Id; one outside the catalogue
+    gives no row."""
+    products = _question_table(spark, sf_dir, "products", with_reviews=False).select("ASIN", "salesrank")
+    asked = C.similars(spark, sf_dir).select("Id", "similar")
+    return lookup_join(products, "ASIN", asked, "similar").select("Id", "similar", F.col("salesrank").alias("similar_salesrank"))
+
+
+def products_by_asin(spark, sf_dir, product_id: str):
+    """JN-7: the products that a product lists, found by their ASINs with a
+    filter that Bloom filters answer; those outside the catalogue are none."""
+    listed = [r.similar for r in C.similars(spark, sf_dir, product_id).select("similar").collect()]  # a record's few
+    return lookup(_question_table(spark, sf_dir, "products", with_reviews=False), "ASIN", listed)
+
+
 def terms_sorted_in_files(spark, sf_dir):
     """SRT-7: neighbours in a part file that are out of byte order: none."""
     path = scratch_dir(spark, "sorted")

@@ -229,6 +229,11 @@ DAILY_RATING_REPORT = with_rel(REVIEWS) + """
 CUSTOMER_POSITIONS = with_rel(REVIEWS) + """
     SELECT customer, count(*) AS comments, row_number() OVER (ORDER BY count(*) DESC, customer) AS position
     FROM reviews GROUP BY customer"""
+SIMILARS_LOOKED_UP = with_rel(SELLS, SIMILARS) + """
+    SELECT m.Id, m."similar", s.salesrank AS similar_salesrank FROM similars m JOIN sells s ON s.ASIN = m."similar" """
+PRODUCTS_BY_ASIN = with_rel(SELLS, SIMILARS) + f"""
+    SELECT Id, ASIN, title, "group", salesrank FROM sells
+    WHERE ASIN IN (SELECT "similar" FROM similars WHERE Id = '{SIMILAR_ID}')"""
 TERMS_SORTED = f"SELECT count(*) AS terms, 0::BIGINT AS out_of_order FROM ({WORDCOUNT})"
 PARSED_ONCE = with_rel(SELLS, SIMILARS, REVIEWS) + """
     SELECT s.Id, (SELECT count(*) FROM reviews r WHERE r.Id = s.Id) AS n_reviews,

@@ -130,6 +130,10 @@ QUERIES: dict[str, Query] = {
     "top_reviewers_corrected": ST.top_reviewers_corrected,
     "catalog_parsed_once": CF.parsed_once,
     "output_replaced": CF.output_replaced,
+    "output_published": CF.output_published,
+    "similars_looked_up": CF.similars_looked_up,
+    "products_by_asin": lambda s, d: CF.products_by_asin(s, d, O.SIMILAR_ID),
+    "top_reviewers_streamed": ST.top_reviewers_streamed,
     # order, made visible as columns
     "terms_sorted_in_files": CF.terms_sorted_in_files,
     "best_sellers_report": CF.best_sellers_report,
@@ -226,6 +230,10 @@ ORACLE: dict[str, str] = {
     "top_reviewers_corrected": O.TOP_REVIEWERS,
     "catalog_parsed_once": O.PARSED_ONCE,
     "output_replaced": O.WORDCOUNT_ALPHA,
+    "output_published": O.WORDCOUNT_ALPHA,
+    "similars_looked_up": O.SIMILARS_LOOKED_UP,
+    "products_by_asin": O.PRODUCTS_BY_ASIN,
+    "top_reviewers_streamed": O.TOP_REVIEWERS,
     "terms_sorted_in_files": O.TERMS_SORTED,
     "best_sellers_report": O.BEST_SELLERS_REPORT,
     "daily_rating_report": O.DAILY_RATING_REPORT,

@@ -16,6 +16,7 @@ from tessera.sinks import keyed_table, partials
 from tessera.sinks.catalog_text import write_catalog_text
 from tessera.sources import catalog as C
 from tessera.streaming.corrections import compact_counters, corrected_counters, start_corrected_counters
+from tessera.streaming.top_lists import start_top_reviewers, top_reviewers_now
 
 BATCHES = 3
 
@@ -102,3 +103,15 @@ def review_counters_corrected(spark, sf_dir):
 def top_reviewers_corrected(spark, sf_dir, n: int = 10):
     """Q-G answered from the corrected counters."""
     return Q.top_n_per_group(review_counters_corrected(spark, sf_dir), ["group"], [F.col("comments").desc(), F.col("customer").asc()], n)
+
+
+def top_reviewers_streamed(spark, sf_dir, n: int = 10):
+    """WIN-3 kept up to date: the catalogue is delivered in three deliveries,
+    one micro-batch after the other; what is read is the last list."""
+    src, top, state = (scratch_dir(spark, x) for x in ("deliveries", "top-lists", "top-state"))
+    sells, reviews = C.sells(spark, sf_dir), C.reviews(spark, sf_dir, with_group=False)
+    for i in range(BATCHES):
+        own = F.pmod(F.xxhash64("Id"), F.lit(BATCHES)) == i
+        _deliver(spark, f"{src}/{i}", sells.filter(own), reviews.filter(own))
+        start_top_reviewers(spark, f"{src}/*", top, n, state).awaitTermination()
+    return top_reviewers_now(spark, top)

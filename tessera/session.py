@@ -94,6 +94,11 @@ def _checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share (``spark.checkpoint.dir``)."""
+    return _checkpoint_root(spark).rstrip("/")
+
+
 def scratch_dir(spark: SparkSession, name: str = "stage") -> str:
     """A fresh, never reused sub folder of the session's checkpoint folder."""
     root = _checkpoint_root(spark).rstrip("/")

@@ -19,7 +19,11 @@ from pyspark.sql import functions as F
 
 def write_query_table(df: DataFrame, path: str, cluster_by: Sequence[str],
                       order: Sequence[Column] = (), partition_by: Sequence[str] = (),
-                      partitions: int | None = None, mode: str = "overwrite") -> None:
+                      partitions: int | None = None, mode: str = "overwrite", look_up: Sequence[str] = ()) -> None:
+    """``look_up`` names columns that rows are also looked up by: each gets
+    Parquet Bloom filters, sized per row group by the writer, so that an
+    equality on it skips the row groups that can't hold the value although
+    the table is clustered by another key."""
     keys = list(partition_by) + [c for c in cluster_by if c not in partition_by]
     cols = [F.col(c) for c in keys]
     # The range key continues with the in-file order, so one clustering key
@@ -33,6 +37,8 @@ def write_query_table(df: DataFrame, path: str, cluster_by: Sequence[str],
     w = out.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
+    for c in look_up:
+        w = w.option(f"parquet.bloom.filter.enabled#{c}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
     w.parquet(path)
 
 
@@ -83,6 +89,10 @@ QUESTION_TABLES = {
 }
 
 
+# Columns besides the clustering key that questions look rows up by.
+LOOK_UP = {"products": ["ASIN"], "similars": ["ASIN", "similar"], "reviews_v1": ["ASIN"], "reviews_v2": ["ASIN"], "groups": ["ASIN"]}
+
+
 def _order(spec) -> list[Column]:
     out = []
     for o in spec:
@@ -97,7 +107,7 @@ def write_question_table(name: str, path: str, sells: DataFrame, similars: DataF
                          reviews: DataFrame) -> None:
     build, cluster_by, order, partition_by = QUESTION_TABLES[name]
     write_query_table(build(sells, similars, reviews), path, cluster_by=cluster_by,
-                      order=_order(order), partition_by=partition_by)
+                      order=_order(order), partition_by=partition_by, look_up=LOOK_UP.get(name, ()))
 
 
 def write_bucketed(df: DataFrame, name: str, key: Sequence[str], buckets: int, path: str) -> DataFrame:

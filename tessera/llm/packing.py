@@ -9,8 +9,9 @@ a subset-sum dynamic program over the bitset of reachable fill levels (one
 Python integer, bit f set when some multiset of the remaining lengths fills
 f) picks the multiset closest to the capacity, backtracking gives how often
 each length is used, and the pattern is applied as often as the counts allow
-before the program runs again. What is left of a block goes to sequences
-that end at a power of two, which need no padding, and at last to an open one.
+before the program runs again. What no longer fills a window, at the end of a
+block, is one open sequence, or several that end at powers of two, which need
+no padding, where that leaves less.
 
 Sequence ids are ``block * 2**32 + number`` with pieces sorted by document
 inside a task, so a retried task makes the same sequences.
@@ -34,60 +35,72 @@ CAPACITY = 2048
 END_ID = 1
 #: Rows of remaining pieces that are packed together at most.
 BLOCK = 100_000
-KEPT = 1_500_000
-#: Texts that are encoded together.
-GROUP = 64
+#: Fixed value: the byte-level pre-tokenizer's pattern.
+PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: The shortest sequence that is made to end at a power of two.
 LEAST_POWER = 64
 
 
+def _byte_letters() -> dict[str, int]:
+    """The byte that each letter of a byte-level vocabulary stands for: a
+    visible Latin-1 letter for itself, those from U+0100 on for the others."""
+    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in visible]
+    return {chr(b): b for b in visible} | {chr(0x100 + i): b for i, b in enumerate(hidden)}
+
+
+def byte_ranks(spec: dict, tokenizer) -> dict[bytes, int] | None:
+    """The vocabulary of a tokenizers file as byte ranks, if encoding by rank
+    gives the file's ids: byte-level BPE without options, merges in the order
+    of their tokens' ids, and every token merging to itself. Then the last two
+    parts that make up a token's bytes are always those of its merge, so
+    merging the pair of least rank is merging the first pair of the list."""
+    model, before = spec["model"], spec.get("pre_tokenizer") or {}
+    plain = (model.get("type") == "BPE" and before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
+             and not spec.get("normalizer") and not spec.get("post_processor")
+             and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")))
+    vocabulary, letters = model["vocab"], _byte_letters()
+    if not plain or sorted(vocabulary.values()) != list(range(len(vocabulary))):
+        return None
+    merged = [vocabulary.get("".join(m.split(" ") if isinstance(m, str) else m), -1) for m in model["merges"]]
+    if merged != list(range(len(vocabulary) - len(merged), len(vocabulary))) or any(c not in letters for t in vocabulary for c in t):
+        return None
+    if any(len(tokenizer.model.tokenize(t)) != 1 for t in vocabulary):
+        return None
+    return {bytes(letters[c] for c in t): i for t, i in vocabulary.items()}
+
+
 class Words:
-    """Ids (little-endian 32-bit bytes) of words with a space before them, kept
-    up to ``KEPT``."""
+    """The ids of a tokenizers file, without special tokens added. Where its
+    vocabulary allows (``byte_ranks``) tiktoken computes them, the same ids in
+    half the time; texts that hold an added token's string, and all texts of
+    other vocabularies, go through tokenizers."""
 
     def __init__(self, path: str):
+        import json
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        import tiktoken
         from tokenizers import Tokenizer
 
-        self.kept: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            ranks = byte_ranks(json.load(f), self.tokenizer)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.ranked = ranks and tiktoken.Encoding("ranked", pat_str=PRETOKEN, mergeable_ranks=ranks, special_tokens={})
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        from array import array
-
-        out: list[bytes] = []
-        for i in range(0, len(texts), 4096):
-            made = self.tokenizer.encode_batch_fast(texts[i:i + 4096], add_special_tokens=False)
-            out += [array("I", e.ids).tobytes() for e in made]
-        return out
-
-    def fill(self, words: set[str]) -> None:
-        """Encode what is not kept yet, in one call."""
-        new = words.difference(self.kept)
-        if len(self.kept) + len(new) > KEPT:
-            self.kept.clear()
-            new = words
-        new = list(new)
-        self.kept.update(zip(new, self.ids([" " + w for w in new])))
+    def ids(self, text: str) -> list[int]:
+        if not self.ranked or any(t in text for t in self.added):
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+        return self.ranked.encode_ordinary(text)
 
 
 def encode(texts: list[str], words: Words) -> list[bytes]:
-    """Ids of each text as 32-bit little-endian bytes.
-
-    A text is cut before single spaces after a character that is not white
-    space: the byte-level pre-tokenizer always begins a token there. Texts
-    with longer runs of white space around a space are encoded whole.
-    """
-    import re
+    """Ids of each text as 32-bit little-endian bytes."""
+    from array import array
 
-    cut = [t.split(" ") for t in texts]
-    whole = [len(c) < 3 or re.search(r"\s (?:\s|\Z)", t) is not None for t, c in zip(texts, cut)]
-    rest = [[] if w else c[1:] for c, w in zip(cut, whole)]
-    first = words.ids([t if w else c[0] for t, c, w in zip(texts, cut, whole)])
-    words.fill(set().union(*rest))
-    return [b"".join([f, *map(words.kept.__getitem__, r)]) for f, r in zip(first, rest)]
+    return [array("I", words.ids(t)).tobytes() for t in texts]
 
 
 def cut_pieces(ids: bytes, capacity: int):
@@ -108,11 +121,9 @@ def _tokenise(path: str, capacity: int):
         end = END_ID.to_bytes(4, "little")
         for b in batches:
             rows, docs = [], b.column("doc_id").to_pylist()
-            for i in range(0, b.num_rows, GROUP):
-                texts = [t or "" for t in b.column("text").slice(i, GROUP).to_pylist()]
-                for doc, ids in zip(docs[i:i + GROUP], encode(texts, words)):
-                    ids += end
-                    rows += [(doc, s, n, c, len(ids) // 4) for s, n, c in cut_pieces(ids, capacity)]
+            for doc, text in zip(docs, b.column("text")):
+                ids = encode([text.as_py() or ""], words)[0] + end
+                rows += [(doc, s, n, c, len(ids) // 4) for s, n, c in cut_pieces(ids, capacity)]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)] if rows else [pa.array([], pa.int64())] * 5,
                                              names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
     return run
@@ -125,12 +136,13 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
         _tokenise(path, capacity), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
 
 
-def best_fill(counts: dict[int, int], capacity: int) -> dict[int, int]:
+def best_fill(counts: dict[int, int], capacity: int, powers: bool = False) -> dict[int, int]:
     """The multiset of the counted lengths whose sum is closest to, and not
     over, the capacity, as length -> times. Lengths go in descending order;
     ``levels[k]`` is the bitset of sums reachable with the first k of the
-    binary-split items. Where the capacity itself is out of reach, a fill of a
-    power of two from ``LEAST_POWER`` on comes first, as it needs no padding."""
+    binary-split items. With ``powers`` (for lengths that don't fill a window
+    any more) the largest power of two from ``LEAST_POWER`` on is aimed at
+    instead, if one can be reached, as it needs no padding."""
     items, levels, mask = [], [1], (1 << capacity + 1) - 1
     for length in sorted(counts, reverse=True):
         left, times = min(counts[length], capacity // length), 1
@@ -143,9 +155,8 @@ def best_fill(counts: dict[int, int], capacity: int) -> dict[int, int]:
         if levels[-1] >> capacity & 1:
             break
     at, used = levels[-1].bit_length() - 1, {}
-    if at < capacity:
-        powers = [1 << k for k in range(capacity.bit_length()) if 1 << k >= LEAST_POWER and levels[-1] >> (1 << k) & 1]
-        at = max(powers, default=at)
+    if powers:
+        at = max((1 << k for k in range(capacity.bit_length()) if 1 << k >= LEAST_POWER and levels[-1] >> (1 << k) & 1), default=at)
     for (length, times), before in zip(reversed(items), reversed(levels[:-1])):
         if not before >> at & 1:
             used[length] = used.get(length, 0) + times
@@ -153,19 +164,31 @@ def best_fill(counts: dict[int, int], capacity: int) -> dict[int, int]:
     return used
 
 
+def _padding(fill: int, capacity: int) -> int:
+    return 0 if fill & (fill - 1) == 0 else capacity - fill
+
+
+def _open_end(counts: dict[int, int], capacity: int) -> list[dict[int, int]]:
+    """Patterns for lengths that all fit into one window: one open sequence,
+    or several that end at powers of two if these leave less padding."""
+    rest, split = dict(counts), []
+    while rest:
+        split.append(best_fill(rest, capacity, powers=True))
+        rest = {k: v - split[-1].get(k, 0) for k, v in rest.items() if v > split[-1].get(k, 0)}
+    cost = lambda patterns: sum(_padding(sum(k * v for k, v in p.items()), capacity) for p in patterns)
+    return split if cost(split) < cost([counts]) else [dict(counts)]
+
+
 def pack_lengths(counts: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
     """(pattern, repeats) that use every counted length exactly once."""
     counts = {k: v for k, v in counts.items() if v}
     out = []
-    while counts:
+    while sum(k * v for k, v in counts.items()) >= capacity:
         pattern = best_fill(counts, capacity)
         times = min(counts[k] // v for k, v in pattern.items())
-        for k, v in pattern.items():
-            counts[k] -= v * times
-            if not counts[k]:
-                del counts[k]
+        counts = {k: v - pattern.get(k, 0) * times for k, v in counts.items() if v > pattern.get(k, 0) * times}
         out.append((pattern, times))
-    return out
+    return out + [(p, 1) for p in _open_end(counts, capacity)] if counts else out
 
 
 def place(rows: list[tuple], capacity: int, first: int) -> list[tuple]:

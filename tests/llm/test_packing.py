@@ -32,14 +32,37 @@ def test_fill_is_the_closest_multiset(counts, capacity):
         sums = {s + k * t for s in sums for t in range(v + 1)}
     used = K.best_fill(dict(counts), capacity)
     assert all(0 < n <= counts[k] for k, n in used.items())
-    powers = {32} & sums if K.LEAST_POWER <= 32 else set()
-    best = max(s for s in sums if s <= capacity)
-    assert sum(k * n for k, n in used.items()) == (best if best == capacity or not powers else max(powers))
+    assert sum(k * n for k, n in used.items()) == max(s for s in sums if s <= capacity)
 
 
-def test_what_is_left_ends_at_powers_of_two():
-    out = K.pack_lengths({1000: 1, 24: 3, 512: 1}, 2048)
-    assert sorted(sum(k * n for k, n in p.items()) for p, _ in out) == [48, 512, 1024]
+def test_the_closest_fill_goes_before_a_power_of_two():
+    assert K.best_fill({2047: 1, 1024: 1}, 2048) == {2047: 1}
+    out = K.pack_lengths({2047: 1, 1024: 1, 600: 1, 400: 1}, 2048)
+    assert sorted(sum(k * n for k, n in p.items()) * times for p, times in out) == [2024, 2047]
+
+
+def test_vocabularies_whose_ranks_don_t_give_their_ids_are_left_to_the_library():
+    import copy
+    import json
+
+    spec = json.load(open(PATH, encoding="utf-8"))
+    assert len(K.byte_ranks(spec, TOKENIZER)) == len(spec["model"]["vocab"])
+    for change in (lambda s: s["model"]["merges"].reverse(), lambda s: s["model"].update(dropout=0.1), lambda s: s.update(normalizer={"type": "NFC"}),
+                   lambda s: s["pre_tokenizer"].update(add_prefix_space=True), lambda s: s["model"]["vocab"].pop("a")):
+        other = copy.deepcopy(spec)
+        change(other)
+        assert K.byte_ranks(other, TOKENIZER) is None
+    words = K.Words(PATH)
+    words.ranked = None
+    assert words.ids("a <|endoftext|>b") == K.Words(PATH).ids("a <|endoftext|>b") == TOKENIZER.encode("a <|endoftext|>b").ids
+
+
+def test_what_is_left_ends_at_powers_of_two_where_that_pads_less():
+    fills = lambda counts: sorted(sum(k * n for k, n in p.items()) for p, _ in K.pack_lengths(counts, 2048))
+    assert fills({1000: 1, 24: 1, 512: 1}) == [512, 1024]  # no padding, against 512 in one
+    assert fills({1000: 1, 24: 3, 512: 1}) == [1584]  # 464, against 2000 for the last 48
+    assert fills({2048: 2, 2000: 1, 48: 1, 5: 1}) == [5, 2048, 2048]
+    assert K.pack_lengths({}, 2048) == []
 
 
 def check(rows, docs, capacity=2048):

@@ -7,8 +7,9 @@ identity, so the highest-scored merge is the one of least rank. Each match of
 the pre-token pattern is encoded by itself; a match that is a token as it
 stands is that token. Decoding maps ids back to bytes.
 
-A worker keeps the ids of pre-tokens it has met (emptied when it holds
-``KEPT`` entries); memory is bounded by that and by one Arrow batch.
+A worker keeps the decimal ids of words with a space before them (at most
+``KEPT``), so a text's digest is a join of kept bytes; memory is bounded by
+that and by one Arrow batch.
 
 Defined results: a null text is empty, has no tokens and the digests of
 nothing. Repeated rows each give a row, a null id is passed through, an empty
@@ -24,14 +25,19 @@ from pyspark.sql import DataFrame
 
 from tessera.llm.common import bounded_batches, per_process
 
-KEPT = 400_000
+KEPT = 1_200_000
+#: Texts whose words are looked up together.
+GROUP = 64
 #: The letters that stand for the 256 byte values: one block of letters that
 #: has no white space, no marks and no compositions.
 FIRST_LETTER = 0x4E00
 
 
+LETTERS = {b: chr(FIRST_LETTER + b) for b in range(256)}
+
+
 def letters(data: bytes) -> str:
-    return "".join(chr(FIRST_LETTER + b) for b in data)
+    return data.decode("latin-1").translate(LETTERS)
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -82,49 +88,87 @@ class Codec:
         import sentencepiece
 
         self.ranks, self.tokens = ranks, sorted(ranks, key=ranks.get)
+        self.numbers = [str(i).encode() for i in range(len(ranks))]
         self.model = sentencepiece.SentencePieceProcessor()
         self.model.LoadFromSerializedProto(model_proto(ranks))
         self.find = regex.compile(pattern).findall
-        self.kept: dict[str, list[int]] = {}
-
-    def pretoken(self, s: str) -> list[int]:
-        data = s.encode()
-        rank = self.ranks.get(data)
-        return [rank] if rank is not None else self.model.EncodeAsIds(letters(data))
+        # of words with a space before them: the decimals of their ids, joined;
+        # when they are KEPT / 2 they become the older half, and the older half goes
+        self.decimals: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.others: dict[str, bytes] = {}  # words that don't decode to themselves (none of a whole vocabulary)
+
+    def pretokens(self, found: list[str]) -> list[list[int]]:
+        """Ids of pre-tokens, those that are no tokens in one call of the model."""
+        ranks = [self.ranks.get(s.encode()) for s in found]
+        rest = [letters(s.encode()) for s, r in zip(found, ranks) if r is None]
+        made = iter(self.model.EncodeAsIds(rest, num_threads=1) if rest else [])  # a task has one core
+        return [next(made) if r is None else [r] for r in ranks]
 
     def piece(self, s: str) -> list[int]:
         """Ids of a stretch of text whose ends are pre-token ends."""
-        ids = self.kept.get(s)
-        if ids is None:
-            ids = [i for t in self.find(s) for i in self.pretoken(t)]
-            if len(self.kept) >= KEPT:
-                self.kept.clear()
-            if len(s) <= 64:
-                self.kept[s] = ids
-        return ids
+        return [i for ids in self.pretokens(self.find(s)) for i in ids]
+
+    def fill(self, words: set[str]) -> None:
+        """Keep all these words."""
+        new = words.difference(self.decimals)
+        if not new:
+            return
+        if len(self.decimals) + len(new) > KEPT // 2:
+            self.older, self.decimals = self.decimals, {}
+            new = words
+        for w in [w for w in new if w in self.older]:
+            self.decimals[w] = self.older[w]
+        new = [w for w in new if w not in self.older]
+        # letters after a space are one pre-token
+        found = [[" " + w] if w.isalpha() else self.find(" " + w) for w in new]
+        made = iter(self.pretokens([s for f in found for s in f]))
+        for w, f in zip(new, found):
+            ids = [i for _ in f for i in next(made)]
+            if (data := self.decode(ids)) != b" " + w.encode():
+                self.others[w] = data
+            self.decimals[w] = b",".join(map(self.numbers.__getitem__, ids))
 
     def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        for s in stretches(text):
-            out += self.piece(s)
-        return out
+        first, words = cut(text)
+        self.fill(set(words))
+        return self.piece(first) + [int(i) for d in map(self.decimals.__getitem__, words) for i in d.split(b",")]
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
+    def digests(self, texts: list[str]) -> list[tuple[int, str, str]]:
+        """Per text the number of ids, hash of their decimals, hash of the
+        bytes that they decode to. Every word's ids are decoded when they are
+        made; a word that decodes to itself need not be decoded again."""
+        pieces = [cut(t) for t in texts]
+        self.fill(set().union(*(words for _, words in pieces)))
+        out = []
+        for text, (first, words) in zip(texts, pieces):
+            ids = self.piece(first)
+            parts = [b",".join(map(self.numbers.__getitem__, ids))] if ids else []
+            decimals = b",".join([*parts, *map(self.decimals.__getitem__, words)])
+            if self.others:
+                data = b"".join([self.decode(ids), *(self.others.get(w) or b" " + w.encode() for w in words)])
+            else:
+                data = self.decode(ids) + text[len(first):].encode()
+            out.append((decimals.count(b",") + bool(decimals), hashlib.sha256(decimals).hexdigest(), hashlib.sha256(data).hexdigest()))
+        return out
+
 
-def stretches(text: str) -> list[str]:
-    """The text cut before spaces where a pre-token surely begins: the pattern
-    never joins a character that is not white space to a space after it, and
-    takes the last space before a word with that word. A space that follows
-    white space, or ends the text after white space, may belong to a longer
-    run, so such texts are not cut."""
+def cut(text: str) -> tuple[str, list[str]]:
+    """What stands before the first cut, and the words after it without the
+    space that each begins with. Texts are cut before spaces where a pre-token
+    surely begins: the pattern never joins a character that is not white space
+    to a space after it, and takes the last space before a word with that
+    word. A space that follows white space, or ends the text after white
+    space, may belong to a longer run, so such texts are not cut."""
     import re
 
     words = text.split(" ")
     if len(words) < 3 or re.search(r"\s (?:\s|\Z)", text):
-        return [text] if text else []
-    return [w for w in [words[0], *[" " + w for w in words[1:]]] if w]
+        return text, []
+    return words[0], words[1:]
 
 
 def _run(path: str, pattern: str):
@@ -133,12 +177,10 @@ def _run(path: str, pattern: str):
 
         codec = per_process(f"bpe:{path}", lambda: Codec(load_ranks(path), pattern))
         for b in batches:
-            n, ids_hash, text_hash = [], [], []
-            for t in b.column("text"):
-                ids = codec.encode(t.as_py() or "")
-                n.append(len(ids))
-                ids_hash.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
-                text_hash.append(hashlib.sha256(codec.decode(ids)).hexdigest())
+            made = []
+            for i in range(0, b.num_rows, GROUP):
+                made += codec.digests([t or "" for t in b.column("text").slice(i, GROUP).to_pylist()])
+            n, ids_hash, text_hash = zip(*made) if made else ([], [], [])
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids_hash, pa.string()),
                                               pa.array(text_hash, pa.string())],
                                              names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])

@@ -18,12 +18,13 @@ n / 70 anchors. The bytes of all windows that share an anchor are a *piece*
    equal LENGTH-byte prefixes, is merge-scanned against every existing level,
    and equal-sized levels merge, so a suffix is merged a logarithmic number
    of times. Only batches and levels of one chunk of grams are in memory.
-3. A gram with more than ``LARGE`` distinct pieces (a passage shared by very
-   many texts, where it begins and ends) is dealt out by content instead. A
-   window begins some bytes before its anchor; for each doubling of that
-   distance the bytes that all its windows share are hashed, and pieces alone
-   with that hash drop out. The windows of the others are counted by hash.
-   Both counts combine before they are shuffled.
+3. The pieces of a gram with more than ``LARGE`` distinct ones (a passage
+   shared by very many texts, where it begins and ends) are dealt out by
+   content first, by the bytes that ranges of their windows share, until a
+   group fits a chunk and goes through the index family, or all windows of a
+   range are known to be repeated (``large_grams``). A piece has a few rows a
+   round, in at most as many rounds as the distance of a window from its anchor has
+   bits; counts combine before they are shuffled.
 4. The repeated stretches of a text are merged and cut out in one pass.
 
 Work is by text: copies of a text carry the same 128-bit digest, count as
@@ -229,15 +230,17 @@ class Family:
 
 
 def _scan(batches):
-    """Rows (gram, piece, n, data) sorted by gram -> low and high of each piece."""
+    """Rows (key, gram, piece, n, data) sorted by key -> low and high of each
+    piece; pieces of one key lie in one chunk."""
     import pyarrow as pa
 
     def done(rows):
+        rows = list({(r[1], r[2]): r for r in rows}.values())  # a piece may come by several keys
         family = Family()
         for i in range(0, len(rows), BATCH):
-            family.add([r[3] for r in rows[i:i + BATCH]])
+            family.add([r[4] for r in rows[i:i + BATCH]])
         out = []
-        for (gram, piece, n, data), low, high in zip(rows, family.low, family.high):
+        for (_, gram, piece, n, data), low, high in zip(rows, family.low, family.high):
             if n > 1:
                 low, high = 0, len(data) - LENGTH
             if high >= 0:
@@ -269,37 +272,75 @@ def _hash16(data: bytes) -> bytes:
     return hashlib.blake2b(data, digest_size=16).digest()
 
 
-def _cores(batches):
-    """Per piece of a large gram and range of distances the hash of the bytes
-    that the windows of that range share: rows (gram, piece, n, ahead, data)."""
+def _keys(batches):
+    """Per piece and range of distances two hashes: of the bytes that all
+    windows of the range share (core), and of all bytes that they cover (hull;
+    null if the piece doesn't hold the whole range). Rows (gram, piece, ahead,
+    data, ranges with n) -> (core, hull, gram, piece, n, near, far, low, high)."""
     import pyarrow as pa
 
     for b in batches:
         out = []
-        for gram, piece, n, ahead, data in zip(*[c.to_pylist() for c in b.columns]):
-            for k, (near, far) in enumerate(distances()):
-                if near <= ahead and far >= ahead - (len(data) - LENGTH):
-                    out.append((_hash16(bytes([k]) + data[ahead - near:ahead + LENGTH - far]), gram, piece, n, k))
-        kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
+        for gram, piece, ahead, data, ranges in zip(*[c.to_pylist() for c in b.columns]):
+            nearest = ahead - (len(data) - LENGTH)
+            for r in ranges:
+                near, far = r["near"], r["far"]
+                if near > ahead or far < nearest:
+                    continue
+                tag = bytes([near, far])
+                hull = _hash16(tag + data[ahead - far:ahead - near + LENGTH]) if far <= ahead and near >= nearest else None
+                core = _hash16(tag + data[ahead - near:ahead - far + LENGTH])
+                out.append((core, hull, gram, piece, r["n"], near, far, ahead - far, ahead - near))
+        kinds = [pa.binary()] * 2 + [pa.int64()] * 7
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)],
-                                         names=["core", "gram", "piece", "n", "range"])
-
-
-def _windows(batches):
-    """The windows in one range of distances, by hash: rows (gram, piece, n,
-    ahead, data, range)."""
-    import pyarrow as pa
-
-    spans = distances()
-    for b in batches:
-        out = []
-        for gram, piece, n, ahead, data, k in zip(*[c.to_pylist() for c in b.columns]):
-            near, far = spans[k]
-            for at in range(max(0, ahead - far), min(len(data) - LENGTH, ahead - near) + 1):
-                out.append((_hash16(data[at:at + LENGTH]), gram, piece, n, at))
-        kinds = [pa.binary(), *[pa.int64()] * 4]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)],
-                                         names=["window", "gram", "piece", "n", "at"])
+                                         names=["core", "hull", "gram", "piece", "n", "near", "far", "low", "high"])
+
+
+def large_grams(many: DataFrame) -> DataFrame:
+    """Marks (gram, piece, low, high) of the pieces of grams that have too many
+    for one chunk; ``many`` has gram, piece, n, ahead and data.
+
+    A window begins some bytes before its anchor. The ranges of this distance,
+    each twice as wide as the one before, are looked at together: pieces that
+    share the hull of a range repeat all its windows, and one of them goes on
+    for all as a partner of others; pieces alone with its core repeat none.
+    Where a core is shared by different hulls, few pieces go through the index
+    family as one group, and many are looked at again in either half of the
+    range. A piece is split only around the ends of what it shares, so it has
+    about two ranges a round, and there is a round for each bit of the
+    distance."""
+    struct = lambda near, far, n: F.struct(near.cast("long").alias("near"), far.cast("long").alias("far"), n.cast("long").alias("n"))
+    ranges = F.array(*[struct(F.lit(near), F.lit(far), F.col("n")) for near, far in distances()])
+    data, marks = many.select("gram", "piece", "ahead", "data"), []
+    work = many.select("gram", "piece", "ahead", "data", ranges.alias("ranges"))
+    while True:
+        keys = staged(work.mapInArrow(_keys, "core binary, hull binary, gram long, piece long, n long, near long, far long, low long, high long"), "suffix-keys")
+        hulls = keys.filter("hull IS NOT NULL").groupBy("hull").agg(F.sum("n").alias("times"), F.min(F.struct("gram", "piece")).alias("one"))
+        hulls = staged(hulls.filter("times > 1"), "suffix-hulls")
+        marks.append(keys.join(hulls.select("hull"), "hull", "left_semi").select("gram", "piece", "low", "high"))
+        wide = keys.filter("near < far")
+        member = ["core", "gram", "piece", "near", "far"]
+        alone = wide.join(hulls.select("hull"), "hull", "left_anti").select(*member, "n", F.lit(1).alias("open"))
+        for_all = wide.join(hulls, "hull").filter(F.struct("gram", "piece") == F.col("one")).select(*member, F.col("times").alias("n"), F.lit(0).alias("open"))
+        members = staged(alone.unionByName(for_all), "suffix-members")
+        cores = members.groupBy("core").agg(F.sum("n").alias("times"), F.sum("open").alias("opens"), F.count(F.lit(1)).alias("d"))
+        left = staged(members.join(cores.filter("times > 1 AND opens > 0").select("core", "d"), "core"), "suffix-open")
+        few = left.filter(f"d <= {LARGE}").select(F.xxhash64("core").alias("key"), "gram", "piece")
+        few = few.join(many, ["gram", "piece"]).select("key", "gram", "piece", "n", "data")
+        few = few.repartition("key").sortWithinPartitions("key", "gram", "piece")
+        marks.append(staged(few.mapInArrow(_scan, "gram long, piece long, low long, high long"), "suffix-marks"))
+        mid = F.floor((F.col("near") + F.col("far")) / 2)
+        halves = F.array(struct(F.col("near"), mid, F.col("n")), struct(mid + 1, F.col("far"), F.col("n")))
+        split = left.filter(f"d > {LARGE}").select("gram", "piece", F.explode(halves).alias("r")).groupBy("gram", "piece").agg(
+            F.collect_list("r").alias("ranges"))  # of one piece: a window's distances at most
+        split = staged(split, "suffix-split")
+        if split.isEmpty():
+            break
+        work = data.join(split, ["gram", "piece"]).select("gram", "piece", "ahead", "data", "ranges")
+    out = marks[0]
+    for m in marks[1:]:
+        out = out.union(m)
+    return out.groupBy("gram", "piece").agg(F.min("low").alias("low"), F.max("high").alias("high"))
 
 
 def repeats(docs: DataFrame) -> DataFrame:
@@ -320,20 +361,14 @@ def repeats(docs: DataFrame) -> DataFrame:
     wanted = staged(open_.groupBy("tid").agg(F.collect_list("w").alias("wanted")), "suffix-wanted")
     data = with_texts(docs, wanted).select("tid", "text", "wanted").dropDuplicates(["tid"]).select("text", "wanted")
     data = staged(data.mapInArrow(_cut_pieces, "gram long, piece long, n long, ahead long, data binary").join(several, "gram"), "suffix-data")
-    few = data.filter(f"d <= {LARGE}").select("gram", "piece", "n", "data")
-    few = few.repartition("gram").sortWithinPartitions("gram", "piece")
+    few = data.filter(f"d <= {LARGE}").select(F.col("gram").alias("key"), "gram", "piece", "n", "data")
+    few = few.repartition("key").sortWithinPartitions("key", "gram", "piece")
     few = few.mapInArrow(_scan, "gram long, piece long, low long, high long")
     marks = [whole, staged(few.join(pieces.filter("n = 1").select("gram", "piece"), ["gram", "piece"], "left_semi"), "suffix-marks")]
     many = data.filter(f"d > {LARGE}").select("gram", "piece", "n", "ahead", "data")
     if not many.isEmpty():
-        cores = staged(many.mapInArrow(_cores, "core binary, gram long, piece long, n long, range int"), "suffix-cores")
-        shared = staged(cores.groupBy("core").agg(F.sum("n").alias("times")).filter("times > 1").select("core"), "suffix-shared")
-        ranges = cores.join(shared, "core", "left_semi").select("gram", "piece", "range")
-        windows = many.join(ranges, ["gram", "piece"]).select("gram", "piece", "n", "ahead", "data", "range")
-        windows = staged(windows.mapInArrow(_windows, "window binary, gram long, piece long, n long, at long"), "suffix-windows")
-        twice = staged(windows.groupBy("window").agg(F.sum("n").alias("times")).filter("times > 1").select("window"), "suffix-twice")
-        hit = windows.filter("n = 1").join(twice, "window", "left_semi")
-        marks.append(staged(hit.groupBy("gram", "piece").agg(F.min("at").alias("low"), F.max("at").alias("high")), "suffix-marks"))
+        once = large_grams(many).join(pieces.filter("n = 1").select("gram", "piece"), ["gram", "piece"], "left_semi")
+        marks.append(staged(once, "suffix-marks"))
     marked = marks[0]
     for m in marks[1:]:
         marked = marked.union(m)

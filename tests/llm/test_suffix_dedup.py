@@ -82,3 +82,18 @@ def test_family_levels_grow_geometrically():
     assert sorted(family.levels) == [0, 1, 2]
     assert [k for k, h in enumerate(family.high) if h >= 0] == [2, 13]
     assert (family.low[2], family.high[2]) == (0, 10)
+
+
+@pytest.mark.parametrize("large", [1, 2, 8])
+def test_hot_passage_cut_at_many_places(spark, monkeypatch, large):
+    """A passage that many texts hold, whole or from and to somewhere in it."""
+    monkeypatch.setattr(S, "LARGE", large)
+    rnd = random.Random(large)
+    own = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    passage = own(520)
+    rows = []
+    for i in range(70):
+        a = rnd.choice([0, 0, rnd.randrange(200)])
+        b = rnd.choice([520, 520, rnd.randrange(300, 520)])
+        rows.append((i, own(rnd.randrange(150)) + passage[a:b] + own(rnd.randrange(150))))
+    assert got(spark, rows) == brute(rows)

@@ -29,6 +29,7 @@ def _wordcount(args) -> None:
 
 def _questions(args) -> None:
     from tessera.plans import questions as Q
+    from tessera.session import clear_scratch
     from tessera.sinks.files import write_csv
     from tessera.sources import records as R
     from tessera.sources.base import parsed_base
@@ -51,6 +52,7 @@ def _questions(args) -> None:
         if name == "question_c":
             df = df.withColumn("avgrating", F.round("avgrating", 2))
         write_csv(df, f"{out}/{name}", single_file=bounded, mode="overwrite", header=True)
+    clear_scratch(spark)
 
 
 def _session():

@@ -99,7 +99,24 @@ def shared_dir(spark: SparkSession) -> str:
     return _checkpoint_root(spark).rstrip("/")
 
 
+_made: dict[str, list[str]] = {}  # scratch folders of each application
+
+
 def scratch_dir(spark: SparkSession, name: str = "stage") -> str:
-    """A fresh, never reused sub folder of the session's checkpoint folder."""
-    root = _checkpoint_root(spark).rstrip("/")
-    return f"{root}/tessera-{name}-{uuid.uuid4().hex}"
+    """A fresh, never reused sub folder of the session's checkpoint folder.
+    It stays until :func:`clear_scratch`, as results are lazy and read it."""
+    path = f"{_checkpoint_root(spark).rstrip('/')}/tessera-{name}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders that this application has made so far and
+    return their number. Call it when what was computed from them has been
+    written or collected; DataFrames that still read them fail afterwards."""
+    from tessera.sinks.store import delete
+
+    paths = _made.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        delete(spark, path)
+    return len(paths)

@@ -92,3 +92,18 @@ def test_register_views_over_tables(spark):
     register_views(spark, SF_SMALL, names=("part", "lineitem"))
     n = spark.sql("SELECT count(*) AS n FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey").first().n
     assert n == table(spark, SF_SMALL, "lineitem").count()
+
+
+def test_scratch_folders_go_when_cleared(spark):
+    import os
+
+    from tessera.operators.ordering import with_position
+    from tessera.session import clear_scratch, scratch_dir
+    clear_scratch(spark)
+    out = with_position(spark.range(10), ["id"])
+    assert out.count() == 10
+    path = scratch_dir(spark, "mine")
+    spark.range(3).write.parquet(path)
+    assert os.path.isdir(path.removeprefix("file:"))
+    assert clear_scratch(spark) >= 2 and not os.path.isdir(path.removeprefix("file:"))
+    assert clear_scratch(spark) == 0

@@ -43,11 +43,14 @@ VOCAB = CLASSES * MEMBERS
 HIDDEN = 16
 OFFSETS = (-2, -1, 1, 2)
 ROUNDS = 3
-STEP = 4096
+#: Positions of a training step, and positions that are scored together.
+STEP, TOGETHER = 4096, 1 << 14
 RATE = 0.1
 SEED = 5
 #: Parameters per shuffled block.
 BLOCK = 1024
+#: Bytes of a word that is its own key.
+SHORT = 16
 #: Word counts that a scoring task holds at most.
 HELD = 1 << 16
 UNIT = 1 << 24
@@ -90,14 +93,18 @@ def words(text: str | None) -> list[bytes]:
 def word_key(word: bytes) -> bytes:
     """What a word is counted and joined by: long words have a digest, whose
     20 bytes no short word has."""
-    return word if len(word) <= 16 else hashlib.blake2b(word, digest_size=20).digest()
+    return word if len(word) <= SHORT else hashlib.blake2b(word, digest_size=20).digest()
 
 
-def buckets(text: str | None):
+def word_buckets(found: list[bytes]):
+    """The buckets of words; in 16 bits, which numpy sorts by radix."""
     import numpy as np
 
-    found = words(text)
-    return np.fromiter(map(zlib.crc32, found), np.int64, len(found)) % VOCAB
+    return (np.fromiter(map(zlib.crc32, found), np.uint32, len(found)) % VOCAB).astype(np.int16)
+
+
+def buckets(text: str | None):
+    return word_buckets(words(text))
 
 
 def windows(seq):
@@ -106,7 +113,7 @@ def windows(seq):
     import numpy as np
 
     reach = max(OFFSETS)
-    wide = np.concatenate([np.full(reach, VOCAB), seq, np.full(reach, VOCAB)])
+    wide = np.concatenate([np.full(reach, VOCAB, seq.dtype), seq, np.full(reach, VOCAB, seq.dtype)])
     return np.stack([wide[reach + o:reach + o + len(seq)] for o in OFFSETS])
 
 
@@ -126,6 +133,16 @@ def hidden(p, context):
     return np.tanh(h)
 
 
+def _softmax(z):
+    """In place."""
+    import numpy as np
+
+    z -= z.max(axis=1, keepdims=True)
+    np.exp(z, out=z)
+    z /= z.sum(axis=1, keepdims=True)
+    return z
+
+
 def by_class(target):
     """An order of the positions by class, and each class's part of it."""
     import numpy as np
@@ -136,17 +153,28 @@ def by_class(target):
     return order, [(c, slice(cuts[c], cuts[c + 1])) for c in range(CLASSES) if cuts[c] < cuts[c + 1]]
 
 
+def member_scores(p, h, target, parts):
+    """Scores of the members of each position's class; positions in the order
+    of classes, one product a class."""
+    import numpy as np
+
+    z = p["member_b"][target // MEMBERS]
+    for c, part in parts:
+        z[part] += h[part] @ p["member_w"][c]
+    return z
+
+
 def log_probabilities(p, target, context):
     """log P(word | both sides) of each position."""
     import numpy as np
 
-    h = hidden(p, context)
-    out = _log_softmax(h @ p["class_w"] + p["class_b"])[np.arange(len(target)), target // MEMBERS].astype(np.float64)
     order, parts = by_class(target)
-    for c, part in parts:
-        rows = order[part]
-        z = _log_softmax(h[rows] @ p["member_w"][c] + p["member_b"][c])
-        out[rows] += z[np.arange(len(rows)), target[rows] % MEMBERS]
+    at, target = np.arange(len(target)), target[order]
+    h = hidden(p, context[:, order])
+    made = _log_softmax(h @ p["class_w"] + p["class_b"])[at, target // MEMBERS].astype(np.float64)
+    made += _log_softmax(member_scores(p, h, target, parts))[at, target % MEMBERS]
+    out = np.empty(len(target))
+    out[order] = made
     return out
 
 
@@ -169,25 +197,28 @@ class Trainer:
     def learn(self, target, context) -> None:
         import numpy as np
 
-        p, n = self.p, len(target)
+        p = self.p
+        order, parts = by_class(target)
+        at, target, context = np.arange(len(target)), target[order], context[:, order]
         h = hidden(p, context)
-        z = np.exp(_log_softmax(h @ p["class_w"] + p["class_b"]))
-        z[np.arange(n), target // MEMBERS] -= 1
+        z = _softmax(h @ p["class_w"] + p["class_b"])
+        z[at, target // MEMBERS] -= 1
+        m = _softmax(member_scores(p, h, target, parts))
+        m[at, target % MEMBERS] -= 1
         dh = z @ p["class_w"].T
-        steps = [("class_w", ..., h.T @ z), ("class_b", ..., z.sum(axis=0))]
-        order, parts = by_class(target)
+        member_w, member_b = np.zeros_like(p["member_w"]), np.zeros_like(p["member_b"])
         for c, part in parts:
-            rows = order[part]
-            m = np.exp(_log_softmax(h[rows] @ p["member_w"][c] + p["member_b"][c]))
-            m[np.arange(len(rows)), target[rows] % MEMBERS] -= 1
-            dh[rows] += m @ p["member_w"][c].T
-            steps += [("member_w", c, h[rows].T @ m), ("member_b", c, m.sum(axis=0))]
+            member_w[c] = h[part].T @ m[part]
+            dh[part] += m[part] @ p["member_w"][c].T
+        member_b[[c for c, _ in parts]] = np.add.reduceat(m, [part.start for _, part in parts], axis=0)
         dh *= 1 - h * h
-        steps.append(("bias", ..., dh.sum(axis=0)))
+        steps = [("class_w", ..., h.T @ z), ("class_b", ..., z.sum(axis=0)), ("member_w", ..., member_w), ("member_b", ..., member_b),
+                 ("bias", ..., dh.sum(axis=0))]
         for k in range(len(OFFSETS)):
             by = np.argsort(context[k], kind="stable")
-            words, first = np.unique(context[k][by], return_index=True)
-            steps.append(("table", (k, words), np.add.reduceat(dh[by], first, axis=0)))
+            found = context[k][by]
+            first = np.flatnonzero(np.diff(found, prepend=-1))
+            steps.append(("table", (k, found[first]), np.add.reduceat(dh[by], first, axis=0)))
         for step in steps:
             self._step(*step)
 
@@ -300,31 +331,32 @@ def count_words(docs: DataFrame) -> DataFrame:
     return staged(found.groupBy("word", "bucket").agg(F.sum("n").alias("n")), "lm-words")
 
 
-def scores(p, texts, spread=None) -> list[tuple[int, float]]:
-    """(positions, summed log-probabilities) of each text; the positions of
-    many texts are evaluated together. ``spread`` has a value per bucket that
-    is added for each of its positions."""
+def scores(p, found: list[list[bytes]], spread=None) -> list[tuple[int, float]]:
+    """(positions, summed log-probabilities) of each text's words; the
+    positions of many texts are evaluated together. ``spread`` has a value per
+    bucket that is added for each of its positions."""
     import numpy as np
 
     size, total, held, n = [], [], [], 0
 
     def flush():
         cuts = np.cumsum([0] + [len(t) for _, t, _ in held])
-        values = log_probabilities(p, np.concatenate([t for _, t, _ in held]), np.concatenate([c for _, _, c in held], axis=1))
+        target = np.concatenate([t for _, t, _ in held])
+        values = log_probabilities(p, target, np.concatenate([c for _, _, c in held], axis=1))
         if spread is not None:
-            values += spread[np.concatenate([t for _, t, _ in held])]
+            values += spread[target]
         for (k, _, _), a, b in zip(held, cuts, cuts[1:]):
             total[k] += float(values[a:b].sum())
 
-    for text in texts:
-        seq = buckets(text)
+    for own in found:
+        seq = word_buckets(own)
         context = windows(seq)
         size.append(len(seq))
         total.append(0.0)
-        for i in range(0, len(seq), STEP):
-            held.append((len(size) - 1, seq[i:i + STEP], context[:, i:i + STEP]))
+        for i in range(0, len(seq), TOGETHER):
+            held.append((len(size) - 1, seq[i:i + TOGETHER], context[:, i:i + TOGETHER]))
             n += len(held[-1][1])
-            if n >= STEP:
+            if n >= TOGETHER:
                 flush()
                 held, n = [], 0
     if held:
@@ -338,7 +370,7 @@ def _score(flat):
 
         p = unpack(flat)
         for b in batches:
-            made = scores(p, (t.as_py() for t in b.column("text")))
+            made = scores(p, [words(t.as_py()) for t in b.column("text")])
             n, score = [x[0] for x in made], [x[1] for x in made]
             mean = [s / k if k else None for s, k in zip(score, n)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(score, pa.float64()), pa.array(mean, pa.float64())],
@@ -360,12 +392,12 @@ def _score_words(flat, spread, held, joined):
 
         p, task, row = unpack(flat), TaskContext.get().partitionId(), 0
         for b in batches:
-            texts = [t.as_py() for t in b.column("text")]
-            made, known, rest, times = scores(p, texts, spread), [], [], []
-            for t in texts:
+            found = [words(t.as_py()) for t in b.column("text")]
+            made, known, rest, times = scores(p, found, spread), [], [], []
+            for own in found:
                 total, other = 0, {}
-                for w, n in Counter(words(t)).items():
-                    k = word_key(w)
+                for w, n in Counter(own).items():
+                    k = w if len(w) <= SHORT else word_key(w)
                     value = held.get(k)
                     if value is not None:
                         total += n * value
@@ -374,7 +406,7 @@ def _score_words(flat, spread, held, joined):
                 known.append(total)
                 rest.append(list(other))
                 times.append(list(other.values()))
-            k = len(texts)
+            k = len(found)
             yield pa.RecordBatch.from_arrays([pa.array([task] * k, pa.int32()), pa.array(range(row, row + k), pa.int64()), b.column("doc_id"),
                                               pa.array([x[0] for x in made], pa.int64()), pa.array([x[1] for x in made], pa.float64()), pa.array(known, pa.int64()),
                                               pa.array(rest, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int64()))],

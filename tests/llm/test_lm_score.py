@@ -49,7 +49,25 @@ def test_scores_equal_a_plain_loop(spark):
     assert got[7].mean_score is None and L.score(frame(spark, []), flat).count() == 0
 
 
-def test_gradient_is_that_of_the_loss():
+def test_gradient_equals_finite_differences():
+    rng = np.random.default_rng(6)
+    flat = L.initial().astype(np.float64) * 3
+    seq = np.concatenate([rng.integers(0, 64, 40), rng.integers(0, L.VOCAB, 20)]).astype(np.int16)
+    context = L.windows(seq)
+    loss = lambda f: -L.log_probabilities(L.unpack(f), seq, context).sum()
+    moved = L.Trainer(flat)
+    moved.learn(seq, context)
+    step = flat - moved.flat  # RATE * g / sqrt(1 + g * g)
+    touched = np.flatnonzero(step)
+    for at in [*rng.choice(touched, 60, replace=False), *rng.choice(np.flatnonzero(step == 0), 10)]:
+        up, down = flat.copy(), flat.copy()
+        up[at] += 1e-5
+        down[at] -= 1e-5
+        g = (loss(up) - loss(down)) / 2e-5
+        assert abs(step[at] - L.RATE * g / np.sqrt(1 + g * g)) < 1e-5, at
+
+
+def test_training_steps_raise_the_likelihood():
     rng = np.random.default_rng(0)
     seq = rng.integers(0, L.VOCAB, 50)
     context = L.windows(seq)
@@ -114,3 +132,17 @@ def test_query_scores_words(spark):
     alone = {r.doc_id: r for r in L.score(docs, L.train(docs)).collect()}
     assert got.keys() == alone.keys() and all(got[i].n_tokens == alone[i].n_tokens for i in got)
     assert all(got[i].score < alone[i].score for i in got if got[i].n_tokens)
+
+
+def test_null_ids_repeated_rows_and_clashing_names(spark):
+    rows = [(None, "a b c", 1, 2, "w", "k"), (4, "a b", 1, 2, "w", "k"), (4, "a b", 3, 4, "w", "k"), (5, None, 0, 0, "", "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, task int, row int, words string, known string")
+    counts = L.count_words(df)
+    out = L.score(df, L.initial(), counts, most=0).collect()
+    by = {}
+    for r in out:
+        by.setdefault(r.doc_id, []).append((r.n_tokens, r.score))
+    assert {k: len(v) for k, v in by.items()} == {None: 1, 4: 2, 5: 1}
+    assert by[4][0] == by[4][1] and by[4][0][0] == 2 and by[5] == [(0, 0.0)]
+    empty = df.limit(0)
+    assert L.score(empty, L.initial(), L.count_words(empty)).collect() == []

@@ -31,8 +31,10 @@
 Defined results: a null or empty text has no shingles and is linked with
 nothing; fewer than five words are one shingle. Rows without doc_id are linked
 with nothing (component null, kept). Rows that repeat a doc_id are versions
-of one document and share its component. Ties do not arise: the least doc_id
-represents. An empty table gives an empty result; columns but ``doc_id`` and
+of one document and share its component, the least doc_id that any of them
+reaches; dropping is by text, so a version stays if no text like it does. Ties
+do not arise: the least doc_id represents, among texts of one doc_id that of
+least digest. An empty table gives an empty result; columns but ``doc_id`` and
 ``text`` are ignored.
 """
 
@@ -41,8 +43,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import bounded_batches, per_process, staged, with_ids, without_ids
+from tessera.llm.common import bounded_batches, free_name, per_process, staged, with_ids, without_ids
 from tessera.llm.components import components
+from tessera.operators.ordering import with_position
 
 WORDS = 5
 PERCENT = 75
@@ -427,10 +430,9 @@ def confirmed_links(docs: DataFrame, clusters: DataFrame) -> DataFrame:
     return links.union(staged(pairs.mapInArrow(_confirm_left, "a long, b long"), "near-links"))
 
 
-def near_dedup(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for each row of ``docs``."""
-    bounded_batches(docs.sparkSession, 256)
-    rows = staged(signatures(docs), "near-signatures")
+def _near(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and component_id of each row of ``docs``, whose ids
+    have one text each; ``rows`` are their signatures."""
     linked = rows.filter("digest IS NOT NULL AND doc_id IS NOT NULL")
     classes = staged(linked.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig"),
                                                   F.first("sketch").alias("sketch")), "near-classes")
@@ -440,9 +442,74 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     ids = staged(ids, "near-components")
     out = linked.select("doc_id", "n_shingles", "digest").join(ids, "digest").select("doc_id", "n_shingles", "component_id")
     alone = rows.filter("digest IS NULL OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return out.unionByName(alone).select("*", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return out.unionByName(alone)
+
+
+def _several_texts(rows: DataFrame) -> bool:
+    """Whether some doc_id comes with more than one set of shingles."""
+    own = F.coalesce("digest", F.lit(b""))
+    sets = rows.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(own).alias("a"), F.max(own).alias("b"))
+    return not sets.filter("a != b").isEmpty()
+
+
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a number (the column's name is returned) for each
+    different (doc_id, text), in the order of doc_id; null without doc_id."""
+    number, name = free_name(docs, "number"), free_name(docs, "text_sha")
+    sha = F.sha2(F.coalesce("text", F.lit("")), 256)
+    ids = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), sha.alias(name)).distinct()
+    numbers = staged(with_position(ids, ["doc_id", name], "position"), "near-numbers").withColumnRenamed("doc_id", "of_doc")
+    same = (docs["doc_id"].cast("long") == numbers["of_doc"]) & (sha == numbers[name])
+    return docs.join(numbers, same, "left").select(*[docs[c] for c in docs.columns], numbers["position"].alias(number)), number
+
+
+def _near_by_number(docs: DataFrame, number: str) -> DataFrame:
+    """number, n_shingles and component (a number) of each text."""
+    texts = staged(docs.select(F.col(number).alias("doc_id"), "text"), "near-texts")
+    found = _near(texts, staged(signatures(texts), "near-signatures"))
+    return found.select(F.col("doc_id").alias("number"), "n_shingles", F.col("component_id").alias("component"))
+
+
+def near_dedup(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for each row of ``docs``."""
+    bounded_batches(docs.sparkSession, 256)
+    rows = staged(signatures(docs), "near-signatures")
+    if _several_texts(rows):
+        out = _of_versions(docs)
+    else:
+        out = _near(docs, rows)
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def _of_versions(docs: DataFrame) -> DataFrame:
+    """Components where a doc_id has several texts: its texts are numbered
+    and linked as if they were documents, then the components that one doc_id
+    is in are one."""
+    own, number = _numbered(docs)
+    ids = own.select(F.col(number).alias("number"), F.col("doc_id").cast("long").alias("doc_id")).filter("number IS NOT NULL").distinct()
+    ids = staged(ids, "near-ids")
+    found = staged(_near_by_number(own, number), "near-by-number")
+    rows = found.filter("number IS NOT NULL").join(ids, "number")
+    least = rows.groupBy("doc_id").agg(F.min("component").alias("least"))
+    links = rows.join(least, "doc_id").filter("least != component").select(F.col("least").alias("a"), F.col("component").alias("b")).distinct()
+    merged = components(staged(links, "near-version-links")).select(F.col("id").alias("component"), F.col("component").alias("whole"))
+    whole = rows.join(merged, "component", "left").select("doc_id", "n_shingles", F.coalesce("whole", "component").alias("number"))
+    named = ids.select("number", F.col("doc_id").alias("component_id"))
+    none = F.lit(None).cast("long")
+    without = found.filter("number IS NULL").select(none.alias("doc_id"), "n_shingles", none.alias("component_id"))
+    return whole.join(named, "number").select("doc_id", "n_shingles", "component_id").unionByName(without)
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that represent their group, own columns only."""
-    return without_ids(docs, staged(near_dedup(docs).filter("NOT kept").select("doc_id").distinct(), "near-dropped"))
+    """The rows of ``docs`` that represent their group, own columns only. A
+    doc_id with several texts stays with those that represent a group of
+    texts, so no text goes whose like doesn't stay."""
+    bounded_batches(docs.sparkSession, 256)
+    rows = staged(signatures(docs), "near-signatures")
+    if not _several_texts(rows):
+        gone = _near(docs, rows).filter("doc_id != component_id").select("doc_id").distinct()
+        return without_ids(docs, staged(gone, "near-dropped"))
+    own, number = _numbered(docs)
+    gone = _near_by_number(own, number).filter("number != component").select(F.col("number").alias("gone")).distinct()
+    gone = staged(gone, "near-dropped")
+    return own.join(gone, own[number] == gone["gone"], "left_anti").drop(number)

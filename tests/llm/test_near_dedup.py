@@ -117,3 +117,22 @@ def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 200 + i) for i in range(50)] + [(7, 7), (None, 3), (1, 0)]
     got_ = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got_ == {**{i: 0 for i in range(41)}, **{200 + i: 100 for i in range(50)}, 100: 100}
+
+
+A, B, C_ = "a b c d e f g h i j", "q r s t u v w x y z", "k l m n o p q1 r1 s1 t1"
+
+
+def test_a_doc_id_with_two_texts(spark):
+    df = frame(spark, [(3, A), (5, A), (5, B), (9, B), (None, A), (4, None), (4, C_)])
+    out = sorted((str(r.doc_id), str(r.component_id), r.kept) for r in N.near_dedup(df).collect())
+    # 5 reaches 3 by one text and 9 by the other
+    assert out == [("3", "3", True), ("4", "4", True), ("4", "4", True), ("5", "3", False), ("5", "3", False), ("9", "3", False), ("None", "None", True)]
+    # one document of each group of like texts stays, so no text is lost
+    kept = sorted(((r.doc_id, r.text) for r in N.keep_one(df).collect()), key=str)
+    assert kept == sorted([(3, A), (5, B), (None, A), (4, None), (4, C_)], key=str)
+
+
+def test_versions_of_a_representative_are_told_apart(spark):
+    df = frame(spark, [(3, A), (3, B), (7, B + " end"), (8, A + " end"), (3, A)])
+    assert {(r.doc_id, r.component_id) for r in N.near_dedup(df).collect()} == {(3, 3), (7, 3), (8, 3)}
+    assert sorted((r.doc_id, r.text) for r in N.keep_one(df).collect()) == [(3, A), (3, A), (3, B)]

@@ -26,11 +26,10 @@ LIMIT :k
 # any rank is compared: the semi join carries two columns of few products.
 BETTER_SELLING_SIMILARS = """
 SELECT own.Id, better.ASIN AS similar, own.salesrank AS salesrank_original, better.salesrank
-FROM {own} AS own,
+FROM {own} AS own, {listed} AS listed,
      (SELECT candidate.ASIN, candidate.salesrank
       FROM {sells} AS candidate LEFT SEMI JOIN {listed} AS entry ON entry.similar = candidate.ASIN
-      WHERE candidate.salesrank > 0) AS better,
-     {listed} AS listed
+      WHERE candidate.salesrank > 0) AS better
 WHERE listed.Id = own.Id AND listed.similar = better.ASIN AND better.salesrank < own.salesrank
 """
 

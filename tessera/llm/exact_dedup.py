@@ -9,9 +9,13 @@ number of rows. Every micro-batch publishes the changed keys under its batch
 id (a replayed batch overwrites its own folder); the last state of a key is
 the one with the most rows.
 
-Hits are checked on full bytes: texts whose digest has more than one row are
-joined with the text that the locator names and compared. Should two texts
-share a digest, the rows of that digest are grouped again by digest and text.
+Hits are checked on full bytes: of the texts of a digest that has more than one
+row the least and the greatest are compared. Should two texts share a digest,
+the rows of that digest are grouped again by digest and text.
+
+The state lasts where the caller names a folder for it (``state_dir``): a later
+delivery streams through the same state, and its rows are judged against all
+deliveries so far.
 
 Partial aggregation runs before each shuffle, so a digest that holds a third
 of all rows reaches the state as one row per task; the joins on the digest
@@ -30,6 +34,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import near_ids, staged, write_stage
 from tessera.session import scratch_dir
+from tessera.sinks import store
 
 #: Micro-batches that one run is dealt into.
 BATCHES = 3
@@ -56,13 +61,18 @@ def key_state(rows: DataFrame) -> DataFrame:
     return rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
 
 
-def run_stream(spark: SparkSession, path: str, schema, batches: int = BATCHES) -> DataFrame:
-    """All files of ``path`` through the stateful aggregation; the final state."""
+def run_stream(spark: SparkSession, path: str, schema, batches: int = BATCHES, work: str | None = None) -> DataFrame:
+    """All files of ``path`` that the state in ``work`` has not seen through
+    the stateful aggregation; the state then. Without ``work`` the state is of
+    this call alone."""
     stored = spark.read.schema(schema).parquet(path)
     per_batch = max(1, -(-len(stored.inputFiles()) // batches))
-    stores = max(spark.sparkContext.defaultParallelism, -(-stored.count() // STATE_ROWS))
-    settings = STATE_CONF | {"spark.sql.streaming.internal.stateStore.partitions": str(stores)}
-    work = scratch_dir(spark, "dedup-stream")
+    work = work or scratch_dir(spark, "dedup-stream")
+    stores = store.read_text(spark, f"{work}/stores")  # a state keeps its number of partitions
+    if stores is None:
+        stores = str(max(spark.sparkContext.defaultParallelism, -(-stored.count() // STATE_ROWS)))
+        store.write_text(spark, f"{work}/stores", stores)
+    settings = STATE_CONF | {"spark.sql.streaming.internal.stateStore.partitions": stores}
 
     def publish(changed: DataFrame, batch_id: int) -> None:
         changed.write.mode("overwrite").parquet(f"{work}/changes/batch={batch_id}")
@@ -93,31 +103,49 @@ def _prefix(digest: Column) -> Column:
     return F.conv(F.hex(F.substring(digest, 1, 3)), 16, 10).cast("int") % (1 << PREFIX_BITS)
 
 
-def mismatches(docs: DataFrame, state: DataFrame, digest) -> DataFrame:
-    """Digests of rows whose bytes differ from those the locator names."""
+def mismatches(texts: DataFrame, state: DataFrame, digest) -> DataFrame:
+    """Digests that different texts have: of the texts of a digest the least
+    and the greatest bytes differ. Both are kept per task before the shuffle,
+    so a text that a third of all rows share is sent once a task."""
     hits = state.filter("group_size > 1")
     prefixes = F.broadcast(hits.select(_prefix(F.col("digest")).alias("prefix")).distinct())
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), digest(F.col("text")).alias("digest"))
-    texts = texts.join(prefixes, _prefix(texts.digest) == prefixes.prefix, "left_semi")
-    placed = texts.join(hits, "digest")
-    named = placed.filter(F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("digest", F.col("text").alias("kept_text"))
-    return placed.select("digest", "text").join(named, "digest").filter("text != kept_text").select("digest").distinct()
+    texts = texts.select(F.coalesce("text", F.lit("")).alias("text"), digest(F.col("text")).alias("digest"))
+    near = texts.join(prefixes, _prefix(texts.digest) == prefixes.prefix, "left_semi")
+    ends = near.groupBy("digest").agg(F.min("text").alias("least"), F.max("text").alias("greatest"))
+    return ends.filter("least != greatest").select("digest")
+
 
+def dedup(docs: DataFrame, digest=sha256, batches: int = BATCHES, state_dir: str | None = None, delivery: str = "",
+          earlier: DataFrame | None = None) -> DataFrame:
+    """doc_id, keep_id, group_size, kept and digest for each row of ``docs``.
 
-def dedup(docs: DataFrame, digest=sha256, batches: int = BATCHES) -> DataFrame:
-    """doc_id, keep_id, group_size, kept and digest for each row of ``docs``."""
+    With ``state_dir`` the state stays there, and a later call judges its rows
+    against all deliveries so far. ``delivery`` names the call's rows: the
+    same name again, after a failure, adds nothing twice. ``earlier`` has the
+    rows (doc_id, text) of deliveries before, whose bytes are compared on
+    hits; without it only the rows of this call are."""
     spark = docs.sparkSession
     keys = docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest(F.col("text")).alias("digest"))
-    path = write_stage(keys, "digests")
+    if state_dir:
+        path, every = f"{state_dir}/digests/of-{delivery}", f"{state_dir}/digests/*"
+        if not delivery:
+            raise ValueError("a lasting state needs the name of the delivery")
+        if not store.is_complete(spark, path):
+            keys.write.mode("overwrite").parquet(path)
+    else:
+        path = every = write_stage(keys, "digests")
     keys = spark.read.schema(keys.schema).parquet(path)
-    state = staged(run_stream(spark, path, keys.schema, batches), "dedup-state")
+    state = staged(run_stream(spark, every, keys.schema, batches, state_dir), "dedup-state")
     out = keys.join(state, "digest")
-    bad = staged(mismatches(docs, state, digest), "dedup-mismatches")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    if earlier is not None:
+        texts = texts.unionByName(earlier.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    bad = staged(mismatches(texts, state, digest), "dedup-mismatches")
     if not bad.isEmpty():
-        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
-                           digest(F.col("text")).alias("digest")).join(bad, "digest", "left_semi")
-        again = rows.groupBy("digest", "text").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-        out = out.join(bad, "digest", "left_anti").unionByName(rows.join(again, ["digest", "text"]).drop("text"))
+        rows = lambda t: t.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
+                                  digest(F.col("text")).alias("digest")).join(bad, "digest", "left_semi")
+        again = rows(texts).groupBy("digest", "text").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+        out = out.join(bad, "digest", "left_anti").unionByName(rows(docs).join(again, ["digest", "text"]).drop("text"))
     kept = F.col("doc_id").eqNullSafe(F.col("keep_id"))
     return out.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "digest")
 

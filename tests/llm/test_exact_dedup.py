@@ -1,5 +1,6 @@
 """Exact dedup: the state, collisions of the digest, and the edge cases."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import exact_dedup as E
@@ -47,3 +48,29 @@ def test_keep_one(spark):
     assert out.columns == df.columns
     left = sorted(str(r.doc_id) for r in out.collect())
     assert left == sorted(i for i, _, _, k in want(ROWS) if k)
+
+
+def test_a_later_delivery_is_judged_by_the_state_of_the_first(spark, tmp_path):
+    state = str(tmp_path / "state")
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    seen = lambda df: {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in df.collect()}
+    first, second = frame([(1, "a"), (2, "a"), (3, "b")]), frame([(4, "a"), (5, "c"), (0, "b")])
+    assert seen(E.dedup(first, state_dir=state, delivery="one")) == {(1, 2, 2, False), (2, 2, 2, True), (3, 3, 1, True)}
+    want = {(4, 4, 3, True), (5, 5, 1, True), (0, 3, 2, False)}
+    assert seen(E.dedup(second, state_dir=state, delivery="two", earlier=first)) == want
+    assert seen(E.dedup(second, state_dir=state, delivery="two")) == want  # again, as after a failure
+    with pytest.raises(ValueError):
+        E.dedup(first, state_dir=state)
+
+
+def test_colliding_digests_of_two_deliveries_are_told_apart(spark, tmp_path):
+    weak = lambda t: F.unhex(F.when(t.isNull(), F.lit("ABCDEF")).otherwise(F.lit("ABCDEF")))  # noqa: E731 - one digest for all
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    first, state = frame([(1, "a"), (2, "b")]), str(tmp_path / "state")
+    E.dedup(first, weak, state_dir=state, delivery="one").count()
+    out = E.dedup(frame([(3, "a"), (4, "c")]), weak, state_dir=state, delivery="two", earlier=first)
+    assert {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in out.collect()} == {(3, 3, 2, True), (4, 4, 1, True)}
+
+
+def test_keep_one_of_an_empty_table(spark):
+    assert E.keep_one(spark.createDataFrame([], "doc_id long, text string, digest int")).collect() == []

@@ -53,3 +53,29 @@ def test_run_equals_the_stages(spark):
         docs = stage(spark, docs, SF)
     assert ids == {r.doc_id for r in docs.select("doc_id").collect()}
     assert public_tokenizers.path("byte_bpe_50k.json")
+
+
+def test_stages_take_odd_rows(spark, tmp_path):
+    """Nulls, empty texts, repeated rows, a doc_id with two texts, an empty
+    table and columns whose names the operators use themselves."""
+    letters = lambda n: "".join("abcdefghij"[int(d)] for d in str(n))
+    good = [" ".join(f"the {w}{letters(k)}" for k in range(100, 160)) for w in ("red", "blue", "tall", "old")]
+    near = good[0] + " More words here."
+    rows = [(1, None), (2, ""), (3, "x"), (4, good[0]), (4, good[0]), (5, good[0]), (6, near), (7, good[1]), (7, good[2]), (None, good[3]), (8, "a " * 500)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, kept boolean, digest string, number long, component_id long, slot int"
+    full = spark.createDataFrame([(i, t, "en", "s", len(t or ""), True, "d", 1, 2, 3) for i, t in rows], schema)
+    for name, docs in (("odd", full), ("empty", full.limit(0))):
+        docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        docs = spark.read.parquet(f"{tmp_path}/{name}/documents.parquet")
+        for step, stage in C.STAGES[:-1]:
+            docs = stage(spark, docs, f"{tmp_path}/{name}")
+            assert docs.columns == full.columns, step
+        packed = C.run(spark, f"{tmp_path}/{name}")
+        left = sorted((str(r.doc_id), r.text) for r in docs.collect())
+        assert {str(r.doc_id) for r in packed.collect()} == {i for i, _ in left}
+        if name == "empty":
+            assert left == []
+        else:
+            # of the copies and the near copy of the first text one document stays, of the others each text does
+            texts = [t for _, t in left]
+            assert set(texts) - {good[0], near} == {good[1], good[2], good[3]} and len({good[0], near} & set(texts)) == 1

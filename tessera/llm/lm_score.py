@@ -44,7 +44,7 @@ HIDDEN = 16
 OFFSETS = (-2, -1, 1, 2)
 ROUNDS = 3
 #: Positions of a training step, and positions that are scored together.
-STEP, TOGETHER = 4096, 1 << 14
+STEP, TOGETHER = 4096, 1 << 12
 RATE = 0.1
 SEED = 5
 #: Parameters per shuffled block.
@@ -117,11 +117,14 @@ def windows(seq):
     return np.stack([wide[reach + o:reach + o + len(seq)] for o in OFFSETS])
 
 
-def _log_softmax(z):
+def _log_share(z, at, target):
+    """Log of the softmax of each row at its target; ``z`` is used up."""
     import numpy as np
 
-    z = z - z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+    z -= z.max(axis=1, keepdims=True)
+    out = z[at, target].astype(np.float64)
+    np.exp(z, out=z)
+    return out - np.log(z.sum(axis=1))
 
 
 def hidden(p, context):
@@ -171,8 +174,8 @@ def log_probabilities(p, target, context):
     order, parts = by_class(target)
     at, target = np.arange(len(target)), target[order]
     h = hidden(p, context[:, order])
-    made = _log_softmax(h @ p["class_w"] + p["class_b"])[at, target // MEMBERS].astype(np.float64)
-    made += _log_softmax(member_scores(p, h, target, parts))[at, target % MEMBERS]
+    made = _log_share(h @ p["class_w"] + p["class_b"], at, target // MEMBERS)
+    made += _log_share(member_scores(p, h, target, parts), at, target % MEMBERS)
     out = np.empty(len(target))
     out[order] = made
     return out

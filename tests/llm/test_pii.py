@@ -4,6 +4,8 @@ import hashlib
 import re
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from tessera.llm import pii as P
 
@@ -102,3 +104,41 @@ def test_many_keywords_in_one_run_share_its_end():
     text = "x " + "token=" * 3000 + "y"
     found = [c for c in P.candidates(text) if c[2] == "secret"]
     assert len(found) == 2998 and {e for _, e, _ in found} == {len(text)}
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.one_of(st.text(alphabet="ab1.@-_%+ é", max_size=40), st.text(alphabet="0123.9 ", max_size=40), st.text(alphabet="a.@", max_size=30),
+                 st.text(alphabet="1+() .-2", max_size=40), st.text(max_size=30)))
+def test_linear_scans_find_what_the_patterns_find(text):
+    for kind, pattern in P.BASE.items():
+        assert list(P.base_matches(kind, text)) == [m.span() for m in pattern.finditer(text)]
+
+
+def test_overlaps_are_found_by_search():
+    import random
+
+    rnd = random.Random(3)
+    for _ in range(200):
+        spans = [(a, a + rnd.randint(1, 9), "x") for a in (rnd.randrange(60) for _ in range(rnd.randrange(8)))]
+        covered = P.Covered(spans)
+        for _ in range(30):
+            s = rnd.randrange(60)
+            e = s + rnd.randint(1, 9)
+            assert covered.meets(s, e) == any(s < y and x < e for x, y, _ in spans)
+
+
+@pytest.mark.parametrize("text", ["7" * 1_000_000, "a" * 1_000_000, "a@" * 300_000, "1." * 400_000, "a.b" * 300_000 + "@x.y", "+1" + "(" * 1_000_000,
+                                  "x@y.z " * 100_000, "1.2.3.4 " * 50_000])
+def test_a_text_of_a_million_characters_takes_seconds(text):
+    import time
+
+    began = time.process_time()
+    base = P.base_spans(text)
+    assert time.process_time() - began < 10
+    assert len(base) in (0, 1, 100_000, 50_000)
+
+
+def test_null_ids_and_repeated_rows(spark):
+    df = spark.createDataFrame([(None, "a@b.cd"), (None, None), (4, "a@b.cd"), (4, "a@b.cd")], "doc_id long, text string")
+    assert sorted((str(r.doc_id), r.spans) for r in P.spans(df).collect()) == [
+        ("4", "email:0:6"), ("4", "email:0:6"), ("None", ""), ("None", "email:0:6")]

@@ -6,13 +6,13 @@ that begin with the rule's. URLs are range-partitioned and sorted on
 ``(reversed host, path, id)``, so a host that holds a third of all rows is
 spread over tasks, and each task sweeps its sorted run once. The sweep keeps
 a stack of the nested host intervals that contain the current key; every
-entry carries the path prefixes of its host, sorted; the longest rule among
-the active entries that fits the path wins (of equally long ones the longer
+entry carries the path prefixes of its host, found by length; the longest rule
+among the active entries that fits the path wins (of equally long ones the longer
 host, then ``block``).
 
-Rules are a configuration list that the driver holds. They are shipped in
-blocks of at most ``BLOCK`` rules; with more, the sweep runs block after
-block over the same sorted run, carrying the best rule so far.
+Rules are a configuration list that the driver holds. A task is sent at most
+``BLOCK`` rules: with more, block after block is swept in a job of its own,
+over rows staged with their best rule so far.
 
 Defined results: a null url, or one without ``://``, has empty host and path,
 fits no rule and gets the default verdict. A path that is empty does not
@@ -27,7 +27,7 @@ from bisect import bisect_left
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import bounded_batches
+from tessera.llm.common import bounded_batches, staged
 
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -56,18 +56,36 @@ def reversed_key(name: str) -> str:
     return ".".join(reversed(name.split("."))) + "."
 
 
+class Paths:
+    """The path prefixes of one host: the longest that begins a path is looked
+    up by its lengths, so many prefixes cost no more than their lengths."""
+
+    def __init__(self, rules):
+        self.rules = {}
+        for verdict, name, prefix in rules:
+            if self.rules.get(prefix, ("allow",))[0] != "block":
+                self.rules[prefix] = (verdict, name + prefix)
+        self.lengths = sorted({len(p) for p in self.rules}, reverse=True)
+
+    def longest(self, path: str):
+        for n in self.lengths:
+            if n <= len(path) and (hit := self.rules.get(path[:n])):
+                return hit
+        return None
+
+
 def build(rules):
-    """Host intervals in key order: (key, rules of that host, longest first)."""
+    """Host intervals in key order: (key, path prefixes of that host)."""
     by_host: dict[str, list] = {}
     for verdict, name, prefix in rules:
         if verdict not in ("allow", "block"):
             raise ValueError(f"unknown verdict {verdict!r}")
-        by_host.setdefault(reversed_key(name.lower()), []).append((prefix, verdict, name.lower() + prefix))
-    return [(k, sorted(v, key=lambda r: (-len(r[0]), r[0], r[1] != "block"))) for k, v in sorted(by_host.items())]
+        by_host.setdefault(reversed_key(name.lower()), []).append((verdict, name.lower(), prefix))
+    return [(k, Paths(v)) for k, v in sorted(by_host.items())]
 
 
 def sweeper(intervals):
-    """A function (key, path) -> (verdict, rule, length of its host) of the
+    """A function (key, path) -> (verdict, rule, labels of its host) of the
     best rule, for keys in ascending order."""
     keys = [k for k, _ in intervals]
     stack: list[int] = []
@@ -99,35 +117,35 @@ def sweeper(intervals):
         last[:] = key, path
         top = None
         for i in reversed(stack):
-            for prefix, verdict, rule in intervals[i][1]:
-                if path.startswith(prefix):
-                    if top is None or len(rule) > len(top[1]):
-                        top = (verdict, rule, len(rule) - len(prefix))
-                    break
+            hit = intervals[i][1].longest(path)
+            if hit and (top is None or len(hit[1]) > len(top[1])):
+                top = (*hit, intervals[i][0].count("."))
         found[0] = top
         return top
 
     return best
 
 
-def _sweep(blocks, default):
+_FOUND = "page_id long, host string, path string, rkey string, rule string, verdict string, labels int"
+
+
+def _sweep(intervals):
+    """The best rule so far, or a better one of this block."""
     def run(batches):
         import pyarrow as pa
 
-        sweeps = [sweeper(b) for b in blocks]
+        best = sweeper(intervals)
         for b in batches:
-            rules, verdicts = [], []
-            for k, p in zip(b.column("rkey").to_pylist(), b.column("path").to_pylist()):
-                top = None
-                for best in sweeps:
-                    hit = best(k, p)
-                    if hit and (top is None or (len(hit[1]), hit[2]) > (len(top[1]), top[2])):
-                        top = hit
-                verdicts.append(top[0] if top else default)
-                rules.append(top[1] if top else None)
+            found = []
+            for k, p, rule, verdict, labels in zip(*(b.column(c).to_pylist() for c in ("rkey", "path", "rule", "verdict", "labels"))):
+                hit = best(k, p)
+                if hit and (rule is None or (len(hit[1]), hit[2]) > (len(rule), labels)):
+                    verdict, rule, labels = hit
+                found.append((rule, verdict, labels))
+            rule, verdict, labels = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [b.column("page_id"), b.column("host"), b.column("path"), pa.array(rules, pa.string()), pa.array(verdicts, pa.string())],
-                names=["page_id", "host", "path", "rule", "verdict"])
+                [*(b.column(c) for c in ("page_id", "host", "path", "rkey")), pa.array(rule, pa.string()), pa.array(verdict, pa.string()),
+                 pa.array(labels, pa.int32())], names=["page_id", "host", "path", "rkey", "rule", "verdict", "labels"])
     return run
 
 
@@ -136,10 +154,15 @@ def judge_urls(pages: DataFrame, rules=RULES, default: str = "allow", id_col: st
     """page_id, host, path, rule and verdict of each row of ``pages``."""
     bounded_batches(pages.sparkSession, 4096)
     rules = sorted(rules, key=lambda r: reversed_key(r[1].lower()))
-    blocks = [build(rules[i:i + block]) for i in range(0, len(rules), block)] or [[]]
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), host(F.col(url_col)).alias("host"),
                         path(F.col(url_col)).alias("path"))
-    rows = rows.withColumn("rkey", reversed_host(F.col("host")))
+    none = F.lit(None)
+    rows = rows.select("*", reversed_host(F.col("host")).alias("rkey"), none.cast("string").alias("rule"), none.cast("string").alias("verdict"),
+                       none.cast("int").alias("labels"))
     order = ["rkey", "path", "page_id"]
-    run = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    return run.mapInArrow(_sweep(blocks, default), "page_id long, host string, path string, rule string, verdict string")
+    for i in range(0, max(1, len(rules)), block):
+        if i:
+            rows = staged(rows, "url-rules")  # a job of its own, so that a task is sent one block of rules
+        run = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+        rows = run.mapInArrow(_sweep(build(rules[i:i + block])), _FOUND)
+    return rows.select("page_id", "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))

@@ -66,3 +66,25 @@ def test_whole_table(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     out = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in U.judge_urls(pages).collect()}
     assert out == {r.page_id: brute(r.url, U.RULES) for r in pages.select("page_id", "url").collect()}
+
+
+def test_many_path_rules_of_one_host(spark):
+    import time
+
+    rnd = random.Random(4)
+    rules = list({(h, p): ("block" if rnd.random() < 0.5 else "allow", h, p) for h, p in
+                  (("x.org", "/" + "".join(rnd.choice("ab/") for _ in range(rnd.randint(0, 9)))) for _ in range(3000))}.values())
+    urls = ["http://www.x.org/" + "".join(rnd.choice("ab/") for _ in range(rnd.randint(0, 12))) for _ in range(300)]
+    assert got(spark, urls, rules) == {i: brute(u, rules) for i, u in enumerate(urls)}
+    paths = U.Paths([("block", "x.org", f"/p{i}") for i in range(200_000)])
+    began = time.process_time()
+    assert all(paths.longest(f"/p{i}/q") == ("block", f"x.org/p{i}") for i in range(20_000))
+    assert time.process_time() - began < 2
+
+
+def test_a_task_is_sent_one_block_of_rules():
+    from pyspark import cloudpickle
+
+    rules = [("block", f"h{i}.org", f"/{i}") for i in range(5000)]
+    one = len(cloudpickle.dumps(U._sweep(U.build(rules[:50]))))
+    assert len(cloudpickle.dumps(U._sweep(U.build(rules)))) > 20 * one

@@ -1,17 +1,20 @@
 """Write catalogue relations as a catalogue text file (inverse of
 ``sources.records``).
 
-The file is produced line by line: every line is a row keyed by
-``(product key, section, sequence)``; a hash shuffle on the product key puts
-all lines of a product in one task and a sort inside each task orders them.
-No record string is ever assembled in memory, so a product with a huge
-number of reviews is streamed (and spilled) like any sorted partition. Each
-output file holds whole records, so any split of it parses independently.
+The file is produced line by line. Every review is dealt out by its product
+once, as the typed fields it has; the lines before and after a product's
+reviews are rows of the same shuffle. In each task the rows of a product are
+sorted into file order, its review totals are a window over them (so the
+reviews are computed, shuffled and sorted once, not once more for the header),
+and only then is a row turned into its line. No record string is ever
+assembled in memory, so a product with a huge number of reviews is streamed
+(and spilled) like any sorted partition. Each output file holds whole records,
+so any split of it parses independently.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.sources.records import DATE_FORMAT, DISCONTINUED
@@ -19,42 +22,40 @@ from tessera.sources.records import DATE_FORMAT, DISCONTINUED
 CR = "\r"  # every line ends in \r\n; records are followed by a blank line
 
 
-def _line(df: DataFrame, sec: int, value: Column, seq: Column | None = None) -> DataFrame:
-    return df.select(
-        F.col("Id").alias("key"),
-        F.lit(sec).alias("sec"),
-        (seq if seq is not None else F.lit("")).alias("seq"),
-        F.concat(value, F.lit(CR)).alias("value"),
-    )
+HEAD, CATEGORY, TOTALS, REVIEW, END = 0, 7, 8, 9, 10  # sections of a record, in file order
+_FIELDS = ("date", "customer", "rating", "votes", "helpful")
 
 
-def catalog_lines(spark: SparkSession, sells: DataFrame, similars: DataFrame, categories: DataFrame,
-                  reviews: DataFrame, header: bool = True, discontinued: DataFrame | None = None) -> DataFrame:
-    """All lines of the catalogue file as ``(key, sec, seq, value)``.
+def _rows(df: DataFrame, sec: Column, text: Column, seq: Column, fields: dict[str, Column]) -> DataFrame:
+    """(key, sec, text, seq, review fields). ``text`` is a line's text, null
+    for the lines made after the shuffle and for those that are null."""
+    return df.select(F.col("Id").alias("key"), sec.alias("sec"), text.alias("text"), seq.alias("seq"),
+                     *[c.alias(name) for name, c in fields.items()])
+
+
+def _entries(*lines: tuple[int, Column]) -> Column:
+    return F.inline(F.array(*[F.struct(F.lit(sec).alias("sec"), text.cast("string").alias("text")) for sec, text in lines]))
+
+
+def catalog_rows(spark: SparkSession, sells: DataFrame, similars: DataFrame, categories: DataFrame,
+                 reviews: DataFrame, header: bool = True, discontinued: DataFrame | None = None) -> DataFrame:
+    """All rows of the catalogue file, see ``_rows``; ``catalog_lines`` makes
+    lines of them.
 
     A product's ``similar:`` line is one list: the format's own limit, which
     holds for catalogues whose products list a few similar ones each.
     ``discontinued`` (Id, ASIN) adds records without data that end in the
     words of the format.
     """
-    s = sells
     sims = (similars.groupBy("Id")
             .agg(F.count(F.lit(1)).alias("n"), F.concat_ws("  ", F.sort_array(F.collect_list("similar"))).alias("l")))
     cats = categories.select("Id", "category").distinct()
     ncat = cats.groupBy("Id").agg(F.count(F.lit(1)).alias("ncat"))
-    stats = reviews.groupBy("Id").agg(F.count(F.lit(1)).alias("total"),
-                                      F.round(F.avg("rating"), 1).alias("avg"))
-    per_product = (s.join(sims, "Id", "left").join(ncat, "Id", "left").join(stats, "Id", "left")
-                    .select("Id", "ASIN", "title", "group", "salesrank",
-                            F.coalesce("n", F.lit(0)).alias("n"), F.col("l"),
-                            F.coalesce("ncat", F.lit(0)).alias("ncat"),
-                            F.coalesce("total", F.lit(0)).alias("total"),
-                            F.coalesce(F.col("avg").cast("string"), F.lit("0")).alias("avg")))
-    p = per_product
+    p = (sells.join(sims, "Id", "left").join(ncat, "Id", "left")
+         .select("Id", "ASIN", "title", "group", "salesrank", F.coalesce("n", F.lit(0)).alias("n"), F.col("l"),
+                 F.coalesce("ncat", F.lit(0)).alias("ncat")))
     sim_line = F.when(F.col("n") > 0, F.concat(F.lit("  similar: "), F.col("n").cast("string"), F.lit("  "), F.col("l"))) \
         .otherwise(F.lit("  similar: 0"))
-    # The nine per-product lines come out of one projection + explode
-    # (one pass over the product rows instead of one union branch each).
     product_lines = [
         F.concat(F.lit("Id:   "), F.col("Id")),
         F.concat(F.lit("ASIN: "), F.col("ASIN")),
@@ -63,59 +64,64 @@ def catalog_lines(spark: SparkSession, sells: DataFrame, similars: DataFrame, ca
         F.concat(F.lit("  salesrank: "), F.col("salesrank").cast("string")),
         sim_line,
         F.concat(F.lit("  categories: "), F.col("ncat").cast("string")),
-        None,  # section 7: category lines
-        F.concat(F.lit("  reviews: total: "), F.col("total").cast("string"),
-                 F.lit("  downloaded: "), F.col("total").cast("string"),
-                 F.lit("  avg rating: "), F.col("avg")),
-        None,  # section 9: review lines
-        F.lit(""),  # section 10: blank line closing the record
     ]
-    entries = F.array(*[F.struct(F.lit(i).alias("sec"), F.concat(v, F.lit(CR)).alias("value"))
-                        for i, v in enumerate(product_lines) if v is not None])
+    none, types = F.lit(""), dict(reviews.dtypes)
+    no_review = {c: F.lit(None).cast(types[c]) for c in _FIELDS}
+    head = p.select("Id", _entries(*[(HEAD + i, F.concat(x, F.lit(CR))) for i, x in enumerate(product_lines)],
+                                   (TOTALS, F.lit(None)), (END, F.lit(CR))))
     parts = [
-        p.select(F.col("Id").alias("key"), F.inline(entries)).select(
-            "key", "sec", F.lit("").alias("seq"), "value"),
-        _line(cats, 7, F.concat(F.lit("   |"), F.col("category")), F.col("category")),
-        _line(reviews, 9,
-              F.concat(F.lit("    "), F.date_format("date", DATE_FORMAT),
-                       F.lit("  cutomer: "), F.col("customer"),
-                       F.lit("  rating: "), F.col("rating").cast("string"),
-                       F.lit("  votes: "), F.col("votes").cast("string"),
-                       F.lit("  helpful: "), F.col("helpful").cast("string")),
-              F.concat_ws("|", F.date_format("date", "yyyy-MM-dd"), F.col("customer"),
-                          F.lpad(F.col("rating").cast("string"), 3, "0"),
-                          F.lpad(F.col("votes").cast("string"), 10, "0"),
-                          F.lpad(F.col("helpful").cast("string"), 10, "0"))),
+        _rows(head, F.col("sec"), F.col("text"), none, no_review),
+        _rows(cats, F.lit(CATEGORY), F.concat(F.lit("   |"), F.col("category"), F.lit(CR)), F.col("category"), no_review),
+        _rows(reviews, F.lit(REVIEW), F.lit(None).cast("string"), none, {c: F.col(c) for c in _FIELDS}),
     ]
     if discontinued is not None:
-        gone = F.array(*[F.struct(F.lit(i).alias("sec"), F.concat(v, F.lit(CR)).alias("value")) for i, v in enumerate([
-            F.concat(F.lit("Id:   "), F.col("Id")), F.concat(F.lit("ASIN: "), F.col("ASIN")), F.lit("  " + DISCONTINUED), F.lit("")])])
-        parts.append(discontinued.select(F.col("Id").alias("key"), F.inline(gone)).select("key", "sec", F.lit("").alias("seq"), "value"))
+        gone = discontinued.select("Id", _entries(*enumerate([F.concat(x, F.lit(CR)) for x in (
+            F.concat(F.lit("Id:   "), F.col("Id")), F.concat(F.lit("ASIN: "), F.col("ASIN")), F.lit("  " + DISCONTINUED), F.lit(""))])))
+        parts.append(_rows(gone, F.col("sec"), F.col("text"), none, no_review))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
     if header:
-        total = s.agg(F.count(F.lit(1)).alias("n"))
-        head = total.select(F.lit(None).cast("string").alias("key"), F.lit(0).alias("sec"), F.lit("").alias("seq"),
-                            F.concat(F.lit("# Full information about products" + CR + "\n" + "Total items: "),
-                                     F.col("n").cast("string"), F.lit(CR + "\n" + CR)).alias("value"))
-        out = head.unionByName(out)
+        total = sells.agg(F.count(F.lit(1)).alias("n")).withColumn("Id", F.lit(None).cast("string"))
+        head = F.concat(F.lit("# Full information about products" + CR + "\n" + "Total items: "),
+                        F.col("n").cast("string"), F.lit(CR + "\n" + CR))
+        out = _rows(total, F.lit(HEAD), head, none, no_review).unionByName(out)
     return out
 
 
+def catalog_lines(rows: DataFrame) -> DataFrame:
+    """Rows in file order within each partition, which holds all rows of its
+    products, as lines (``value``)."""
+    review = F.col("sec") == REVIEW
+    seq = F.when(review, F.concat_ws("|", F.date_format("date", "yyyy-MM-dd"), F.col("customer"),
+                                     F.lpad(F.col("rating").cast("string"), 3, "0"),
+                                     F.lpad(F.col("votes").cast("string"), 10, "0"),
+                                     F.lpad(F.col("helpful").cast("string"), 10, "0"))).otherwise(F.col("seq"))
+    # Numeric keys sort numerically and the header (NULL key) comes first. The
+    # window has the same order, so there is one sort.
+    keyed = rows.withColumns({"knum": F.col("key").try_cast("long"), "seq": seq, "of_review": F.when(review, F.col("rating"))})
+    whole = Window.partitionBy("knum", "key").orderBy("sec", "seq").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    total = F.sum(review.cast("int")).over(whole)
+    counted = keyed.withColumns({"total": total, "avg": F.avg("of_review").over(whole)})
+    n = F.col("total").cast("string")
+    totals = F.concat(F.lit("  reviews: total: "), n, F.lit("  downloaded: "), n, F.lit("  avg rating: "),
+                      F.coalesce(F.round("avg", 1).cast("string"), F.lit("0")), F.lit(CR))
+    line = F.concat(F.lit("    "), F.date_format("date", DATE_FORMAT),
+                    F.lit("  cutomer: "), F.col("customer"),
+                    F.lit("  rating: "), F.col("rating").cast("string"),
+                    F.lit("  votes: "), F.col("votes").cast("string"),
+                    F.lit("  helpful: "), F.col("helpful").cast("string"), F.lit(CR))
+    return counted.select(F.when(review, line).when(F.col("sec") == TOTALS, totals).otherwise(F.col("text")).alias("value"))
+
+
 def write_catalog_text(spark: SparkSession, sells: DataFrame, similars: DataFrame, categories: DataFrame,
                        reviews: DataFrame, path: str, partitions: int | None = None,
                        discontinued: DataFrame | None = None) -> None:
     """Write the catalogue file(s) under ``path`` (replacing old output). A
     record is written by one task, as the format needs its lines together."""
-    lines = catalog_lines(spark, sells, similars, categories, reviews, discontinued=discontinued)
+    rows = catalog_rows(spark, sells, similars, categories, reviews, discontinued=discontinued)
     # A record only needs its own lines to be contiguous, so a hash shuffle
     # on the product key is enough (a range shuffle would first run the whole
-    # plan once more to sample boundaries). Inside a task, numeric keys sort
-    # numerically and the header (NULL key) comes first.
-    knum = F.col("key").try_cast("long")
-    (lines.withColumn("knum", knum)
-          .repartition(*([partitions] if partitions else []), "key")
-          .sortWithinPartitions(F.col("knum").asc_nulls_first(), F.col("key").asc_nulls_first(), "sec", "seq")
-          .select("value")
-          .write.mode("overwrite").text(path))
+    # plan once more to sample boundaries).
+    dealt = rows.repartition(*([partitions] if partitions else []), "key")
+    catalog_lines(dealt).write.mode("overwrite").option("compression", "gzip").text(path)

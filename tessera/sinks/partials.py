@@ -29,14 +29,16 @@ from tessera.sinks import store
 from tessera.sinks.query_tables import write_query_table
 
 
-def _numbers(spark: SparkSession, folder: str, prefix: str, complete: bool) -> list[int]:
+def numbers(spark: SparkSession, folder: str, prefix: str, complete: bool) -> list[int]:
+    """The numbers of a folder's folders; with ``complete`` only of those that
+    Spark has committed."""
     names = [n for n in store.children(spark, folder) if n.startswith(prefix)]
     return sorted(int(n[len(prefix):]) for n in names if not complete or store.is_complete(spark, f"{folder}/{n}"))
 
 
 def folded(spark: SparkSession, path: str) -> int | None:
     """The last batch that the newest complete base holds."""
-    return max(_numbers(spark, f"{path}/base", "through=", True), default=None)
+    return max(numbers(spark, f"{path}/base", "through=", True), default=None)
 
 
 def add_batch(partials: DataFrame, path: str, batch_id: int, replay: bool = False) -> None:
@@ -55,7 +57,7 @@ def merged(spark: SparkSession, path: str, keys: Sequence[str], sums: Sequence[s
     ``upto``, by default all). Columns ``keys`` then ``sums``; rows whose sums
     are all 0 are gone, as after a correction that took all away."""
     base = folded(spark, path)
-    later = [b for b in _numbers(spark, f"{path}/batches", "batch=", True)
+    later = [b for b in numbers(spark, f"{path}/batches", "batch=", True)
              if (base is None or b > base) and (upto is None or b <= upto)]
     parts = [f"{path}/batches/batch={b}" for b in later] + ([f"{path}/base/through={base}"] if base is not None else [])
     if not parts:
@@ -73,7 +75,7 @@ def compact(spark: SparkSession, path: str, keys: Sequence[str], sums: Sequence[
     """Fold all batches into a new base, clustered in answer order; returns
     the last batch it holds. With no new batch the base stays as it is."""
     base = folded(spark, path)
-    last = max(_numbers(spark, f"{path}/batches", "batch=", True), default=-1)
+    last = max(numbers(spark, f"{path}/batches", "batch=", True), default=-1)
     if base is not None and last <= base:
         return base
     write_query_table(merged(spark, path, keys, sums, upto=last), f"{path}/base/through={last}", cluster_by=cluster_by, order=order)
@@ -85,6 +87,6 @@ def prune(spark: SparkSession, path: str) -> None:
     while a reader of the older ones is at work."""
     base = folded(spark, path)
     for folder, prefix, last in (("batches", "batch=", base), ("base", "through=", None if base is None else base - 1)):
-        for n in _numbers(spark, f"{path}/{folder}", prefix, False):
+        for n in numbers(spark, f"{path}/{folder}", prefix, False):
             if last is not None and n <= last:
                 store.delete(spark, f"{path}/{folder}/{prefix}{n}")

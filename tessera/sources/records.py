@@ -35,6 +35,7 @@ from tessera.functions.text import strip_ws
 # Fixed values of the catalogue text format.
 RECORD_SEPARATOR = "\n\r\n"
 DISCONTINUED = "discontinued product"
+TAGS = ("Id", "ASIN", "title", "group", "salesrank", "similar", "categories")
 REVIEW_HEADER_WORDS = ("reviews", "total", "downloaded", "avg")
 REVIEW_WORDS = ("cutomer", "rating", "helpful")
 DATE_FORMAT = "y-M-d"
@@ -62,6 +63,15 @@ def _tagged(kv: Column, tag: str) -> Column:
     return F.try_element_at(hit, F.lit(1))["value"]
 
 
+def _may_be_tagged(line: Column) -> Column:
+    """A stripped line that starts with a tag's name: all lines whose tag it
+    is, and a few others."""
+    cond = F.lit(False)
+    for t in TAGS:
+        cond = cond | line.startswith(t)
+    return cond
+
+
 def _has_all(line: Column, words) -> Column:
     cond = F.lit(True)
     for w in words:
@@ -74,11 +84,18 @@ def _tokens(s: Column) -> Column:
     return F.filter(F.split(s, r"\s+"), lambda t: t != "")
 
 
+def _date(tok: Column) -> Column:
+    """``try_to_date`` by DATE_FORMAT; the plain form of a date takes the
+    cast, which reads it the same and in less time."""
+    plain = tok.rlike("^[1-9][0-9]{3}-[0-9]{1,2}-[0-9]{1,2}$")
+    return F.when(plain, tok.try_cast("date")).otherwise(F.try_to_date(tok, DATE_FORMAT))
+
+
 def _review(toks: Column) -> Column:
     """A review line's label-free tokens -> struct (date, customer, rating,
     votes, helpful); non-numeric values become NULL."""
     return F.struct(
-        F.try_to_date(F.get(toks, 0), DATE_FORMAT).alias("date"),
+        _date(F.get(toks, 0)).alias("date"),
         F.get(toks, 1).alias("customer"),
         F.get(toks, 2).try_cast("int").alias("rating"),
         F.get(toks, 3).try_cast("int").alias("votes"),
@@ -89,11 +106,10 @@ def _review(toks: Column) -> Column:
 def _label_free_tokens(line: Column) -> Column:
     """Tokens of a line without the ones holding a colon (the labels).
 
-    Written without a lambda: blank out every white-space-free run that holds
-    a colon, then split the rest on white space, so the expression stays in
-    whole-stage codegen when applied to exploded lines.
+    One scan of the line: every white-space-free run without a colon, from
+    its first to its last character (possessive, so nothing is tried twice).
     """
-    return F.split(strip_ws(F.regexp_replace(line, r"\S*:\S*", " ")), r"\s+")
+    return F.regexp_extract_all(line, F.lit(r"(?<!\S)[^\s:]++(?!\S)"), 0)
 
 
 def _numbers(line: Column) -> Column:
@@ -102,12 +118,12 @@ def _numbers(line: Column) -> Column:
 
 
 def _review_header(lines: Column) -> Column:
-    """SRC-9: numbers of the review header line.
+    """SRC-9: numbers of the review header line, the first of ``lines``.
 
     The token array is bound once through a lambda (``transform`` over the
     zero-or-one header lines) instead of being re-evaluated per field.
     """
-    hit = F.slice(F.filter(lines, lambda l: _has_all(l, REVIEW_HEADER_WORDS)), 1, 1)
+    hit = F.slice(lines, 1, 1)
     stats = F.transform(F.transform(hit, _numbers), lambda nums: F.struct(
         F.get(nums, 0).try_cast("int").alias("total"),
         F.get(nums, 1).try_cast("int").alias("downloaded"),
@@ -129,24 +145,36 @@ def parse_records(records: DataFrame, text_col: str = "value", carry: Sequence[s
     review_stats STRUCT<total, downloaded, avg_rating>,
     review_lines ARRAY<STRING> (typed by ``reviews_of`` / ``nested_products``).
     """
+    # The first and the last line come from the text itself, and every later
+    # step from a column of the one before: an expression that is used twice
+    # or pushed below a filter would split the record again.
+    body = strip_ws(F.col(text_col))
+    first, last = strip_ws(F.substring_index(body, "\n", 1)), strip_ws(F.substring_index(body, "\n", -1))
+    keep = (F.locate(":", first) > 0) & (strip_ws(F.substring_index(first, ":", 1)) == F.lit("Id"))
+    if not keep_discontinued:
+        keep = keep & (last != F.lit(DISCONTINUED))
     lines = F.filter(F.transform(F.split(F.col(text_col), "\n"), strip_ws), lambda l: l != "")
-    # Each line is split once into (tag, value) at its first colon; lines
-    # without a colon get a NULL tag.
-    kv = F.transform(lines, lambda l: F.struct(
-        l.alias("line"),
+    split = records.filter(keep).select(lines.alias("lines"), *carry)
+    ls = F.col("lines")
+    found = split.select(
+        F.filter(ls, _may_be_tagged).alias("tagged"),
+        F.filter(ls, lambda l: l.startswith("|")).alias("paths"),
+        F.filter(ls, lambda l: _has_all(l, REVIEW_HEADER_WORDS)).alias("headers"),
+        # raw review lines; they are typed row by row after an explode
+        # (reviews_of), where the parsing expressions are code-generated
+        F.filter(ls, lambda l: _has_all(l, REVIEW_WORDS) & ~_has_all(l, REVIEW_HEADER_WORDS)).alias("review_lines"),
+        *carry,
+    )
+    # The few lines that may carry a tag are split into (tag, value) at their
+    # first colon; lines without a colon get a NULL tag.
+    kv = F.transform("tagged", lambda l: F.struct(
         F.when(F.locate(":", l) > 0, strip_ws(F.substring_index(l, ":", 1))).alias("tag"),
         strip_ws(F.substr(l, F.locate(":", l) + 1)).alias("value"),
     ))
-    parsed = records.select(kv.alias("kv"), *carry)
+    parsed = found.select(kv.alias("kv"), "paths", "headers", "review_lines", *carry)
     ls = F.col("kv")
-    first, last = F.try_element_at(ls, F.lit(1)), F.try_element_at(ls, F.lit(-1))
-    keep = (F.size(ls) > 0) & (first["tag"] == F.lit("Id"))
-    if not keep_discontinued:
-        keep = keep & (last["line"] != F.lit(DISCONTINUED))
-    lines_only = F.transform(ls, lambda x: x["line"])
     sim = _tagged(ls, "similar")
-    review_lines = F.filter(lines_only, lambda l: _has_all(l, REVIEW_WORDS) & ~_has_all(l, REVIEW_HEADER_WORDS))
-    return parsed.filter(keep).select(
+    return parsed.select(
         _tagged(ls, "Id").alias("Id"),
         _tagged(ls, "ASIN").alias("ASIN"),
         _tagged(ls, "title").alias("title"),
@@ -155,12 +183,9 @@ def parse_records(records: DataFrame, text_col: str = "value", carry: Sequence[s
         _tagged(ls, "categories").try_cast("int").alias("categories"),
         F.coalesce(F.slice(_tokens(F.coalesce(sim, F.lit(""))), 2, 1 << 30),
                    F.array().cast("array<string>")).alias("similar"),
-        F.transform(F.filter(lines_only, lambda l: l.startswith("|")), lambda l: F.substr(l, F.lit(2)))
-         .alias("category_paths"),
-        _review_header(lines_only).alias("review_stats"),
-        # raw review lines; they are typed row by row after an explode
-        # (reviews_of), where the parsing expressions are code-generated
-        review_lines.alias("review_lines"),
+        F.transform("paths", lambda l: F.substr(l, F.lit(2))).alias("category_paths"),
+        _review_header(F.col("headers")).alias("review_stats"),
+        "review_lines",
         *carry,
     )
 
@@ -182,10 +207,18 @@ def categories_of(products: DataFrame) -> DataFrame:
     return products.select("Id", "ASIN", F.explode("category_paths").alias("category"))
 
 
+def _exploded(df: DataFrame, keep: Sequence[str], array: str, name: str) -> DataFrame:
+    """``explode``, with empty arrays dropped after it: a plain ``explode``
+    has the optimizer test the array's size below, which computes a derived
+    array once more."""
+    rows = df.select(*keep, F.posexplode_outer(array).alias("at", name))
+    return rows.filter(F.col("at").isNotNull()).select(*keep, name)
+
+
 def reviews_of(products: DataFrame) -> DataFrame:
     """SRC-7 (PRJ-4: one row per review): explode the raw review lines, then
     type each line with plain column expressions."""
-    lines = products.select("Id", "ASIN", "group", F.explode("review_lines").alias("line"))
+    lines = _exploded(products, ["Id", "ASIN", "group"], "review_lines", "line")
     r = lines.select("Id", "ASIN", "group", _review(_label_free_tokens(F.col("line"))).alias("r"))
     return r.select("Id", "ASIN", "group", "r.date", "r.customer", "r.rating", "r.votes", "r.helpful")
 
@@ -218,7 +251,7 @@ def nested_products(products: DataFrame) -> DataFrame:
         F.col("Id").try_cast("int").alias("Id"), "ASIN", "title", "group", "salesrank",
         F.col("similar").alias("similars"),
         F.transform(F.transform("review_lines", _label_free_tokens), lambda toks: F.struct(
-            F.try_to_date(F.get(toks, 0), DATE_FORMAT).alias("date"),
+            _date(F.get(toks, 0)).alias("date"),
             F.get(toks, 1).alias("customer"),
             F.get(toks, 2).try_cast("int").alias("rating"),
             F.get(toks, 3).try_cast("int").alias("vote"),
@@ -229,7 +262,7 @@ def nested_products(products: DataFrame) -> DataFrame:
 def unwind_reviews(docs: DataFrame) -> DataFrame:
     """PRJ-4 (``$unwind``): flatten nested documents to one row per review;
     documents with no reviews vanish."""
-    r = docs.select("Id", "ASIN", F.explode("reviews").alias("r"))
+    r = _exploded(docs, ["Id", "ASIN"], "reviews", "r")
     return r.select("Id", "ASIN", "r.date", "r.customer", "r.rating", "r.vote", "r.helpful")
 
 

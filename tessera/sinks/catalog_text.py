@@ -100,9 +100,10 @@ def catalog_lines(rows: DataFrame) -> DataFrame:
     # Numeric keys sort numerically and the header (NULL key) comes first. The
     # window has the same order, so there is one sort.
     keyed = rows.withColumns({"knum": F.col("key").try_cast("long"), "seq": seq, "of_review": F.when(review, F.col("rating"))})
-    whole = Window.partitionBy("knum", "key").orderBy("sec", "seq").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ordered = Window.partitionBy("knum", "key").orderBy("sec", "seq")
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     total = F.sum(review.cast("int")).over(whole)
-    counted = keyed.withColumns({"total": total, "avg": F.avg("of_review").over(whole)})
+    counted = keyed.withColumns({"total": total, "avg": F.avg("of_review").over(whole), "next": F.lead("sec").over(ordered)})
     n = F.col("total").cast("string")
     totals = F.concat(F.lit("  reviews: total: "), n, F.lit("  downloaded: "), n, F.lit("  avg rating: "),
                       F.coalesce(F.round("avg", 1).cast("string"), F.lit("0")), F.lit(CR))
@@ -111,7 +112,10 @@ def catalog_lines(rows: DataFrame) -> DataFrame:
                     F.lit("  rating: "), F.col("rating").cast("string"),
                     F.lit("  votes: "), F.col("votes").cast("string"),
                     F.lit("  helpful: "), F.col("helpful").cast("string"), F.lit(CR))
-    return counted.select(F.when(review, line).when(F.col("sec") == TOTALS, totals).otherwise(F.col("text")).alias("value"))
+    value = F.when(review, line).when(F.col("sec") == TOTALS, totals).otherwise(F.col("text"))
+    # lines whose product isn't listed have no record; they are closed as one, or the next record would be lost to them
+    stray = F.col("next").isNull() & F.col("sec").isin(CATEGORY, REVIEW)
+    return counted.select(F.when(stray, F.concat(F.coalesce(value, F.lit("")), F.lit("\n" + CR))).otherwise(value).alias("value"))
 
 
 def write_catalog_text(spark: SparkSession, sells: DataFrame, similars: DataFrame, categories: DataFrame,
@@ -124,4 +128,4 @@ def write_catalog_text(spark: SparkSession, sells: DataFrame, similars: DataFram
     # on the product key is enough (a range shuffle would first run the whole
     # plan once more to sample boundaries).
     dealt = rows.repartition(*([partitions] if partitions else []), "key")
-    catalog_lines(dealt).write.mode("overwrite").option("compression", "gzip").text(path)
+    catalog_lines(dealt).write.mode("overwrite").text(path)

@@ -111,3 +111,36 @@ def test_many_splits_give_same_records(spark, tmp_path):
 def test_review_schema_is_declared(products):
     got = R.reviews_of(products).select("date", "customer", "rating", "votes", "helpful").schema
     assert [(f.name, f.dataType) for f in got.fields] == [(f.name, f.dataType) for f in R.REVIEW_STRUCT.fields]
+
+
+def test_tokens_of_odd_lines(spark):
+    rows = [("  2000-7-28  cutomer: C1  rating: 5", ["2000-7-28", "C1", "5"]), ("a:b c:d", []), ("x:  :y z", ["z"]), ("a\tb:c \x0bd", ["a", "d"])]
+    df = spark.createDataFrame([(line,) for line, _ in rows], "line string")
+    assert [r.t for r in df.select(R._label_free_tokens(df.line).alias("t")).collect()] == [t for _, t in rows]
+
+
+def test_plain_dates_are_read_as_the_format_reads_them(spark):
+    from pyspark.sql import functions as F
+    texts = ["2000-7-28", "2000-02-30", "2001-2-29", "0000-1-1", "2000", "2000-7", "2000-7-28T", "12000-1-1", "999-1-1", "", None, "2000-13-1"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r.a for r in df.select(R._date(df.t).cast("string").alias("a")).collect()] == \
+        [r.a for r in df.select(F.try_to_date(df.t, R.DATE_FORMAT).cast("string").alias("a")).collect()]
+
+
+def test_nested_reviews_are_built_once(products):
+    plan = R.unwind_reviews(R.nested_products(products))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.split("InMemoryRelation")[0].count("regexp_extract_all") == 1
+
+
+def test_stray_reviews_take_no_product_with_them(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from tessera.sinks.catalog_text import write_catalog_text
+    sells = spark.createDataFrame([(str(i), f"A{i}", f"t{i}", "Book", i, 0) for i in range(1, 4)],
+                                  "Id string, ASIN string, title string, `group` string, salesrank int, categories int")
+    day = dt.date(2000, 1, 2)
+    reviews = spark.createDataFrame([(i, day, c, 4, 1, 1) for i, c in [(None, "x"), (None, None), ("2", "y"), ("0", "z"), ("3", None), ("3", "y")]],
+                                    "Id string, date date, customer string, rating int, votes int, helpful int")
+    none = sells.select("Id", "ASIN", F.lit("").alias("similar"), F.lit("").alias("category")).filter("false")
+    write_catalog_text(spark, sells, none.drop("category"), none.drop("similar"), reviews, str(tmp_path / "c"), partitions=1)
+    products = R.parse_records(R.read_records(spark, str(tmp_path / "c")))
+    assert sorted((r.Id, r.review_stats.total, len(r.review_lines)) for r in products.collect()) == [("1", 0, 0), ("2", 1, 1), ("3", 2, 1)]

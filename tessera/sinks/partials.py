@@ -14,8 +14,11 @@ could not be taken out again.
     <path>/batches/batch=<id>/...     sums of one batch
     <path>/base/through=<id>/...      all sums up to that batch, in order
 
-Cost: a batch writes its own keys, a reader adds up base and recent batches by
-key with partial aggregation, and only ``compact`` moves the whole table.
+Cost: a batch writes its own keys, a reader deals base and recent batches out
+by key and adds them up there, and ``compact`` also moves the whole table into
+order. The rows are dealt out as they are: each part holds a key once, so adding
+up before the shuffle would save nothing, and would hold the keys of a whole
+file split, which is millions of rows as these files are packed, in one task.
 """
 
 from __future__ import annotations
@@ -62,7 +65,7 @@ def merged(spark: SparkSession, path: str, keys: Sequence[str], sums: Sequence[s
     parts = [f"{path}/batches/batch={b}" for b in later] + ([f"{path}/base/through={base}"] if base is not None else [])
     if not parts:
         raise ValueError(f"no batch in {path}")
-    rows = spark.read.parquet(*parts)
+    rows = spark.read.parquet(*parts).repartition(*keys)
     total = rows.groupBy(*keys).agg(*[F.sum(s).alias(s) for s in sums])
     any_left = F.lit(False)
     for s in sums:

@@ -63,10 +63,15 @@ def reviews_table_upserted(spark, sf_dir, buckets: int = 8):
     wide = lambda c, n: F.lpad(F.col(c).cast("string"), n, "0")
     line = F.concat_ws("|", F.date_format("date", "yyyy-MM-dd"), "customer", wide("rating", 3), wide("votes", 10), wide("helpful", 10))
     rows = reviews.select("Id", "ASIN", "date", "customer", "rating", F.col("votes").alias("vote"), "helpful", line.alias("line"))
-    path, key = scratch_dir(spark, "reviews-keyed"), ["Id", "helpful", "rating"]
-    keyed_table.create(rows.filter(_third(1)), path, key, "line", buckets)
+    path, thirds, key = scratch_dir(spark, "reviews-keyed"), scratch_dir(spark, "review-thirds"), ["Id", "helpful", "rating"]
+    # dealt into the thirds in one pass: an update reads its own, and joins and shuffles no reviews of the others
+    dealt = rows.withColumn("third", F.pmod(F.xxhash64("customer"), F.lit(BATCHES)).cast("int"))
+    dealt.write.partitionBy("third").parquet(thirds)
+    stored = spark.read.schema(dealt.schema).parquet(thirds)
+    batch = lambda n: stored.filter(F.col("third") == n).drop("third")
+    keyed_table.create(batch(1), path, key, "line", buckets)
     for third in (2, 0, 2):
-        keyed_table.upsert(rows.filter(_third(third)), path, key, "line", buckets)
+        keyed_table.upsert(batch(third), path, key, "line", buckets)
     return keyed_table.read(spark, path).drop("line")
 
 

@@ -31,9 +31,10 @@ def bucket_of(key: Sequence[str], buckets: int) -> Column:
 
 
 def _write(rows: DataFrame, path: str, key: Sequence[str], dynamic: bool = False) -> None:
-    # the range key goes on with the table's key: a large folder is written by several tasks
-    ordered = rows.repartitionByRange(FOLDER, *key).sortWithinPartitions(FOLDER, *key)
-    out = ordered.write.mode("overwrite").partitionBy(FOLDER)
+    # the range key goes on with the table's key: a large folder is written by several tasks;
+    # rows that are put in place come from files that were dealt out so before
+    dealt = rows if dynamic else rows.repartitionByRange(FOLDER, *key)
+    out = dealt.sortWithinPartitions(FOLDER, *key).write.mode("overwrite").partitionBy(FOLDER)
     (out.option("partitionOverwriteMode", "dynamic") if dynamic else out).parquet(path)
 
 

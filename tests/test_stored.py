@@ -209,3 +209,46 @@ def test_replay_of_a_folded_micro_batch_is_skipped(spark, tmp_path):
         os.remove(f"{state}/commits/{f}")
     X.start_corrected_counters(spark, src, table, state).awaitTermination()
     assert _counted(spark, table) == {("Book", "x"): 1}
+
+
+def test_deliveries_of_many_micro_batches_are_folded(spark, tmp_path, monkeypatch):
+    src, table, state = str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "c")
+    monkeypatch.setattr(X, "FOLD", 2)
+    for day in range(5):
+        _deliver(src, f"{day}.txt", [_record(1, "Book", ["x"] * (day + 1)), _record(10 + day, "Book", ["y"])], 1000 + day)
+    X.start_corrected_counters(spark, src, table, state, max_files_per_trigger=1).awaitTermination()
+    assert _counted(spark, table) == {("Book", "x"): 5, ("Book", "y"): 5}
+    log = f"{state}/last-deliveries"
+    assert store.children(spark, f"{log}/base") == ["through=3"] and store.children(spark, f"{log}/batches") == ["batch=4"]
+    assert spark.read.parquet(f"{log}/base/through=3").count() == 5  # product 1 once
+
+
+def test_counting_differences_runs_no_python(spark, tmp_path):
+    log = str(tmp_path / "log")
+    for b, customers in enumerate((["x", "x"], ["x", "z"])):
+        spark.createDataFrame([("1", "Book", customers, b)], "Id string, `group` string, customers array<string>, batch long").write.parquet(f"{log}/batches/batch={b}")
+    got = X.differences(spark, log, 1)
+    assert sorted(tuple(r) for r in got.collect()) == [("Book", "x", -1), ("Book", "z", 1)]
+    assert "Pandas" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_merging_holds_no_file_split_in_one_map(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for b in range(2):
+        partials.add_batch(_sums(spark, [("a", 1, 1), (None, 1, 1)]), path, b)
+    plan = partials.merged(spark, path, KEYS, SUMS)._jdf.queryExecution().sparkPlan().toString()
+    below = plan[plan.index("RepartitionByExpression") if "RepartitionByExpression" in plan else plan.index("Exchange"):]
+    assert "Aggregate" not in below
+
+
+def test_rows_put_in_place_are_not_shuffled_again(spark, tmp_path):
+    path = str(tmp_path / "t")
+    keyed_table.create(_rows(spark, [(i, "old", 1) for i in range(200)]), path, ["k"], "seq", 4)
+    _rows(spark, [(i, "new", 2) for i in range(200)]).withColumn("bucket", keyed_table.bucket_of(["k"], 4)).write.partitionBy("bucket").parquet(f"{path}/_pending/rows")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("in-place", "in place")
+    assert keyed_table.recover(spark, path, ["k"]) is True
+    stages = [s for j in tracker.getJobIdsForGroup("in-place") for s in tracker.getJobInfo(j).stageIds]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {r.v for r in keyed_table.read(spark, path).collect()} == {"new"}
+    assert len(stages) == len(set(stages)) <= 2  # files listed and written: no stage that shuffles

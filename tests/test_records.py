@@ -119,6 +119,18 @@ def test_tokens_of_odd_lines(spark):
     assert [r.t for r in df.select(R._label_free_tokens(df.line).alias("t")).collect()] == [t for _, t in rows]
 
 
+def test_tokens_are_scanned_with_listed_white_space(spark):
+    from pyspark.sql import functions as F
+    space = " \t\n\x0b\f\r"
+    lines = [f"a{c}b:{c}{c}c" for c in space] + ["a\u00a0b c", "a\u2003b:c d", "a\x1cb", ":", "", space, "a", None]
+    df = spark.createDataFrame([(line,) for line in lines], "line string")
+    tokens = R._label_free_tokens(F.col("line"))
+    got = df.select("line", tokens.alias("t"), F.filter(F.split("line", r"\s+"), lambda t: (t != "") & ~t.contains(":")).alias("want")).collect()
+    assert [r.t for r in got] == [r.want for r in got] and got[0].t == ["a", "c"]
+    pattern = df.select(tokens.alias("t"))._jdf.queryExecution().analyzed().toString()
+    assert "\\s" not in pattern and "\\S" not in pattern  # named within a class it is matched several times slower
+
+
 def test_plain_dates_are_read_as_the_format_reads_them(spark):
     from pyspark.sql import functions as F
     texts = ["2000-7-28", "2000-02-30", "2001-2-29", "0000-1-1", "2000", "2000-7", "2000-7-28T", "12000-1-1", "999-1-1", "", None, "2000-13-1"]
@@ -127,6 +139,16 @@ def test_plain_dates_are_read_as_the_format_reads_them(spark):
         [r.a for r in df.select(F.try_to_date(df.t, R.DATE_FORMAT).cast("string").alias("a")).collect()]
 
 
+def test_dates_are_written_as_the_format_writes_them(spark):
+    from pyspark.sql import functions as F
+    from tessera.sinks.catalog_text import _dates
+    days = spark.sql("select date_add(date'0001-01-01', cast(id * 97 as int)) as d from range(40000) union all "
+                     "select explode(array(null, make_date(12000, 1, 2), make_date(0, 3, 4), make_date(-5, 3, 4)))")
+    iso, written = _dates(F.col("d"))
+    other = ~iso.eqNullSafe(F.date_format("d", "yyyy-MM-dd")) | ~written.eqNullSafe(F.date_format("d", R.DATE_FORMAT))
+    assert days.filter(other).count() == 0 and days.filter(F.year("d") > 9999).count() > 0
+
+
 def test_nested_reviews_are_built_once(products):
     plan = R.unwind_reviews(R.nested_products(products))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.split("InMemoryRelation")[0].count("regexp_extract_all") == 1

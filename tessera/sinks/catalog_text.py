@@ -132,12 +132,13 @@ def catalog_lines(rows: DataFrame) -> DataFrame:
 
 def write_catalog_text(spark: SparkSession, sells: DataFrame, similars: DataFrame, categories: DataFrame,
                        reviews: DataFrame, path: str, partitions: int | None = None,
-                       discontinued: DataFrame | None = None) -> None:
+                       discontinued: DataFrame | None = None, compression: str = "none") -> None:
     """Write the catalogue file(s) under ``path`` (replacing old output). A
-    record is written by one task, as the format needs its lines together."""
+    record is written by one task, as the format needs its lines together.
+    With ``compression`` a file is also read by one task, as it was written."""
     rows = catalog_rows(spark, sells, similars, categories, reviews, discontinued=discontinued)
     # A record only needs its own lines to be contiguous, so a hash shuffle
     # on the product key is enough (a range shuffle would first run the whole
     # plan once more to sample boundaries).
     dealt = rows.repartition(*([partitions] if partitions else []), "key")
-    catalog_lines(dealt).write.mode("overwrite").text(path)
+    catalog_lines(dealt).write.mode("overwrite").text(path, compression=compression)

@@ -74,3 +74,10 @@ def test_scans_read_only_needed_columns(spark):
     assert schemas and all("l_comment" not in s and "l_tax" not in s for s in schemas)
     lineitem = [s for s in schemas if "l_partkey" in s]
     assert lineitem and all("l_shipdate" not in s for s in lineitem)
+
+
+def test_upserted_reviews_are_shuffled_once_as_records(spark):
+    plan = _plan(spark, "reviews_upserted")
+    assert plan.count("Exchange hashpartitioning(") == 1, plan
+    below = plan[plan.index("Exchange hashpartitioning(Id#"):]
+    assert "Aggregate" not in below and "Sort" not in below and "Generate" not in below, plan
